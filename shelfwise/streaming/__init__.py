@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streams, watermarks or event-time windows: every
+query runs over complete tables.  Nothing is built here; the batch
+operators in :mod:`shelfwise.operators` take any DataFrame, so a
+``readStream`` source can feed the stateless ones (filters, projections,
+labels) unchanged.
+"""
