@@ -149,13 +149,13 @@ WITH b AS (SELECT MAX(CAST(l_shipdate AS DATE)) AS latest FROM lineitem)
 SELECT s.s_suppkey AS store_id, s.s_name AS store_name
 FROM supplier s CROSS JOIN b
 WHERE NOT EXISTS (SELECT 1 FROM lineitem l WHERE l.l_suppkey = s.s_suppkey
-                  AND CAST(l.l_shipdate AS DATE) > b.latest - 30 AND CAST(l.l_shipdate AS DATE) <= b.latest)
+                  AND CAST(l.l_shipdate AS DATE) > b.latest - 7 AND CAST(l.l_shipdate AS DATE) <= b.latest)
 """)
 def _jn11(t, m):
     ship = m.items.select("store_id", F.to_date("ship_date").alias("ship_day"))
     boundary = ship.agg(F.max("ship_day").alias("latest"))
     recent = (ship.crossJoin(F.broadcast(boundary))
-              .filter((F.col("ship_day") > F.date_sub("latest", 30)) & (F.col("ship_day") <= F.col("latest")))
+              .filter((F.col("ship_day") > F.date_sub("latest", 7)) & (F.col("ship_day") <= F.col("latest")))
               .select("store_id"))
     return J.anti(m.stores.select("store_id", "store_name"), recent, "store_id")
 
