@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfwise.catalog import aggregates, joins, quality, reports, scalars  # noqa: F401  (registration side effects)
+from shelfwise.catalog import aggregates, joins, quality, reports, scalars, windows  # noqa: F401  (registration side effects)
 from shelfwise.catalog.base import REGISTRY
 
 

@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.session import ensure_checkpoint_dir
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -80,6 +82,12 @@ def prefix_sum(df: DataFrame, value: Column | str, order: Sequence, by: Sequence
     sort_keys = [F.col(b) for b in by] + order_cols
     parted = (df.withColumn("_v", _c(value)).repartitionByRange(n, *sort_keys)
               .withColumn("_pid", F.spark_partition_id()))
+    # The slice id is read twice below (local sums and slice totals).  Range
+    # bounds come from a sample seeded by the RDD id, so two executions could
+    # cut differently: a reliable checkpoint (in the shared checkpoint folder,
+    # surviving executor loss) fixes one assignment for both readers.
+    ensure_checkpoint_dir(spark)
+    parted = parted.checkpoint(eager=True)
     w = Window.partitionBy("_pid", *by).orderBy(*order_cols)
     w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame == "rows" else \
         w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
