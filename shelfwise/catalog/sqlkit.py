@@ -46,7 +46,7 @@ v AS (
          p.p_partkey AS product_id, p.p_name AS product_name,
          p.p_brand AS category_name, p.p_type AS department,
          l.l_linenumber AS line_number, l.l_quantity AS quantity,
-         l.l_extendedprice AS unit_price, l.l_discount AS discount,
+         l.l_extendedprice AS unit_price, l.l_discount AS discount, l.l_returnflag AS return_flag,
          {REV} AS gross_revenue
   FROM orders o
   JOIN lineitem l ON l.l_orderkey = o.o_orderkey
