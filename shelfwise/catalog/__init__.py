@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from shelfwise.catalog import aggregates, joins, quality, reports, scalars, windows  # noqa: F401  (registration side effects)
+from shelfwise.catalog import (aggregates, joins, plans, quality, reports, scalars, sources,  # noqa: F401
+                               windows)
 from shelfwise.catalog.base import REGISTRY
 
 
