@@ -384,10 +384,10 @@ def product_category_share(m: Model) -> DataFrame:
 
 def daily_performance(m: Model) -> DataFrame:
     """RP-29: per day - revenue, running revenue, previous day, change, revenue rank."""
-    d = daily_sales(m)
-    d = W.running(d, "revenue", ["order_date"], frame="rows", out="running_revenue")
+    d = daily_sales(m)  # one row per calendar day: a bounded series
+    d = W.running(d, "revenue", ["order_date"], frame="rows", out="running_revenue", bounded=True)
     d = W.lagged(d, "revenue", ["order_date"], out="previous_day_revenue")
-    d = W.dist_ranks(d, "revenue", rank_out="revenue_rank", dense_out="_dense")
+    d = W.dist_ranks(d, "revenue", rank_out="revenue_rank", dense_out="_dense", bounded=True)
     return d.select("order_date", round_money("revenue").alias("revenue"),
                     round_money("running_revenue").alias("running_revenue"),
                     round_money("previous_day_revenue").alias("previous_day_revenue"),

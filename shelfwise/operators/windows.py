@@ -67,20 +67,23 @@ def share(df: DataFrame, measure: str, out: str = "pct_of_total", digits: int =
 # ------------------------------------------------------------------ scans
 
 
-def prefix_sum(df: DataFrame, value: Column | str, order: Sequence, by: Sequence[str] = (), frame: str = "rows",
+def prefix_sum(df: DataFrame, value: Column | str | dict, order: Sequence, by: Sequence[str] = (), frame: str = "rows",
                out: str = "running_total", partitions: int | None = None) -> DataFrame:
     """Running ``SUM(value)`` per ``by`` in ``order`` without a per-key task.
 
-    ``frame="rows"`` needs ``order`` to be a total order inside a key (add a
-    unique tiebreaker); ``frame="range"`` gives peers (ties) the same total,
-    the SQL default frame (T12).  Equal (key, order) values always land in
-    the same range partition, so peers are never split.
+    ``value`` may be a dict ``{output name: column}`` to run several sums in
+    one scan.  ``frame="rows"`` needs ``order`` to be a total order inside a
+    key (add a unique tiebreaker); ``frame="range"`` gives peers (ties) the
+    same total, the SQL default frame (T12).  Equal (key, order) values always
+    land in the same range partition, so peers are never split.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    values = value if isinstance(value, dict) else {out: value}
+    vcols = {f"_v{i}": (name, _c(v)) for i, (name, v) in enumerate(values.items())}
     order_cols = [_c(o) for o in order]
     sort_keys = [F.col(b) for b in by] + order_cols
-    parted = (df.withColumn("_v", _c(value)).repartitionByRange(n, *sort_keys)
+    parted = (df.withColumns({k: c for k, (_n, c) in vcols.items()}).repartitionByRange(n, *sort_keys)
               .withColumn("_pid", F.spark_partition_id()))
     # The slice id is read twice below (local sums and slice totals).  Range
     # bounds come from a sample seeded by the RDD id, so two executions could
@@ -91,17 +94,29 @@ def prefix_sum(df: DataFrame, value: Column | str, order: Sequence, by: Sequence
     w = Window.partitionBy("_pid", *by).orderBy(*order_cols)
     w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame == "rows" else \
         w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    local = parted.withColumn("_local", F.sum("_v").over(w))
-    totals = local.groupBy("_pid", *by).agg(F.sum("_v").alias("_slice"))
+    local = parted.withColumns({f"_l{k}": F.sum(k).over(w) for k in vcols})
+    totals = local.groupBy("_pid", *by).agg(*[F.sum(k).alias(f"_s{k}") for k in vcols])
     wo = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.withColumn("_offset", F.coalesce(F.sum("_slice").over(wo), F.lit(0))).drop("_slice")
+    offsets = totals.select("_pid", *by, *[F.coalesce(F.sum(f"_s{k}").over(wo), F.lit(0)).alias(f"_o{k}")
+                                            for k in vcols])
     res = local.join(offsets, ["_pid", *by])
-    return res.withColumn(out, F.col("_local") + F.col("_offset")).drop("_v", "_pid", "_local", "_offset")
+    res = res.withColumns({name: F.col(f"_l{k}") + F.col(f"_o{k}") for k, (name, _c2) in vcols.items()})
+    return res.drop("_pid", *vcols, *[f"_l{k}" for k in vcols], *[f"_o{k}" for k in vcols])
 
 
 def running(df: DataFrame, measure: str, order: Sequence, by: Sequence[str] = (), frame: str = "rows",
-            out: str = "running_total") -> DataFrame:
-    """WN-03 (ROWS) / WN-04 (RANGE, ties share the total) running totals."""
+            out: str = "running_total", bounded: bool = False) -> DataFrame:
+    """WN-03 (ROWS) / WN-04 (RANGE, ties share the total) running totals.
+
+    ``bounded=True`` is for series whose length is fixed by the calendar or a
+    dimension (a row per day or month), not by the data: a plain window is
+    then cheaper than the distributed scan.
+    """
+    if bounded:
+        w = (Window.partitionBy(*by) if by else Window).orderBy(*[_c(o) for o in order])
+        w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame == "rows" else \
+            w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(out, F.sum(measure).over(w))
     return prefix_sum(df, measure, order, by, frame, out)
 
 
@@ -184,7 +199,7 @@ def top_k(df: DataFrame, order: Sequence, k: int) -> DataFrame:
 
 
 def dist_ranks(df: DataFrame, order_col: str, by: Sequence[str] = (), descending: bool = True,
-               rank_out: str = "rank", dense_out: str = "dense_rank") -> DataFrame:
+               rank_out: str = "rank", dense_out: str = "dense_rank", bounded: bool = False) -> DataFrame:
     """RANK and DENSE_RANK of ``order_col`` per ``by`` without a per-group task.
 
     Rows are reduced to one row per (group, value) with its count; ranks
@@ -192,12 +207,15 @@ def dist_ranks(df: DataFrame, order_col: str, by: Sequence[str] = (), descending
     before the value, and distinct values at or before it), then join back
     on (group, value).  Equivalent to ``rank()``/``dense_rank()`` over
     ``PARTITION BY by ORDER BY order_col [DESC]``; NULL values sort last
-    when descending and first when ascending, as Spark does.
+    when descending and first when ascending, as Spark does.  ``bounded=True``
+    uses plain rank windows, for inputs whose size is fixed by the calendar.
     """
-    vals = df.groupBy(*by, order_col).agg(F.count(F.lit(1)).alias("_n"))
     o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_first()
-    vals = prefix_sum(vals, "_n", [o], by, "rows", "_cum")
-    vals = prefix_sum(vals, F.lit(1), [o], by, "rows", "_dense")
+    if bounded:
+        w = (Window.partitionBy(*by) if by else Window).orderBy(o)
+        return df.withColumn(rank_out, F.rank().over(w)).withColumn(dense_out, F.dense_rank().over(w))
+    vals = df.groupBy(*by, order_col).agg(F.count(F.lit(1)).alias("_n"))
+    vals = prefix_sum(vals, {"_cum": F.col("_n"), "_dense": F.lit(1)}, [o], by, "rows")
     vals = vals.select(*by, order_col, (F.col("_cum") - F.col("_n") + 1).cast("int").alias(rank_out),
                        F.col("_dense").cast("int").alias(dense_out))
     # eqNullSafe keeps rows whose value is NULL (they get the NULL value's rank).

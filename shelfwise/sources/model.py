@@ -106,3 +106,61 @@ def returns(t: Tables) -> DataFrame:
 def from_driver(t: Tables) -> Model:
     return Model(orders=orders(t), items=items(t), stores=stores(t), products=products(t),
                  customers=customers(t), returns=returns(t), regions=regions(t), completed=COMPLETED)
+
+
+# ---------------------------------------------------------------- the reference's own retail schemas
+
+
+def from_retail_tables(orders: DataFrame, order_items: DataFrame, stores: DataFrame, products: DataFrame,
+                       customers: DataFrame | None = None, returns: DataFrame | None = None,
+                       regions: DataFrame | None = None, categories: DataFrame | None = None,
+                       completed: str = "completed") -> Model:
+    """A :class:`Model` over tables shaped like the reference's retail/capstone schemas.
+
+    The store sits on the order there, so it is carried onto each item
+    (one join on ``order_id``); revenue is ``quantity x unit_price`` minus
+    ``discount_amount`` when that column exists (B3/B4).
+    """
+    spark = orders.sparkSession
+    oi = order_items
+    disc = F.coalesce(F.col("discount_amount"), F.lit(0)) if "discount_amount" in oi.columns else F.lit(0)
+    rev = F.col("quantity") * F.col("unit_price") - disc
+    items_ = (oi.join(orders.select("order_id", "store_id"), "order_id", "left")
+              .select("order_id", F.col("order_item_id").alias("line_number"), "order_item_id", "product_id",
+                      "store_id", "quantity", "unit_price", disc.alias("discount"), rev.alias("gross_revenue"),
+                      F.lit(None).cast("string").alias("return_flag"), F.lit(None).cast("timestamp_ntz").alias("ship_date"),
+                      *([F.col("raw_product_name")] if "raw_product_name" in oi.columns else [])))
+    if regions is None:
+        regions = spark.createDataFrame([], "region_id int, region_name string")
+    st = stores
+    if "region_id" not in st.columns:
+        st = st.withColumn("region_id", F.lit(None).cast("int"))
+    st = st.join(regions, "region_id", "left").select("store_id", "store_name", "region_id", "region_name",
+                                                      F.col("city") if "city" in st.columns else F.lit(None).alias("city"))
+    pr = products
+    if categories is not None and "category_id" in pr.columns:
+        pr = pr.join(categories, "category_id", "left")
+    if "category_name" not in pr.columns:
+        pr = pr.withColumn("category_name", F.col("category"))
+    if "department" not in pr.columns:
+        pr = pr.withColumn("department", F.col("category_name"))
+    price = "list_price" if "list_price" in pr.columns else ("current_price" if "current_price" in pr.columns else "price")
+    pr = pr.select("product_id", "product_name", "category_name", "department", F.col(price).alias("list_price"))
+    if customers is None:
+        customers = spark.createDataFrame([], "customer_id int, customer_name string")
+    cu = customers.select("customer_id", "customer_name",
+                          (F.col("city") if "city" in customers.columns else F.lit(None).cast("string")).alias("city"),
+                          (F.col("loyalty_tier") if "loyalty_tier" in customers.columns
+                           else F.lit(None).cast("string")).alias("segment"),
+                          F.lit(None).cast("double").alias("balance"))
+    od = orders.select("order_id", "customer_id", F.col("order_date").cast("timestamp_ntz").alias("order_date"),
+                       (F.col("channel") if "channel" in orders.columns else F.lit(None).cast("string")).alias("channel"),
+                       "status", F.lit(None).cast("double").alias("order_total"))
+    if returns is None:
+        rt = spark.createDataFrame([], "order_id int, product_id int, store_id int, return_date date, "
+                                       "refund_amount decimal(9,2)")
+    else:
+        rt = (returns.join(items_.select("order_item_id", "order_id", "product_id", "store_id"), "order_item_id")
+              .select("order_id", "product_id", "store_id", "return_date", "refund_amount"))
+    return Model(orders=od, items=items_, stores=st, products=pr, customers=cu, returns=rt, regions=regions,
+                 completed=completed)
