@@ -73,19 +73,32 @@ def anti_left_null(df: DataFrame, other: DataFrame, left_key: str, right_key: st
             .filter(F.col("_rk").isNull()).drop("_rk"))
 
 
+def not_in(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
+    """``key NOT IN (SELECT other_key ...)`` with SQL's three-valued logic (T11).
+
+    A row is kept only when the list holds no NULL and the key is absent;
+    a NULL key is kept only when the list is empty.  Planned as a hash anti
+    join plus a broadcast one-row guard, instead of the null-aware anti join
+    Spark would run as a nested loop when the list is too big to broadcast.
+    """
+    guard = other.agg(F.count_if(F.col(other_key).isNull()).alias("_nulls"),
+                      F.count(F.lit(1)).alias("_list_rows"))
+    absent = df.join(other.select(F.col(other_key).alias("_ok")).filter(F.col("_ok").isNotNull()).distinct(),
+                     F.col(key) == F.col("_ok"), "left_anti")
+    keep = (F.col("_nulls") == 0) & (F.col(key).isNotNull() | (F.col("_list_rows") == 0))
+    return absent.crossJoin(F.broadcast(guard)).filter(keep).drop("_nulls", "_list_rows")
+
+
 def not_in_vs_anti(df: DataFrame, key: str, other: DataFrame, other_key: str) -> DataFrame:
-    """JN-13: rows kept by ``NOT IN`` (null-aware) next to rows kept by ``NOT EXISTS``.
+    """JN-13: rows kept by ``NOT IN`` next to rows kept by ``NOT EXISTS``.
 
     ``NOT IN`` keeps nothing once the list holds a NULL (T11); ``NOT EXISTS``
-    ignores NULL keys.  Both counts come from one plan each, no collect.
+    ignores NULL keys.
     """
-    spark = df.sparkSession
-    not_in = spark.sql(f"SELECT COUNT(*) AS n FROM {{d}} WHERE {key} NOT IN (SELECT {other_key} FROM {{o}})",
-                       d=df, o=other)
-    not_exists = anti(df, other.filter(F.col(other_key).isNotNull()),
-                      F.col(key) == F.col(other_key)).agg(F.count(F.lit(1)).alias("n"))
-    return not_in.select(F.col("n").alias("not_in_rows")).crossJoin(
-        not_exists.select(F.col("n").alias("not_exists_rows")))
+    n_in = not_in(df, key, other, other_key).agg(F.count(F.lit(1)).alias("not_in_rows"))
+    n_ex = anti(df, other.filter(F.col(other_key).isNotNull()),
+                F.col(key) == F.col(other_key)).agg(F.count(F.lit(1)).alias("not_exists_rows"))
+    return n_in.crossJoin(n_ex)
 
 
 def range_attribute(df: DataFrame, date_col: str, periods: DataFrame, start: str = "start_date",

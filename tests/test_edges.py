@@ -172,3 +172,18 @@ def test_write_audit_publish_blocks_failing_checks(spark, tmp_path):
     ok = Q.write_audit_publish(spark, df, rules, {"blank_names": F.col("name").isNull()}, str(tmp_path / "stg2"),
                                target, max_failures={"blank_names": 1})
     assert ok.count() == 2
+
+
+def test_not_in_three_valued_logic(spark):
+    a = spark.createDataFrame([(1,), (2,), (None,)], "k int")
+    no_null = spark.createDataFrame([(1,)], "k2 int")
+    empty = spark.createDataFrame([], "k2 int")
+    assert sorted(r.k for r in J.not_in(a, "k", no_null, "k2").collect()) == [2]
+    assert sorted((r.k is None, r.k) for r in J.not_in(a, "k", empty, "k2").collect()) == [(False, 1), (False, 2), (True, None)]
+    with_null = spark.createDataFrame([(1,), (None,)], "k2 int")
+    assert J.not_in(a, "k", with_null, "k2").count() == 0
+    # same answers as Spark SQL's own NOT IN
+    a.createOrReplaceTempView("ni_a")
+    no_null.createOrReplaceTempView("ni_b")
+    sql = spark.sql("SELECT k FROM ni_a WHERE k NOT IN (SELECT k2 FROM ni_b)").collect()
+    assert sorted(r.k for r in sql) == [2]
