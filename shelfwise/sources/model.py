@@ -52,10 +52,11 @@ def regions(t: Tables) -> DataFrame:
     return t.region.select(F.col("r_regionkey").alias("region_id"), F.col("r_name").alias("region_name"))
 
 
-def _nations(t: Tables) -> DataFrame:
-    # nation is a fixed 25-row dimension: broadcasting it is size-bounded.
+def _nations(t: Tables, with_region: bool = True) -> DataFrame:
+    # nation (25 rows) and region (5 rows) are fixed-size dimensions of the
+    # TPC-H schema at every scale factor: broadcasting them is size-bounded.
     n = t.nation.select("n_nationkey", F.col("n_name").alias("city"), F.col("n_regionkey").alias("region_id"))
-    return F.broadcast(n.join(F.broadcast(regions(t)), "region_id", "left"))
+    return F.broadcast(n.join(F.broadcast(regions(t)), "region_id", "left") if with_region else n)
 
 
 def stores(t: Tables) -> DataFrame:
@@ -75,7 +76,7 @@ def customers(t: Tables) -> DataFrame:
     c = t.customer.select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("customer_name"),
                           "c_nationkey", F.col("c_mktsegment").alias("segment"),
                           F.col("c_acctbal").alias("balance"))
-    return (c.join(_nations(t), c.c_nationkey == F.col("n_nationkey"), "left")
+    return (c.join(_nations(t, with_region=False), c.c_nationkey == F.col("n_nationkey"), "left")
             .select("customer_id", "customer_name", "city", "segment", "balance"))
 
 
