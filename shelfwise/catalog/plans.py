@@ -84,7 +84,8 @@ def _pf05(t, m):
 
 @register("pf_same_result", "PF-06", oracle=f"""
 WITH {VIEW}
-SELECT COUNT(DISTINCT sales_month) AS a_rows, COUNT(DISTINCT sales_month) AS b_rows, 0 AS only_in_a, 0 AS only_in_b,
+SELECT COUNT(DISTINCT sales_month) AS a_rows, COUNT(DISTINCT sales_month) AS b_rows, CAST(0 AS BIGINT) AS only_in_a,
+       CAST(0 AS BIGINT) AS only_in_b,
        TRUE AS same_rows FROM v
 """)
 def _pf06(t, m):

@@ -154,8 +154,8 @@ def _flt10(t, m):
 
 
 @register("fn_trim", "FN-01", oracle="""
-SELECT doc_id, LENGTH(text) AS text_chars, LENGTH(TRIM(text)) AS trimmed_chars,
-       LENGTH(TRIM('  ' || lang || '  ')) AS padded_lang_chars FROM documents
+SELECT doc_id, CAST(LENGTH(text) AS INTEGER) AS text_chars, CAST(LENGTH(TRIM(text)) AS INTEGER) AS trimmed_chars,
+       CAST(LENGTH(TRIM('  ' || lang || '  ')) AS INTEGER) AS padded_lang_chars FROM documents
 """)
 def _fn01(t, m):
     return t.documents.select("doc_id", F.length("text").alias("text_chars"),
