@@ -166,12 +166,14 @@ def generate_retail(spark: SparkSession, scale: int = 1) -> dict[str, DataFrame]
         _pick(F.col("order_item_id"), ("damaged", "wrong item", "changed mind")).alias("return_reason"),
         refund.cast("decimal(9,2)").alias("refund_amount"))
 
-    months = spark.range(0, 6).select(F.col("id").cast("int").alias("m"))
-    inv = t["stores"].select("store_id").crossJoin(F.broadcast(t["products"].select("product_id"))).crossJoin(
-        F.broadcast(months))
-    t["inventory_snapshots"] = inv.select(
-        ((F.col("store_id") - 1) * n_pr * 6 + (F.col("product_id") - 1) * 6 + F.col("m") + 1).cast("int").alias("snapshot_id"),
-        "store_id", "product_id", F.add_months(F.lit(START).cast("date"), F.col("m")).alias("snapshot_date"),
+    # store x product x month, enumerated from one range (no join): id -> (store, product, month)
+    snap = spark.range(0, n_st * n_pr * 6).select(
+        (F.col("id") + 1).cast("int").alias("snapshot_id"),
+        (F.col("id") / (n_pr * 6) + 1).cast("int").alias("store_id"),
+        ((F.col("id") / 6).cast("long") % n_pr + 1).cast("int").alias("product_id"),
+        (F.col("id") % 6).cast("int").alias("m"))
+    t["inventory_snapshots"] = snap.select(
+        "snapshot_id", "store_id", "product_id", F.add_months(F.lit(START).cast("date"), F.col("m")).alias("snapshot_date"),
         ((F.col("store_id") * 7 + F.col("product_id") * 13 + F.col("m") * 5) % 60).cast("int").alias("on_hand_quantity"),
         (F.lit(15) + (F.col("product_id") % 4) * 5).cast("int").alias("reorder_point"))
 
