@@ -101,16 +101,40 @@ def not_in_vs_anti(df: DataFrame, key: str, other: DataFrame, other_key: str) ->
     return n_in.crossJoin(n_ex)
 
 
-def range_attribute(df: DataFrame, date_col: str, periods: DataFrame, start: str = "start_date",
-                    end: str = "end_date") -> DataFrame:
-    """JN-14: attach the period whose inclusive [start, end] contains the date.
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of ``df`` (exact for literal relations); no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
 
-    ``periods`` must be a small literal relation (its size is fixed by the
-    caller), so it is broadcast and the range condition is evaluated in a
-    broadcast nested-loop join without any shuffle of ``df``.
+def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame | None:
+    """``broadcast(df)`` when its estimated size is within ``max_bytes``, else None.
+
+    The default limit is the session's ``spark.sql.autoBroadcastJoinThreshold``.
+    """
+    if max_bytes is None:
+        max_bytes = int(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b"))
+    return F.broadcast(df) if 0 <= estimated_bytes(df) <= max_bytes else None
+
+
+def range_attribute(df: DataFrame, date_col: str, periods: DataFrame, start: str = "start_date",
+                    end: str = "end_date", max_broadcast_bytes: int | None = None) -> DataFrame:
+    """JN-14: attach the period whose inclusive [start, end] contains the date (LEFT join).
+
+    A period table under the broadcast limit (checked on its size estimate)
+    is broadcast and the range condition runs in a nested-loop join with no
+    shuffle of ``df``.  A larger one is joined as a bucketed range join:
+    each period is expanded to the months it covers, both sides are
+    equi-joined on the month, and the range condition filters inside the
+    bucket - a shuffle join whose work grows with the rows, not their product.
     """
     cond = (F.col(date_col) >= F.col(start)) & (F.col(date_col) <= F.col(end))
-    return df.join(F.broadcast(periods), cond, "left")
+    small = broadcast_if_small(periods, max_broadcast_bytes)
+    if small is not None:
+        return df.join(small, cond, "left")
+    p = periods.withColumn("_bucket", F.explode(F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"),
+                                                            F.expr("INTERVAL 1 MONTH"))))
+    d = df.withColumn("_bucket", F.trunc(F.col(date_col), "MM"))
+    return d.join(p, (d["_bucket"] == p["_bucket"]) & cond, "left").drop("_bucket")
 
 
 def latest(df: DataFrame, date_col: str) -> DataFrame:

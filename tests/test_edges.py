@@ -187,3 +187,14 @@ def test_not_in_three_valued_logic(spark):
     no_null.createOrReplaceTempView("ni_b")
     sql = spark.sql("SELECT k FROM ni_a WHERE k NOT IN (SELECT k2 FROM ni_b)").collect()
     assert sorted(r.k for r in sql) == [2]
+
+
+def test_range_join_fallback_matches_broadcast(spark):
+    from shelfwise.sources.literals import promotions
+    days = spark.range(0, 3000).select(F.date_add(F.lit("1995-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
+    promos = promotions(spark)
+    small = J.range_attribute(days, "d", promos)
+    big = J.range_attribute(days, "d", promos, max_broadcast_bytes=0)  # force the bucketed path
+    cols = ["d", "promotion_id"]
+    assert sorted(small.select(*cols).collect()) == sorted(big.select(*cols).collect())
+    assert big.filter(F.col("promotion_id").isNotNull()).count() == 46 + 61 + 27 + 42 + 30
