@@ -37,7 +37,7 @@ def main() -> None:
     from shelfwise.session import local_session
 
     spark = local_session(cpus, app="shelfwise-bench",
-                          extra={"spark.sql.shuffle.partitions": str(max(8, 2 * int(cpus)))})
+                          extra={"spark.sql.shuffle.partitions": os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(int(cpus)))})
     qs = catalog.queries()
     sel = os.environ.get("BENCH_QUERIES", "")
     keys = list(qs) if sel == "all" else ([k for k in sel.split(",") if k] or list(HEADLINE))
