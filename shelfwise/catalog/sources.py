@@ -35,21 +35,14 @@ def _schema_sql() -> str:
 
 @register("declared_schema", "SRC-02", oracle=_schema_sql())
 def _src02(t, m):
-    """Every declared column with its SQL type and NULL count, read with the declared schema."""
-    out = []
+    """Every declared column with its SQL type and NULL count, read with the declared schema (one pass per table)."""
+    out = None
     for name in D.SCHEMAS:
-        desc = L.describe(t.table(name))
-        out.append(desc.select(F.lit(name).alias("table_name"), "column_name", "data_type",
-                               (F.lit(0) + F.col("non_null_count")).alias("_nn")))
-    u = out[0]
-    for d in out[1:]:
-        u = u.unionByName(d)
-    counts = None
-    for name in D.SCHEMAS:
-        c = t.table(name).agg(F.count(F.lit(1)).alias("_rows")).select(F.lit(name).alias("table_name"), "_rows")
-        counts = c if counts is None else counts.unionByName(c)
-    return (u.join(counts, "table_name")
-            .select("table_name", "column_name", "data_type", (F.col("_rows") - F.col("_nn")).alias("null_count")))
+        d = L.describe_with_rows(t.table(name)).select(
+            F.lit(name).alias("table_name"), "column_name", "data_type",
+            (F.col("row_count") - F.col("non_null_count")).alias("null_count"))
+        out = d if out is None else out.unionByName(d)
+    return out
 
 
 @register("literal_rows", "SRC-03", oracle=f"""

@@ -52,11 +52,17 @@ def describe(df: DataFrame) -> DataFrame:
 
     The counts come from one aggregate pass; the schema rows are small.
     """
+    return describe_with_rows(df).drop("row_count")
+
+
+def describe_with_rows(df: DataFrame) -> DataFrame:
+    """:func:`describe` plus the table's row count, from the same single pass."""
     fields = df.schema.fields
-    counts = df.agg(*[F.count(f.name).alias(f"_c{i}") for i, f in enumerate(fields)])
+    counts = df.agg(F.count(F.lit(1)).alias("row_count"), *[F.count(f.name).alias(f"_c{i}") for i, f in enumerate(fields)])
     parts = ", ".join(f"'{f.name}', '{sql_type_name(f.dataType)}', {str(f.nullable).lower()}, `_c{i}`"
                       for i, f in enumerate(fields))
-    return counts.selectExpr(f"stack({len(fields)}, {parts}) AS (column_name, data_type, nullable, non_null_count)")
+    return counts.selectExpr(
+        "row_count", f"stack({len(fields)}, {parts}) AS (column_name, data_type, nullable, non_null_count)")
 
 
 def export(df: DataFrame, path: str, fmt: str = "csv") -> DataFrame:
