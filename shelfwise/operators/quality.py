@@ -113,20 +113,43 @@ def write_audit_publish(spark: SparkSession, df: DataFrame, rules: Mapping[str,
 
     The corrected rows are written to ``staging_path`` (a new folder; the
     source is never overwritten while it is read), validated with one
-    aggregate over the written rows, and only then copied to
-    ``target_path``.  A failed check raises and leaves the target as it was
-    (the reference's ROLLBACK).  The only value reaching the driver is the
-    one-row check result.
+    aggregate over the written rows, and only then switched onto
+    ``target_path`` by a file-system rename (no second write of the data;
+    a copy only where the store cannot rename).  A failed check raises and
+    leaves the target as it was (the reference's ROLLBACK).  The only value
+    reaching the driver is the one-row check result.
     """
-    correct(df, rules).write.mode("overwrite").parquet(staging_path)
-    staged = spark.read.parquet(staging_path)
+    corrected = correct(df, rules)
+    corrected.write.mode("overwrite").parquet(staging_path)
+    staged = spark.read.schema(corrected.schema).parquet(staging_path)
     verdict = profile_counts(staged, checks).collect()[0].asDict()
     limits = dict(max_failures or {})
     bad = {k: v for k, v in verdict.items() if k in checks and v > limits.get(k, 0)}
     if bad:
         raise ValueError(f"write-audit-publish blocked, failing checks: {bad}")
-    staged.write.mode("overwrite").parquet(target_path)
-    return spark.read.parquet(target_path)
+    if not _switch(spark, staging_path, target_path):
+        staged.write.mode("overwrite").parquet(target_path)
+    return spark.read.schema(corrected.schema).parquet(target_path)
+
+
+def _switch(spark: SparkSession, src: str, dst: str) -> bool:
+    """Publish the validated folder by renaming it onto the target (a metadata move).
+
+    Returns False when the file system cannot rename (the caller then copies).
+    """
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        s_path, d_path = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
+        fs = s_path.getFileSystem(conf)
+        if fs.exists(d_path):
+            fs.delete(d_path, True)
+        parent = d_path.getParent()
+        if parent is not None and not fs.exists(parent):
+            fs.mkdirs(parent)
+        return bool(fs.rename(s_path, d_path))
+    except Exception:  # noqa: BLE001 - any failure falls back to copying
+        return False
 
 
 # ------------------------------------------------------------------ tests
