@@ -103,7 +103,10 @@ def not_in_vs_anti(df: DataFrame, key: str, other: DataFrame, other_key: str) ->
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of ``df`` (exact for literal relations); no job runs."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate available: treat as large (never broadcast)
+        return 1 << 62
 
 
 def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame | None:

@@ -142,8 +142,11 @@ def product_vs_own_avg(m: Model) -> DataFrame:
     rounded values rounded again, the difference from the rounded average.
     """
     pm = product_month(m).withColumn("revenue", _r2("revenue"))
-    pa = pm.groupBy("product_id").agg(_r2(F.avg("revenue")).alias("avg_monthly_revenue"))
-    out = pm.join(pa, "product_id").join(m.products.select("product_id", "product_name"), "product_id")
+    # A product has at most one row per calendar month, so a window over the
+    # product is bounded by the calendar and avoids aggregating pm twice.
+    per_product = Window.partitionBy("product_id")
+    pa = pm.withColumn("avg_monthly_revenue", _r2(F.avg("revenue").over(per_product)))
+    out = pa.join(m.products.select("product_id", "product_name"), "product_id")
     return out.select("product_id", "product_name", "sales_month", F.col("revenue").cast("double").alias("revenue"),
                       F.col("avg_monthly_revenue").cast("double").alias("avg_monthly_revenue"),
                       (F.col("revenue") - F.col("avg_monthly_revenue")).cast("double").alias("difference_from_average"))
@@ -151,9 +154,10 @@ def product_vs_own_avg(m: Model) -> DataFrame:
 
 def product_above_avg_months(m: Model) -> DataFrame:
     """RP-10: only the months in which a product beat its own (unrounded) monthly average."""
-    pm = product_month(m)
-    pa = pm.groupBy("product_id").agg(F.sum("revenue").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    out = pm.join(pa, "product_id").filter(F.col("revenue") * F.col("_n") > F.col("_s"))
+    per_product = Window.partitionBy("product_id")  # bounded: one row per calendar month
+    pm = product_month(m).withColumns({"_s": F.sum("revenue").over(per_product),
+                                       "_n": F.count(F.lit(1)).over(per_product)})
+    out = pm.filter(F.col("revenue").cast("decimal(24,8)") * F.col("_n").cast("decimal(10,0)") > F.col("_s"))
     out = out.join(m.products.select("product_id", "product_name"), "product_id")
     return out.select("product_id", "product_name", "sales_month", round_money("revenue").alias("revenue"))
 

@@ -28,7 +28,15 @@ PLAN_FACT_SCHEMA = T.StructType([
 
 def plan_text(df: DataFrame, mode: str = "formatted") -> str:
     """The physical plan as text (same as ``df.explain(mode)``)."""
-    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+    try:
+        return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), mode)
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect: capture what explain() prints
+        import contextlib
+        import io
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain(mode)
+        return buf.getvalue()
 
 
 def parse_plan(text: str) -> list[tuple[int, str, str | None, str | None]]:

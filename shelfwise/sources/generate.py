@@ -63,8 +63,12 @@ def _pick(idx: Column, values) -> Column:
     return F.element_at(arr, (idx % len(values) + 1).cast("int"))
 
 
-def generate_retail(spark: SparkSession, scale: int = 1) -> dict[str, DataFrame]:
-    """All retail tables for ``scale`` (1 = 1,800 orders, 5,400 items, 250 customers)."""
+def generate_retail(spark: SparkSession, scale: int = 1, hot_share: int = 0) -> dict[str, DataFrame]:
+    """All retail tables for ``scale`` (1 = 1,800 orders, 5,400 items, 250 customers).
+
+    ``hot_share=k`` (k >= 2) sends every k-th item to product 1, so one key
+    holds 1/k of all items - for testing skew handling.
+    """
     n_st, n_pr = BASE["stores"] * scale, BASE["products"] * scale
     n_cu, n_or = BASE["customers"] * scale, BASE["orders"] * scale
     n_it = n_or * BASE["items_per_order"]
@@ -143,7 +147,9 @@ def generate_retail(spark: SparkSession, scale: int = 1) -> dict[str, DataFrame]
     i = spark.range(1, n_it + 1).select(F.col("id").cast("int").alias("order_item_id"))
     iid = F.col("order_item_id")
     items = i.select("order_item_id", (((iid - 1) / 3).cast("int") + 1).alias("order_id"),
-                     ((iid * 7) % n_pr + 1).cast("int").alias("product_id"), (F.lit(1) + iid % 4).alias("_q"))
+                     (F.when(F.lit(hot_share >= 2) & (iid % max(hot_share, 2) == 0), F.lit(1))
+                      .otherwise((iid * 7) % n_pr + 1)).cast("int").alias("product_id"),
+                     (F.lit(1) + iid % 4).alias("_q"))
     items = items.join(t["products"].select("product_id", "product_name", "list_price"), "product_id")
     qty = (F.when(_hit(iid, "item_null_quantity"), F.lit(None)).when(_hit(iid, "item_negative_quantity"), F.lit(-1))
            .otherwise(F.col("_q"))).cast("int")
