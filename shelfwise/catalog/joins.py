@@ -7,10 +7,10 @@ from pyspark.sql import functions as F
 from shelfwise.catalog.base import register
 from shelfwise.catalog.sqlkit import REV, div_round, money
 from shelfwise.functions.metrics import money as money_col
-from shelfwise.functions.metrics import round_money, valid_item
+from shelfwise.functions.metrics import round_money
 from shelfwise.functions.exprs import in_period
 from shelfwise.operators import joins as J
-from shelfwise.operators.sales import completed_orders, valid_items
+from shelfwise.operators.sales import valid_items
 from shelfwise.sources import literals
 
 
@@ -194,9 +194,9 @@ def _jn13(t, m):
 
 @register("range_join_promotion", "JN-14", oracle=f"""
 SELECT o.o_orderkey AS order_id, CAST(o.o_orderdate AS DATE) AS order_day, p.promotion_id, p.promotion_name
-FROM orders o LEFT JOIN {literals.promotions_sql()}
+FROM orders o LEFT JOIN {literals.promotions_sql("p")}
   ON CAST(o.o_orderdate AS DATE) BETWEEN p.start_date AND p.end_date
-""".replace("AS promotions(", "AS p("))
+""")
 def _jn14(t, m):
     o = m.orders.select("order_id", F.to_date("order_date").alias("order_day"))
     promos = literals.promotions(t.spark).select("promotion_id", "promotion_name", "start_date", "end_date")

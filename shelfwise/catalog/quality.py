@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from shelfwise.catalog.base import register
-from shelfwise.catalog.sqlkit import REV, VIEW, money
+from shelfwise.catalog.sqlkit import REV, VIEW, div_round, money
+from shelfwise.functions import metrics as B
+from shelfwise.operators import quality as Q
 from shelfwise.operators import sales
+from shelfwise.operators.aggs import variants
+from shelfwise.session import scratch_dir
 
 
 @register("dq_reconcile", "DQ-27", oracle=f"""
@@ -23,13 +29,7 @@ def _dq27(t, m):
 
 
 # ------------------------------------------------------------------ profiles and tests
-from pyspark.sql import functions as F  # noqa: E402
 
-from shelfwise.catalog.sqlkit import div_round  # noqa: E402
-from shelfwise.functions import metrics as B  # noqa: E402
-from shelfwise.operators import quality as Q  # noqa: E402
-from shelfwise.operators.aggs import variants  # noqa: E402
-from shelfwise.session import scratch_dir  # noqa: E402
 
 AS_OF = "2002-01-01"
 CHECKED_AT = "2002-01-01 09:00:00"

@@ -47,9 +47,9 @@ def _src02(t, m):
 
 @register("literal_rows", "SRC-03", oracle=f"""
 SELECT s.status_label, COUNT(o.o_orderkey) AS order_count
-FROM {literals.status_labels_sql()} LEFT JOIN orders o ON o.o_orderstatus = status_labels.status_code
+FROM {literals.status_labels_sql("s")} LEFT JOIN orders o ON o.o_orderstatus = s.status_code
 GROUP BY s.status_label
-""".replace("AS status_labels(", "AS s(").replace("status_labels.status_code", "s.status_code"))
+""")
 def _src03(t, m):
     """Orders per status label, the labels being an inline VALUES relation (broadcast: fixed size)."""
     labels = literals.status_labels(t.spark)

@@ -9,18 +9,21 @@ attach dimension labels to the much smaller aggregate.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
-from shelfwise.functions.metrics import month_label, round_money
+from shelfwise.functions.exprs import band as _band
+from shelfwise.functions.exprs import in_period
+from shelfwise.functions.metrics import month_label, round_money, safe_ratio, weekday_name
+from shelfwise.operators import joins as J
+from shelfwise.operators import windows as W
 from shelfwise.operators.sales import completed_orders, sales_lines, valid_items
 from shelfwise.sources.model import Model
 
 
-def _units(col: str = "quantity"):
-    return F.sum(col).cast("bigint")
-
-
 def monthly_kpis(m: Model) -> DataFrame:
     """RP-02: month -> completed orders, units, revenue, revenue per order.
 
@@ -42,16 +45,6 @@ def monthly_kpis(m: Model) -> DataFrame:
 
 # ---------------------------------------------------------------- shared aggregates
 
-from collections.abc import Sequence  # noqa: E402
-
-from pyspark.sql import Window  # noqa: E402
-from pyspark.sql.types import DecimalType  # noqa: E402
-
-from shelfwise.functions.exprs import band as _band  # noqa: E402
-from shelfwise.functions.exprs import in_period  # noqa: E402
-from shelfwise.functions.metrics import safe_ratio, weekday_name  # noqa: E402
-from shelfwise.operators import joins as J  # noqa: E402
-from shelfwise.operators import windows as W  # noqa: E402
 
 _R2 = DecimalType(38, 2)
 

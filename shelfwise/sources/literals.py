@@ -41,10 +41,10 @@ def promotions(spark: SparkSession) -> DataFrame:
     return rows(spark, PROMOTION_SCHEMA, [(a, b, c, d, Decimal(e)) for a, b, c, d, e in PROMOTIONS])
 
 
-def promotions_sql() -> str:
+def promotions_sql(alias: str = "promotions") -> str:
     """The same promotions as a SQL VALUES list (for oracles and SQL users)."""
     vals = ", ".join(f"({a}, '{b}', DATE '{c}', DATE '{d}', CAST({e} AS DECIMAL(5,2)))" for a, b, c, d, e in PROMOTIONS)
-    return f"(VALUES {vals}) AS promotions(promotion_id, promotion_name, start_date, end_date, discount_pct)"
+    return f"(VALUES {vals}) AS {alias}(promotion_id, promotion_name, start_date, end_date, discount_pct)"
 
 
 STATUS_SCHEMA = T.StructType([
@@ -60,6 +60,6 @@ def status_labels(spark: SparkSession) -> DataFrame:
     return rows(spark, STATUS_SCHEMA, STATUS_LABELS)
 
 
-def status_labels_sql() -> str:
+def status_labels_sql(alias: str = "status_labels") -> str:
     vals = ", ".join(f"('{a}', '{b}')" for a, b in STATUS_LABELS)
-    return f"(VALUES {vals}) AS status_labels(status_code, status_label)"
+    return f"(VALUES {vals}) AS {alias}(status_code, status_label)"
