@@ -36,8 +36,11 @@ def main() -> None:
     from shelfwise import catalog
     from shelfwise.session import local_session
 
-    spark = local_session(cpus, app="shelfwise-bench",
-                          extra={"spark.sql.shuffle.partitions": os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(int(cpus)))})
+    extra = {"spark.sql.shuffle.partitions": os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(int(cpus)))}
+    for kv in filter(None, os.environ.get("BENCH_CONF", "").split(",")):
+        k, v = kv.split("=", 1)
+        extra[k.strip()] = v.strip()
+    spark = local_session(cpus, app="shelfwise-bench", extra=extra)
     qs = catalog.queries()
     sel = os.environ.get("BENCH_QUERIES", "")
     keys = list(qs) if sel == "all" else ([k for k in sel.split(",") if k] or list(HEADLINE))

@@ -9,7 +9,7 @@ from shelfwise.catalog.frames import CUSTOMER_SPEND_SQL, customer_spend, store_m
 from shelfwise.catalog.sqlkit import REV, VIEW, div_round, money
 from shelfwise.functions.exprs import band
 from shelfwise.functions.metrics import money as money_col
-from shelfwise.functions.metrics import month_label, round_money
+from shelfwise.functions.metrics import above_mean, mean_half_up, month_label, ratio_half_up, round_money
 from shelfwise.operators import aggs as A
 from shelfwise.operators.sales import sales_lines, valid_sales_view
 
@@ -31,7 +31,7 @@ def _ag01(t, m):
     return (sales_lines(m).agg(F.count(F.lit(1)).alias("item_rows"), F.count_distinct("order_id").alias("completed_orders"),
                                F.sum("quantity").cast("bigint").alias("units_sold"), F.sum("gross_revenue").alias("_r"))
             .select("item_rows", "completed_orders", "units_sold", round_money("_r").alias("gross_revenue"),
-                    round_money(F.col("_r") / F.col("item_rows")).alias("avg_line_revenue")))
+                    ratio_half_up("_r", "item_rows", 2).alias("avg_line_revenue")))
 
 
 @register("agg_count_family", "AG-02", oracle="""
@@ -84,7 +84,7 @@ def _ag06(t, m):
     return (m.orders.filter(F.col("channel") == "1-URGENT")
             .agg(F.count(F.lit(1)).alias("order_count"), F.sum(money_col("order_total")).alias("_s"))
             .select("order_count", round_money("_s").alias("total_value"),
-                    round_money(F.col("_s") / F.col("order_count")).alias("avg_value")))
+                    ratio_half_up("_s", "order_count", 2).alias("avg_value")))
 
 
 def _flag_kpis(df, by):
@@ -167,7 +167,7 @@ FROM per_customer GROUP BY channel
 """)
 def _ag14(t, m):
     out = A.avg_of_sums(sales_lines(m), ["customer_id"], "gross_revenue", outer=["channel"])
-    return out.select("channel", round_money("avg_group_total").alias("avg_customer_revenue"),
+    return out.select("channel", mean_half_up("sum_of_group_totals", "groups").alias("avg_customer_revenue"),
                       F.col("groups").alias("customers"))
 
 
@@ -181,7 +181,7 @@ def _ag15(t, m):
     g = sales_lines(m).groupBy("channel").agg(F.count_distinct("order_id").alias("completed_orders"),
                                              F.sum("gross_revenue").alias("_r"))
     return g.select("channel", "completed_orders",
-                    round_money(F.col("_r") / F.nullif(F.col("completed_orders"), F.lit(0))).alias("revenue_per_order"))
+                    ratio_half_up("_r", "completed_orders", 2).alias("revenue_per_order"))
 
 
 @register("agg_regroup_coarser", "AG-16", oracle=f"""
@@ -253,8 +253,8 @@ FROM supplier CROSS JOIN b
 def _sv02(t, m):
     from shelfwise.operators.joins import attach_scalar
     s = t.supplier.select(F.col("s_suppkey").alias("store_id"), F.col("s_acctbal").alias("balance"))
-    bench = s.agg(F.avg(money_col("balance")).alias("_avg"))
-    return attach_scalar(s, bench).select("store_id", "balance", round_money("_avg").alias("avg_balance"))
+    bench = s.agg(F.sum(money_col("balance")).alias("_s"), F.count("balance").alias("_n"))
+    return attach_scalar(s, bench).select("store_id", "balance", mean_half_up("_s", "_n").alias("avg_balance"))
 
 
 @register("sub_correlated_scalar", "SV-03", oracle="""
@@ -287,8 +287,8 @@ WHERE sm.revenue * a.n > a.s
 """)
 def _sv05(t, m):
     sm = store_month(m)
-    store_avg = sm.groupBy("store_id").agg(F.avg("revenue").alias("avg_rev"))
-    above = sm.join(store_avg, "store_id").filter(F.col("revenue") > F.col("avg_rev"))
+    store_avg = sm.groupBy("store_id").agg(F.sum("revenue").alias("_s"), F.count("revenue").alias("_n"))
+    above = sm.join(store_avg, "store_id").filter(above_mean("revenue", "_s", "_n"))
     return above.select("store_id", "sales_month", round_money("revenue").alias("revenue"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfwise.catalog.base import register
 from shelfwise.catalog.sqlkit import REV, div_round, money
 from shelfwise.functions.metrics import money as money_col
-from shelfwise.functions.metrics import round_money
+from shelfwise.functions.metrics import diff_from_mean_half_up, mean_half_up, round_money
 from shelfwise.functions.exprs import in_period
 from shelfwise.operators import joins as J
 from shelfwise.operators.sales import valid_items
@@ -100,10 +100,10 @@ SELECT o.o_orderkey AS order_id, o.o_totalprice AS order_total,
 FROM orders o CROSS JOIN b
 """)
 def _jn06(t, m):
-    bench = m.orders.agg(F.avg(money_col("order_total")).alias("_avg"))
+    bench = m.orders.agg(F.sum(money_col("order_total")).alias("_s"), F.count("order_total").alias("_n"))
     out = J.attach_scalar(m.orders.select("order_id", "order_total"), bench, "order benchmark")
-    return out.select("order_id", "order_total", round_money("_avg").alias("avg_order_total"),
-                      round_money(money_col("order_total") - F.col("_avg")).alias("diff_from_avg"))
+    return out.select("order_id", "order_total", mean_half_up("_s", "_n").alias("avg_order_total"),
+                      diff_from_mean_half_up(money_col("order_total"), "_s", "_n").alias("diff_from_avg"))
 
 
 @register("semi_in", "JN-07", oracle="""

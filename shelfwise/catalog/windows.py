@@ -191,8 +191,7 @@ def _wn15(t, m):
     j = customer_spend(m).join(m.customers.select("customer_id", "segment"), "customer_id")
     d = W.vs_peers(j, "total_spend", ["segment"])
     return d.select("customer_id", "segment", round_money("total_spend").alias("total_spend"),
-                    round_money("peer_average").alias("peer_average"),
-                    round_money("difference_from_peers").alias("difference_from_peers"))
+                    "peer_average", "difference_from_peers")
 
 
 @register("win_pct_of_total", "WN-16", oracle=f"""

@@ -50,13 +50,58 @@ def round_money(x, digits: int = 2) -> Column:
     return F.round(_c(x), digits).cast("double")
 
 
+# Exact operands for ratios: money sums (8 decimals) up to 1e22.
+WIDE = DecimalType(30, 8)
+
+
+def _dec_lit(v: int) -> Column:
+    return F.lit(v).cast(DecimalType(max(1, len(str(abs(v)))), 0))
+
+
+def ratio_half_up(num, den, digits: int, scale: int = 1) -> Column:
+    """ROUND(scale x num / den, digits), half away from zero, computed exactly; DOUBLE.
+
+    Spark's decimal division keeps only 6 decimals once its operands are
+    wide, so rounding its quotient again can move a value that lies just
+    below a half-way point (0.18499999.. -> 0.185 -> 0.19).  Here the
+    rounding is done on integers: q = (2|n| 10^d + |m|) div 2|m|, with the
+    exact integral ``div``; NULL when ``den`` is 0 or NULL (T5).
+    """
+    n = _c(num).cast(WIDE) * _dec_lit(scale) if scale != 1 else _c(num).cast(WIDE)
+    m = _c(den).cast(WIDE)
+    a = F.abs(n) * _dec_lit(2 * 10 ** digits) + F.abs(m)
+    b = F.abs(m) * _dec_lit(2)
+    q = F.call_function("div", a, b)
+    signed = F.when((n < 0) != (m < 0), -q).otherwise(q)
+    return F.when(m != 0, signed.cast("double") / float(10 ** digits))
+
+
 def safe_ratio(num, den, digits: int | None = None, scale: int = 1) -> Column:
-    """scale x num / NULLIF(den, 0), optionally rounded (T5: x/0 is NULL)."""
-    n = _c(num).cast(DecimalType(38, 10)) * F.lit(scale)
-    r = n / F.nullif(_c(den).cast(DecimalType(38, 10)), F.lit(0))
+    """scale x num / NULLIF(den, 0), rounded exactly when ``digits`` is given (T5: x/0 is NULL)."""
     if digits is not None:
-        r = F.round(r, digits)
-    return r.cast("double")
+        return ratio_half_up(num, den, digits, scale)
+    n = _c(num).cast(WIDE) * _dec_lit(scale)
+    return (n / F.nullif(_c(den).cast(WIDE), F.lit(0))).cast("double")
+
+
+def times_count(x, count) -> Column:
+    """``x * count`` exactly (x up to 1e12 with 8 decimals, count up to 1e12)."""
+    return _c(x).cast(DecimalType(20, 8)) * _c(count).cast(DecimalType(12, 0))
+
+
+def above_mean(x, total, count) -> Column:
+    """``x > total / count`` decided exactly as ``x * count > total`` (count > 0)."""
+    return times_count(x, count) > _c(total).cast(WIDE)
+
+
+def mean_half_up(total, count, digits: int = 2) -> Column:
+    """ROUND(total / count, digits) exactly (an average from its sum and count)."""
+    return ratio_half_up(total, count, digits)
+
+
+def diff_from_mean_half_up(x, total, count, digits: int = 2) -> Column:
+    """ROUND(x - total / count, digits) exactly, as (x * count - total) / count."""
+    return ratio_half_up(times_count(x, count) - _c(total).cast(WIDE), count, digits)
 
 
 def month_label(ts) -> Column:

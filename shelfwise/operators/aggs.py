@@ -12,6 +12,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.functions.metrics import above_mean
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -60,9 +62,12 @@ def variants(df: DataFrame, raw: str, key: Column | None = None, min_variants: i
 
 
 def avg_of_sums(df: DataFrame, group: Sequence[str], measure: str, outer: Sequence[str] = ()) -> DataFrame:
-    """AG-14: average of per-group sums (two aggregates; the inner one is partial)."""
+    """AG-14: the sum and number of per-group sums, from which their average is taken exactly.
+
+    Two aggregates; the inner one is partial per task.
+    """
     inner = df.groupBy(*outer, *group).agg(F.sum(measure).alias("_group_total"))
-    return inner.groupBy(*outer).agg(F.avg("_group_total").alias("avg_group_total"),
+    return inner.groupBy(*outer).agg(F.sum("_group_total").alias("sum_of_group_totals"),
                                      F.count(F.lit(1)).alias("groups"))
 
 
@@ -91,8 +96,8 @@ def above_avg(df: DataFrame, col: str) -> DataFrame:
 
     The average is a one-row aggregate, broadcast to the filter.
     """
-    bench = df.agg(F.avg(col).alias("_bench"))
-    return df.crossJoin(F.broadcast(bench)).filter(F.col(col) > F.col("_bench")).drop("_bench")
+    bench = df.agg(F.sum(col).alias("_s"), F.count(col).alias("_n"))
+    return df.crossJoin(F.broadcast(bench)).filter(above_mean(col, "_s", "_n")).drop("_s", "_n")
 
 
 def above_group_avg(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
@@ -102,5 +107,5 @@ def above_group_avg(df: DataFrame, col: str, by: Sequence[str]) -> DataFrame:
     aggregate is partial per task and the join splits a hot key under AQE
     (no window that would put a whole hot group in one task).
     """
-    g = df.groupBy(*by).agg(F.avg(col).alias("_group_avg"))
-    return df.join(g, list(by)).filter(F.col(col) > F.col("_group_avg"))
+    g = df.groupBy(*by).agg(F.sum(col).alias("_gs"), F.count(col).alias("_gn"))
+    return df.join(g, list(by)).filter(above_mean(col, "_gs", "_gn")).drop("_gs", "_gn")

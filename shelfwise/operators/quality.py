@@ -251,6 +251,8 @@ def freshness(df: DataFrame, col: str, as_of) -> DataFrame:
 
 def distribution(df: DataFrame, by: str, col: str, digits: int = 3) -> DataFrame:
     """DQ-29: count/min/max/avg of ``col`` per ``by`` (avg exact, rounded once)."""
-    return df.groupBy(by).agg(F.count(F.lit(1)).alias("row_count"), F.min(col).alias("min_value"),
-                              F.max(col).alias("max_value"),
-                              F.round(F.avg(F.col(col).cast("decimal(18,4)")), digits).cast("double").alias("avg_value"))
+    from shelfwise.functions.metrics import mean_half_up
+    g = df.groupBy(by).agg(F.count(F.lit(1)).alias("row_count"), F.min(col).alias("min_value"),
+                           F.max(col).alias("max_value"), F.sum(F.col(col).cast("decimal(18,4)")).alias("_s"),
+                           F.count(col).alias("_n"))
+    return g.withColumn("avg_value", mean_half_up("_s", "_n", digits)).drop("_s", "_n")

@@ -17,7 +17,8 @@ from pyspark.sql.types import DecimalType
 
 from shelfwise.functions.exprs import band as _band
 from shelfwise.functions.exprs import in_period
-from shelfwise.functions.metrics import month_label, round_money, safe_ratio, weekday_name
+from shelfwise.functions.metrics import (above_mean, diff_from_mean_half_up, mean_half_up, month_label,
+                                        ratio_half_up, round_money, safe_ratio, weekday_name)
 from shelfwise.operators import joins as J
 from shelfwise.operators import windows as W
 from shelfwise.operators.sales import completed_orders, sales_lines, valid_items
@@ -40,7 +41,7 @@ def monthly_kpis(m: Model) -> DataFrame:
                  F.sum("revenue").alias("_rev"))
             .select("sales_month", "completed_orders", "units_sold",
                     round_money("_rev").alias("gross_revenue"),
-                    round_money(F.col("_rev") / F.col("completed_orders")).alias("revenue_per_order")))
+                    ratio_half_up("_rev", "completed_orders", 2).alias("revenue_per_order")))
 
 
 # ---------------------------------------------------------------- shared aggregates
@@ -138,7 +139,8 @@ def product_vs_own_avg(m: Model) -> DataFrame:
     # A product has at most one row per calendar month, so a window over the
     # product is bounded by the calendar and avoids aggregating pm twice.
     per_product = Window.partitionBy("product_id")
-    pa = pm.withColumn("avg_monthly_revenue", _r2(F.avg("revenue").over(per_product)))
+    avg = mean_half_up(F.sum("revenue").over(per_product), F.count("revenue").over(per_product), 2)
+    pa = pm.withColumn("avg_monthly_revenue", avg.cast(_R2))
     out = pa.join(m.products.select("product_id", "product_name"), "product_id")
     return out.select("product_id", "product_name", "sales_month", F.col("revenue").cast("double").alias("revenue"),
                       F.col("avg_monthly_revenue").cast("double").alias("avg_monthly_revenue"),
@@ -150,7 +152,7 @@ def product_above_avg_months(m: Model) -> DataFrame:
     per_product = Window.partitionBy("product_id")  # bounded: one row per calendar month
     pm = product_month(m).withColumns({"_s": F.sum("revenue").over(per_product),
                                        "_n": F.count(F.lit(1)).over(per_product)})
-    out = pm.filter(F.col("revenue").cast("decimal(24,8)") * F.col("_n").cast("decimal(10,0)") > F.col("_s"))
+    out = pm.filter(above_mean("revenue", "_s", "_n"))
     out = out.join(m.products.select("product_id", "product_name"), "product_id")
     return out.select("product_id", "product_name", "sales_month", round_money("revenue").alias("revenue"))
 
@@ -198,20 +200,19 @@ def store_vs_region(m: Model) -> DataFrame:
     """RP-15: store-month revenue vs the average of the region's stores that month."""
     sm = store_month_totals(m).select("store_id", "sales_month", _r2("revenue").alias("revenue"))
     sm = sm.join(m.stores.select("store_id", "store_name", "region_name"), "store_id")
-    d = W.vs_peers(sm, "revenue", ["region_name", "sales_month"], "_avg", "_diff")
+    d = W.vs_peers(sm, "revenue", ["region_name", "sales_month"], "region_store_average",
+                   "difference_from_region_average")
     return d.select("region_name", "store_name", "sales_month", F.col("revenue").cast("double").alias("revenue"),
-                    round_money("_avg").alias("region_store_average"),
-                    round_money("_diff").alias("difference_from_region_average"))
+                    "region_store_average", "difference_from_region_average")
 
 
 def store_vs_company(m: Model) -> DataFrame:
     """RP-16: store-month revenue vs the company's average store that month."""
     sm = store_month_totals(m).select("store_id", "sales_month", "revenue")
-    d = W.vs_peers(sm, "revenue", ["sales_month"], "_avg", "_diff")
+    d = W.vs_peers(sm, "revenue", ["sales_month"], "company_store_average", "difference_from_average")
     d = d.join(m.stores.select("store_id", "store_name"), "store_id")
     return d.select("store_name", F.col("sales_month").alias("order_month"), round_money("revenue").alias("revenue"),
-                    round_money("_avg").alias("company_store_average"),
-                    round_money("_diff").alias("difference_from_average"))
+                    "company_store_average", "difference_from_average")
 
 
 # ---------------------------------------------------------------- RP-17..RP-22
@@ -349,12 +350,12 @@ def catalog_coverage(m: Model, start: str, end: str) -> DataFrame:
 def above_benchmark_products(m: Model) -> DataFrame:
     """RP-26: products whose revenue beats the average product revenue, and by how much."""
     p = product_totals(m).select("product_id", "revenue")
-    bench = p.agg(F.avg("revenue").alias("_avg"))
-    out = J.attach_scalar(p, bench, "average product revenue").filter(F.col("revenue") > F.col("_avg"))
+    bench = p.agg(F.sum("revenue").alias("_s"), F.count("revenue").alias("_n"))
+    out = J.attach_scalar(p, bench, "average product revenue").filter(above_mean("revenue", "_s", "_n"))
     out = out.join(m.products.select("product_id", "product_name"), "product_id")
     return out.select("product_id", "product_name", round_money("revenue").alias("revenue"),
-                      round_money("_avg").alias("avg_product_revenue"),
-                      round_money(F.col("revenue") - F.col("_avg")).alias("above_by"))
+                      mean_half_up("_s", "_n").alias("avg_product_revenue"),
+                      diff_from_mean_half_up("revenue", "_s", "_n").alias("above_by"))
 
 
 def daily_sales(m: Model) -> DataFrame:
@@ -364,10 +365,11 @@ def daily_sales(m: Model) -> DataFrame:
 def days_above_average(m: Model) -> DataFrame:
     """RP-27: days whose revenue beats the average daily revenue."""
     d = daily_sales(m)
-    out = J.attach_scalar(d, d.agg(F.avg("revenue").alias("_avg")), "average day").filter(F.col("revenue") > F.col("_avg"))
+    bench = d.agg(F.sum("revenue").alias("_s"), F.count("revenue").alias("_n"))
+    out = J.attach_scalar(d, bench, "average day").filter(above_mean("revenue", "_s", "_n"))
     return out.select("order_date", round_money("revenue").alias("revenue"),
-                      round_money("_avg").alias("avg_daily_revenue"),
-                      round_money(F.col("revenue") - F.col("_avg")).alias("above_by"))
+                      mean_half_up("_s", "_n").alias("avg_daily_revenue"),
+                      diff_from_mean_half_up("revenue", "_s", "_n").alias("above_by"))
 
 
 def product_category_share(m: Model) -> DataFrame:

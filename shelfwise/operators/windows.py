@@ -27,6 +27,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shelfwise.functions.metrics import diff_from_mean_half_up, mean_half_up, ratio_half_up
 from shelfwise.session import ensure_checkpoint_dir
 
 
@@ -60,8 +61,7 @@ def with_group_total(df: DataFrame, measure: str, by: Sequence[str], out: str =
 def share(df: DataFrame, measure: str, out: str = "pct_of_total", digits: int = 2) -> DataFrame:
     """WN-16: ``100 * x / SUM(x) OVER ()`` with a broadcast total."""
     t = with_total(df, measure, "_total")
-    pct = F.round(F.col(measure) * 100 / F.nullif(F.col("_total"), F.lit(0)), digits)
-    return t.withColumn(out, pct.cast("double")).drop("_total")
+    return t.withColumn(out, ratio_half_up(measure, "_total", digits, scale=100)).drop("_total")
 
 
 # ------------------------------------------------------------------ scans
@@ -171,8 +171,7 @@ def pct_change(df: DataFrame, measure: str, order: Sequence, by: Sequence[str] =
                out: str = "pct_change", digits: int = 1) -> DataFrame:
     """WN-13: ``ROUND(100 * (x - prev) / NULLIF(prev, 0), 1)``; first row NULL."""
     d = lagged(df, measure, order, by, out=prior)
-    pct = F.round((F.col(measure) - F.col(prior)) * 100 / F.nullif(F.col(prior), F.lit(0)), digits)
-    return d.withColumn(out, pct)
+    return d.withColumn(out, ratio_half_up(F.col(measure) - F.col(prior), prior, digits, scale=100))
 
 
 def moving_avg(df: DataFrame, measure: str, order: Sequence, k: int = 3, by: Sequence[str] = (),
@@ -184,10 +183,16 @@ def moving_avg(df: DataFrame, measure: str, order: Sequence, k: int = 3, by: Seq
 
 
 def vs_peers(df: DataFrame, measure: str, by: Sequence[str], avg_out: str = "peer_average",
-             diff_out: str = "difference_from_peers") -> DataFrame:
-    """WN-15: AVG over the peer group and the difference from it (aggregate + join)."""
-    g = with_group_total(df, measure, by, "_peer", F.avg)
-    return g.withColumn(avg_out, F.col("_peer")).withColumn(diff_out, F.col(measure) - F.col("_peer")).drop("_peer")
+             diff_out: str = "difference_from_peers", digits: int = 2) -> DataFrame:
+    """WN-15: AVG over the peer group and the difference from it, both rounded.
+
+    The group's sum and count come from an aggregate joined back (skew-safe);
+    the average and the difference are rounded exactly from them.
+    """
+    g = df.groupBy(*by).agg(F.sum(measure).alias("_ps"), F.count(measure).alias("_pn"))
+    out = df.join(g, list(by))
+    return (out.withColumn(avg_out, mean_half_up("_ps", "_pn", digits))
+            .withColumn(diff_out, diff_from_mean_half_up(measure, "_ps", "_pn", digits)).drop("_ps", "_pn"))
 
 
 # ------------------------------------------------------------------ sorts

@@ -198,3 +198,24 @@ def test_range_join_fallback_matches_broadcast(spark):
     cols = ["d", "promotion_id"]
     assert sorted(small.select(*cols).collect()) == sorted(big.select(*cols).collect())
     assert big.filter(F.col("promotion_id").isNotNull()).count() == 46 + 61 + 27 + 42 + 30
+
+
+def test_ratio_half_up_is_exact(spark):
+    """Rounded ratios equal exact rational rounding, including values just below a half-way point."""
+    import random
+    from fractions import Fraction
+
+    random.seed(7)
+    rows = [(Decimal(random.randint(-10 ** 9, 10 ** 9)) / 10 ** 4,
+             Decimal(random.choice([1, -1]) * random.randint(1, 10 ** 6)) / 10 ** 4) for _ in range(2000)]
+    rows += [(Decimal("1.2345"), Decimal("0")), (Decimal("0.185"), Decimal("1")), (Decimal("-0.185"), Decimal("1")),
+             (Decimal("703529.7399"), Decimal("380286852.0001"))]
+    df = spark.createDataFrame(rows, "n decimal(28,8), d decimal(28,8)")
+    got = [r[0] for r in df.select(B.ratio_half_up("n", "d", 2, scale=100)).collect()]
+    for (n, d), g in zip(rows, got):
+        if d == 0:
+            assert g is None
+            continue
+        fr = Fraction(n) * 100 / Fraction(d)
+        q = (2 * abs(fr) * 100 + 1) // 2
+        assert g == (-1 if fr < 0 else 1) * int(q) / 100
