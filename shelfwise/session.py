@@ -22,6 +22,8 @@ LOCAL_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoints of the distributed scans are dropped once their DataFrame is garbage
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
