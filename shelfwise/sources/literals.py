@@ -13,9 +13,36 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
+def _sql_literal(v, dt: T.DataType) -> str:
+    if v is None:
+        return f"CAST(NULL AS {dt.simpleString()})"
+    if isinstance(dt, T.StringType):
+        return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(dt, T.DateType):
+        return f"DATE '{v.isoformat()}'"
+    if isinstance(dt, (T.TimestampNTZType, T.TimestampType)):
+        kind = "TIMESTAMP_NTZ" if isinstance(dt, T.TimestampNTZType) else "TIMESTAMP"
+        return f"{kind} '{v.isoformat(sep=' ')}'"
+    if isinstance(dt, T.BooleanType):
+        return "TRUE" if v else "FALSE"
+    return f"CAST('{v}' AS {dt.simpleString()})"
+
+
 def rows(spark: SparkSession, schema: T.StructType, tuples: Iterable[Sequence]) -> DataFrame:
-    """A DataFrame from literal tuples with a declared schema (never inferred)."""
-    return spark.createDataFrame(list(tuples), schema=schema)
+    """A DataFrame from literal tuples with a declared schema (never inferred).
+
+    Built as a SQL ``VALUES`` relation, so the plan holds the rows as a local
+    relation with an exact size estimate: the planner (and
+    :func:`shelfwise.operators.joins.broadcast_if_small`) can see it is small.
+    """
+    data = list(tuples)
+    if not data:
+        return spark.createDataFrame([], schema=schema)
+    fields = schema.fields
+    values = ", ".join("(" + ", ".join(_sql_literal(v, f.dataType) for v, f in zip(row, fields)) + ")" for row in data)
+    cols = ", ".join(f"_c{i}" for i in range(len(fields)))
+    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({cols})")
+    return df.select(*[df[f"_c{i}"].cast(f.dataType).alias(f.name) for i, f in enumerate(fields)])
 
 
 PROMOTION_SCHEMA = T.StructType([

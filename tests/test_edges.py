@@ -219,3 +219,15 @@ def test_ratio_half_up_is_exact(spark):
         fr = Fraction(n) * 100 / Fraction(d)
         q = (2 * abs(fr) * 100 + 1) // 2
         assert g == (-1 if fr < 0 else 1) * int(q) / 100
+
+
+def test_literal_rows_keep_values_and_are_small(spark):
+    from pyspark.sql import types as T
+    from shelfwise.sources.literals import promotions, rows
+    schema = T.StructType([T.StructField("s", T.StringType()), T.StructField("d", T.DateType()),
+                           T.StructField("x", T.DecimalType(9, 2)), T.StructField("b", T.BooleanType())])
+    data = [("O'Brien \\ co", dt.date(2026, 1, 2), Decimal("-2.50"), True), (None, None, None, None)]
+    df = rows(spark, schema, data)
+    assert df.schema.fieldNames() == ["s", "d", "x", "b"] and [f.dataType for f in df.schema] == [f.dataType for f in schema]
+    assert [tuple(r) for r in df.collect()] == data
+    assert J.broadcast_if_small(promotions(spark)) is not None

@@ -57,3 +57,23 @@ def test_plan_facts_frame(spark):
 def test_same_result_check(spark):
     r = _q(spark, "pf_same_result").collect()[0]
     assert r.same_rows and r.only_in_a == 0 and r.only_in_b == 0
+
+
+# Nested-loop joins are allowed only where one side is bounded by construction:
+# a one-row aggregate (benchmark, boundary, total, NULL guard) or a literal relation.
+BOUNDED_NESTED_LOOPS = {
+    "anti_recency_range", "dq_reconcile", "join_cross_benchmark", "not_in_null_trap", "pf_same_result",
+    "rp_above_benchmark_products", "rp_days_above_average", "rp_inactive_customers", "sub_scalar_filter",
+    "sub_scalar_select", "win_pct_of_total", "win_total", "range_join_promotion",
+}
+
+
+def test_no_cartesian_products_and_only_bounded_nested_loops(spark):
+    offenders = []
+    for key, build in sorted(catalog.queries().items()):
+        tree = P.plan_text(build(spark, SF)).split("\n\n")[0]
+        if "CartesianProduct" in tree:
+            offenders.append((key, "CartesianProduct"))
+        if "BroadcastNestedLoopJoin" in tree and key not in BOUNDED_NESTED_LOOPS:
+            offenders.append((key, "BroadcastNestedLoopJoin"))
+    assert offenders == []
