@@ -131,11 +131,8 @@ SELECT MIN(doc_id) AS first_doc_id, COUNT(*) AS duplicate_count, MAX(n_chars) AS
 FROM documents GROUP BY TRIM(text) HAVING COUNT(*) > 1
 """)
 def _dq07(t, m):
-    d = t.documents
-    g = (d.groupBy(F.trim("text").alias("_k"))
-         .agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("duplicate_count"),
-              F.max("n_chars").alias("n_chars")))
-    return g.filter(F.col("duplicate_count") > 1).drop("_k")
+    return Q.exact_duplicates(t.documents, F.trim("text"),
+                              [F.min("doc_id").alias("first_doc_id"), F.max("n_chars").alias("n_chars")])
 
 
 def _words(t):

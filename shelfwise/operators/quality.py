@@ -51,6 +51,23 @@ def duplicates(df: DataFrame, key: Column, name: str = "normalized_value", min_c
             .filter(F.col("duplicate_count") >= min_count))
 
 
+def exact_duplicates(df: DataFrame, key: Column, aggs: Sequence[Column], min_count: int = 2) -> DataFrame:
+    """DQ-07 for long keys (whole texts): groups of rows whose ``key`` is identical.
+
+    Phase 1 groups only a 64-bit hash and the key length, so the shuffle
+    carries 12 bytes per row instead of the text, and finds candidate
+    groups.  Phase 2 keeps the rows of candidate groups (a semi join against
+    a usually small set) and groups those by the full key, so the result is
+    exact - a hash collision can only add a candidate, never merge texts.
+    """
+    keyed = df.withColumns({"_k": key, "_h": F.xxhash64(key), "_len": F.length(key)})
+    cand = (keyed.groupBy("_h", "_len").agg(F.count(F.lit(1)).alias("_n"))
+            .filter(F.col("_n") >= min_count).select("_h", "_len"))
+    dup = keyed.join(cand, ["_h", "_len"], "left_semi")
+    out = dup.groupBy("_k").agg(F.count(F.lit(1)).alias("duplicate_count"), *aggs)
+    return out.filter(F.col("duplicate_count") >= min_count).drop("_k")
+
+
 def label_failures(rules: Sequence[tuple[str, Column]], valid_label: str = "Valid") -> Column:
     """DQ-09: the first failing rule's label (in list order), else ``valid_label``."""
     out = None

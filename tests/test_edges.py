@@ -231,3 +231,10 @@ def test_literal_rows_keep_values_and_are_small(spark):
     assert df.schema.fieldNames() == ["s", "d", "x", "b"] and [f.dataType for f in df.schema] == [f.dataType for f in schema]
     assert [tuple(r) for r in df.collect()] == data
     assert J.broadcast_if_small(promotions(spark)) is not None
+
+
+def test_exact_duplicates_two_phase(spark):
+    df = spark.createDataFrame([(1, "same text"), (2, "same text "), (3, "other"), (4, "same text"), (5, "x")],
+                               "id int, t string")
+    got = Q.exact_duplicates(df, F.trim("t"), [F.min("id").alias("first_id")]).collect()
+    assert [(r.first_id, r.duplicate_count) for r in got] == [(1, 3)]
