@@ -278,9 +278,9 @@ def inventory_risk(m: Model, snapshots: DataFrame | None = None) -> DataFrame:
                       "reorder_point", (F.col("on_hand_quantity") - F.col("reorder_point")).alias("quantity_gap"))
 
 
-def inventory_priority(m: Model) -> DataFrame:
+def inventory_priority(m: Model, snapshots: DataFrame | None = None) -> DataFrame:
     """RP-20: inventory risk rows with the product's revenue rank (1 = best seller)."""
-    risk = inventory_risk(m)
+    risk = inventory_risk(m, snapshots)
     ranked = W.dist_ranks(product_totals(m).select("product_id", "revenue"), "revenue",
                           rank_out="product_revenue_rank", dense_out="_dense")
     out = risk.join(ranked.select("product_id", "product_revenue_rank"), "product_id", "left")
