@@ -10,6 +10,16 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm import quality
+    from shelfwise.llm.sampling import held_out
+
+    docs, labels = _documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")
+    model = quality.fit(docs, labels, lambda key: ~held_out(key, 5))
+    out = quality.score(docs, model, carry=["doc_id"], name="score")
+    return out.select("doc_id", held_out(F.col("doc_id"), 5).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.substring import remove_repeated_windows
 
@@ -25,6 +35,16 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return power_of_two_pieces(_documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), seq_len=2048, end_id=1)
 
 
-QUERIES = {f.__name__: f for f in (op6_substring_dedup, op9_packing)}
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm import langid
+    from shelfwise.llm.sampling import held_out
+
+    docs = _documents(spark, sf_dir)
+    model = langid.fit(docs, ~held_out(docs["doc_id"], 5))
+    out = langid.predict(docs, model, carry=["doc_id"], score_name="score")
+    return out.select("doc_id", held_out(F.col("doc_id"), 5).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES = {f.__name__: f for f in (op5_quality, op6_substring_dedup, op9_packing, op10_language_id)}
 
 ORACLES: dict[str, str] = {}
