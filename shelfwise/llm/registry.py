@@ -10,6 +10,13 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.jaccard import link_documents
+
+    out = link_documents(_documents(spark, sf_dir), k=4, num=85, den=100, carry=["doc_id"])
+    return out.select("doc_id", "n_shingles", "component_id", "n_links")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm import quality
     from shelfwise.llm.sampling import held_out
@@ -45,6 +52,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 5).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op5_quality, op6_substring_dedup, op9_packing, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op3_jaccard_join, op5_quality, op6_substring_dedup, op9_packing, op10_language_id)}
 
 ORACLES: dict[str, str] = {}
