@@ -32,3 +32,24 @@ def blocked(docs: DataFrame, text_col: str, carry: list[str] | None = None, bloc
     n = max(1, -(-text_bytes(docs, text_col) // block_bytes))
     out = docs.select(F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("txt"), row_struct(docs, text_col, carry).alias("row"))
     return out.select(F.pmod(F.xxhash64("txt", "row"), F.lit(n)).cast("int").alias("blk"), "txt", "row")
+
+
+def whole_groups(batches, column: str, rows: int = 40_000):
+    """Arrow tables of about ``rows`` rows out of batches sorted by ``column``; no value is split between two tables."""
+    import pyarrow as pa
+
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        held.append(batch)
+        if sum(b.num_rows for b in held) < rows:
+            continue
+        table = pa.Table.from_batches(held)
+        keys = table.column(column).to_numpy()
+        cut = int((keys != keys[-1]).nonzero()[0][-1]) + 1 if (keys != keys[-1]).any() else 0
+        if cut:
+            yield table.slice(0, cut)
+            held = table.slice(cut).to_batches()
+    if held:
+        yield pa.Table.from_batches(held)

@@ -34,6 +34,13 @@ def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.suffix import remove_repeated_bytes
+
+    out = remove_repeated_bytes(_documents(spark, sf_dir), window=400, carry=["doc_id"])
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -52,6 +59,6 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 5).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join, op5_quality, op6_substring_dedup, op9_packing, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op3_jaccard_join, op5_quality, op6_substring_dedup, op8_suffix_dedup, op9_packing, op10_language_id)}
 
 ORACLES: dict[str, str] = {}
