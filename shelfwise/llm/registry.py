@@ -10,6 +10,12 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.kdtree import top_k
+
+    return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.jaccard import link_documents
 
@@ -17,6 +23,12 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_shingles", "component_id", "n_links")
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.licenses import scan
+
+    return scan(_documents(spark, sf_dir), carry=["doc_id"]).drop("places")
+
+
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm import quality
     from shelfwise.llm.sampling import held_out
@@ -59,6 +71,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 5).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op3_jaccard_join, op5_quality, op6_substring_dedup, op8_suffix_dedup, op9_packing, op10_language_id)}
-
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_kd_search, op3_jaccard_join, op4_licenses, op5_quality, op6_substring_dedup, op8_suffix_dedup, op9_packing, op10_language_id)}
+
+ORACLES: dict[str, str] = {
+    "op1_kd_search": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND len(embedding) > 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(x) * 256 >= 67108864)) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e)
+        ), r AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+}
