@@ -16,6 +16,15 @@ def op1_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, k=5, scale=256.0)
 
 
+def op2_gru_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.gru_lm import score_documents
+    from shelfwise.llm.sampling import held_out
+
+    docs = _documents(spark, sf_dir)
+    out = score_documents(docs, ~held_out(docs["doc_id"], 10), carry=["doc_id"])
+    return out.select("doc_id", held_out(F.col("doc_id"), 10).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.jaccard import link_documents
 
@@ -71,7 +80,7 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 5).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_search, op3_jaccard_join, op4_licenses, op5_quality, op6_substring_dedup, op8_suffix_dedup, op9_packing, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_kd_search, op2_gru_scoring, op3_jaccard_join, op4_licenses, op5_quality, op6_substring_dedup, op8_suffix_dedup, op9_packing, op10_language_id)}
 
 ORACLES: dict[str, str] = {
     "op1_kd_search": """
