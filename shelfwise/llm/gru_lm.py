@@ -32,9 +32,9 @@ END = " "
 #: Words whose counts every task holds; the counts of others come by a join.
 TOP_WORDS = 131_072
 SHORTLIST = 2000
-SHORT_CLASSES = 40
-SUFFIX_CLASSES = 48
-STATE = 24
+SHORT_CLASSES = 32
+SUFFIX_CLASSES = 40
+STATE = 20
 #: The sample for training: so many texts of at most so many bytes, by a hash of the text.
 SAMPLE_DOCS, SAMPLE_BYTES = 900, 16 << 10
 #: Large blocks keep many documents in step, so a few long ones cost little.
@@ -128,7 +128,18 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """In place."""
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
+
+
+def _softmax_parts(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of logits kept within +-60, where float32 neither overflows nor vanishes, and their row sums."""
+    np.clip(z, -60, 60, out=z)
+    e = np.exp(z)
+    return e, e.sum(axis=1)
 
 
 class Network:
@@ -142,7 +153,7 @@ class Network:
         self.p = {
             "gates": rng.normal(0, 0.3, (n_in, 3 * s)), "u": rng.normal(0, 1 / math.sqrt(s), (s, 3 * s)),
             "cls": rng.normal(0, 0.05, (s, v.n_class)), "cls_b": np.log(np.maximum(class_mass, 0.1) / max(class_mass.sum(), 1)),
-            "out": rng.normal(0, 0.05, (max(v.short, 1), s)), "out_b": np.log(np.maximum(v.counts[: v.short], 1)) if v.short else np.zeros(1),
+            "out": rng.normal(0, 0.05, (max(v.short, 1), s)), "out_b": np.log(np.maximum(v.counts[: v.short], 1) / max(v.tokens, 1)) if v.short else np.zeros(1),
         }
         self.p = {k: x.astype(np.float32) for k, x in self.p.items()}
 
@@ -150,15 +161,19 @@ class Network:
         s = STATE
         x, hu = self.p["gates"][ids], h @ self.p["u"]
         zr = _sigmoid(x[:, : 2 * s] + hu[:, : 2 * s])
-        n = np.tanh(x[:, 2 * s:] + zr[:, s:] * hu[:, 2 * s:])
-        return n + zr[:, :s] * (h - n), zr, n, hu
+        n = zr[:, s:] * hu[:, 2 * s:]
+        n += x[:, 2 * s:]
+        np.tanh(n, out=n)
+        new = h - n
+        new *= zr[:, :s]
+        new += n
+        return new, zr, n, hu
 
     def log_probs(self, h: np.ndarray, ids: np.ndarray, cls: np.ndarray, grads: dict | None = None):
         """Natural log-probability of classes and shortlist words in given states; with ``grads``, also what flows back."""
-        z = h @ self.p["cls"] + self.p["cls_b"]
-        z -= z.max(axis=1, keepdims=True)
-        e = np.exp(z)
-        total = e.sum(axis=1)
+        z = h @ self.p["cls"]
+        z += self.p["cls_b"]
+        e, total = _softmax_parts(z)
         rows = np.arange(len(h))
         out = z[rows, cls] - np.log(total)
         back = None
@@ -176,10 +191,9 @@ class Network:
             if not len(at) or b - a == 1:
                 continue
             w = self.p["out"][a:b]
-            z = h[at] @ w.T + self.p["out_b"][a:b]
-            z -= z.max(axis=1, keepdims=True)
-            e = np.exp(z)
-            total = e.sum(axis=1)
+            z = h[at] @ w.T
+            z += self.p["out_b"][a:b]
+            e, total = _softmax_parts(z)
             k, i = ids[at] - a, np.arange(len(at))
             out[at] += z[i, k] - np.log(total)
             if grads is not None:
