@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import blocked
-from shelfwise.llm.text import slices
+from shelfwise.llm.text import loose, slices
 from shelfwise.session import ensure_checkpoint_dir
 
 #: The end of a document; no word holds a space.
@@ -351,7 +351,7 @@ def score_documents(docs: DataFrame, train: Column, text_col: str = "text", carr
         kept = np.add.reduceat(seen[tokens].astype(np.int64), first[:-1]) if toks else np.zeros(0, np.int64)
         lp = net.score(tokens, first, ids, cls, inside) if net is not None else total
         n = len(toks)
-        return pa.table({"row": table.column("row"), "n_tokens": pa.array(np.array(size, np.int64)), "n_known": pa.array(kept),
+        return pa.table({"row": loose(table.column("row")), "n_tokens": pa.array(np.array(size, np.int64)), "n_known": pa.array(kept),
                          "train_tokens": pa.array(np.full(n, v.tokens, np.int64)), "base_score": pa.array(total), "score": pa.array(lp)})
 
     asked = base.groupBy("blk").applyInArrow(ask, "w string, blk int")

@@ -182,11 +182,11 @@ def _postings(k: int, num: int, den: int):
 
 def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, text_col: str = "text", id_col: str = "doc_id",
                    carry: list[str] | None = None) -> DataFrame:
-    """The columns named in ``carry`` (all but the text, if None), then ``n_shingles, component_id, n_links, set_key``.
+    """The columns named in ``carry`` (all but the text, if None), then ``n_shingles, component_id, n_links, group_key``.
 
     Texts link when ``den * intersection >= num * union`` of their sets of ``k``-word shingles (A-Z lower-cased);
     a text of fewer words is one shingle.  ``component_id`` is the smallest non-null id reachable by links, the
-    row's own id included; ``n_links`` counts the other rows a row links with, copies included.  Null, empty and
+    row's own id included; ``group_key`` is equal within a component, null without shingles; ``n_links`` counts the other rows a row links with, copies included.  Null, empty and
     blank texts have no shingles and link with nothing.  Rows that repeat link with each other.  An empty table
     gives no rows.  Sets are compared by 64-bit fingerprints of their shingles.
     """
@@ -220,12 +220,12 @@ def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, t
     links = found.where("b is null").groupBy("a").agg(F.sum("w").alias("w"))
     named = comp.join(classes.select(F.col("cls").alias("node"), "least_id"), "node")
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    by_class = (classes.join(comp.join(least, "root").select(F.col("node").alias("cls"), "component_id"), "cls", "left")
+    by_class = (classes.join(comp.join(least, "root").select(F.col("node").alias("cls"), "root", "component_id"), "cls", "left")
                 .join(links.withColumnRenamed("a", "cls"), "cls", "left")
-                .select("cls", F.coalesce("component_id", "least_id").alias("component_id"), (F.coalesce("w", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
+                .select("cls", F.coalesce("root", "cls").alias("group_key"), F.coalesce("component_id", "least_id").alias("component_id"), (F.coalesce("w", F.lit(0)) + F.col("copies") - 1).alias("n_links")))
     out = meta.join(by_class, "cls", "left")
     return out.select("row.*", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"),
-                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.col("cls").alias("set_key"))
+                      F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "group_key")
 
 
 def _edges(posted: DataFrame) -> DataFrame:
@@ -291,3 +291,24 @@ def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int,
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "w": pa.array(w, pa.int64())})
 
     return blocks.groupBy("root", "i", "j").applyInArrow(search, "a long, b long, w long")
+
+
+def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs``, one of each group of linked documents: the one with the smallest id.
+
+    A null id comes after all others, and the smallest fingerprint of the text decides between equal ids.  Of rows that
+    are equal in id and text one stays.  Documents without words are linked with nothing and stay.
+    """
+    names = docs.columns
+    text, key = docs[f"`{text_col}`"].cast("string"), docs[f"`{id_col}`"]
+    ids = docs.select(key.alias("id"), text.alias("txt"), F.xxhash64(text).alias("mark"))
+    linked = link_documents(ids, k, num, den, text_col="txt", id_col="id").where("group_key is not null")
+    each = linked.groupBy("group_key", "id", "mark").agg(F.count(F.lit(1)).alias("rows"))
+    first = each.groupBy("group_key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "rows")).alias("x"))
+    kept = first.select(F.col("x.id").alias("kept_id"), F.col("x.mark").alias("kept_mark"), F.col("x.rows").alias("kept_rows"))
+    row = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in names]).alias("row"), key.alias("id"), F.xxhash64(text).alias("mark"), F.coalesce(
+        text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("words"))
+    stay = row.where("words").join(kept, row["id"].eqNullSafe(kept["kept_id"]) & (F.col("mark") == F.col("kept_mark")))
+    single = stay.where("kept_rows = 1").select("row")
+    again = stay.where("kept_rows > 1").dropDuplicates(["id", "mark"]).select("row")
+    return single.unionByName(again).unionByName(row.where("not words").select("row")).select("row.*")

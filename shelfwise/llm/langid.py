@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import row_struct
 from shelfwise.llm.sampling import SAMPLE_TEXT_BYTES, at_most, per_label
-from shelfwise.llm.text import slices
+from shelfwise.llm.text import lower_points, slices
 
 BITS = 15
 FEATURES = 1 << BITS
@@ -29,13 +29,9 @@ UNDETERMINED = "und"
 
 def _letters() -> np.ndarray:
     """Code point -> lower-cased letter, or a space for anything that is no letter."""
+    alpha = np.fromiter((chr(c).isalpha() for c in range(0x33480)), bool, 0x33480)
     out = np.full(0x110000, 32, np.uint32)
-    for c in range(0x20000):
-        ch = chr(c)
-        if ch.isalpha():
-            low = ch.lower()
-            out[c] = ord(low) if len(low) == 1 else c
-    out[0x20000:0x32400] = np.arange(0x20000, 0x32400)
+    out[: len(alpha)][alpha] = lower_points()[: len(alpha)][alpha]
     return out
 
 

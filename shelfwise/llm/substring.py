@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import blocked
-from shelfwise.llm.text import Rolling, distinct_counts, found, signed, slices, unsigned, word_hashes, word_spans
+from shelfwise.llm.text import Rolling, distinct_counts, found, loose, signed, slices, unsigned, word_hashes, word_spans
 
 #: Difference covers (period, members); every difference modulo the period occurs among the members.
 COVERS = ((21, (0, 1, 4, 14, 16)), (13, (0, 1, 3, 9)), (7, (0, 1, 3)), (3, (0, 1)), (1, (0,)))
@@ -101,7 +101,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 35, text_col: str = "
                 words.append(len(ws))
                 removed.append(int(len(ws) - mine.sum()))
                 kept.append(b" ".join(ws if mine.all() else [ws[x] for x in np.flatnonzero(mine)]).decode("utf-8"))
-        return pa.table({"row": table.column("row"), "n_words": pa.array(words, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
+        return pa.table({"row": loose(table.column("row")), "n_words": pa.array(words, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
                          "kept_text": pa.array(kept, pa.string())})
 
     sent = "h long, blk int, n int"

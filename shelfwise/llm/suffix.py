@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import blocked, whole_groups
-from shelfwise.llm.text import BYTE, Rolling, distinct_counts, found, mix, signed, slices, unsigned
+from shelfwise.llm.text import BYTE, Rolling, distinct_counts, found, loose, mix, signed, slices, unsigned
 
 #: The largest number of places before a core at which a window may start (a mask has 64 bits).
 REACH = 60
@@ -229,13 +229,15 @@ def repeated_starts(core: np.ndarray, left: list[bytes], right: list[bytes], man
     return mask
 
 
-def remove_repeated_bytes(docs: DataFrame, window: int = 400, text_col: str = "text", carry: list[str] | None = None) -> DataFrame:
+def remove_repeated_bytes(docs: DataFrame, window: int = 400, text_col: str = "text", carry: list[str] | None = None,
+                          as_text: bool = False) -> DataFrame:
     """The carried columns of every row, then ``n_bytes, n_removed, n_spans long, kept binary, spans array<struct<start, end>>``.
 
     A byte goes when a string of ``window`` bytes that covers it starts at any other place of the table, in the
     same text too; texts are never joined, and strings are judged on the input.  Spans are the maximal removed
     runs.  Null texts count as empty, rows that repeat are copies of each other, an empty table gives no rows.
-    ``carry`` (all columns but the text) is passed through untouched.
+    ``carry`` (all columns but the text) is passed through untouched.  With ``as_text``, ``kept`` is a string without
+    the characters that a cut splits.
     """
     reach = min(REACH, window // 2)
     gram = max(1, min(GRAM, window - reach))
@@ -291,6 +293,7 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400, text_col: str = "t
         order = np.argsort(keys)
         keys, mask = keys[order], mask[order]
         total, removed, spans, kept = [], [], [], []
+        out = (lambda b: b.decode("utf-8", "ignore")) if as_text else bytes
         for data, offs, a in runs(table):
             step = np.zeros(len(data) + 1, np.int64)
             if len(keys) and len(a.m):
@@ -309,13 +312,13 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400, text_col: str = "t
                 removed.append(int(cut.sum()))
                 if not removed[-1]:
                     spans.append([])
-                    kept.append(raw[x:y])
+                    kept.append(out(raw[x:y]))
                     continue
                 edge = np.flatnonzero(np.diff(np.concatenate([[False], cut, [False]]).astype(np.int8)))
                 spans.append([{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2])])
-                kept.append(data[x:y][~cut].tobytes())
-        return pa.table({"row": table.column("row"), "n_bytes": pa.array(total, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
-                         "n_spans": pa.array([len(s) for s in spans], pa.int64()), "kept": pa.array(kept, pa.binary()),
+                kept.append(out(data[x:y][~cut].tobytes()))
+        return pa.table({"row": loose(table.column("row")), "n_bytes": pa.array(total, pa.int64()), "n_removed": pa.array(removed, pa.int64()),
+                         "n_spans": pa.array([len(s) for s in spans], pa.int64()), "kept": pa.array(kept, pa.string() if as_text else pa.binary()),
                          "spans": pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))})
 
     matched = (base.groupBy("blk").applyInArrow(send_cores, "h long, blk int, n int")
@@ -325,5 +328,5 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400, text_col: str = "t
     reply = strings.repartition("h").sortWithinPartitions("h").mapInArrow(resolve, "blk int, key long, mask long")
     kind = base.schema["row"].dataType.simpleString()
     out = base.groupBy("blk").cogroup(reply.groupBy("blk")).applyInArrow(
-        remove, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept binary, spans array<struct<start: long, end: long>>")
+        remove, f"row {kind}, n_bytes long, n_removed long, n_spans long, kept {'string' if as_text else 'binary'}, spans array<struct<start: long, end: long>>")
     return out.select("row.*", "n_bytes", "n_removed", "n_spans", "kept", "spans")

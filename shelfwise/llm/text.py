@@ -26,6 +26,20 @@ BASE = 0x9E3779B97F4A7C15 | 1
 STEP = 0xD1342543DE82EF95 | 1
 
 
+_LOWER_POINTS: list[np.ndarray] = []
+
+
+def lower_points() -> np.ndarray:
+    """Code point -> its lower case, where that is a single character."""
+    if not _LOWER_POINTS:
+        out = np.arange(0x110000, dtype=np.uint32)
+        for c in range(0x20000):
+            if not 0xD800 <= c < 0xE000 and len(low := chr(c).lower()) == 1:
+                out[c] = ord(low)
+        _LOWER_POINTS.append(out)
+    return _LOWER_POINTS[0]
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     out = np.full(max(n, 1), base, np.uint64)
@@ -139,3 +153,19 @@ def found(values: np.ndarray, among: np.ndarray) -> np.ndarray:
     k = np.searchsorted(among, values)
     k[k == len(among)] = 0
     return among[k] == values
+
+
+def _loose(kind: pa.DataType) -> pa.DataType:
+    if pa.types.is_struct(kind):
+        return pa.struct([pa.field(f.name, _loose(f.type)) for f in kind])
+    if pa.types.is_map(kind):
+        return pa.map_(_loose(kind.key_type), _loose(kind.item_type))
+    if pa.types.is_list(kind):
+        return pa.list_(_loose(kind.value_type))
+    return kind
+
+
+def loose(col):
+    """The column with every nested field nullable, as a declared result schema has them."""
+    kind = _loose(col.type)
+    return col if kind == col.type else col.cast(kind)
