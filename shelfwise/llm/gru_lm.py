@@ -38,7 +38,7 @@ STATE = 20
 #: The sample for training: so many texts of at most so many bytes, by a hash of the text.
 SAMPLE_DOCS, SAMPLE_BYTES = 900, 16 << 10
 #: Large blocks keep many documents in step, so a few long ones cost little.
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20
 WINDOW = 64
 
 
@@ -113,7 +113,12 @@ class Vocabulary:
 def vocabulary(counts: DataFrame) -> Vocabulary:
     """At most TOP_WORDS words and SUFFIX_CLASSES suffixes reach the driver."""
     tokens, types = counts.agg(F.sum("c"), F.count(F.lit(1))).first()
-    top = counts.orderBy(F.desc("c"), "w").limit(TOP_WORDS).collect()
+    # the least count that at most TOP_WORDS words reach, from a histogram of some hundred bins
+    scale = F.floor(F.log2("c") * 16)
+    bins = sorted(counts.groupBy(scale.alias("b")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
+    taken = np.cumsum([r["n"] for r in bins])
+    fit = [r["b"] for r, n in zip(bins, taken) if n <= TOP_WORDS]
+    top = sorted(counts.where(scale >= fit[-1]).collect(), key=lambda r: (-r["c"], r["w"])) if fit else []
     ends = counts.groupBy(F.substring("w", -2, 2).alias("s")).agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("n"))
     most = ends.orderBy(F.desc("c"), "s").limit(SUFFIX_CLASSES).collect()
     names = [r["s"] for r in most]
@@ -307,7 +312,7 @@ def score_documents(docs: DataFrame, train: Column, text_col: str = "text", carr
                            for w in [*words(r["txt"].encode()), END.encode()]]) for r in sample]
         cls_of = np.append(v.short_class, v.n_short + np.arange(len(v.suffixes) + 1))
         net = Network(v).train(texts, cls_of, updates=updates) if texts else Network(v)
-    base = blocked(docs, text_col, carry, BLOCK_BYTES)
+    base = blocked(docs, text_col, carry, ("n_tokens", "n_known", "train_tokens", "base_score", "score"), BLOCK_BYTES)
     model = spark.sparkContext.broadcast((v, top_tables, net))  # bounded by TOP_WORDS and the network's sizes
     places: dict[bytes, int] = {}
 
