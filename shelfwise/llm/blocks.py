@@ -18,19 +18,22 @@ def text_bytes(docs: DataFrame, text_col: str) -> int:
     return int(docs.agg(F.sum(F.octet_length(F.col(f"`{text_col}`")))).first()[0] or 0)
 
 
-def row_struct(docs: DataFrame, text_col: str, carry: list[str] | None = None):
-    """The carried columns as one struct, so no input name can clash with a working column."""
-    names = [c for c in (docs.columns if carry is None else carry) if c != text_col]
+def row_struct(docs: DataFrame, text_col: str, carry: list[str] | None = None, results: tuple[str, ...] = ()):
+    """The carried columns as one struct, so no input name can clash with a working column.
+
+    A carried column that is named like one of the ``results`` gives way to it.
+    """
+    names = [c for c in (docs.columns if carry is None else carry) if c != text_col and c.lower() not in results]
     return F.struct(*[docs[f"`{c}`"].alias(c) for c in names]) if names else F.struct(F.lit(0).alias("none"))
 
 
-def blocked(docs: DataFrame, text_col: str, carry: list[str] | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+def blocked(docs: DataFrame, text_col: str, carry: list[str] | None = None, results: tuple[str, ...] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``blk int, txt string, row struct``: every row in one of about total / block_bytes blocks.
 
     The block is a hash of the row's text and its carried columns, hence the same in every run and retry.
     """
     n = max(1, -(-text_bytes(docs, text_col) // block_bytes))
-    out = docs.select(F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("txt"), row_struct(docs, text_col, carry).alias("row"))
+    out = docs.select(F.coalesce(docs[f"`{text_col}`"].cast("string"), F.lit("")).alias("txt"), row_struct(docs, text_col, carry, results).alias("row"))
     return out.select(F.pmod(F.xxhash64("txt", "row"), F.lit(n)).cast("int").alias("blk"), "txt", "row")
 
 

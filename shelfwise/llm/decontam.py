@@ -165,7 +165,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, q: int = 8, per_edit: i
     hold none.  A benchmark row that repeats counts once; repeated documents have a row each.  Empty tables give no rows.
     """
     base = docs.where(F.octet_length(docs[f"`{text_col}`"].cast("string")) >= q).select(
-        docs[f"`{text_col}`"].cast("string").alias("txt"), row_struct(docs, text_col, carry).alias("row"))
+        docs[f"`{text_col}`"].cast("string").alias("txt"), row_struct(docs, text_col, carry, ("item", "edits", "start_char", "end_char")).alias("row"))
     kind = base.schema["row"].dataType.simpleString()
     items = benchmark.select(benchmark[f"`{item_id}`"].alias("item"), benchmark[f"`{item_text}`"].cast("string").alias("txt"))
     id_kind = items.schema["item"].dataType.simpleString()

@@ -205,7 +205,7 @@ def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, t
                 yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(np.concatenate(n).astype(np.int64)), signed(np.concatenate(key))],
                                                  names=[*batch.schema.names[1:], "n", "cls"])
 
-    base = docs.select(txt.alias("txt"), docs[f"`{id_col}`"].alias("id"), row_struct(docs, text_col, carry).alias("row"))
+    base = docs.select(txt.alias("txt"), docs[f"`{id_col}`"].alias("id"), row_struct(docs, text_col, carry, ("n_shingles", "component_id", "n_links", "group_key")).alias("row"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields[1:])
     meta = base.mapInArrow(describe, f"{kinds}, n long, cls long").withColumn("cls", F.when(F.col("n") > 0, F.col("cls"))).checkpoint()
     classes = meta.where("cls is not null").groupBy("cls").agg(F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))

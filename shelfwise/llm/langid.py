@@ -213,6 +213,6 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", carry:
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), pa.array(pred, pa.string()), pa.array(score)],
                                                  names=["row", "pred", "score"])
 
-    base = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), row_struct(docs, "", keep).alias("row"))
+    base = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), row_struct(docs, "", keep, (pred_name, score_name)).alias("row"))
     out = base.mapInArrow(run, f"row {base.schema['row'].dataType.simpleString()}, pred string, score double")
     return out.select("row.*", F.col("pred").alias(pred_name), F.col("score").alias(score_name))

@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.blocks import row_struct
+
 #: Characters that stand in no word, once A-Z are lower-cased.
 GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -43,6 +45,9 @@ NOTICES = (
 )
 
 
+RESULTS = ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score", "places")
+
+
 def words_of(text: Column) -> Column:
     """The words of a text; null has none.  Lower-casing other letters than A-Z changes no gap and no template word."""
     return F.array_remove(F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), GAPS), "")
@@ -92,9 +97,8 @@ def scan(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None
     empty texts have no words and the empty labels.  Repeated rows are scanned each by itself; an empty table gives
     no rows.  ``extra`` adds templates (label, words, mandatory phrase).
     """
-    names = [c for c in (docs.columns if carry is None else carry) if c != text_col]
     rows = templates(extra)
-    base = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in names] or [F.lit(0).alias("none")]).alias("row"), words_of(docs[f"`{text_col}`"]).alias("words"))
+    base = docs.select(row_struct(docs, text_col, carry, RESULTS).alias("row"), words_of(docs[f"`{text_col}`"]).alias("words"))
     index = _index(rows, document_frequencies(base, sorted({w for t in rows for w in t["must"]})))
     anchors = F.array(*map(F.lit, sorted(index)))
 

@@ -129,6 +129,6 @@ def score(docs: DataFrame, model: Model, text_col: str = "text", carry: list[str
                 out.append(model.scores(features(np.diff(offs).astype(float), got[:, 0], got[:, 1])))
             yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(np.concatenate(out) if out else np.zeros(0))], names=["row", "score"])
 
-    base = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), row_struct(docs, "", keep).alias("row"))
+    base = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), row_struct(docs, "", keep, (name,)).alias("row"))
     out = base.mapInArrow(run, f"row {base.schema['row'].dataType.simpleString()}, score double")
     return out.select("row.*", F.col("score").alias(name))

@@ -65,7 +65,7 @@ def remove_repeated_windows(docs: DataFrame, window: int = 35, text_col: str = "
     other; an empty table gives no rows.  ``carry`` (all columns but the text) is passed through untouched.
     """
     period, cover = cover_for(window)
-    base = blocked(docs, text_col, carry)
+    base = blocked(docs, text_col, carry, ("n_words", "n_removed", "kept_text"))
 
     def runs(table: pa.Table):
         for i, j, data, offs in slices(table.column("txt").combine_chunks()):

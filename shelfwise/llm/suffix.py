@@ -241,7 +241,7 @@ def remove_repeated_bytes(docs: DataFrame, window: int = 400, text_col: str = "t
     """
     reach = min(REACH, window // 2)
     gram = max(1, min(GRAM, window - reach))
-    base = blocked(docs, text_col, carry)
+    base = blocked(docs, text_col, carry, ("n_bytes", "n_removed", "n_spans", "kept", "spans"))
 
     def runs(table: pa.Table):
         for i, j, data, offs in slices(table.column("txt").combine_chunks()):

@@ -89,7 +89,7 @@ TEXTS = ["MIT License. mit-license, MIT\nLICENSE", "The GNU General Public Licen
 
 def test_license_scan(spark, small_docs, small_texts):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id long, text string").withColumn("words", F.lit(1)).withColumn("places", F.lit("p"))
-    out = licenses.scan(docs, carry=["doc_id", "words"])
+    out = licenses.scan(docs)
     got = {r["doc_id"]: (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"], round(r["score"], 9)) for r in out.collect()}
     assert got == {i: scan_brute(t) for i, t in enumerate(TEXTS)}
     got = {r["doc_id"]: (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"], r["labels"], round(r["score"], 9))
