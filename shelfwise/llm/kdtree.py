@@ -124,8 +124,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     points = points.withColumn("dim", F.size("x"))
     total, asked = points.agg(F.count(F.lit(1)), F.sum(F.col("asks").cast("int"))).first()
     shards, blocks = max(1, -(-total // shard_rows)), max(1, -(-int(asked or 0) // QUERY_BLOCK))
-    # at most SEED_ROWS vectors reach the driver
-    seed = points.select("id", "x").orderBy(F.xxhash64("id", F.lit(5)), "id").limit(SEED_ROWS).collect()
+    # about SEED_ROWS vectors reach the driver: ids are thinned by a hash before anything is sorted or sent
+    share = F.pmod(F.xxhash64("id", F.lit(5)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, SEED_ROWS / max(total, 1)))
+    seed = points.where(share).select("id", "x").limit(4 * SEED_ROWS).collect()
     seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for d in {len(r["x"]) for r in seed}:
         mine = [r for r in seed if len(r["x"]) == d]
