@@ -313,7 +313,7 @@ def _sv06(t, m):
 WITH {VIEW},
 dept AS (SELECT department, CAST(SUM(quantity) AS BIGINT) AS units, SUM(gross_revenue) AS r FROM v GROUP BY department)
 SELECT department, units, {money('r')} AS gross_revenue,
-       CAST(RANK() OVER (ORDER BY r DESC) AS INTEGER) AS revenue_rank
+       CAST(RANK() OVER (ORDER BY r DESC) AS BIGINT) AS revenue_rank
 FROM dept WHERE units > 1000
 """)
 def _sv07(t, m):

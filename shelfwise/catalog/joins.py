@@ -222,8 +222,9 @@ SELECT f.match_name, f.fact_rows, COALESCE(d.dim_matches, 0) AS dim_matches,
 FROM f LEFT JOIN d USING (match_name)
 """)
 def _jn16(t, m):
-    names = m.items.select("product_id").join(m.products.select("product_id", "product_name"), "product_id")
-    return J.join_by_name(names, "product_name", m.products, "product_name")
+    lines = m.items.groupBy("product_id").agg(F.count(F.lit(1)).alias("lines"))
+    names = lines.join(m.products.select("product_id", "product_name"), "product_id")
+    return J.join_by_name(names, "product_name", m.products, "product_name", rows="lines")
 
 
 @register("normalize_fact", "JN-17", oracle="""
@@ -234,9 +235,9 @@ SELECT f.l_orderkey AS order_id, f.l_linenumber AS line_number, d.attr_key, f.l_
 FROM f JOIN d USING (p_name, p_brand, p_type)
 """)
 def _jn17(t, m):
-    fact = m.items.select("order_id", "line_number", "product_id", "unit_price").join(
-        m.products.select("product_id", "product_name", "category_name", "department"), "product_id")
-    _dim, slim = J.normalize(fact, "product_id", ["product_name", "category_name", "department"])
+    fact = m.items.select("order_id", "line_number", "product_id", "unit_price")
+    attrs = ["product_name", "category_name", "department"]
+    _dim, slim = J.normalize(fact, "product_id", m.products.select("product_id", *attrs), attrs)
     return slim.select("order_id", "line_number", "attr_key", "unit_price")
 
 
@@ -251,9 +252,9 @@ SELECT CAST(SUM(ln) AS BIGINT) AS left_rows, CAST(SUM(ln * rn) AS BIGINT) AS joi
 FROM pk
 """)
 def _jn18(t, m):
-    left = m.items.select("product_id", "quantity").join(m.products.select("product_id", "product_name"), "product_id")
-    out = J.join_check(left.select("product_name", "quantity"), m.products.select("product_name"), "product_name",
-                       "quantity")
+    per_product = m.items.groupBy("product_id").agg(F.count(F.lit(1)).alias("lines"), F.sum("quantity").alias("quantity"))
+    left = per_product.join(m.products.select("product_id", "product_name"), "product_id")
+    out = J.join_check(left, m.products.select("product_name"), "product_name", "quantity", rows="lines")
     return out.select("left_rows", "joined_rows", "keys_repeated_on_right",
                       F.col("left_measure").cast("bigint").alias("left_measure"),
                       F.col("joined_measure").cast("bigint").alias("joined_measure"))

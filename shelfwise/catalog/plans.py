@@ -17,12 +17,6 @@ from shelfwise.plans import evidence as P
 from shelfwise.session import scratch_dir
 
 
-@register("pf_plan_evidence", "PF-01")
-def _pf01(t, m):
-    """Plan facts (scans, pushed filters, joins) of the monthly KPI report."""
-    return P.plan_facts(rp.monthly_kpis(m))
-
-
 @register("pf_sargable_rewrite", "PF-02", oracle="""
 SELECT o_orderkey AS order_id, o_orderdate AS order_date FROM orders
 WHERE o_orderstatus = 'F' AND YEAR(o_orderdate) = 1997
@@ -83,10 +77,14 @@ def _pf05(t, m):
 
 
 @register("pf_same_result", "PF-06", oracle=f"""
-WITH {VIEW}
-SELECT COUNT(DISTINCT sales_month) AS a_rows, COUNT(DISTINCT sales_month) AS b_rows, CAST(0 AS BIGINT) AS only_in_a,
-       CAST(0 AS BIGINT) AS only_in_b,
-       TRUE AS same_rows FROM v
+WITH {VIEW},
+per_order AS (SELECT order_id, sales_month, SUM(gross_revenue) AS r FROM v GROUP BY order_id, sales_month),
+a AS (SELECT sales_month, COUNT(*) AS n, ROUND(SUM(r), 2) AS gross FROM per_order GROUP BY sales_month),
+b AS (SELECT sales_month, COUNT(DISTINCT order_id) AS n, ROUND(SUM(gross_revenue), 2) AS gross FROM v GROUP BY sales_month),
+d AS (SELECT (SELECT COUNT(*) FROM a) AS a_rows, (SELECT COUNT(*) FROM b) AS b_rows,
+             (SELECT COUNT(*) FROM (SELECT * FROM a EXCEPT ALL SELECT * FROM b)) AS only_in_a,
+             (SELECT COUNT(*) FROM (SELECT * FROM b EXCEPT ALL SELECT * FROM a)) AS only_in_b)
+SELECT a_rows, b_rows, only_in_a, only_in_b, only_in_a = 0 AND only_in_b = 0 AS same_rows FROM d
 """)
 def _pf06(t, m):
     """The pre-aggregated monthly KPI plan against the plain view aggregate: identical rows."""

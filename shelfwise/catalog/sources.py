@@ -14,13 +14,12 @@ from shelfwise.sources import driver as D
 from shelfwise.sources import layers as L
 from shelfwise.sources import literals
 
-_SCANNED = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
 
 
 @register("scan_tables", "SRC-01", oracle="\nUNION ALL\n".join(
-    f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in _SCANNED))
+    f"SELECT '{n}' AS table_name, COUNT(*) AS row_count FROM {n}" for n in D.TABLE_NAMES))
 def _src01(t, m):
-    return D.scan_tables(t, _SCANNED)
+    return D.scan_tables(t)
 
 
 def _schema_sql() -> str:

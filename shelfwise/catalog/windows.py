@@ -65,7 +65,7 @@ def _wn04(t, m):
 
 @register("win_row_number", "WN-05", oracle="""
 SELECT o_orderkey AS order_id, o_custkey AS customer_id,
-       CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS INTEGER) AS order_seq
+       CAST(ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS order_seq
 FROM orders
 """)
 def _wn05(t, m):
@@ -75,8 +75,8 @@ def _wn05(t, m):
 
 @register("win_rank_dense_rank", "WN-06", oracle=f"""
 WITH {PRODUCT_SALES_SQL}
-SELECT product_id, units, CAST(RANK() OVER (ORDER BY units DESC) AS INTEGER) AS units_rank,
-       CAST(DENSE_RANK() OVER (ORDER BY units DESC) AS INTEGER) AS units_dense_rank
+SELECT product_id, units, CAST(RANK() OVER (ORDER BY units DESC) AS BIGINT) AS units_rank,
+       CAST(DENSE_RANK() OVER (ORDER BY units DESC) AS BIGINT) AS units_dense_rank
 FROM ps
 """)
 def _wn06(t, m):
@@ -87,9 +87,9 @@ def _wn06(t, m):
 @register("win_rank_in_group", "WN-07", oracle=f"""
 WITH {PRODUCT_SALES_SQL}
 SELECT ps.product_id, p.p_type AS department, ps.units,
-       CAST(RANK() OVER (PARTITION BY p.p_type ORDER BY ps.units DESC) AS INTEGER) AS units_rank,
-       CAST(DENSE_RANK() OVER (PARTITION BY p.p_type ORDER BY ps.units DESC) AS INTEGER) AS units_dense_rank,
-       CAST(ROW_NUMBER() OVER (PARTITION BY p.p_type ORDER BY ps.units DESC, ps.product_id) AS INTEGER) AS position
+       CAST(RANK() OVER (PARTITION BY p.p_type ORDER BY ps.units DESC) AS BIGINT) AS units_rank,
+       CAST(DENSE_RANK() OVER (PARTITION BY p.p_type ORDER BY ps.units DESC) AS BIGINT) AS units_dense_rank,
+       CAST(ROW_NUMBER() OVER (PARTITION BY p.p_type ORDER BY ps.units DESC, ps.product_id) AS BIGINT) AS position
 FROM ps JOIN part p ON p.p_partkey = ps.product_id
 """)
 def _wn07(t, m):
@@ -209,7 +209,7 @@ def _wn16(t, m):
 @register("win_rank_over_agg", "WN-17", oracle=f"""
 WITH {STORE_MONTH_SQL},
 st AS (SELECT store_id, SUM(revenue) AS r FROM sm GROUP BY store_id)
-SELECT store_id, {money('r')} AS revenue, CAST(RANK() OVER (ORDER BY r DESC) AS INTEGER) AS revenue_rank FROM st
+SELECT store_id, {money('r')} AS revenue, CAST(RANK() OVER (ORDER BY r DESC) AS BIGINT) AS revenue_rank FROM st
 """)
 def _wn17(t, m):
     st = sales_lines(m).groupBy("store_id").agg(F.sum("gross_revenue").alias("r"))
@@ -253,12 +253,17 @@ def _so03(t, m):
 
 
 @register("sort_nulls", "SO-04", oracle="""
+SELECT conv_id, turn, parent_role,
+       ROW_NUMBER() OVER (ORDER BY parent_role ASC NULLS FIRST, conv_id DESC NULLS LAST, turn) AS position
+FROM (
 SELECT c.conv_id, c.turn, p.role AS parent_role
 FROM conversations c LEFT JOIN conversations p ON p.conv_id = c.conv_id AND p.turn = c.turn - 1
-ORDER BY parent_role ASC NULLS FIRST, c.conv_id DESC NULLS LAST, c.turn LIMIT 30
+) h
+ORDER BY position
 """)
 def _so04(t, m):
     c = t.conversations
     parent = c.select("conv_id", (F.col("turn") + 1).alias("turn"), F.col("role").alias("parent_role"))
     h = c.select("conv_id", "turn").join(parent, ["conv_id", "turn"], "left")
-    return W.top_k(h, [F.col("parent_role").asc_nulls_first(), F.col("conv_id").desc_nulls_last(), "turn"], 30)
+    order = [F.col("parent_role").asc_nulls_first(), F.col("conv_id").desc_nulls_last(), F.col("turn")]
+    return W.number(h, order, out="position").orderBy("position")

@@ -36,8 +36,17 @@ def gross_line_revenue(quantity, unit_price, discount_amount=None) -> Column:
 
 
 def valid_item(quantity="quantity", unit_price="unit_price") -> Column:
-    """B2: quantity > 0 AND unit_price >= 0; NULL fails, price 0 passes."""
-    return F.coalesce((_c(quantity) > 0) & (_c(unit_price) >= 0), F.lit(False))
+    """B2: quantity > 0 AND unit_price >= 0; price 0 passes, and NULL fails in a filter.
+
+    A plain conjunction, so both bounds are pushed into the scan.  Where the rule
+    is negated or kept as a value, wrap it in :func:`holds`.
+    """
+    return (_c(quantity) > 0) & (_c(unit_price) >= 0)
+
+
+def holds(cond: Column) -> Column:
+    """TRUE or FALSE, never NULL."""
+    return F.coalesce(cond, F.lit(False))
 
 
 def completed(status="status", value: str = "completed") -> Column:
@@ -84,14 +93,19 @@ def safe_ratio(num, den, digits: int | None = None, scale: int = 1) -> Column:
     return (n / F.nullif(_c(den).cast(WIDE), F.lit(0))).cast("double")
 
 
+def _scaled(x) -> Column:
+    """A money sum as a whole number of its eighth decimal (sums up to 1e22)."""
+    return (_c(x).cast(WIDE) * F.lit(10 ** 8).cast(DecimalType(9, 0))).cast(DecimalType(30, 0))
+
+
 def times_count(x, count) -> Column:
-    """``x * count`` exactly (x up to 1e12 with 8 decimals, count up to 1e12)."""
-    return _c(x).cast(DecimalType(20, 8)) * _c(count).cast(DecimalType(12, 0))
+    """``x * count`` as a whole number of eighth decimals, exact while x < 1e18 and the product < 1e30."""
+    return (_scaled(x).cast(DecimalType(26, 0)) * _c(count).cast(DecimalType(12, 0))).cast(DecimalType(38, 0))
 
 
 def above_mean(x, total, count) -> Column:
     """``x > total / count`` decided exactly as ``x * count > total`` (count > 0)."""
-    return times_count(x, count) > _c(total).cast(WIDE)
+    return times_count(x, count) > _scaled(total)
 
 
 def mean_half_up(total, count, digits: int = 2) -> Column:
@@ -100,8 +114,12 @@ def mean_half_up(total, count, digits: int = 2) -> Column:
 
 
 def diff_from_mean_half_up(x, total, count, digits: int = 2) -> Column:
-    """ROUND(x - total / count, digits) exactly, as (x * count - total) / count."""
-    return ratio_half_up(times_count(x, count) - _c(total).cast(WIDE), count, digits)
+    """ROUND(x - total / count, digits) exactly, as (x * count - total) / count, on whole numbers."""
+    n = (times_count(x, count) - _scaled(total)).cast(DecimalType(38, 0))
+    m = (_c(count).cast(DecimalType(12, 0)) * F.lit(10 ** 8).cast(DecimalType(9, 0))).cast(DecimalType(21, 0))
+    a = (F.abs(n) * _dec_lit(2 * 10 ** digits)).cast(DecimalType(38, 0)) + m
+    q = F.call_function("div", a, m * _dec_lit(2))
+    return F.when(m != 0, F.when(n < 0, -q).otherwise(q).cast("double") / float(10 ** digits))
 
 
 def month_label(ts) -> Column:
@@ -114,12 +132,6 @@ def weekday_name(ts) -> Column:
     return F.date_format(_c(ts), "EEEE")
 
 
-def email_usable(email) -> Column:
-    """B10: not NULL/blank and LIKE '%@%.%'."""
-    e = _c(email)
-    return e.isNotNull() & (F.trim(e) != "") & e.like("%@%.%")
-
-
 def capitalise(x) -> Column:
     """UPPER(LEFT(TRIM(x),1)) || LOWER(SUBSTRING(TRIM(x),2))."""
     t = F.trim(_c(x))
@@ -135,8 +147,3 @@ def normalize_tier(x, unknown: str | None = None, accepted=LOYALTY_TIERS) -> Col
     t = _c(x)
     out = F.when(F.lower(F.trim(t)).isin(list(accepted)), capitalise(t))
     return out.otherwise(F.lit(unknown)) if unknown is not None else out
-
-
-def rating_valid(x, lo: int = 1, hi: int = 5) -> Column:
-    """B12: rating in [lo, hi]; NULL fails."""
-    return F.coalesce(_c(x).between(lo, hi), F.lit(False))

@@ -38,22 +38,17 @@ def coverage(dim: DataFrame, key: str, fact_agg: DataFrame, fill: dict) -> DataF
     return out.fillna(fill)
 
 
-def one_row_guard(bench: DataFrame, what: str = "benchmark") -> DataFrame:
-    """A one-row relation that fails the job unless ``bench`` has exactly one row."""
-    n = bench.agg(F.count(F.lit(1)).alias("_n"))
-    return n.select(F.when(F.col("_n") == 1, F.lit(1))
-                    .otherwise(F.raise_error(F.lit(f"{what} must have exactly one row"))).alias("_guard_ok"))
-
-
 def attach_scalar(df: DataFrame, bench: DataFrame, what: str = "benchmark") -> DataFrame:
     """JN-06 / SV-02: put the single row of ``bench`` beside every row of ``df``.
 
-    The benchmark is broadcast (its size is one row, checked in the plan by
-    :func:`one_row_guard`; a wrong size raises instead of duplicating rows).
+    One global aggregate reads the benchmark once, giving its values and its
+    row count; only that one row is broadcast, whatever was passed in, and a
+    count other than one raises instead of duplicating rows.
     """
-    guard = one_row_guard(bench, what)
-    out = df.crossJoin(F.broadcast(bench)).crossJoin(F.broadcast(guard))
-    return out.filter(F.col("_guard_ok") == 1).drop("_guard_ok")
+    one = bench.agg(F.count(F.lit(1)).alias("_rows"), *[F.first(f"`{c}`").alias(c) for c in bench.columns])
+    one = one.withColumn("_rows", F.when(F.col("_rows") == 1, F.lit(1)).otherwise(
+        F.raise_error(F.lit(f"{what} must have exactly one row")).cast("int")))
+    return df.crossJoin(F.broadcast(one)).filter(F.col("_rows") == 1).drop("_rows")
 
 
 def semi(df: DataFrame, other: DataFrame, on) -> DataFrame:
@@ -101,43 +96,22 @@ def not_in_vs_anti(df: DataFrame, key: str, other: DataFrame, other_key: str) ->
     return n_in.crossJoin(n_ex)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of ``df`` (exact for literal relations); no job runs."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate available: treat as large (never broadcast)
-        return 1 << 62
-
-
-def broadcast_if_small(df: DataFrame, max_bytes: int | None = None) -> DataFrame | None:
-    """``broadcast(df)`` when its estimated size is within ``max_bytes``, else None.
-
-    The default limit is the session's ``spark.sql.autoBroadcastJoinThreshold``.
-    """
-    if max_bytes is None:
-        max_bytes = int(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").rstrip("b"))
-    return F.broadcast(df) if 0 <= estimated_bytes(df) <= max_bytes else None
-
-
 def range_attribute(df: DataFrame, date_col: str, periods: DataFrame, start: str = "start_date",
-                    end: str = "end_date", max_broadcast_bytes: int | None = None) -> DataFrame:
+                    end: str = "end_date") -> DataFrame:
     """JN-14: attach the period whose inclusive [start, end] contains the date (LEFT join).
 
-    A period table under the broadcast limit (checked on its size estimate)
-    is broadcast and the range condition runs in a nested-loop join with no
-    shuffle of ``df``.  A larger one is joined as a bucketed range join:
-    each period is expanded to the months it covers, both sides are
-    equi-joined on the month, and the range condition filters inside the
-    bucket - a shuffle join whose work grows with the rows, not their product.
+    One plan for every size: each period is expanded to the months it covers,
+    both sides are equi-joined on the month, and the range condition filters
+    inside the bucket.  The work grows with the rows, not with their product;
+    the planner broadcasts the periods by itself where they are small.  A
+    period with a NULL end or with its end before its start matches nothing.
     """
-    cond = (F.col(date_col) >= F.col(start)) & (F.col(date_col) <= F.col(end))
-    small = broadcast_if_small(periods, max_broadcast_bytes)
-    if small is not None:
-        return df.join(small, cond, "left")
-    p = periods.withColumn("_bucket", F.explode(F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"),
-                                                            F.expr("INTERVAL 1 MONTH"))))
-    d = df.withColumn("_bucket", F.trunc(F.col(date_col), "MM"))
-    return d.join(p, (d["_bucket"] == p["_bucket"]) & cond, "left").drop("_bucket")
+    p = periods.filter(F.col(start) <= F.col(end))
+    months = F.when(F.col(start) <= F.col(end), F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"), F.expr("INTERVAL 1 MONTH")))
+    p = p.withColumn("_period_month", F.explode(months))
+    d = df.withColumn("_month", F.trunc(F.col(date_col), "MM"))
+    cond = (F.col("_month") == F.col("_period_month")) & (F.col(date_col) >= F.col(start)) & (F.col(date_col) <= F.col(end))
+    return d.join(p, cond, "left").drop("_month", "_period_month")
 
 
 def latest(df: DataFrame, date_col: str) -> DataFrame:
@@ -146,14 +120,17 @@ def latest(df: DataFrame, date_col: str) -> DataFrame:
     return df.join(F.broadcast(mx), F.col(date_col) == F.col("_latest")).drop("_latest")
 
 
-def join_by_name(fact_names: DataFrame, name_col: str, dim: DataFrame, dim_name_col: str) -> DataFrame:
+def join_by_name(fact_names: DataFrame, name_col: str, dim: DataFrame, dim_name_col: str,
+                 rows: str | None = None) -> DataFrame:
     """JN-16: how many dimension rows each (normalised) fact name matches.
 
     Both sides are reduced to per-name counts before joining, so a name
-    shared by many dimension rows never fans out the fact.
+    shared by many dimension rows never fans out the fact.  ``rows`` names a
+    column of counts when ``fact_names`` is aggregated already.
     """
     norm = lambda c: F.lower(F.trim(F.col(c)))
-    f = fact_names.groupBy(norm(name_col).alias("match_name")).agg(F.count(F.lit(1)).alias("fact_rows"))
+    n = F.sum(rows).cast("bigint") if rows else F.count(F.lit(1))
+    f = fact_names.groupBy(norm(name_col).alias("match_name")).agg(n.alias("fact_rows"))
     d = dim.groupBy(norm(dim_name_col).alias("match_name")).agg(F.count(F.lit(1)).alias("dim_matches"))
     out = f.join(d, "match_name", "left").fillna({"dim_matches": 0})
     status = (F.when(F.col("dim_matches") == 0, "missing").when(F.col("dim_matches") == 1, "unique")
@@ -161,24 +138,34 @@ def join_by_name(fact_names: DataFrame, name_col: str, dim: DataFrame, dim_name_
     return out.withColumn("match_status", status)
 
 
-def normalize(fact: DataFrame, source_key: str, attrs: Sequence[str], key_name: str = "attr_key") -> tuple[DataFrame, DataFrame]:
+def normalize(fact: DataFrame, source_key: str, entities: DataFrame, attrs: Sequence[str],
+              key_name: str = "attr_key") -> tuple[DataFrame, DataFrame]:
     """JN-17: split repeated attributes into a keyed dimension + slim fact.
 
-    The surrogate key is the smallest source key carrying the attribute
-    combination: deterministic and computed by a distributed aggregate.
+    The surrogate key is the smallest source key in the fact that carries the
+    attribute combination.  It is found on the entities (one row per source
+    key), so the fact is joined once, on its own key, and never shuffled on
+    text columns.
     """
-    dim = fact.groupBy(*attrs).agg(F.min(source_key).alias(key_name))
-    slim = fact.join(dim, list(attrs)).drop(*attrs)
-    return dim, slim
+    used = entities.join(fact.select(source_key).distinct(), source_key)
+    dim = used.groupBy(*attrs).agg(F.min(source_key).alias(key_name))
+    same = [F.col(f"e.{a}").eqNullSafe(F.col(f"d.{a}")) for a in attrs]
+    cond = same[0]
+    for c in same[1:]:
+        cond = cond & c
+    keys = used.alias("e").join(dim.alias("d"), cond).select(f"e.{source_key}", key_name)
+    return dim, fact.join(keys, source_key)
 
 
-def join_check(left: DataFrame, right: DataFrame, key: str, measure: str) -> DataFrame:
+def join_check(left: DataFrame, right: DataFrame, key: str, measure: str, rows: str | None = None) -> DataFrame:
     """JN-18: rows and measure total before/after an equi join on ``key``.
 
     Computed from per-key counts on both sides (no pair materialised):
     joined_rows = sum(left_n x right_n), joined_measure = sum(left_sum x right_n).
+    ``rows`` names a column of row counts when ``left`` is aggregated already.
     """
-    l = left.groupBy(key).agg(F.count(F.lit(1)).alias("_ln"), F.sum(measure).alias("_ls"))
+    n = F.sum(rows) if rows else F.count(F.lit(1))
+    l = left.groupBy(key).agg(n.alias("_ln"), F.sum(measure).alias("_ls"))
     r = right.groupBy(key).agg(F.count(F.lit(1)).alias("_rn"))
     per_key = l.join(r, key, "left").fillna({"_rn": 0})
     return per_key.agg(

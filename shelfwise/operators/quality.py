@@ -7,6 +7,7 @@ except the one-row verdict of a write-audit-publish gate.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.functions.exprs import changed
 from shelfwise.operators import windows as W
+from shelfwise.sources.raw import guard
 
 
 def _c(x) -> Column:
@@ -24,15 +26,20 @@ def _c(x) -> Column:
 
 
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """DQ-01: per column - rows, present, missing, distinct (one aggregate pass)."""
-    aggs = [F.count(F.lit(1)).alias("_rows")]
+    """DQ-01: per column - rows, present, missing, distinct.
+
+    Each column is first reduced to its values with their counts (a partial
+    aggregate over that column's scan), then counted; one aggregate over all
+    columns would expand every row once per distinct count.
+    """
+    out = None
     for c in cols:
-        aggs += [F.count(c).alias(f"_p_{c}"), F.count_distinct(c).alias(f"_d_{c}")]
-    wide = df.agg(*aggs)
-    parts = ", ".join(f"'{c}', `_p_{c}`, `_d_{c}`" for c in cols)
-    long = wide.selectExpr("_rows", f"stack({len(cols)}, {parts}) AS (column_name, present, distinct_values)")
-    return long.select("column_name", F.col("_rows").alias("row_count"), "present",
-                       (F.col("_rows") - F.col("present")).alias("missing"), "distinct_values")
+        values = df.groupBy(F.col(c).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+        rows, present = F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("_value").isNotNull(), F.col("_n"))), F.lit(0))
+        one = values.agg(rows.alias("row_count"), present.alias("present"), F.count("_value").alias("distinct_values"))
+        one = one.select(F.lit(c).alias("column_name"), "row_count", "present", (F.col("row_count") - F.col("present")).alias("missing"), "distinct_values")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def profile_counts(df: DataFrame, rules: Mapping[str, Column], rows_name: str = "row_count") -> DataFrame:
@@ -54,17 +61,11 @@ def duplicates(df: DataFrame, key: Column, name: str = "normalized_value", min_c
 def exact_duplicates(df: DataFrame, key: Column, aggs: Sequence[Column], min_count: int = 2) -> DataFrame:
     """DQ-07 for long keys (whole texts): groups of rows whose ``key`` is identical.
 
-    Phase 1 groups only a 64-bit hash and the key length, so the shuffle
-    carries 12 bytes per row instead of the text, and finds candidate
-    groups.  Phase 2 keeps the rows of candidate groups (a semi join against
-    a usually small set) and groups those by the full key, so the result is
-    exact - a hash collision can only add a candidate, never merge texts.
+    Rows are grouped by the SHA-256 of the key: one partial aggregate whose
+    shuffle carries 32 bytes per distinct text of a task, never the text, and
+    a text that a third of the rows share is one row per task.
     """
-    keyed = df.withColumns({"_k": key, "_h": F.xxhash64(key), "_len": F.length(key)})
-    cand = (keyed.groupBy("_h", "_len").agg(F.count(F.lit(1)).alias("_n"))
-            .filter(F.col("_n") >= min_count).select("_h", "_len"))
-    dup = keyed.join(cand, ["_h", "_len"], "left_semi")
-    out = dup.groupBy("_k").agg(F.count(F.lit(1)).alias("duplicate_count"), *aggs)
+    out = df.groupBy(F.unhex(F.sha2(key, 256)).alias("_k")).agg(F.count(F.lit(1)).alias("duplicate_count"), *aggs)
     return out.filter(F.col("duplicate_count") >= min_count).drop("_k")
 
 
@@ -131,42 +132,48 @@ def write_audit_publish(spark: SparkSession, df: DataFrame, rules: Mapping[str,
     The corrected rows are written to ``staging_path`` (a new folder; the
     source is never overwritten while it is read), validated with one
     aggregate over the written rows, and only then switched onto
-    ``target_path`` by a file-system rename (no second write of the data;
-    a copy only where the store cannot rename).  A failed check raises and
-    leaves the target as it was (the reference's ROLLBACK).  The only value
-    reaching the driver is the one-row check result.
+    ``target_path``: the old table is renamed aside, the new one renamed in,
+    and the old one deleted last; if the switch fails, the old table is put
+    back and the error raised.  A failed check raises and leaves the target
+    as it was (the reference's ROLLBACK).  ``max_failures`` states how many
+    failures of a check are allowed (None: any number).  Both paths must lie
+    outside the raw layer.  The only value reaching the driver is the one-row
+    check result.
     """
+    guard(staging_path)
+    guard(target_path)
     corrected = correct(df, rules)
     corrected.write.mode("overwrite").parquet(staging_path)
     staged = spark.read.schema(corrected.schema).parquet(staging_path)
     verdict = profile_counts(staged, checks).collect()[0].asDict()
     limits = dict(max_failures or {})
-    bad = {k: v for k, v in verdict.items() if k in checks and v > limits.get(k, 0)}
+    bad = {k: v for k, v in verdict.items() if k in checks and limits.get(k, 0) is not None and v > limits.get(k, 0)}
     if bad:
         raise ValueError(f"write-audit-publish blocked, failing checks: {bad}")
-    if not _switch(spark, staging_path, target_path):
-        staged.write.mode("overwrite").parquet(target_path)
+    _switch(spark, staging_path, target_path)
     return spark.read.schema(corrected.schema).parquet(target_path)
 
 
-def _switch(spark: SparkSession, src: str, dst: str) -> bool:
-    """Publish the validated folder by renaming it onto the target (a metadata move).
-
-    Returns False when the file system cannot rename (the caller then copies).
-    """
+def _switch(spark: SparkSession, src: str, dst: str) -> None:
+    """Publish the validated folder under the target's name; the old table goes last, and comes back on failure."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    new, target, old = path(src), path(dst), path(f"{dst.rstrip('/')}.old-{uuid.uuid4().hex}")
+    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if target.getParent() is not None:
+        fs.mkdirs(target.getParent())
+    had = fs.exists(target)
+    if had and not fs.rename(target, old):
+        raise OSError(f"cannot move the published table aside: {dst}")
     try:
-        jvm = spark.sparkContext._jvm
-        conf = spark.sparkContext._jsc.hadoopConfiguration()
-        s_path, d_path = jvm.org.apache.hadoop.fs.Path(src), jvm.org.apache.hadoop.fs.Path(dst)
-        fs = s_path.getFileSystem(conf)
-        if fs.exists(d_path):
-            fs.delete(d_path, True)
-        parent = d_path.getParent()
-        if parent is not None and not fs.exists(parent):
-            fs.mkdirs(parent)
-        return bool(fs.rename(s_path, d_path))
-    except Exception:  # noqa: BLE001 - any failure falls back to copying
-        return False
+        if not fs.rename(new, target):
+            raise OSError(f"cannot rename {src} to {dst}")
+    except Exception:
+        if had:
+            fs.rename(old, target)
+        raise
+    if had:
+        fs.delete(old, True)
 
 
 # ------------------------------------------------------------------ tests
@@ -200,8 +207,10 @@ def orphans(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str
 
 def test_relationship(child: DataFrame, child_key: str, parent: DataFrame, parent_key: str,
                       name: str | None = None) -> DataFrame:
-    """DQ-21 (count): failures = orphan child rows."""
-    return _test(name or f"{child_key} -> {parent_key}", orphans(child, child_key, parent, parent_key))
+    """DQ-21 (count): failures = orphan child rows, from the counts of the child's keys."""
+    keys = child.groupBy(child_key).agg(F.count(F.lit(1)).alias("_n"))
+    lost = orphans(keys, child_key, parent, parent_key)
+    return lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("failures")).select(F.lit(name or f"{child_key} -> {parent_key}").alias("test_name"), "failures")
 
 
 def test_range(df: DataFrame, col: str, lo, hi, name: str | None = None) -> DataFrame:

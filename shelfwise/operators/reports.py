@@ -189,8 +189,10 @@ def store_mom(m: Model) -> DataFrame:
 
 def growth_mom(m: Model, entity: str = "category_name") -> DataFrame:
     """RP-14: month-over-month % change per product or category (``entity``)."""
-    lines = sales_lines(m, ("product",)) if entity != "product_id" else sales_lines(m)
-    g = lines.groupBy(entity, "sales_month").agg(_r2(F.sum("gross_revenue")).alias("revenue"))
+    g = product_month(m)  # lines are summed before any label is attached
+    if entity != "product_id":
+        g = g.join(m.products.select("product_id", entity), "product_id")
+    g = g.groupBy(entity, "sales_month").agg(_r2(F.sum("revenue")).alias("revenue"))
     d = _mom(g, entity)
     return d.select(entity, "sales_month", F.col("revenue").cast("double").alias("revenue"),
                     F.col("prior_month_revenue").cast("double").alias("prior_month_revenue"), "pct_change")
@@ -230,8 +232,8 @@ def net_revenue(m: Model, refund_scope: str = "all") -> DataFrame:
     """RP-17: gross by sales month, refunds booked in the return month, net.
 
     Months come from the sales side (LEFT JOIN), as the reference does; a
-    refund in a month without sales is therefore not shown (see the
-    reconciliation of refunds in the tests).
+    refund in a month without sales is therefore not shown here but by
+    :func:`unmatched_refunds`.
     """
     gross = (sales_lines(m).groupBy("sales_month").agg(_r2(F.sum("gross_revenue")).alias("gross_revenue")))
     ref = (refunds(m, refund_scope).groupBy("refund_month").agg(_r2(F.sum("refund_amount")).alias("refund_amount")))
@@ -242,6 +244,13 @@ def net_revenue(m: Model, refund_scope: str = "all") -> DataFrame:
                       (F.col("gross_revenue") - refund).cast("double").alias("net_revenue"))
 
 
+def unmatched_refunds(m: Model, refund_scope: str = "all") -> DataFrame:
+    """Refund months that no sales month matches: what RP-17's months leave out, so that its refunds reconcile."""
+    ref = refunds(m, refund_scope).groupBy("refund_month").agg(F.count(F.lit(1)).alias("refund_rows"), F.sum("refund_amount").alias("_f"))
+    months = sales_lines(m).select(F.col("sales_month").alias("refund_month")).distinct()
+    return ref.join(months, "refund_month", "left_anti").select("refund_month", "refund_rows", round_money("_f").alias("refund_amount"))
+
+
 def return_rate(m: Model) -> DataFrame:
     """RP-18: per product - units, revenue, returned rows, refunds and return-row rate %."""
     sold = product_totals(m)
@@ -262,16 +271,26 @@ def inventory_snapshots(m: Model) -> DataFrame:
     quantity shipped that month, ``reorder_point`` is 20 + 10 x (product_id
     mod 5).  Both are deterministic functions of the tables.
     """
-    it = m.items.select("store_id", "product_id", F.trunc(F.to_date("ship_date"), "MM").alias("snapshot_date"),
-                        "quantity")
+    return _snapshots(m.items)
+
+
+def latest_inventory(m: Model) -> DataFrame:
+    """The snapshots of the latest month only: the lines are cut to that month before they are grouped."""
+    latest = m.items.agg(F.trunc(F.max(F.to_date("ship_date")), "MM").alias("_month"))
+    lines = m.items.crossJoin(F.broadcast(latest)).filter(F.to_date("ship_date") >= F.col("_month"))
+    return _snapshots(lines)
+
+
+def _snapshots(items: DataFrame) -> DataFrame:
+    it = items.select("store_id", "product_id", F.trunc(F.to_date("ship_date"), "MM").alias("snapshot_date"), "quantity")
     g = it.groupBy("store_id", "product_id", "snapshot_date").agg(F.sum("quantity").cast("int").alias("on_hand_quantity"))
     return g.withColumn("reorder_point", (F.lit(20) + (F.col("product_id") % 5) * 10).cast("int"))
 
 
 def inventory_risk(m: Model, snapshots: DataFrame | None = None) -> DataFrame:
     """RP-19: store x product below its reorder point in the single latest snapshot."""
-    snaps = snapshots if snapshots is not None else inventory_snapshots(m)
-    latest = J.latest(snaps, "snapshot_date").filter(F.col("on_hand_quantity") < F.col("reorder_point"))
+    latest = J.latest(snapshots, "snapshot_date") if snapshots is not None else latest_inventory(m)
+    latest = latest.filter(F.col("on_hand_quantity") < F.col("reorder_point"))
     out = (latest.join(m.stores.select("store_id", "store_name"), "store_id")
            .join(m.products.select("product_id", "product_name"), "product_id"))
     return out.select("store_id", "store_name", "product_id", "product_name", "snapshot_date", "on_hand_quantity",
@@ -398,8 +417,8 @@ def daily_performance(m: Model) -> DataFrame:
 
 def category_month_band(m: Model, bands=((600000, "High"), (300000, "Medium")), else_: str = "Low") -> DataFrame:
     """RP-30: month x category revenue with a CASE band over the aggregate."""
-    g = (sales_lines(m, ("product",)).groupBy("sales_month", "category_name")
-         .agg(F.sum("gross_revenue").alias("_r")))
+    pm = product_month(m).join(m.products.select("product_id", "category_name"), "product_id")
+    g = pm.groupBy("sales_month", "category_name").agg(F.sum("revenue").alias("_r"))
     return g.select("sales_month", "category_name", round_money("_r").alias("revenue"),
                     _band("_r", list(bands), else_).alias("revenue_band"))
 
@@ -456,27 +475,39 @@ def category_shortlist(m: Model, start: str, end: str, min_units: int, min_reven
 
 
 def customer_fields(m: Model, as_of: str, accepted: Sequence[str]) -> DataFrame:
-    """RP-37: cleaned name, normalised segment ('Unknown' otherwise), first order and tenure at ``as_of``."""
+    """RP-37: cleaned name, normalised segment ('Unknown' otherwise), first order and tenure at ``as_of``.
+
+    Where the customers have an email and a birth date: the cleaned email, its quality and the age as well.
+    """
     from shelfwise.functions.metrics import normalize_tier
+    from shelfwise.operators.quality import email_quality
     first = m.orders.groupBy("customer_id").agg(F.min(F.to_date("order_date")).alias("first_order_date"))
     c = m.customers.join(first, "customer_id", "left")
+    contact = []
+    if "email" in m.customers.columns:  # models with contact data also give the cleaned email and its quality
+        contact += [F.lower(F.trim("email")).alias("clean_email"), email_quality("email").alias("email_quality")]
+    if "birth_date" in m.customers.columns:
+        contact.append(F.expr(f"timestampdiff(YEAR, birth_date, DATE'{as_of}')").alias("age_years"))
     return c.select("customer_id", F.trim("customer_name").alias("clean_name"),
                     normalize_tier("segment", "Unknown", accepted).alias("normalized_segment"), "first_order_date",
-                    F.expr(f"timestampdiff(YEAR, first_order_date, DATE'{as_of}')").alias("tenure_years"))
+                    F.expr(f"timestampdiff(YEAR, first_order_date, DATE'{as_of}')").alias("tenure_years"), *contact)
 
 
-def net_by_dimensions(m: Model, dims: Sequence[str] = ("sales_month", "region_name", "department"),
-                      returned_flag: str = "R") -> DataFrame:
-    """RP-38: net sales (gross minus the refund of the same item) by any dimensions.
+def net_by_dimensions(m: Model, dims: Sequence[str] = ("sales_month", "region_name", "department")) -> DataFrame:
+    """RP-38: net sales (gross minus the refunds of the same item) by any dimensions.
 
-    A returned line's refund is its own revenue in the driver mapping, so the
-    refund is taken from the line itself - no second pass over returns.
+    Where items carry their refund (the driver mapping: a returned line's own
+    revenue) it is taken from the line.  Otherwise refunds are summed per item
+    and joined on the item key, so several returns of an item count once each.
     """
     need = tuple(x for x, cols in (("store", ("region_name", "store_name", "store_id", "city")),
                                    ("product", ("department", "category_name", "product_name")))
                  if any(d in cols for d in dims))
     lines = sales_lines(m, need)
-    refund = F.when(F.col("return_flag") == returned_flag, F.col("gross_revenue")).otherwise(F.lit(0))
+    if "item_refund" not in lines.columns:
+        per_item = m.returns.groupBy("order_item_id").agg(F.sum("refund_amount").alias("item_refund"))
+        lines = lines.join(per_item, "order_item_id", "left")
+    refund = F.coalesce(F.col("item_refund"), F.lit(0))
     g = lines.groupBy(*dims).agg(F.count_distinct("order_id").alias("completed_orders"),
                                  F.sum("quantity").cast("bigint").alias("units_sold"),
                                  F.sum("gross_revenue").alias("_g"), F.sum(refund).alias("_f"))

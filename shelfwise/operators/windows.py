@@ -74,12 +74,15 @@ def prefix_sum(df: DataFrame, value: Column | str | dict, order: Sequence, by: S
     ``value`` may be a dict ``{output name: column}`` to run several sums in
     one scan.  ``frame="rows"`` needs ``order`` to be a total order inside a
     key (add a unique tiebreaker); ``frame="range"`` gives peers (ties) the
-    same total, the SQL default frame (T12).  Equal (key, order) values always
-    land in the same range partition, so peers are never split.
+    same total, the SQL default frame (T12): peers are first summed to one row
+    per (key, order value), those rows are scanned, and the totals join back,
+    so no task holds all peers of one value.
     """
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     values = value if isinstance(value, dict) else {out: value}
+    if frame == "range":
+        return _range_sum(df, values, order, by, n)
     vcols = {f"_v{i}": (name, _c(v)) for i, (name, v) in enumerate(values.items())}
     order_cols = [_c(o) for o in order]
     sort_keys = [F.col(b) for b in by] + order_cols
@@ -91,9 +94,7 @@ def prefix_sum(df: DataFrame, value: Column | str | dict, order: Sequence, by: S
     # surviving executor loss) fixes one assignment for both readers.
     ensure_checkpoint_dir(spark)
     parted = parted.checkpoint(eager=True)
-    w = Window.partitionBy("_pid", *by).orderBy(*order_cols)
-    w = w.rowsBetween(Window.unboundedPreceding, Window.currentRow) if frame == "rows" else \
-        w.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    w = Window.partitionBy("_pid", *by).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     local = parted.withColumns({f"_l{k}": F.sum(k).over(w) for k in vcols})
     totals = local.groupBy("_pid", *by).agg(*[F.sum(k).alias(f"_s{k}") for k in vcols])
     wo = Window.partitionBy(*by).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -104,6 +105,18 @@ def prefix_sum(df: DataFrame, value: Column | str | dict, order: Sequence, by: S
     return res.drop("_pid", *vcols, *[f"_l{k}" for k in vcols], *[f"_o{k}" for k in vcols])
 
 
+def _range_sum(df: DataFrame, values: dict, order: Sequence, by: Sequence[str], n: int) -> DataFrame:
+    """Running sums shared by peers, from one row per (key, order value)."""
+    names = [*by, *[o for o in order if isinstance(o, str)]]
+    if len(names) != len(by) + len(order):
+        raise ValueError("frame='range' orders by column names")
+    peers = df.groupBy(*names).agg(*[F.sum(_c(v)).alias(name) for name, v in values.items()])
+    scanned = prefix_sum(peers, {f"_run_{name}": F.coalesce(F.col(name), F.lit(0)) for name in values}, list(order), by, "rows", partitions=n)
+    right = scanned.select(*[F.col(c).alias(f"_peer_{c}") for c in names], *[F.col(f"_run_{name}").alias(name) for name in values])
+    cond = [df[c].eqNullSafe(right[f"_peer_{c}"]) for c in names]
+    return df.join(right, cond).drop(*[f"_peer_{c}" for c in names])
+
+
 def running(df: DataFrame, measure: str, order: Sequence, by: Sequence[str] = (), frame: str = "rows",
             out: str = "running_total", bounded: bool = False) -> DataFrame:
     """WN-03 (ROWS) / WN-04 (RANGE, ties share the total) running totals.
@@ -122,23 +135,12 @@ def running(df: DataFrame, measure: str, order: Sequence, by: Sequence[str] = ()
 
 def number(df: DataFrame, order: Sequence, by: Sequence[str] = (), out: str = "row_num") -> DataFrame:
     """WN-05: ROW_NUMBER as a distributed running count (``order`` must be total)."""
-    return prefix_sum(df, F.lit(1), order, by, "rows", out).withColumn(out, F.col(out).cast("int"))
+    return prefix_sum(df, F.lit(1), order, by, "rows", out).withColumn(out, F.col(out).cast("bigint"))
 
 
 # ------------------------------------------------------------------ ranks
 
 
-def ranks(df: DataFrame, order: Sequence, by: Sequence[str] = (), tiebreak: Sequence = ()) -> DataFrame:
-    """WN-06/07/17: RANK, DENSE_RANK and a stable position (ROW_NUMBER).
-
-    Used on aggregated inputs (one row per product/store/day).
-    """
-    w = Window.partitionBy(*by).orderBy(*[_c(o) for o in order]) if by else Window.orderBy(*[_c(o) for o in order])
-    wp = (Window.partitionBy(*by) if by else Window).orderBy(*[_c(o) for o in list(order) + list(tiebreak)])
-    return (df.withColumn("rank", F.rank().over(w)).withColumn("dense_rank", F.dense_rank().over(w))
-            .withColumn("position", F.row_number().over(wp)))
-
-
 def top_n(df: DataFrame, by: Sequence[str], order: Sequence, n: int, ties: bool = False,
           out: str = "rank_in_group") -> DataFrame:
     """WN-08 (ROW_NUMBER, single winner) / WN-09 (DENSE_RANK, keeps ties).
@@ -218,11 +220,14 @@ def dist_ranks(df: DataFrame, order_col: str, by: Sequence[str] = (), descending
     o = F.col(order_col).desc_nulls_last() if descending else F.col(order_col).asc_nulls_first()
     if bounded:
         w = (Window.partitionBy(*by) if by else Window).orderBy(o)
-        return df.withColumn(rank_out, F.rank().over(w)).withColumn(dense_out, F.dense_rank().over(w))
+        return df.withColumn(rank_out, F.rank().over(w).cast("bigint")).withColumn(dense_out, F.dense_rank().over(w).cast("bigint"))
+    # the input is read twice below: computed once, it is a row per entity
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.checkpoint()
     vals = df.groupBy(*by, order_col).agg(F.count(F.lit(1)).alias("_n"))
     vals = prefix_sum(vals, {"_cum": F.col("_n"), "_dense": F.lit(1)}, [o], by, "rows")
-    vals = vals.select(*by, order_col, (F.col("_cum") - F.col("_n") + 1).cast("int").alias(rank_out),
-                       F.col("_dense").cast("int").alias(dense_out))
+    vals = vals.select(*by, order_col, (F.col("_cum") - F.col("_n") + 1).cast("bigint").alias(rank_out),
+                       F.col("_dense").cast("bigint").alias(dense_out))
     # eqNullSafe keeps rows whose value is NULL (they get the NULL value's rank).
     keys = [*by, order_col]
     r = vals.select(*[F.col(c).alias(f"_r_{c}") for c in keys], rank_out, dense_out)

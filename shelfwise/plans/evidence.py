@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.sources.raw import guard
+
 FACT_KEYS = ("PushedFilters", "PartitionFilters", "ReadSchema", "Join type", "Join condition", "Location")
 
 PLAN_FACT_SCHEMA = T.StructType([
@@ -84,20 +86,19 @@ def exchanges(df: DataFrame) -> int:
     return sum(1 for _i, n, f, _v in parse_plan(plan_text(df)) if f is None and n.startswith("Exchange"))
 
 
-def compare_filters(a: DataFrame, b: DataFrame) -> dict[str, list[str]]:
-    """PF-02: pushed filters of two formulations of the same question."""
-    return {"a": pushed_filters(a), "b": pushed_filters(b)}
-
-
 def same_rows(a: DataFrame, b: DataFrame) -> DataFrame:
-    """PF-06: one row proving two results are identical multisets (EXCEPT ALL both ways)."""
-    ca = a.agg(F.count(F.lit(1)).alias("a_rows"))
-    cb = b.agg(F.count(F.lit(1)).alias("b_rows"))
-    oa = a.exceptAll(b).agg(F.count(F.lit(1)).alias("only_in_a"))
-    ob = b.exceptAll(a).agg(F.count(F.lit(1)).alias("only_in_b"))
-    out = ca.crossJoin(cb).crossJoin(oa).crossJoin(ob)
-    return out.withColumn("same_rows", (F.col("only_in_a") == 0) & (F.col("only_in_b") == 0)
-                          & (F.col("a_rows") == F.col("b_rows")))
+    """PF-06: one row proving two results are identical multisets.
+
+    Rows of both are counted per distinct row in one group (NULLs equal), so
+    each side is read once; what one side has more of is only in that side.
+    """
+    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    both = a.withColumns({"_a": one, "_b": none}).unionByName(b.withColumns({"_a": none, "_b": one}))
+    per_row = both.groupBy(*a.columns).agg(F.sum("_a").alias("_a"), F.sum("_b").alias("_b"))
+    more = lambda x, y: F.coalesce(F.sum(F.greatest(F.col(x) - F.col(y), F.lit(0))), F.lit(0)).cast("bigint")
+    out = per_row.agg(F.coalesce(F.sum("_a"), none).alias("a_rows"), F.coalesce(F.sum("_b"), none).alias("b_rows"),
+                      more("_a", "_b").alias("only_in_a"), more("_b", "_a").alias("only_in_b"))
+    return out.withColumn("same_rows", (F.col("only_in_a") == 0) & (F.col("only_in_b") == 0))
 
 
 def write_layout(df: DataFrame, path: str, partition_by: Sequence[str], sort_by: Sequence[str],
@@ -108,6 +109,7 @@ def write_layout(df: DataFrame, path: str, partition_by: Sequence[str], sort_by:
     the write, so no task gets a whole hot partition value and each file is
     sorted (tight min/max statistics for row-group skipping).
     """
+    guard(path)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = [*partition_by, *sort_by]
     (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -123,7 +125,17 @@ def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str)
     """PF-05: the re-aimed join-key index - a bucketed, sorted table at ``path``.
 
     Two tables bucketed the same way on the join key join without an
-    exchange on either side.
+    exchange on either side.  Rows are dealt by the key first, so each bucket
+    is one file, not one per task.  :func:`drop_bucketed` removes the table.
     """
-    (df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table))
+    guard(path)
+    (df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table))
     return df.sparkSession.table(table)
+
+
+def drop_bucketed(spark: SparkSession, table: str) -> None:
+    """Forget a bucketed table and delete its folder."""
+    at = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()["data_type"]
+    spark.sql(f"DROP TABLE {table}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -40,12 +40,14 @@ def local_session(cores: int | str = "*", app: str = "shelfwise", extra: dict |
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder; set a scratch one only if unset."""
+    """Return the shared checkpoint folder; a local master without one gets a scratch folder, a cluster an error."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     path = tempfile.mkdtemp(prefix="shelfwise-ckpt-")
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

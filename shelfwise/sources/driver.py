@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.sources.raw import protect
+
 _L, _I, _D, _S, _TS = T.LongType(), T.IntegerType(), T.DoubleType(), T.StringType(), T.TimestampNTZType()
 
 
@@ -32,6 +34,10 @@ SCHEMAS: dict[str, T.StructType] = {
     "events": _schema(("event_id", _L), ("ts", _TS), ("user_id", _L), ("event_type", _S), ("value", _D), ("props", _S)),
     "documents": _schema(("doc_id", _L), ("text", _S), ("lang", _S), ("source", _S), ("n_chars", _L)),
     "labels": _schema(("doc_id", _L), ("quality", _I), ("toxic", _I)),
+    "embeddings": _schema(("vec_id", _L), ("embedding", T.ArrayType(T.FloatType())), ("label", _I)),
+    "pages": _schema(("page_id", _L), ("url", _S), ("html", _S)),
+    "benchmark": _schema(("item_id", _L), ("text", _S)),
+    "conversations": _schema(("conv_id", _L), ("turn", _L), ("role", _S), ("text", _S)),
 }
 
 # Key columns per table (the declared grain).  ``lineitem`` has no unique key
@@ -47,6 +53,10 @@ KEYS: dict[str, tuple[str, ...]] = {
     "events": ("event_id",),
     "documents": ("doc_id",),
     "labels": ("doc_id",),
+    "embeddings": ("vec_id",),
+    "pages": ("page_id",),
+    "benchmark": ("item_id",),
+    "conversations": ("conv_id", "turn"),
 }
 
 TABLE_NAMES = tuple(SCHEMAS)
@@ -58,6 +68,7 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        protect(self.root)
         self._cache: dict[str, DataFrame] = {}
 
     def path(self, name: str) -> str:
@@ -65,14 +76,11 @@ class Tables:
 
     def table(self, name: str) -> DataFrame:
         if name not in self._cache:
-            reader = self.spark.read
-            if name in SCHEMAS:
-                reader = reader.schema(SCHEMAS[name])
-            self._cache[name] = reader.parquet(self.path(name))
+            self._cache[name] = self.spark.read.schema(SCHEMAS[name]).parquet(self.path(name))
         return self._cache[name]
 
     def __getattr__(self, name: str) -> DataFrame:
-        if name.startswith("_"):
+        if name.startswith("_") or name not in SCHEMAS:
             raise AttributeError(name)
         return self.table(name)
 
@@ -94,6 +102,7 @@ def scan_tables(t: Tables, names: tuple[str, ...] = TABLE_NAMES) -> DataFrame:
 SQL_TYPE_NAMES = {
     "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
     "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE", "date": "DATE", "boolean": "BOOLEAN",
+    "array<float>": "FLOAT[]",
 }
 
 

@@ -1,7 +1,7 @@
 """Layers and sinks (SRC-05..SRC-10): raw -> staging -> clean, logs, exports.
 
-Raw inputs are never written: every writer refuses a target inside the
-raw folder.  Targets live in the shared folder named by
+Raw inputs are never written: every writer refuses a target inside a raw
+folder (:mod:`shelfwise.sources.raw`).  Targets live in the shared folder named by
 ``spark.checkpoint.dir`` (see :func:`shelfwise.session.scratch_dir`).
 """
 
@@ -14,19 +14,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfwise.sources.driver import sql_type_name
-
-RAW_ROOTS: list[str] = ["/root/testdata"]
-
-
-def _guard(path: str) -> None:
-    for raw in RAW_ROOTS:
-        if path.rstrip("/").startswith(raw.rstrip("/")):
-            raise ValueError(f"refusing to write into the raw layer: {path}")
-
+from shelfwise.sources.raw import guard
 
 def stage(df: DataFrame, path: str) -> DataFrame:
     """SRC-05: CREATE TABLE ... AS SELECT * (a full copy), read back."""
-    _guard(path)
+    guard(path)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -38,7 +30,7 @@ def build_clean(df: DataFrame, rules: Mapping[str, Column], path: str) -> DataFr
 
 def append(df: DataFrame, path: str) -> None:
     """SRC-07: INSERT ... SELECT (append rows to an existing table)."""
-    _guard(path)
+    guard(path)
     df.write.mode("append").parquet(path)
 
 
@@ -67,7 +59,7 @@ def describe_with_rows(df: DataFrame) -> DataFrame:
 
 def export(df: DataFrame, path: str, fmt: str = "csv") -> DataFrame:
     """SRC-10: save a result supporting a finding; returns it read back with its schema."""
-    _guard(path)
+    guard(path)
     w = df.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", True).csv(path)

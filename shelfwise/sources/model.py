@@ -94,7 +94,8 @@ def items(t: Tables) -> DataFrame:
         F.col("l_quantity").alias("quantity"), F.col("l_extendedprice").alias("unit_price"),
         F.col("l_discount").alias("discount"),
         net_line_revenue("l_extendedprice", "l_discount").alias("gross_revenue"),
-        F.col("l_returnflag").alias("return_flag"), F.col("l_shipdate").alias("ship_date"))
+        F.col("l_returnflag").alias("return_flag"), F.col("l_shipdate").alias("ship_date"),
+        F.when(F.col("l_returnflag") == RETURNED, net_line_revenue("l_extendedprice", "l_discount")).alias("item_refund"))
 
 
 def returns(t: Tables) -> DataFrame:
@@ -153,15 +154,16 @@ def from_retail_tables(orders: DataFrame, order_items: DataFrame, stores: DataFr
                           (F.col("city") if "city" in customers.columns else F.lit(None).cast("string")).alias("city"),
                           (F.col("loyalty_tier") if "loyalty_tier" in customers.columns
                            else F.lit(None).cast("string")).alias("segment"),
-                          F.lit(None).cast("double").alias("balance"))
+                          F.lit(None).cast("double").alias("balance"),
+                          *[F.col(c) for c in ("email", "phone", "birth_date") if c in customers.columns])
     od = orders.select("order_id", "customer_id", F.col("order_date").cast("timestamp_ntz").alias("order_date"),
                        (F.col("channel") if "channel" in orders.columns else F.lit(None).cast("string")).alias("channel"),
                        "status", F.lit(None).cast("double").alias("order_total"))
     if returns is None:
-        rt = spark.createDataFrame([], "order_id int, product_id int, store_id int, return_date date, "
+        rt = spark.createDataFrame([], "order_item_id int, order_id int, product_id int, store_id int, return_date date, "
                                        "refund_amount decimal(9,2)")
     else:
         rt = (returns.join(items_.select("order_item_id", "order_id", "product_id", "store_id"), "order_item_id")
-              .select("order_id", "product_id", "store_id", "return_date", "refund_amount"))
+              .select("order_item_id", "order_id", "product_id", "store_id", "return_date", "refund_amount"))
     return Model(orders=od, items=items_, stores=st, products=pr, customers=cu, returns=rt, regions=regions,
                  completed=completed)

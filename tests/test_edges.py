@@ -110,7 +110,7 @@ def test_orphan_child_key(spark):
 
 def test_price_zero_is_valid_null_is_not(spark):  # B2
     df = spark.createDataFrame([(1, Decimal("0.00")), (1, None), (0, Decimal("1.00"))], "quantity int, unit_price decimal(9,2)")
-    assert [r[0] for r in df.select(B.valid_item()).collect()] == [True, False, False]
+    assert [r[0] for r in df.select(B.holds(B.valid_item())).collect()] == [True, False, False]
 
 
 def test_attach_scalar_rejects_a_benchmark_with_two_rows(spark):
@@ -156,9 +156,36 @@ def test_range_attribute_keeps_gaps(spark):
 
 def test_layers_refuse_raw_targets(spark):
     from shelfwise.sources import layers as L
+    from shelfwise.plans import evidence as P
+    from shelfwise.sources import raw
+    from shelfwise.sources.driver import load
+    load(spark, "/root/testdata/sf0.001")  # what tables are loaded from is raw
     df = spark.createDataFrame([(1,)], "x int")
-    with pytest.raises(ValueError):
-        L.stage(df, "/root/testdata/sf0.001/x.parquet")
+    for target in ("/root/testdata/sf0.001/x.parquet", "file:///root/testdata/sf0.001", "/root/testdata/../testdata/sf0.001/a"):
+        for write in (lambda p: L.stage(df, p), lambda p: L.export(df, p), lambda p: P.write_layout(df, p, ["x"], []),
+                      lambda p: P.write_bucketed(df, "shelfwise_never", p, 2, "x"),
+                      lambda p: Q.write_audit_publish(spark, df, {}, {"no": F.lit(False)}, "/tmp/shelfwise-never", p)):
+            with pytest.raises(ValueError, match="raw layer"):
+                write(target)
+    raw.guard("/root/testdata/sf0.0011/x")  # another folder whose name begins alike
+
+
+def test_publish_keeps_the_old_table_when_the_switch_fails(spark, tmp_path, monkeypatch):
+    rules, checks, target = {}, {"never": F.lit(False)}, str(tmp_path / "t")
+    Q.write_audit_publish(spark, spark.range(3), rules, checks, str(tmp_path / "s1"), target)
+    got = Q.write_audit_publish(spark, spark.range(5), rules, checks, str(tmp_path / "s2"), target)
+    assert got.count() == 5 and [p.name for p in tmp_path.iterdir()] == ["t"]
+    with pytest.raises(Exception):
+        Q._switch(spark, str(tmp_path / "missing"), target)
+    assert spark.read.parquet(target).count() == 5
+
+
+def test_range_total_splits_peers(spark):
+    from shelfwise.operators import windows as W
+    df = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id % 11 END AS o", "1 AS v")
+    got = {(r["id"], r["t"]) for r in W.running(df, "v", ["o"], frame="range", out="t").select("id", "t").collect()}
+    want = {(r["id"], r["t"]) for r in df.selectExpr("id", "SUM(v) OVER (ORDER BY o) AS t").collect()}
+    assert got == want
 
 
 def test_write_audit_publish_blocks_failing_checks(spark, tmp_path):
@@ -189,15 +216,15 @@ def test_not_in_three_valued_logic(spark):
     assert sorted(r.k for r in sql) == [2]
 
 
-def test_range_join_fallback_matches_broadcast(spark):
+def test_range_join_equals_the_plain_condition(spark):
     from shelfwise.sources.literals import promotions
     days = spark.range(0, 3000).select(F.date_add(F.lit("1995-01-01").cast("date"), F.col("id").cast("int")).alias("d"))
     promos = promotions(spark)
-    small = J.range_attribute(days, "d", promos)
-    big = J.range_attribute(days, "d", promos, max_broadcast_bytes=0)  # force the bucketed path
+    got = J.range_attribute(days, "d", promos)
+    plain = days.join(F.broadcast(promos), (F.col("d") >= F.col("start_date")) & (F.col("d") <= F.col("end_date")), "left")
     cols = ["d", "promotion_id"]
-    assert sorted(small.select(*cols).collect()) == sorted(big.select(*cols).collect())
-    assert big.filter(F.col("promotion_id").isNotNull()).count() == 46 + 61 + 27 + 42 + 30
+    assert sorted(got.select(*cols).collect(), key=str) == sorted(plain.select(*cols).collect(), key=str)
+    assert got.filter(F.col("promotion_id").isNotNull()).count() == 46 + 61 + 27 + 42 + 30
 
 
 def test_ratio_half_up_is_exact(spark):
@@ -230,7 +257,43 @@ def test_literal_rows_keep_values_and_are_small(spark):
     df = rows(spark, schema, data)
     assert df.schema.fieldNames() == ["s", "d", "x", "b"] and [f.dataType for f in df.schema] == [f.dataType for f in schema]
     assert [tuple(r) for r in df.collect()] == data
-    assert J.broadcast_if_small(promotions(spark)) is not None
+    assert "LocalTableScan" in P_plan(promotions(spark))
+
+
+def P_plan(df):
+    from shelfwise.plans.evidence import plan_text
+    return plan_text(df)
+
+
+def test_range_join_has_one_plan_and_ignores_bad_periods(spark):
+    days = spark.createDataFrame([(dt.date(2024, 1, 31),), (dt.date(2024, 2, 1),), (dt.date(2025, 5, 5),), (None,)], "day date")
+    periods = spark.createDataFrame(
+        [("a", dt.date(2024, 1, 15), dt.date(2024, 2, 10)), ("inverted", dt.date(2024, 3, 1), dt.date(2024, 1, 1)),
+         ("open", dt.date(2024, 1, 1), None)], "name string, start_date date, end_date date")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        for limit in ("100MB", "-1", before):
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+            got = {(r["day"], r["name"]) for r in J.range_attribute(days, "day", periods).collect()}
+            assert got == {(dt.date(2024, 1, 31), "a"), (dt.date(2024, 2, 1), "a"), (dt.date(2025, 5, 5), None), (None, None)}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_above_mean_of_very_large_sums(spark):
+    from shelfwise.functions.metrics import above_mean, diff_from_mean_half_up
+    rows = [(Decimal("9000000000000.12345678"), Decimal("9000000000001.00000000"), 2), (Decimal("2000000000000"), Decimal("9e15"), 2400)]
+    df = spark.createDataFrame(rows, "x decimal(30,8), s decimal(30,8), n bigint")
+    got = df.select(above_mean("x", "s", "n").alias("a"), diff_from_mean_half_up("x", "s", "n").alias("d")).collect()
+    assert [r["a"] for r in got] == [True, False]
+    assert [r["d"] for r in got] == [float(round(x - s / n, 2)) for x, s, n in rows]
+
+
+def test_scalar_of_two_rows_raises(spark):
+    two = spark.createDataFrame([(1,), (2,)], "b int")
+    with pytest.raises(Exception, match="exactly one row"):
+        J.attach_scalar(spark.range(3), two).collect()
+    assert J.attach_scalar(spark.range(3), two.limit(1)).count() == 3
 
 
 def test_exact_duplicates_two_phase(spark):

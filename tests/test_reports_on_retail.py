@@ -62,6 +62,41 @@ def test_report_runs_on_retail_schema(retail, rid):
     assert n > 0 or rid == "RP-24"  # every generated product sells in the period
 
 
+def test_net_by_dimensions_refunds_equal_those_of_valid_completed_items(retail):
+    t, m = retail
+    items = t["order_items"].filter("quantity > 0 AND unit_price >= 0")
+    done = t["orders"].filter("status = 'completed'").select("order_id")
+    kept = items.join(done, "order_id", "left_semi").select("order_item_id")
+    want = t["returns"].join(kept, "order_item_id", "left_semi").agg({"refund_amount": "sum"}).first()[0]
+    got = rp.net_by_dimensions(m, ("sales_month", "region_name", "department")).collect()
+    assert want > 0 and abs(sum(r["refund_amount"] for r in got) - float(want)) < 0.01
+    gross = {r["sales_month"]: r["gross_revenue"] for r in rp.monthly_kpis(m).collect()}
+    for month in gross:
+        mine = [r for r in got if r["sales_month"] == month]
+        assert abs(sum(r["gross_revenue"] for r in mine) - gross[month]) < 0.05
+        assert all(abs(r["gross_revenue"] - r["refund_amount"] - r["net_revenue"]) < 0.011 for r in mine)
+
+
+def test_refunds_reconcile(retail):
+    t, m = retail
+    shown = sum(r["refund_amount"] for r in rp.net_revenue(m).collect())
+    rest = sum(r["refund_amount"] for r in rp.unmatched_refunds(m).collect())
+    total = t["returns"].agg({"refund_amount": "sum"}).first()[0]
+    assert abs(shown + rest - float(total)) < 0.01
+
+
+def test_customer_fields_with_contact_data(retail):
+    t, m = retail
+    src = {r["customer_id"]: r for r in t["customers"].collect()}
+    got = rp.customer_fields(m, "2026-07-01", ("gold", "silver", "bronze"))
+    assert {"clean_email", "email_quality"} <= set(got.columns) or "email" not in t["customers"].columns
+    if "email" in t["customers"].columns:
+        for r in got.collect():
+            e = src[r["customer_id"]]["email"]
+            assert r["clean_email"] == (e.strip(" ").lower() if e is not None else None)
+            assert r["email_quality"] == ("missing email" if e is None or not e.strip(" ") else "usable email" if "@" in e and "." in e.split("@", 1)[1] else "invalid email")
+
+
 def test_inventory_priority_on_retail_schema(retail):
     t, m = retail
     pr = rp.inventory_priority(m, t["inventory_snapshots"])
