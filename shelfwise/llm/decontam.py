@@ -17,19 +17,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import row_struct
-from shelfwise.llm.text import lower_points, mix, slices
+from shelfwise.llm.text import lower_points, slices
 
 #: Benchmark characters that one index may hold; a larger benchmark is searched in several indexes.
 INDEX_CHARS = 8_000_000
 FILTER_BITS = 21
+#: Bands are first counted in so many hashed bins.
+COUNT_BITS = 18
+
+
+_PLAIN: list[np.ndarray] = []
+
+
+def _plain() -> np.ndarray:
+    """Code point -> lower case, white space -> a space."""
+    if not _PLAIN:
+        out = lower_points().copy()
+        out[9:14] = 32
+        _PLAIN.append(out)
+    return _PLAIN[0]
 
 
 def normalised(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Lower-cased characters with white space runs as one space, the rows' offsets, and each one's place in its text."""
-    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), "<u4").astype(np.uint32)
+    points = np.frombuffer(data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), "<u4")
     heads = np.append(0, np.cumsum((data & 0xC0) != 0x80))[offs]
-    space = (points == 32) | ((points >= 9) & (points <= 13))
-    points = np.where(space, np.uint32(32), lower_points()[points])
+    points = _plain()[points]
+    space = points == 32
     keep = ~space
     keep[1:] |= ~space[:-1]
     keep[heads[:-1][heads[:-1] < len(keep)]] = True
@@ -39,14 +53,20 @@ def normalised(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def qgrams(chars: np.ndarray, q: int) -> np.ndarray:
-    """A fingerprint of the q characters from each place on (meaningless for the last q - 1)."""
-    n = len(chars) - q + 1
-    if n < 1:
+    """A fingerprint of the q characters from each place on; halves are combined, so log2(q) passes make it."""
+    if len(chars) < q:
         return np.zeros(0, np.uint64)
-    key = np.zeros(n, np.uint64)
-    for j in range(q):
-        key = key * np.uint64(0x9E3779B97F4A7C15) + chars[j: j + n]
-    return mix(key)
+    if q == 1:
+        return (chars.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    half = q // 2
+    left = qgrams(chars, half)
+    right = left if q == 2 * half else qgrams(chars, q - half)
+    n = len(chars) - q + 1
+    out = left[:n] * np.uint64(0xD1342543DE82EF95 + 2 * q)
+    out += right[half: half + n]
+    out ^= out >> np.uint64(29)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    return out
 
 
 class Index:
@@ -73,40 +93,60 @@ class Index:
         self.keys, self.first = np.unique(key[order], return_index=True)
         self.first = np.append(self.first, len(key))
         self.item, self.at = item[order], at[order]
+        # keys are sorted by their leading bits, so those of one slot are neighbours
+        slot = (self.keys >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
         self.seen = np.zeros(1 << FILTER_BITS, bool)
-        self.seen[self.keys >> np.uint64(64 - FILTER_BITS)] = True
+        self.seen[slot] = True
+        self.slot = np.searchsorted(slot, np.arange((1 << FILTER_BITS) + 1)).astype(np.int32)
+        self.deepest = int(np.diff(self.slot).max(initial=0))
         self.longest = int(m.max(initial=0))
         #: bands overlap by half: any 2 * budget + 1 neighbouring diagonals lie in one of them
         self.half = 2 * self.budget + 1
+        self.step = 1.0 / self.half
 
     def candidates(self, chars: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, item, first diagonal of a band) where a band holds enough shared q-grams; diagonals count from the row's start."""
-        key = qgrams(chars, self.q)
-        hit = np.flatnonzero(self.seen[key >> np.uint64(64 - FILTER_BITS)])
         none = np.zeros(0, np.int64)
+        key = qgrams(chars, self.q)
+        slot = key >> np.uint64(64 - FILTER_BITS)
+        hit = np.flatnonzero(self.seen[slot])
         if not len(hit) or not len(self.keys):
             return none, none, none
-        k = np.searchsorted(self.keys, key[hit])
-        k[k == len(self.keys)] = 0
-        good = self.keys[k] == key[hit]
+        want, slot = key[hit], slot[hit]
+        k, last = self.slot[slot], self.slot[slot + np.uint64(1)] - 1
+        for _ in range(self.deepest - 1):
+            k = np.where((self.keys[k] != want) & (k < last), k + 1, k)
+        good = self.keys[k] == want
         row = np.searchsorted(offs, hit, "right") - 1
         good &= hit + self.q <= offs[row + 1]
         hit, k, row = hit[good], k[good], row[good]
         if not len(hit):
             return none, none, none
         count = self.first[k + 1] - self.first[k]
-        within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-        post = np.repeat(self.first[k], count) + within
-        item, row, hit = self.item[post], np.repeat(row, count), np.repeat(hit, count)
-        diagonal = hit - offs[row] - self.at[post] + self.longest  # never negative
-        band = diagonal // self.half[item]
-        # rows x items x bands in one integer; each diagonal lies in the band that starts at its half-step and in the one before
+        post = np.arange(int(count.sum()))
+        post += np.repeat(self.first[k] - (np.cumsum(count) - count), count)
+        item = self.item[post]
+        # counted from the row's start and never negative; a band starts at every half width
+        diagonal = np.repeat(hit - offs[row] + self.longest, count) - self.at[post]
+        band = ((diagonal + 0.5) * self.step[item]).astype(np.int64)
         wide = int(chars.size + 2 * self.longest + 4)
-        one = (row * len(self.items) + item) * wide + band
-        value, n = np.unique(np.concatenate([one, one - 1]), return_counts=True)
+        # rows x items x bands in one integer; a diagonal lies in the band that starts at its half step and in the one before
+        one = np.repeat(row * len(self.items), count)
+        one += item
+        one *= wide
+        one += band + 1
+        # hashed counts never fall short of a band's own, so bands that stay below the bound are gone before anything is sorted
+        small = ((one.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+        before = (((one - 1).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
+        total = np.bincount(small, minlength=1 << COUNT_BITS) + np.bincount(before, minlength=1 << COUNT_BITS)
+        least = self.least[item]
+        here, also = total[small] >= least, total[before] >= least
+        at = self.at[post]
+        # a place of the benchmark text counts once, however often its q-gram stands in the band
+        pair = np.unique(np.concatenate([one[here], one[also] - 1]) * (self.longest + 1) + np.concatenate([at[here], at[also]]))
+        value, n = np.unique(pair // (self.longest + 1), return_counts=True)
         rest, band = np.divmod(value, wide)
-        band = np.where(band == wide - 1, -1, band)  # the band before the first
-        rest = rest + (band < 0)
+        band -= 1
         row, item = np.divmod(rest, len(self.items))
         ok = n >= self.least[item]
         row, item, band = row[ok], item[ok], band[ok]
@@ -135,7 +175,14 @@ def banded(item: np.ndarray, texts: list[np.ndarray], budget: int) -> list[tuple
     at = cols - budget
     cell = np.where((at >= 0)[None, :] & (at[None, :] <= size[:, None]), (wide - at)[None, :].astype(np.int64), far)
     step = cols * one
+    live = np.arange(len(texts))
     for i in range(1, m + 1):
+        if i % 16 == 0:  # a piece is given up once every cell of a row is over the budget
+            good = cell.min(axis=1) >> 32 <= budget
+            if not good.all():
+                cell, pad, size, live = cell[good], pad[good], size[good], live[good]
+                if not len(live):
+                    break
         at = cols + i - budget  # document characters consumed in this row's cells
         same = pad[:, i - 1: i - 1 + band] == item[i - 1]
         new = cell + np.where(same, 0, one)
@@ -145,12 +192,11 @@ def banded(item: np.ndarray, texts: list[np.ndarray], budget: int) -> list[tuple
         new = np.where((at >= 0)[None, :] & (at[None, :] <= size[:, None]), new, far)
         new = np.minimum.accumulate(new - step, axis=1) + step
         cell = np.where((at >= 0)[None, :] & (at[None, :] <= size[:, None]), new, far)
-    best = cell.argmin(axis=1)
-    out: list[tuple[int, int, int] | None] = []
-    for r, c in enumerate(best.tolist()):
+    out: list[tuple[int, int, int] | None] = [None] * len(texts)
+    for r, c in zip(range(len(live)), cell.argmin(axis=1).tolist()):
         v = int(cell[r, c])
-        edits = v >> 32
-        out.append((edits, wide - (v & 0xFFFFFFFF), c + m - budget) if edits <= budget else None)
+        if v >> 32 <= budget:
+            out[int(live[r])] = (v >> 32, wide - (v & 0xFFFFFFFF), c + m - budget)
     return out
 
 
@@ -185,33 +231,33 @@ def _searcher(names: list, texts: list[str], q: int, per_edit: int, id_kind: str
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index(texts, q, per_edit)
         for batch in batches:
+            waiting: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}  # item -> (row, piece, its places in the text)
+            best: dict[tuple[int, int], tuple[int, int, int]] = {}
+
+            def verify(it: int) -> None:
+                pieces = waiting.pop(it)
+                for (r, _, place), got in zip(pieces, banded(index.items[it], [p for _, p, _ in pieces], int(index.budget[it]))):
+                    if got:
+                        mine = (got[0], int(place[got[1]]), int(place[got[2] - 1]) + 1)
+                        best[r, it] = min(best.get((r, it), mine), mine)
+
             for i, j, data, offs in slices(batch.column(0), 1 << 20):
                 chars, offs, place = normalised(data, offs)
-                best: dict[tuple[int, int], tuple[int, int, int]] = {}
-                row, item, low = index.candidates(chars, offs)
-                order = np.argsort(item, kind="stable")
-                for at in np.split(order, np.flatnonzero(np.diff(item[order])) + 1) if len(order) else ():
-                    it = int(item[at[0]])
-                    m, k = len(index.items[it]), int(index.budget[it])
-                    for lo in range(0, len(at), 64):
-                        some = at[lo: lo + 64]
-                        pieces, starts = [], []
-                        for x in some.tolist():
-                            a, b = int(offs[row[x]]), int(offs[row[x] + 1])
-                            s = min(max(a + int(low[x]) - k, a), b)
-                            starts.append(s)
-                            pieces.append(chars[s: min(b, a + int(low[x]) + 2 * int(index.half[it]) + m + k)])
-                        for x, s, got in zip(some.tolist(), starts, banded(index.items[it], pieces, k)):
-                            if got:
-                                mine = (got[0], s + got[1], s + got[2])
-                                key = (int(row[x]), it)
-                                best[key] = min(best.get(key, mine), mine)
-                if best:
-                    keys = sorted(best)
-                    hits = [best[x] for x in keys]
-                    rows = pa.array([i + r for r, _ in keys], pa.int64())
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column(1).take(rows), pa.array([names[t] for _, t in keys]), pa.array([h[0] for h in hits], pa.int32()),
-                         pa.array([int(place[h[1]]) for h in hits], pa.int64()), pa.array([int(place[h[2] - 1]) + 1 for h in hits], pa.int64())],
-                        names=["row", "item", "edits", "start_char", "end_char"])
+                for r, it, low in zip(*(x.tolist() for x in index.candidates(chars, offs))):
+                    k, a, b = int(index.budget[it]), int(offs[r]), int(offs[r + 1])
+                    lo = min(max(a + low - k, a), b)
+                    hi = min(b, a + low + 2 * int(index.half[it]) + len(index.items[it]) + k)
+                    if hi > lo:
+                        waiting.setdefault(it, []).append((i + r, chars[lo:hi].copy(), place[lo:hi].copy()))
+                        if len(waiting[it]) == 64:
+                            verify(it)
+            for it in list(waiting):
+                verify(it)
+            if best:
+                keys = sorted(best)
+                hits = [best[x] for x in keys]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(1).take(pa.array([r for r, _ in keys], pa.int64())), pa.array([names[t] for _, t in keys]), pa.array([h[0] for h in hits], pa.int32()),
+                     pa.array([h[1] for h in hits], pa.int64()), pa.array([h[2] for h in hits], pa.int64())],
+                    names=["row", "item", "edits", "start_char", "end_char"])
     return search
