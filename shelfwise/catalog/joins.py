@@ -237,7 +237,7 @@ FROM f JOIN d USING (p_name, p_brand, p_type)
 def _jn17(t, m):
     fact = m.items.select("order_id", "line_number", "product_id", "unit_price")
     attrs = ["product_name", "category_name", "department"]
-    _dim, slim = J.normalize(fact, "product_id", m.products.select("product_id", *attrs), attrs)
+    _dim, slim = J.normalize(fact, "product_id", attrs, entities=m.products.select("product_id", *attrs))
     return slim.select("order_id", "line_number", "attr_key", "unit_price")
 
 

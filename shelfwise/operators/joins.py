@@ -138,15 +138,19 @@ def join_by_name(fact_names: DataFrame, name_col: str, dim: DataFrame, dim_name_
     return out.withColumn("match_status", status)
 
 
-def normalize(fact: DataFrame, source_key: str, entities: DataFrame, attrs: Sequence[str],
-              key_name: str = "attr_key") -> tuple[DataFrame, DataFrame]:
+def normalize(fact: DataFrame, source_key: str, attrs: Sequence[str], key_name: str = "attr_key",
+              entities: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """JN-17: split repeated attributes into a keyed dimension + slim fact.
 
     The surrogate key is the smallest source key in the fact that carries the
-    attribute combination.  It is found on the entities (one row per source
-    key), so the fact is joined once, on its own key, and never shuffled on
-    text columns.
+    attribute combination.  With ``entities`` (the attributes, one row per
+    source key) it is found on those, so the fact is joined once, on its own
+    key, and never shuffled on text columns; without, the fact itself holds
+    the attributes.
     """
+    if entities is None:
+        dim = fact.groupBy(*attrs).agg(F.min(source_key).alias(key_name))
+        return dim, fact.join(dim, list(attrs)).drop(*attrs)
     used = entities.join(fact.select(source_key).distinct(), source_key)
     dim = used.groupBy(*attrs).agg(F.min(source_key).alias(key_name))
     same = [F.col(f"e.{a}").eqNullSafe(F.col(f"d.{a}")) for a in attrs]
