@@ -8,7 +8,7 @@ often it occurs there, so a hot one makes a row per block, not a row per place.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 2 << 20
@@ -37,6 +37,23 @@ def blocked(docs: DataFrame, text_col: str, carry: list[str] | None = None, resu
     return out.select(F.pmod(F.xxhash64("txt", "row"), F.lit(n)).cast("int").alias("blk"), "txt", "row")
 
 
+#: Bits of the filter that keeps rows without a partner out of a shuffle; 2 MB, however many keys there are.
+FILTER_BITS = 23
+
+
+def possible(rows: DataFrame, hashed: Column, keys: DataFrame, key_hash: Column, name: str = "possible") -> DataFrame:
+    """``rows`` with a flag: false where no key has the row's hash, so that an exact join need not see the row.
+
+    The keys set bits of a bitmap of fixed size, which is broadcast; more keys only make more flags true.
+    """
+    bit = keys.select(F.pmod(key_hash, F.lit(1 << FILTER_BITS)).alias("_bit"))
+    bitmap = bit.groupBy((F.col("_bit") / 64).cast("long").alias("_word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))")).alias("_bits"))
+    at = rows.withColumn("_at", F.pmod(hashed, F.lit(1 << FILTER_BITS)))
+    at = at.join(F.broadcast(bitmap), (F.col("_at") / 64).cast("long") == F.col("_word"), "left")
+    flag = F.coalesce(F.expr("shiftright(_bits, cast(_at % 64 as int)) & 1"), F.lit(0)) == 1
+    return at.withColumn(name, flag).drop("_at", "_word", "_bits")
+
+
 def whole_groups(batches, column: str, rows: int = 40_000):
     """Arrow tables of about ``rows`` rows out of batches sorted by ``column``; no value is split between two tables."""
     import pyarrow as pa

@@ -20,10 +20,10 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.blocks import row_struct
+from shelfwise.llm.blocks import possible, row_struct
 from shelfwise.llm.components import components
 from shelfwise.llm.text import LOWER, Rolling, mix, signed, slices, word_hashes, word_spans
 from shelfwise.session import ensure_checkpoint_dir
@@ -154,32 +154,78 @@ def divide_skip(queries: list[int], index: list[int], sets: list[np.ndarray], nu
                 yield x, y
 
 
-def _postings(k: int, num: int, den: int):
+#: Bytes of a part fingerprint (beside its bucket) and of a class that go through the shuffle.  They only bring classes
+#: together; a false meeting costs a comparison and changes no result.
+SENT = 5
+SENT_MASK = (1 << 8 * SENT) - 1
+#: Shingles whose part fingerprints one bucket takes.
+BUCKET_SHINGLES = 300_000
+
+
+def _pack(x: np.ndarray) -> bytes:
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, 8)[:, :SENT].tobytes()
+
+
+def _unpack(parts: list[bytes]) -> np.ndarray:
+    raw = np.frombuffer(b"".join(parts), np.uint8).reshape(-1, SENT)
+    out = np.zeros((len(raw), 8), np.uint8)
+    out[:, :SENT] = raw
+    return out.view(np.uint64).ravel()
+
+
+def _least_of(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct fingerprints, the smallest class of each, and the distinct pairs of another class and that one."""
+    order = np.lexsort((cls, sig))
+    sig, cls = sig[order], cls[order]
+    new = np.ones(len(sig), bool)
+    new[1:] = sig[1:] != sig[:-1]
+    least = cls[new][np.cumsum(new) - 1] if len(cls) else cls
+    other = cls != least
+    return sig[new], cls[new], np.unique(np.stack([cls[other], least[other]], 1), axis=0)
+
+
+def _postings(k: int, num: int, den: int, buckets: int):
+    """Part fingerprints with a class of each, dealt into buckets; classes that meet inside a batch come as pairs.
+
+    A fingerprint leaves the batch once, with its smallest class, so a large group of near copies makes no large bucket.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = Parts(num, den)
         for batch in batches:
-            sig, cls = [], []
+            sig, cls = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for _, _, data, offs in slices(batch.column(0)):
                 h, o = shingle_sets(data, offs, k)
                 s, row = parts.signatures(h, o)
                 sig.append(s)
-                cls.append(set_keys(h, o)[row].view(np.int64))
-            if not sig:
-                continue
-            s, c = np.concatenate(sig), np.concatenate(cls)
-            order = np.lexsort((c, s))
-            s, c = s[order], c[order]
-            new = np.ones(len(s), bool)
-            new[1:] = s[1:] != s[:-1]
-            # a signature leaves the batch once, with its smallest class; the others link to that one here
-            least = c[new][np.cumsum(new) - 1] if len(c) else c
-            edge = c != least
-            pair = np.unique(np.stack([c[edge], least[edge]], 1), axis=0)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([s[new].view(np.int64), pair[:, 0]])), pa.array(np.concatenate([c[new], pair[:, 1]])),
-                                              pa.array(np.append(np.zeros(int(new.sum()), bool), np.ones(len(pair), bool)))], names=["a", "b", "edge"])
+                cls.append(set_keys(h, o)[row] & np.uint64(SENT_MASK))
+            s, c, pair = _least_of(np.concatenate(sig), np.concatenate(cls))
+            to = ((s >> np.uint64(8 * SENT)) % np.uint64(buckets)).astype(np.int64)
+            order = np.argsort(to, kind="stable")
+            s, c, to = s[order], c[order], to[order]
+            there, at = np.unique(to, return_index=True)
+            ends = np.append(at[1:], len(to))
+            rows = [(int(b), _pack(s[x:y]), _pack(c[x:y]), False) for b, x, y in zip(there, at, ends)]
+            if len(pair):
+                rows.append((int(pair[0, 0] % np.uint64(buckets)), _pack(pair[:, 0]), _pack(pair[:, 1]), True))
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.bool_()))],
+                                                 names=["bucket", "a", "b", "pairs"])
     return run
 
 
+def _meetings(table: pa.Table) -> pa.Table:
+    """Pairs of classes of one bucket that share a part fingerprint, each with the smallest class of it."""
+    pairs = np.asarray(table.column("pairs"), bool)
+    a, b = table.column("a").to_pylist(), table.column("b").to_pylist()
+    sent = [i for i in range(len(pairs)) if not pairs[i]]
+    _, _, met = _least_of(_unpack([a[i] for i in sent]), _unpack([b[i] for i in sent]))
+    near = [i for i in range(len(pairs)) if pairs[i]]
+    x = np.concatenate([met[:, 0], _unpack([a[i] for i in near])])
+    y = np.concatenate([met[:, 1], _unpack([b[i] for i in near])])
+    return pa.table({"a": signed(x), "b": signed(y)})
+
+
 def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, text_col: str = "text", id_col: str = "doc_id",
                    carry: list[str] | None = None) -> DataFrame:
     """The columns named in ``carry`` (all but the text, if None), then ``n_shingles, component_id, n_links, group_key``.
@@ -210,11 +256,14 @@ def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, t
     meta = base.mapInArrow(describe, f"{kinds}, n long, cls long").withColumn("cls", F.when(F.col("n") > 0, F.col("cls"))).checkpoint()
     classes = meta.where("cls is not null").groupBy("cls").agg(F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
 
-    posted = docs.select(txt.alias("txt")).mapInArrow(_postings(k, num, den), "a long, b long, edge boolean")
-    near = components(_edges(posted))
+    shingles = classes.agg(F.sum(F.col("n"))).first()[0] or 0
+    buckets = max(1, -(-int(shingles) // BUCKET_SHINGLES))
+    posted = docs.select(txt.alias("txt")).mapInArrow(_postings(k, num, den, buckets), "bucket int, a binary, b binary, pairs boolean")
+    near = components(posted.groupBy("bucket").applyInArrow(_meetings, "a long, b long"))
     sizes = near.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    cand = (near.join(sizes, "root").select(F.col("node").alias("cls"), "root", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks"))
-            .join(classes, "cls").select("cls", "root", "chunks", "least_id", "copies"))
+    cand = (near.join(sizes, "root").select("node", "root", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks"))
+            .join(classes.withColumn("node", F.col("cls").bitwiseAND(F.lit(SENT_MASK))), "node")
+            .select("cls", "root", "chunks", "least_id", "copies").checkpoint())
     found = cluster_links(docs, cand, k, num, den, text_col, id_col).checkpoint()
     comp = components(found.where("b is not null").select("a", "b"))
     links = found.where("b is null").groupBy("a").agg(F.sum("w").alias("w"))
@@ -228,14 +277,6 @@ def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, t
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "group_key")
 
 
-def _edges(posted: DataFrame) -> DataFrame:
-    """Classes that share a part fingerprint, each with the smallest class of it."""
-    # an edge found in a batch is its own group here, so one window serves both kinds of rows
-    w = Window.partitionBy("a", "edge")
-    return posted.withColumn("least", F.min("b").over(w)).where("edge or b <> least").select(
-        F.when(F.col("edge"), F.col("a")).otherwise(F.col("b")).alias("a"), F.when(F.col("edge"), F.col("b")).otherwise(F.col("least")).alias("b"))
-
-
 def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int, text_col: str, id_col: str) -> DataFrame:
     """Links within the clusters: ``a, b`` for a spanning forest, and ``a, w`` (b null) for the rows a class links with."""
 
@@ -250,6 +291,7 @@ def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int,
 
     right = cand.select(F.col("least_id").alias("id"), F.col("cls").alias("c_cls"), "root", "chunks", "copies")
     left = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), docs[f"`{id_col}`"].alias("key"))
+    left = possible(left, F.xxhash64("key"), right, F.xxhash64("id")).where("possible").drop("possible")
     texts = left.join(right, left["key"].eqNullSafe(right["id"])).select("txt", "c_cls", "root", "chunks", "copies")
     sets = texts.mapInArrow(to_sets, "c_cls long, root long, chunks int, copies long, elements binary")
     chunk = F.pmod(F.xxhash64("c_cls", F.lit(3)), F.col("chunks")).cast("int")
@@ -304,11 +346,12 @@ def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, text_col:
     ids = docs.select(key.alias("id"), text.alias("txt"), F.xxhash64(text).alias("mark"))
     linked = link_documents(ids, k, num, den, text_col="txt", id_col="id").where("group_key is not null")
     each = linked.groupBy("group_key", "id", "mark").agg(F.count(F.lit(1)).alias("rows"))
-    first = each.groupBy("group_key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark", "rows")).alias("x"))
-    kept = first.select(F.col("x.id").alias("kept_id"), F.col("x.mark").alias("kept_mark"), F.col("x.rows").alias("kept_rows"))
-    row = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in names]).alias("row"), key.alias("id"), F.xxhash64(text).alias("mark"), F.coalesce(
-        text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False)).alias("words"))
-    stay = row.where("words").join(kept, row["id"].eqNullSafe(kept["kept_id"]) & (F.col("mark") == F.col("kept_mark")))
-    single = stay.where("kept_rows = 1").select("row")
-    again = stay.where("kept_rows > 1").dropDuplicates(["id", "mark"]).select("row")
-    return single.unionByName(again).unionByName(row.where("not words").select("row")).select("row.*")
+    first = each.groupBy("group_key").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("x"))
+    judged = each.join(first, "group_key").withColumn("stays", F.col("id").eqNullSafe(F.col("x.id")) & (F.col("mark") == F.col("x.mark")))
+    # the few rows that go, or that stay once of several equal ones; only they and what shares their bits is shuffled
+    judged = judged.where("not stays or rows > 1").select(F.col("id").alias("j_id"), F.col("mark").alias("j_mark"), "stays").checkpoint()
+    row = docs.select(F.struct(*[docs[f"`{c}`"].alias(c) for c in names]).alias("row"), key.alias("id"), F.xxhash64(text).alias("mark"))
+    row = possible(row, F.xxhash64("id", "mark"), judged, F.xxhash64("j_id", "j_mark"))
+    met = row.where("possible").join(judged, row["id"].eqNullSafe(judged["j_id"]) & (F.col("mark") == F.col("j_mark")), "left")
+    again = met.where("stays").dropDuplicates(["id", "mark"]).select("row")
+    return row.where("not possible").select("row").unionByName(met.where("stays is null").select("row")).unionByName(again).select("row.*")
