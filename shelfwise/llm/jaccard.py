@@ -20,12 +20,12 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import possible, row_struct
 from shelfwise.llm.components import components
-from shelfwise.llm.text import LOWER, Rolling, mix, signed, slices, word_hashes, word_spans
+from shelfwise.llm.text import LOWER, Rolling, found, mix, signed, slices, word_hashes, word_spans
 from shelfwise.session import ensure_checkpoint_dir
 
 #: Classes of a cluster that one task compares among themselves; two such chunks meet in a task.
@@ -76,15 +76,38 @@ class Parts:
             differ = (self.den - self.num) * 2 * top // (self.num + self.den)
             # some parts may be empty in both sets; `spare` more parts leave a filled one among the equal ones
             empty = (differ + 1) * math.exp(-self.num * self.low[i] / self.den / (differ + 1))
-            spare = int(empty + 5 * math.sqrt(empty)) + 1 if differ else 0
+            spare = int(empty + 5 * math.sqrt(empty) + 0.1 * differ) + 1 if differ else 0
             self.parts.append(differ + 1 + spare)
             self.spare.append(spare)
 
-    def signatures(self, h: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Part fingerprints and the row of each.  A scheme of one part is left out: it finds equal sets only."""
-        n = np.diff(offs)
-        if not len(h):
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    def signatures(self, h: np.ndarray, offs: np.ndarray, frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Part fingerprints and the row of each.  A scheme of one part is left out: it finds equal sets only.
+
+        ``frequent`` shingles say little: two sets without them differ in no more places than with them, so parts of
+        the remaining shingles do as well.  A row of which too many parts are then empty sends its parts of all
+        shingles too; two rows that agree only in parts that are empty are both such rows.
+        """
+        if frequent is not None and len(frequent) and len(h):
+            row = np.repeat(np.arange(len(offs) - 1), np.diff(offs))
+            rare = ~found(h, frequent)
+            part_offs = np.append(0, np.cumsum(np.bincount(row[rare], minlength=len(offs) - 1)))
+            sig, who, poor = self._sent(h[rare], part_offs, np.diff(offs), 1)
+            again = np.flatnonzero(poor)
+            some = poor[row]
+            more_offs = np.append(0, np.cumsum(np.diff(offs)[again]))
+            sig2, who2, _ = self._sent(h[some], more_offs, np.diff(offs)[again], 0)
+            return np.concatenate([sig, sig2]), np.concatenate([who, again[who2]])
+        return self._sent(h, offs, np.diff(offs), 0)[:2]
+
+    def _sent(self, h: np.ndarray, offs: np.ndarray, whole: np.ndarray, kind: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Fingerprints, their rows, and the rows with too many empty parts; ``whole`` holds the sizes that choose the scheme.
+
+        Rows with too many empty parts send those as well when ``kind`` is 0; with 1 they are only named.
+        """
+        n = whole
+        poor = np.zeros(len(n), bool)
+        if not len(n) or not n.max(initial=0):
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), poor
         self._grow(int(n.max()))
         own = np.searchsorted(np.array(self.low), n, "right") - 1
         lo, hi = (h & np.uint64(0xFFFFFFFF)).astype(float), (h >> np.uint64(32)).astype(float)
@@ -96,7 +119,7 @@ class Parts:
             base = np.append(0, np.cumsum(m))
             if not base[-1]:
                 continue
-            row = np.repeat(np.arange(len(n)), n)
+            row = np.repeat(np.arange(len(n)), np.diff(offs))
             use = m[row] > 0
             slot = base[row[use]] + (mix(h[use]) >> np.uint64(20)).astype(np.int64) % m[row[use]]
             total = np.bincount(slot, lo[use], base[-1]).astype(np.uint64) + (np.bincount(slot, hi[use], base[-1]).astype(np.uint64) << np.uint64(32))
@@ -104,13 +127,17 @@ class Parts:
             owner = np.repeat(np.arange(len(n)), m)
             part = np.arange(base[-1]) - base[owner]
             empties = np.bincount(owner, filled == 0, len(n))
-            sent = (filled > 0) | (empties > spare)[owner]
-            salt = mix(scheme[owner].astype(np.uint64) * np.uint64(1 << 40) + part.astype(np.uint64))
+            lacking = (empties > spare) & (m > 0)
+            poor |= lacking
+            sent = filled > 0
+            if kind == 0:
+                sent |= lacking[owner]
+            salt = mix(scheme[owner].astype(np.uint64) * np.uint64(1 << 40) + part.astype(np.uint64) + np.uint64(kind << 62))
             sigs.append(mix(total + salt + (filled == 0) * np.uint64(77))[sent])
             rows.append(owner[sent])
         if not sigs:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.concatenate(sigs), np.concatenate(rows)
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), poor
+        return np.concatenate(sigs), np.concatenate(rows), poor
 
 
 def least_overlap(x: int, y: int, num: int, den: int) -> int:
@@ -158,6 +185,8 @@ def divide_skip(queries: list[int], index: list[int], sets: list[np.ndarray], nu
 #: together; a false meeting costs a comparison and changes no result.
 SENT = 5
 SENT_MASK = (1 << 8 * SENT) - 1
+#: Frequent shingles that every task knows.
+FREQUENT = 1 << 17
 #: Shingles whose part fingerprints one bucket takes.
 BUCKET_SHINGLES = 300_000
 
@@ -184,7 +213,34 @@ def _least_of(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return sig[new], cls[new], np.unique(np.stack([cls[other], least[other]], 1), axis=0)
 
 
-def _postings(k: int, num: int, den: int, buckets: int):
+def frequent_shingles(docs: DataFrame, txt: Column, k: int) -> np.ndarray:
+    """Shingles of many documents: at most FREQUENT, by the batches' counts of those in a thousandth of a batch's rows.
+
+    They only steer which classes meet; no result depends on which ones are found.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            hs = [shingle_sets(data, offs, k)[0] for _, _, data, offs in slices(batch.column(0))]
+            h, n = np.unique(np.concatenate(hs), return_counts=True) if hs else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            many = n >= max(4, batch.num_rows // 1000)
+            yield pa.RecordBatch.from_arrays([signed(h[many]), pa.array(n[many].astype(np.int64))], names=["h", "n"])
+
+    counts = docs.select(txt.alias("txt")).mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).checkpoint()
+    bins = sorted(counts.groupBy(F.floor(F.log2("n") * 8).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
+    least, taken = None, 0
+    for b in bins:
+        taken += b["n"]
+        if taken > FREQUENT:
+            break
+        least = b["b"]
+    if least is None:
+        return np.zeros(0, np.uint64)
+    got = counts.where(F.floor(F.log2("n") * 8) >= least).select("h").collect()
+    return np.sort(np.array([r["h"] for r in got], np.int64).view(np.uint64))
+
+
+def _postings(k: int, num: int, den: int, buckets: int, frequent: np.ndarray):
     """Part fingerprints with a class of each, dealt into buckets; classes that meet inside a batch come as pairs.
 
     A fingerprint leaves the batch once, with its smallest class, so a large group of near copies makes no large bucket.
@@ -196,7 +252,7 @@ def _postings(k: int, num: int, den: int, buckets: int):
             sig, cls = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for _, _, data, offs in slices(batch.column(0)):
                 h, o = shingle_sets(data, offs, k)
-                s, row = parts.signatures(h, o)
+                s, row = parts.signatures(h, o, frequent)
                 sig.append(s)
                 cls.append(set_keys(h, o)[row] & np.uint64(SENT_MASK))
             s, c, pair = _least_of(np.concatenate(sig), np.concatenate(cls))
@@ -258,15 +314,20 @@ def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, t
 
     shingles = classes.agg(F.sum(F.col("n"))).first()[0] or 0
     buckets = max(1, -(-int(shingles) // BUCKET_SHINGLES))
-    posted = docs.select(txt.alias("txt")).mapInArrow(_postings(k, num, den, buckets), "bucket int, a binary, b binary, pairs boolean")
+    posted = docs.select(txt.alias("txt")).mapInArrow(_postings(k, num, den, buckets, frequent_shingles(docs, txt, k)), "bucket int, a binary, b binary, pairs boolean")
     near = components(posted.groupBy("bucket").applyInArrow(_meetings, "a long, b long"))
-    sizes = near.groupBy("root").agg(F.count(F.lit(1)).alias("members"))
-    cand = (near.join(sizes, "root").select("node", "root", F.ceil(F.col("members") / CHUNK).cast("int").alias("chunks"))
-            .join(classes.withColumn("node", F.col("cls").bitwiseAND(F.lit(SENT_MASK))), "node")
-            .select("cls", "root", "chunks", "least_id", "copies").checkpoint())
-    found = cluster_links(docs, cand, k, num, den, text_col, id_col).checkpoint()
-    comp = components(found.where("b is not null").select("a", "b"))
-    links = found.where("b is null").groupBy("a").agg(F.sum("w").alias("w"))
+    # sets that link differ by less than one step of this scale, so only neighbouring steps of a cluster are compared
+    step = F.floor(F.log(F.col("n").cast("double")) / (math.log(den / num) * 1.001)).cast("int")
+    member = near.join(classes.withColumn("node", F.col("cls").bitwiseAND(F.lit(SENT_MASK))), "node").withColumn("step", step)
+    member = member.select("cls", "root", "step", "least_id", "copies").checkpoint()
+    sizes = member.groupBy("root", "step").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
+    cand = member
+    for name, shift in (("chunks", 0), ("below", -1), ("above", 1)):
+        side = sizes.select("root", (F.col("step") - shift).alias("step"), F.col("chunks").alias(name))
+        cand = cand.join(side, ["root", "step"], "left")
+    links_of = cluster_links(docs, cand, k, num, den, text_col, id_col).checkpoint()
+    comp = components(links_of.where("b is not null").select("a", "b"))
+    links = links_of.where("b is null").groupBy("a").agg(F.sum("w").alias("w"))
     named = comp.join(classes.select(F.col("cls").alias("node"), "least_id"), "node")
     least = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
     by_class = (classes.join(comp.join(least, "root").select(F.col("node").alias("cls"), "root", "component_id"), "cls", "left")
@@ -289,24 +350,35 @@ def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int,
                 cut = pa.array([h[a:b].tobytes() for a, b in zip(o[:-1], o[1:])], pa.binary())
                 yield pa.RecordBatch.from_arrays([*mine.columns[1:], cut], names=[*mine.schema.names[1:], "elements"]).filter(same)
 
-    right = cand.select(F.col("least_id").alias("id"), F.col("cls").alias("c_cls"), "root", "chunks", "copies")
+    right = cand.select(F.col("least_id").alias("id"), F.col("cls").alias("c_cls"), "root", "step", "chunks", "below", "above", "copies")
     left = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), docs[f"`{id_col}`"].alias("key"))
     left = possible(left, F.xxhash64("key"), right, F.xxhash64("id")).where("possible").drop("possible")
-    texts = left.join(right, left["key"].eqNullSafe(right["id"])).select("txt", "c_cls", "root", "chunks", "copies")
-    sets = texts.mapInArrow(to_sets, "c_cls long, root long, chunks int, copies long, elements binary")
-    chunk = F.pmod(F.xxhash64("c_cls", F.lit(3)), F.col("chunks")).cast("int")
-    blocks = sets.withColumn("mine", chunk).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    blocks = blocks.select("root", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "c_cls", "copies", "elements")
+    texts = left.join(right, left["key"].eqNullSafe(right["id"])).select("txt", "c_cls", "root", "step", "chunks", "below", "above", "copies")
+    sets = texts.mapInArrow(to_sets, "c_cls long, root long, step int, chunks int, below int, above int, copies long, elements binary")
+    mine = F.pmod(F.xxhash64("c_cls", F.lit(3)), F.col("chunks")).cast("int")
+
+    def each(n: Column) -> Column:
+        return F.when(F.coalesce(n, F.lit(0)) > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.expr("cast(array() as array<int>)"))
+
+    def block(step: Column, across: Column, i: Column, j: Column, first: Column) -> Column:
+        return F.struct(step.alias("step"), across.alias("across"), i.cast("int").alias("i"), j.cast("int").alias("j"), first.alias("first"))
+
+    # two chunks of one step, or a chunk of a step (first) and one of the next
+    yes, no, at = F.lit(True), F.lit(False), F.col("step")
+    own = F.transform(each(F.col("chunks")), lambda c: block(at, no, F.least(mine, c), F.greatest(mine, c), mine <= c))
+    up = F.transform(each(F.col("above")), lambda c: block(at, yes, mine, c, yes))
+    down = F.transform(each(F.col("below")), lambda c: block(at - 1, yes, c, mine, no))
+    blocks = sets.select("root", "c_cls", "copies", "elements", F.explode(F.concat(own, up, down)).alias("b")).select("root", "b.*", "c_cls", "copies", "elements")
 
     def search(table: pa.Table) -> pa.Table:
         keys, first = np.unique(np.asarray(table.column("c_cls")), return_index=True)  # repeated rows of one id bring a class twice
         table = table.take(pa.array(first))
         sets = [np.frombuffer(b, np.uint64) for b in table.column("elements").to_pylist()]
         copies = table.column("copies").to_pylist()
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        mine = table.column("mine").to_pylist()
-        left = [x for x in range(len(sets)) if mine[x] == i]
-        right = left if i == j else [x for x in range(len(sets)) if mine[x] == j]
+        alone = not table.column("across")[0].as_py() and table.column("i")[0].as_py() == table.column("j")[0].as_py()
+        first = table.column("first").to_pylist()
+        left = [x for x in range(len(sets)) if first[x] or alone]
+        right = left if alone else [x for x in range(len(sets)) if not first[x]]
         top, degree = list(range(len(sets))), [0] * len(sets)
 
         def root(x: int) -> int:
@@ -332,7 +404,7 @@ def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int,
                     w += [None]
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "w": pa.array(w, pa.int64())})
 
-    return blocks.groupBy("root", "i", "j").applyInArrow(search, "a long, b long, w long")
+    return blocks.groupBy("root", "step", "across", "i", "j").applyInArrow(search, "a long, b long, w long")
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
