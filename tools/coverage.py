@@ -15,6 +15,8 @@ import shelfwise.catalog  # noqa: E402,F401
 NOT_REGISTERED = {
     "SRC-04": ("generate_retail", "shelfwise/sources/generate.py",
                "library + tests/test_generate.py; not registered: it makes up rows instead of reading the tables"),
+    "PF-01": ("plan_facts", "shelfwise/plans/evidence.py",
+              "library + tests/test_plans.py; not registered: its rows are plan text, not a function of the tables"),
 }
 
 
@@ -33,7 +35,7 @@ def main() -> None:
         if sid in by_id:
             e = by_id[sid]
             mod = _module_of(e.key)
-            note = "" if e.oracle else "plan facts: rows-only check"
+            note = "" if e.oracle else "rows-only check"
             out.append(f"| {sid} | `{e.key}` | {'yes' if e.oracle else 'no'} | `{mod}` | {note} |")
         else:
             fn, mod, note = NOT_REGISTERED.get(sid, ("-", "-", "MISSING"))
