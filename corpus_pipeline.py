@@ -27,8 +27,10 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     if model is None:
         return docs.where(F.col("text").isNotNull())
     names = docs.columns
-    out = langid.predict(docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"), F.col("text")), model, carry=["doc"], pred_name="guess", score_name="sure")
-    return out.where((F.col("guess") != langid.UNDETERMINED) & (F.col("sure") >= LEAST_LANGUAGE_SCORE)).select("doc.*")
+    rest = F.struct(*[F.col(f"`{c}`") for c in names if c != "text"])
+    out = langid.predict(docs.select(rest.alias("doc"), F.col("text")), model, pred_name="guess", score_name="sure")
+    out = out.where((F.col("guess") != langid.UNDETERMINED) & (F.col("sure") >= LEAST_LANGUAGE_SCORE))
+    return out.select(*[F.col("text") if c == "text" else F.col(f"doc.`{c}`").alias(c) for c in names])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +61,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token sequences of power-of-two lengths, one document each."""
-    return packing.power_of_two_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), seq_len=2048, end_id=1)
+    return packing.power_of_two_pieces(docs, public_tokenizers.path("word_bpe_49k.json"), seq_len=2048, end_id=1, keep_words=False)
 
 
 STAGES = [

@@ -198,10 +198,11 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", carry:
     learn from.  Repeated rows get the same result.  An empty table gives no rows.
     """
     keep = docs.columns if carry is None else carry
+    with_text = text_col in keep and text_col not in (pred_name, score_name)  # sent once, not in the row too
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, offs in slices(batch.column(0), max(1 << 16, (8 << 20) // max(4, len(model.labels) if model else 4))):
+            for i, j, data, offs in slices(batch.column(0), max(1 << 16, (2 << 20) // max(4, len(model.labels) if model else 4))):
                 if model is None:
                     pred, score = [UNDETERMINED] * (j - i), np.zeros(j - i)
                 else:
@@ -210,9 +211,11 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", carry:
                     best = p.argmax(axis=1)
                     pred = [model.labels[b] if s else UNDETERMINED for b, s in zip(best, some)]
                     score = np.where(some, p[np.arange(len(p)), best], 0.0)
-                yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), pa.array(pred, pa.string()), pa.array(score)],
-                                                 names=["row", "pred", "score"])
-
-    base = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), row_struct(docs, "", keep, (pred_name, score_name)).alias("row"))
-    out = base.mapInArrow(run, f"row {base.schema['row'].dataType.simpleString()}, pred string, score double")
-    return out.select("row.*", F.col("pred").alias(pred_name), F.col("score").alias(score_name))
+                kept = [batch.column(0).slice(i, j - i)] if with_text else []
+                yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), pa.array(pred, pa.string()), pa.array(score), *kept],
+                                                 names=["row", "pred", "score", *["txt"] * with_text])
+
+    base = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), row_struct(docs, text_col, keep, (pred_name, score_name)).alias("row"))
+    out = base.mapInArrow(run, f"row {base.schema['row'].dataType.simpleString()}, pred string, score double" + ", txt string" * with_text)
+    named = [F.col("txt").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in keep if c.lower() not in (pred_name, score_name)]
+    return out.select(*named, F.col("pred").alias(pred_name), F.col("score").alias(score_name))

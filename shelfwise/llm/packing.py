@@ -75,11 +75,12 @@ def cut(n: int, seq_len: int) -> list[int]:
 
 
 def power_of_two_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int = 1, id_col: str = "doc_id",
-                        text_col: str = "text", with_ids: bool = False) -> DataFrame:
+                        text_col: str = "text", with_ids: bool = False, keep_words: bool = True) -> DataFrame:
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket`` (and ``ids``).
 
     A null or empty text is the end id alone.  Rows that repeat are packed once each; null ids stay null.
     An empty table gives no rows.  Other columns of ``docs`` are not read.  One map over the scan: nothing is shuffled.
+    ``keep_words`` leaves the word cache in the Python worker for its next task; without, a task gives the memory back.
     """
     if seq_len < 1 or seq_len & (seq_len - 1):
         raise ValueError("seq_len must be a power of two")
@@ -112,6 +113,8 @@ def power_of_two_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = 204
                     cols.append(pa.array(ids, pa.list_(pa.int32())))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
+        if not keep_words:
+            enc.cache.clear()
 
     key = docs.select(docs[f"`{id_col}`"].alias("doc_id"), docs[f"`{text_col}`"].cast("string").alias("txt"))
     kind = key.schema["doc_id"].dataType.simpleString()
