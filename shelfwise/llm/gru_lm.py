@@ -5,25 +5,28 @@ form a shortlist whose words are binned into classes of about equal
 root-frequency; every other word belongs to a class by its last two characters.
 The output is factored: the state gives the class and, within a shortlist class,
 the word; within the other classes a word has its smoothed share of the class's
-counts over the whole corpus.  The recurrent part is trained by truncated
-backpropagation on a bounded sample, and starts from the corpus counts, that is,
-from the unigram model.  Scoring carries the state across windows, so a document
-of any length has its complete log-likelihood.
+counts over the whole corpus.  The recurrent part starts from the corpus counts,
+that is, from the unigram model, and learns from all training rows on Spark: in
+each of a few rounds every task runs truncated backpropagation over its whole
+texts of that round, from the broadcast weights, and a tree of weighted means
+makes the weights of the next round.  Training and scoring carry the state across
+windows, so a document of any length is learned and scored in full.
 """
 
 from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.blocks import blocked
+from shelfwise.llm.blocks import blocked, row_struct
 from shelfwise.llm.text import loose, slices
 from shelfwise.session import ensure_checkpoint_dir
 
@@ -35,8 +38,13 @@ SHORTLIST = 2000
 SHORT_CLASSES = 32
 SUFFIX_CLASSES = 40
 STATE = 20
-#: The sample for training: so many texts of at most so many bytes, by a hash of the text.
-SAMPLE_DOCS, SAMPLE_BYTES = 900, 16 << 10
+#: Training: texts side by side and tokens of a window; the learning rates of the rounds, each with its share of the rows.
+STREAMS, STEPS = 256, 20
+RATES = (0.02, 0.015, 0.008, 0.003)
+#: A task learns from at least about so many tokens, so that the means are taken over tasks that have learned something.
+TASK_TOKENS = 2_000_000
+#: Weights travel in pieces of so many numbers, and so many tasks' pieces meet in one mean.
+PIECE, FAN = 16_384, 32
 #: Large blocks keep many documents in step, so a few long ones cost little.
 BLOCK_BYTES = 6 << 20
 WINDOW = 64
@@ -190,74 +198,139 @@ class Network:
             grads["cls_b"] += e.sum(0)
         order = np.argsort(cls, kind="stable")
         edges = np.searchsorted(cls[order], np.arange(self.v.n_short + 1))
+        order = order[: edges[-1]]
+        hs, words_ = h[order], ids[order]
         for c in range(self.v.n_short):
-            at = order[edges[c]: edges[c + 1]]
+            lo, hi = edges[c], edges[c + 1]
             a, b = self.v.first[c], self.v.first[c + 1]
-            if not len(at) or b - a == 1:
+            if lo == hi or b - a == 1:
                 continue
+            at, hc = order[lo:hi], hs[lo:hi]
             w = self.p["out"][a:b]
-            z = h[at] @ w.T
+            z = hc @ w.T
             z += self.p["out_b"][a:b]
             e, total = _softmax_parts(z)
-            k, i = ids[at] - a, np.arange(len(at))
+            k, i = words_[lo:hi] - a, np.arange(hi - lo)
             out[at] += z[i, k] - np.log(total)
             if grads is not None:
                 e /= total[:, None]
                 e[i, k] -= 1
                 back[at] += e @ w
-                grads["out"][a:b] += e.T @ h[at]
+                grads["out"][a:b] += e.T @ hc
                 grads["out_b"][a:b] += e.sum(0)
         return out, back
 
-    def train(self, docs: list[np.ndarray], cls_of: np.ndarray, streams: int = 64, steps: int = 20, updates: int = 1100, rate: float = 0.01, seed: int = 3):
-        """Adam over windows of ``steps`` tokens of parallel streams; gradients stop at a window's start, the state does not."""
-        rng = np.random.default_rng(seed)
-        order = rng.permutation(len(docs))
-        flat = np.concatenate([docs[i] for i in order])
-        fresh = np.concatenate([np.append(True, np.zeros(len(docs[i]) - 1, bool)) for i in order])
-        reach = len(flat) // streams
-        if reach < 2:
-            return self
-        steps = min(steps, reach)
-        flat, fresh = flat[: reach * streams].reshape(streams, reach).T, fresh[: reach * streams].reshape(streams, reach).T
-        m, q = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(2))
-        h, at, s = np.zeros((streams, STATE), np.float32), 0, STATE
-        for k in range(1, updates + 1):
-            if at + steps > reach:
-                h, at = np.zeros_like(h), 0
-            states, tape = [], []
-            for t in range(at, at + steps):
-                h = np.where(fresh[t][:, None], 0, h).astype(np.float32)
-                states.append(h)
-                new, zr, n, hu = self.step(flat[t], h)
-                tape.append((h, zr, n, hu))
-                h = new
-            g = {key: np.zeros_like(x) for key, x in self.p.items()}
-            ids = flat[at: at + steps].ravel()
-            _, back = self.log_probs(np.concatenate(states), ids, cls_of[ids], g)
-            back = back.reshape(steps, streams, s)
-            carry = np.zeros((streams, s), np.float32)
-            for t in reversed(range(steps)):
-                old, zr, n, hu = tape[t]
-                z, r = zr[:, :s], zr[:, s:]
-                dn = carry * (1 - z) * (1 - n * n)
-                dz = carry * (old - n) * z * (1 - z)
-                dr = dn * hu[:, 2 * s:] * r * (1 - r)
-                dx = np.concatenate([dz, dr, dn], 1)
-                du = np.concatenate([dz, dr, dn * r], 1)
-                np.add.at(g["gates"], flat[at + t], dx)
-                g["u"] += old.T @ du
-                carry = np.where(fresh[at + t][:, None], 0, carry * z + du @ self.p["u"].T + back[t])
-            norm = math.sqrt(sum(float((x * x).sum()) for x in g.values())) / len(ids)
-            scale = min(1.0, 1.0 / max(norm, 1e-9)) / len(ids)
-            lr = rate * min(1.0, 2 * (1 - k / (updates + 1)) + 0.05)
-            for key, x in self.p.items():
-                gk = g[key] * scale
-                m[key] = 0.9 * m[key] + 0.1 * gk
-                q[key] = 0.99 * q[key] + 0.01 * gk * gk
-                x -= (lr * (m[key] / (1 - 0.9**k)) / (np.sqrt(q[key] / (1 - 0.99**k)) + 1e-7)).astype(np.float32)
-            at += steps
-        return self
+    def train(self, docs: Iterable[np.ndarray], cls_of: np.ndarray, streams: int = STREAMS, steps: int = STEPS, updates: int | None = None, rate: float = 0.01) -> int:
+        """Adam over windows of ``steps`` tokens of parallel streams, until every text is read or for so many updates; the tokens learned from.
+
+        Each stream reads whole texts one after the other; gradients stop at a window's start, the state does not.
+        When no more texts come, the streams left have longer windows, and a small window makes a small step.
+        """
+        s, docs, more = STATE, iter(docs), True
+        m, q, g = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(3))
+        rest: list[np.ndarray] = [np.zeros(0, np.int32)] * streams
+        h = np.zeros((streams, s), np.float32)
+        learned = k = 0
+        while rest and (updates is None or k < updates):
+            wide = steps if more else min(max(steps, streams * steps // len(rest)), 32 * steps, max(map(len, rest)))
+            ids, fresh, size = np.zeros((len(rest), wide), np.int64), np.zeros((len(rest), wide), bool), np.zeros(len(rest), np.int64)
+            for i, r in enumerate(rest):
+                t = 0
+                while t < wide:
+                    if not len(r):
+                        if not more or (r := next(docs, None)) is None:
+                            more, r = False, rest[i][:0]
+                            break
+                        fresh[i, t] = True
+                    n = min(wide - t, len(r))
+                    ids[i, t: t + n] = r[:n]
+                    r, t = r[n:], t + n
+                rest[i], size[i] = r, t
+            live = np.flatnonzero(size)
+            if not len(live):
+                break
+            wide = int(size.max())
+            ids, fresh = ids[live, :wide].T.copy(), fresh[live, :wide].T.copy()
+            real = np.flatnonzero((np.arange(wide)[:, None] < size[live]).ravel())
+            k += 1
+            learned += len(real)
+            h = self._update(h[live], ids, fresh, real, cls_of, m, q, g, k, rate * min(1.0, len(real) / (streams * steps)))
+            rest = [rest[i] for i in live]
+            if not more:
+                left = [i for i, r in enumerate(rest) if len(r)]
+                rest, h = [rest[i] for i in left], h[left]
+        return learned
+
+    def _update(self, h, ids, fresh, real, cls_of, m, q, g, k: int, rate: float) -> np.ndarray:
+        """One step of Adam on a window (places by streams, of which ``real`` hold tokens); the states behind it."""
+        wide, n = ids.shape
+        s = STATE
+        for x in g.values():
+            x[:] = 0
+        hs = np.empty((wide + 1, n, s), h.dtype if self.p["u"].dtype == np.float32 else np.float64)
+        zrs, ns, hus = np.empty((wide, n, 2 * s), hs.dtype), np.empty((wide, n, s), hs.dtype), np.empty((wide, n, s), hs.dtype)
+        hs[0] = h
+        new = fresh.any(1)
+        for t in range(wide):
+            if new[t]:
+                hs[t][fresh[t]] = 0
+            hs[t + 1], zrs[t], ns[t], hu = self.step(ids[t], hs[t])
+            hus[t] = hu[:, 2 * s:]
+        flat, old = ids.ravel(), hs[:-1]
+        tok = flat[real]
+        back = np.zeros((wide * n, s), hs.dtype)
+        _, back[real] = self.log_probs(old.reshape(-1, s)[real], tok, cls_of[tok], g)
+        back = back.reshape(wide, n, s)
+        z, r = zrs[:, :, :s], zrs[:, :, s:]
+        to_n = (1 - z) * (1 - ns * ns)
+        to_z = (old - ns) * z * (1 - z)
+        to_r = hus * r * (1 - r)
+        du = np.empty((wide, n, 3 * s), hs.dtype)
+        dn = np.empty((wide, n, s), hs.dtype)
+        carry, ut = np.zeros((n, s), hs.dtype), np.ascontiguousarray(self.p["u"].T)
+        for t in reversed(range(wide)):
+            d = np.multiply(carry, to_n[t], out=dn[t])
+            np.multiply(carry, to_z[t], out=du[t, :, :s])
+            np.multiply(d, to_r[t], out=du[t, :, s: 2 * s])
+            np.multiply(d, r[t], out=du[t, :, 2 * s:])
+            carry *= z[t]
+            carry += du[t] @ ut
+            carry += back[t]
+            if new[t]:
+                carry[fresh[t]] = 0
+        du, dn = du.reshape(-1, 3 * s), dn.reshape(-1, s)
+        g["u"] += old.reshape(-1, s).T @ du
+        dx = np.concatenate([du[:, : 2 * s], dn], 1)
+        order = np.argsort(flat, kind="stable")
+        head = np.flatnonzero(np.append(True, np.diff(flat[order]) > 0))
+        g["gates"][flat[order[head]]] += np.add.reduceat(dx[order], head, axis=0)
+        norm = math.sqrt(sum(float(np.vdot(x, x)) for x in g.values())) / len(real)
+        scale = min(1.0, 1.0 / max(norm, 1e-9)) / len(real)
+        for key, x in self.p.items():
+            d = g[key]
+            d *= scale
+            m[key] *= 0.9
+            m[key] += 0.1 * d
+            d *= d
+            d *= 0.01
+            q[key] *= 0.99
+            q[key] += d
+            np.multiply(q[key], 1 / (1 - 0.99**k), out=d)
+            np.sqrt(d, out=d)
+            d += 1e-7
+            np.divide(m[key], d, out=d)
+            d *= rate / (1 - 0.9**k)
+            x -= d
+        return hs[-1]
+
+    def flat(self) -> np.ndarray:
+        return np.concatenate([x.ravel() for x in self.p.values()])
+
+    def put(self, flat: np.ndarray) -> None:
+        at = 0
+        for k, x in self.p.items():
+            self.p[k] = flat[at: at + x.size].reshape(x.shape).astype(np.float32)
+            at += x.size
 
     def score(self, tokens: np.ndarray, first: np.ndarray, ids: np.ndarray, cls: np.ndarray, inside: np.ndarray, window: int = WINDOW) -> np.ndarray:
         """log10-probability of each document: ``tokens`` from ``first[i]`` to ``first[i + 1]``, through tables by token."""
@@ -287,32 +360,114 @@ class Network:
         return out
 
 
+class _Inputs(dict):
+    """Word -> what the network reads: the place of a shortlist word, else its suffix."""
+
+    def __init__(self, v: Vocabulary):
+        super().__init__()
+        self.short = {w.encode(): i for i, w in enumerate(v.words[: v.short])}
+        self.rare, self.other = {s: v.short + i for i, s in enumerate(v.suffixes)}, v.short + len(v.suffixes)
+        self.update(self.short)
+
+    def __missing__(self, w: bytes) -> int:
+        if len(self) > 300_000:
+            self.clear()
+            self.update(self.short)
+        out = self[w] = self.short.get(w, self.rare.get(suffix(w.decode("utf-8", "replace")), self.other))
+        return out
+
+
+def _means(table: pa.Table) -> pa.Table:
+    """The weighted mean of one piece over the tasks of one group."""
+    order = np.argsort(table.column("part").to_numpy(), kind="stable")
+    weight = table.column("weight").to_numpy()[order]
+    vals = table.column("vals").combine_chunks()
+    total = 0.0
+    for i, w in zip(order.tolist(), weight.tolist()):
+        total = total + w * np.frombuffer(vals[i].as_buffer(), np.float32).astype(np.float64)
+    mean = (total / weight.sum()).astype(np.float32)
+    return pa.table({"piece": table.column("piece")[:1], "part": pa.array([table.column("part")[0].as_py() // FAN], pa.int32()),
+                     "weight": pa.array([weight.sum()], pa.float64()), "vals": pa.array([mean.tobytes()], pa.binary())})
+
+
+def train_network(rows: DataFrame, v: Vocabulary, updates: int) -> tuple[Network, int]:
+    """The network after all rounds over ``txt string, mark long``, and the tokens it has learned from.
+
+    ``mark`` says in which round a row takes part.  Every row is read to its end once, or more often where all rows
+    have fewer tokens than ``updates`` windows of 64 x 20.
+    """
+    spark = rows.sparkSession
+    net = Network(v)
+    cls_of = np.append(v.short_class, v.n_short + np.arange(len(v.suffixes) + 1))
+    passes = max(1, min(updates, -(-updates * 1280 // max(v.tokens, 1))))
+    parts = max(1, min(rows.rdd.getNumPartitions(), v.tokens // TASK_TOKENS))
+    rows = rows.coalesce(parts)
+    schema = "piece int, part int, weight double, vals binary"
+    learned = 0
+    for k, rate in enumerate(RATES):
+        now = spark.sparkContext.broadcast((net, cls_of))
+
+        def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            net, cls_of = now.value
+            mine = Network.__new__(Network)  # the broadcast one is shared by the tasks of a worker
+            mine.v, mine.p = net.v, {key: x.copy() for key, x in net.p.items()}
+            inputs = _Inputs(net.v)
+
+            def texts():
+                for batch in batches:
+                    for _, _, data, offs in slices(batch.column(0)):
+                        raw = data.tobytes()
+                        for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
+                            ws = words(raw[a:b])
+                            ws.append(END.encode())
+                            yield np.fromiter(map(inputs.__getitem__, ws), np.int32, len(ws))
+
+            if passes == 1:
+                n = mine.train(texts(), cls_of, rate=rate)
+            else:  # fewer tokens than the least number asked for
+                kept = list(texts())
+                n = mine.train((x for _ in range(passes) for x in kept), cls_of, rate=rate)
+            if n:
+                flat = mine.flat()
+                pieces = [flat[i: i + PIECE].tobytes() for i in range(0, len(flat), PIECE)]
+                c, part = len(pieces), TaskContext.get().partitionId()
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(c, dtype=np.int32)), pa.array(np.full(c, part, np.int32)),
+                                                  pa.array(np.full(c, float(n))), pa.array(pieces, pa.binary())], names=["piece", "part", "weight", "vals"])
+
+        out = rows.where(F.pmod("mark", F.lit(len(RATES))) == k).select("txt").mapInArrow(learn, schema)
+        left = parts
+        while left > 1:
+            out = out.groupBy("piece", (F.col("part") / FAN).cast("int")).applyInArrow(_means, schema)
+            left = -(-left // FAN)
+        got = sorted(out.collect(), key=lambda r: r["piece"])  # one row for each piece of the weights
+        if got:
+            learned += int(round(got[0]["weight"]))
+            net.put(np.concatenate([np.frombuffer(r["vals"], np.float32) for r in got]))
+        now.unpersist()
+    return net, learned
+
+
 def score_documents(docs: DataFrame, train: Column, text_col: str = "text", carry: list[str] | None = None, updates: int = 1100) -> DataFrame:
     """The carried columns of every row (all but the text, if None), then ``n_tokens, n_known, train_tokens long,
     base_score, score double``.
 
     Words are lower-cased in A-Z; every text ends with one end token.  ``train`` says which rows to learn from; counts
-    cover all of them.  ``base_score`` is the smoothed unigram log10-probability, ``score`` the network's; words that no
+    and the network's training cover all of them.  ``base_score`` is the smoothed unigram log10-probability, ``score`` the network's; words that no
     training text has share one unknown word in each class, as in the base.  A null or empty text is the end token
     alone; repeated rows get equal scores; without training rows both scores are the base's; an empty table gives no rows.
     """
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
-    learned = docs.where(F.coalesce(train, F.lit(False))).select(docs[f"`{text_col}`"].cast("string").alias("txt"))
-    counts = word_counts(learned).checkpoint()
+    results = ("n_tokens", "n_known", "train_tokens", "base_score", "score")
+    learned = docs.where(F.coalesce(train, F.lit(False))).select(docs[f"`{text_col}`"].cast("string").alias("txt"), row_struct(docs, text_col, carry, results).alias("row"))
+    learned = learned.select("txt", F.xxhash64("txt", "row").alias("mark"))
+    counts = word_counts(learned.select("txt")).checkpoint()
     v = vocabulary(counts)
-    place = {w.encode(): i for i, w in enumerate(v.words)}
     top_tables = v.tables(v.words, v.counts)
     net = None
     if v.short:
-        sample = learned.where(F.octet_length("txt").between(1, SAMPLE_BYTES)).orderBy(F.xxhash64("txt"), "txt").limit(SAMPLE_DOCS).collect()
-        rare = {s: v.short + i for i, s in enumerate(v.suffixes)}
-        other = v.short + len(v.suffixes)
-        texts = [np.array([i if (i := place.get(w, v.short)) < v.short else rare.get(suffix(w.decode("utf-8", "replace")), other)
-                           for w in [*words(r["txt"].encode()), END.encode()]]) for r in sample]
-        cls_of = np.append(v.short_class, v.n_short + np.arange(len(v.suffixes) + 1))
-        net = Network(v).train(texts, cls_of, updates=updates) if texts else Network(v)
-    base = blocked(docs, text_col, carry, ("n_tokens", "n_known", "train_tokens", "base_score", "score"), BLOCK_BYTES)
+        net, _ = train_network(learned, v, updates)
+    base = blocked(docs, text_col, carry, results, BLOCK_BYTES)
     model = spark.sparkContext.broadcast((v, top_tables, net))  # bounded by TOP_WORDS and the network's sizes
     places: dict[bytes, int] = {}
 

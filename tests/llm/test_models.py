@@ -175,6 +175,39 @@ def test_language_model_edges(spark, edge_docs):
     assert gru_lm.score_documents(edge_docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_language_model_learns_from_every_row(spark):
+    """More rows than any sample, long, empty, null and repeated texts: each is read to its end, in every layout."""
+    texts = [f"w{i % 7} w{i % 5} end" for i in range(1500)] + ["one two " * 20_000, "", None] + ["the same text"] * 400
+    rows = spark.createDataFrame([(t,) for t in texts], "txt string").repartition(5).withColumn("mark", F.xxhash64("txt"))
+    v = gru_lm.vocabulary(gru_lm.word_counts(rows.select("txt")))
+    assert v.tokens == sum(len((t or "").split()) + 1 for t in texts)
+    assert gru_lm.train_network(rows, v, updates=1)[1] == v.tokens
+    gru_lm.TASK_TOKENS, before = 1000, gru_lm.TASK_TOKENS
+    try:
+        assert gru_lm.train_network(rows, v, updates=1)[1] == v.tokens
+    finally:
+        gru_lm.TASK_TOKENS = before
+
+
+def test_language_model_learns_from_long_texts(spark):
+    """A corpus of long texts only; words that follow each other strictly cost far less than by their counts."""
+    docs = spark.createDataFrame([(i, "one two three four " * 6000) for i in range(4)], "doc_id long, text string")
+    for r in gru_lm.score_documents(docs, F.lit(True), updates=100).collect():
+        assert r["score"] > 0.5 * r["base_score"]
+
+
+def test_streams_read_whole_texts():
+    v = _vocabulary()
+    cls_of = np.append(v.short_class, v.n_short + np.arange(3))
+    rng = np.random.default_rng(4)
+    docs = [rng.integers(0, 12, n) for n in (1, 3, 500, 7, 20, 21, 64, 2)]
+    for streams in (1, 3, 50):
+        net = gru_lm.Network(v)
+        assert net.train(iter(docs), cls_of, streams=streams, steps=5) == sum(map(len, docs))
+        assert all(np.isfinite(x).all() for x in net.p.values())
+    assert gru_lm.Network(v).train([], cls_of) == 0
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 2047, 2048, 2049, 10_000])
 def test_cut_is_the_binary_form(n):
     sizes = packing.cut(n, 2048)
