@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfwise.llm import oracles
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -87,13 +88,20 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 5).alias("held_out"), "lang_pred", "score")
 
 
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.vector_codes import encode
+
+    out, books = encode(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), carry=["vec_id"])
+    return out.withColumn("codebooks_sha256", F.lit(books.sha256()))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_search, op2_gru_scoring, op3_jaccard_join, op4_licenses, op5_quality, op6_substring_dedup, op7_decontamination, op8_suffix_dedup, op9_packing, op10_language_id, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_kd_search, op2_gru_scoring, op3_jaccard_join, op4_licenses, op5_quality, op6_substring_dedup, op7_decontamination, op8_suffix_dedup, op9_packing, op10_language_id, op12_vector_codes, pipeline)}
 
 ORACLES: dict[str, str] = {
     "op1_kd_search": """
@@ -110,4 +118,5 @@ ORACLES: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op12_vector_codes": oracles.vector_codes(),
 }
