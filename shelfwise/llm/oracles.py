@@ -42,3 +42,46 @@ def vector_codes(parts: int = 8, entries: int = 16, rounds: int = 6, scale: int
         )
         SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY v.label))::BIGINT AS label_error, codebooks_sha256
         FROM coded JOIN v USING (vec_id) CROSS JOIN hashed"""
+
+
+def source_audit(least_docs: int = 3, top_terms: int = 200) -> str:
+    """Every pair of sources over every kept term, without shortcuts."""
+    return f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS text FROM documents
+        ), w AS (
+            SELECT id, lang, source, translate(unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')),
+                                               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+            FROM d
+        ), kept AS (
+            SELECT lang, term FROM w GROUP BY ALL HAVING count(DISTINCT id) >= {least_docs}
+        ), freq AS (
+            SELECT lang, source, term, count(*) AS c FROM w JOIN kept USING (lang, term) GROUP BY ALL
+        ), v AS (
+            SELECT lang, count(*) AS v FROM kept GROUP BY lang
+        ), groups AS (
+            SELECT g.lang, g.source, coalesce(v.v, 0) AS v, coalesce(n.n, 0) AS n
+            FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN v ON v.lang = g.lang
+            LEFT JOIN (SELECT lang, source, sum(c) AS n FROM freq GROUP BY ALL) n ON n.lang = g.lang AND n.source = g.source
+        ), p AS (
+            SELECT g.lang, g.source, k.term, coalesce(f.c, 0) AS c,
+                   1 + (1000000000::HUGEINT * (coalesce(f.c, 0) + 1)) // (g.n + g.v) AS p
+            FROM groups g JOIN kept k ON k.lang = g.lang LEFT JOIN freq f ON f.lang = g.lang AND f.source = g.source AND f.term = k.term
+        ), whole AS (
+            SELECT f.lang, f.term, 1 + (1000000000::HUGEINT * (sum(f.c) + 1)) // (any_value(t.n) + any_value(t.v)) AS q
+            FROM freq f JOIN (SELECT lang, sum(n) AS n, max(v) AS v FROM groups GROUP BY lang) t ON t.lang = f.lang GROUP BY ALL
+        ), pairs AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(s.value, 0)::BIGINT AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN (
+                SELECT x.lang, x.source, y.source AS item, sum((x.p - y.p) * (x.p - y.p) // y.p) AS value
+                FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL
+            ) s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source
+        ), terms AS (
+            SELECT p.lang, p.source, 'term' AS part, p.term AS item, ((p.p - q) * (p.p - q) // q)::BIGINT AS value
+            FROM p JOIN whole USING (lang, term) WHERE c > 0 AND p.p > q
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+            FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+        )
+        SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {top_terms}"""

@@ -88,6 +88,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", held_out(F.col("doc_id"), 5).alias("held_out"), "lang_pred", "score")
 
 
+def op11_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.source_audit import divergence
+
+    return divergence(_documents(spark, sf_dir))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from shelfwise.llm.vector_codes import encode
 
@@ -101,7 +107,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_search, op2_gru_scoring, op3_jaccard_join, op4_licenses, op5_quality, op6_substring_dedup, op7_decontamination, op8_suffix_dedup, op9_packing, op10_language_id, op12_vector_codes, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_kd_search, op2_gru_scoring, op3_jaccard_join, op4_licenses, op5_quality, op6_substring_dedup, op7_decontamination, op8_suffix_dedup, op9_packing, op10_language_id, op11_source_audit, op12_vector_codes, pipeline)}
 
 ORACLES: dict[str, str] = {
     "op1_kd_search": """
@@ -118,5 +124,6 @@ ORACLES: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op11_source_audit": oracles.source_audit(),
     "op12_vector_codes": oracles.vector_codes(),
 }
