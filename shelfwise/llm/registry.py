@@ -101,13 +101,20 @@ def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumn("codebooks_sha256", F.lit(books.sha256()))
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from shelfwise.llm.pii import find
+
+    out = find(_documents(spark, sf_dir), carry=["doc_id"])
+    return out.withColumn("base_sha256", F.sha2("base_spans", 256)).drop("base_spans")
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
 
 
-QUERIES = {f.__name__: f for f in (op1_kd_search, op2_gru_scoring, op3_jaccard_join, op4_licenses, op5_quality, op6_substring_dedup, op7_decontamination, op8_suffix_dedup, op9_packing, op10_language_id, op11_source_audit, op12_vector_codes, pipeline)}
+QUERIES = {f.__name__: f for f in (op1_kd_search, op2_gru_scoring, op3_jaccard_join, op4_licenses, op5_quality, op6_substring_dedup, op7_decontamination, op8_suffix_dedup, op9_packing, op10_language_id, op11_source_audit, op12_vector_codes, op13_pii, pipeline)}
 
 ORACLES: dict[str, str] = {
     "op1_kd_search": """
