@@ -53,6 +53,8 @@ CONTEXT = 8
 STEM = 3
 #: Bits of the filters of terms and texts (1 MB, whatever their number).
 FILTER_BITS = 23
+#: Terms whose counts a task holds before it sends them on.
+HELD_KEYS = 500_000
 #: Context rows that leave a task together.
 CTX_ROWS = 20_000
 
@@ -261,6 +263,7 @@ def document_counts(texts: DataFrame, keys: DataFrame) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = sent.value
+        key, n = np.zeros(0, np.uint64), np.zeros(0, np.int64)
         for batch in batches:
             for i, j, data, offs in slices(batch.column(0)):
                 words = Words(data, offs, LETTER[data])
@@ -273,8 +276,14 @@ def document_counts(texts: DataFrame, keys: DataFrame) -> DataFrame:
                 order = np.lexsort((row, h))
                 h, row = h[order], row[order]
                 new = np.append(True, (h[1:] != h[:-1]) | (row[1:] != row[:-1])) if len(h) else np.zeros(0, bool)
-                key, n = np.unique(h[new], return_counts=True)
-                yield pa.RecordBatch.from_arrays([signed(key), pa.array(n.astype(np.int64))], names=["key", "n"])
+                new, many = np.unique(h[new], return_counts=True)
+                both, n = np.append(key, new), np.append(n, many)
+                key, at = np.unique(both, return_inverse=True)
+                n = np.bincount(at, n, len(key)).astype(np.int64)  # exact up to 2^53
+                if len(key) > HELD_KEYS:
+                    yield pa.RecordBatch.from_arrays([signed(key), pa.array(n)], names=["key", "n"])
+                    key, n = key[:0], n[:0]
+        yield pa.RecordBatch.from_arrays([signed(key), pa.array(n)], names=["key", "n"])
 
     got = texts.mapInArrow(count, "key long, n long").groupBy("key").agg(F.sum("n").alias("n_t"))
     return got.join(keys, "key", "left_semi")
@@ -313,20 +322,29 @@ def disclosure(n: Column, n_c: Column, n_t: Column, n_ct: Column) -> Column:
 
 def revealing_terms(context: DataFrame, texts: DataFrame, n_docs: int, threshold: float, least_docs: int) -> DataFrame:
     """``ent, term, kind``: terms that disclose too much of an entity, and whether their stem may stay."""
+    n = F.lit(float(n_docs))
+
+    def tells(n_t: str, n_ct: str) -> Column:
+        return F.coalesce(disclosure(n, F.col("n_c"), F.col(n_t), F.col(n_ct)) >= threshold, F.lit(False))
+
+    def near(name: str) -> DataFrame:
+        """Documents that hold a term near any entity: no more than hold it at all, so what discloses too little by this count does so by the whole one."""
+        return context.where(F.col(name).isNotNull()).select(name, "id").distinct().groupBy(name).agg(F.count(F.lit(1)).alias(f"near_{name}"))
+
     once = context.where("once")
     entities = once.where("term is null").groupBy("ent").agg(F.count(F.lit(1)).alias("n_c")).where(F.col("n_c") >= least_docs)
     pairs = once.where("term is not null").groupBy("ent", "term").agg(F.count(F.lit(1)).alias("n_ct"), F.first("stem", ignorenulls=True).alias("stem"))
-    pairs = pairs.where(F.col("n_ct") >= least_docs).join(entities, "ent").checkpoint()
-    # a stem's documents: those of its terms, each counted once
+    pairs = pairs.where(F.col("n_ct") >= least_docs).join(entities, "ent").join(near("term"), "term").where(tells("near_term", "n_ct")).checkpoint()
+    # a stem's documents near an entity: those of all words with the stem, each document once
     met = context.where("stem is not null").join(pairs.select("ent", "stem").distinct(), ["ent", "stem"], "left_semi")
     stems = met.select("ent", "stem", "id").distinct().groupBy("ent", "stem").agg(F.count(F.lit(1)).alias("n_cs"))
-    keys = pairs.select(F.col("term").alias("key")).unionByName(pairs.where("stem is not null").select(F.col("stem").alias("key"))).distinct()
+    pairs = pairs.join(stems, ["ent", "stem"], "left").join(near("stem"), "stem", "left").withColumn("may", F.col("stem").isNotNull() & tells("near_stem", "n_cs")).checkpoint()
+    keys = pairs.select(F.col("term").alias("key")).unionByName(pairs.where("may").select(F.col("stem").alias("key"))).distinct()
     df = document_counts(texts, keys).checkpoint()
-    n = F.lit(float(n_docs))
-    out = pairs.join(df.withColumnRenamed("key", "term"), "term").where(disclosure(n, F.col("n_c"), F.col("n_t"), F.col("n_ct")) >= threshold)
-    out = out.drop("n_t", "n_ct").join(stems, ["ent", "stem"], "left").join(df.withColumnRenamed("key", "stem"), "stem", "left")
-    tells = F.coalesce(disclosure(n, F.col("n_c"), F.col("n_t"), F.col("n_cs")) >= threshold, F.lit(True))
-    return out.select("ent", "term", F.when(tells, F.lit(ADDED[1])).otherwise(F.lit(ADDED[0])).alias("kind"))
+    out = pairs.join(df.withColumnRenamed("key", "term"), "term").where(tells("n_t", "n_ct")).drop("n_t")
+    out = out.join(df.withColumnRenamed("key", "stem"), "stem", "left")
+    gone = F.col("stem").isNull() | (F.col("may") & tells("n_t", "n_cs"))
+    return out.select("ent", "term", F.when(gone, F.lit(ADDED[1])).otherwise(F.lit(ADDED[0])).alias("kind"))
 
 
 def find(docs: DataFrame, text_col: str = "text", carry: list[str] | None = None, threshold: float = THRESHOLD, least_docs: int = LEAST_DOCS, with_text: bool = False) -> DataFrame:
