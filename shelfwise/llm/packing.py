@@ -8,6 +8,7 @@ is a sequence of its own, so no sequence crosses documents and none is padded;
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -16,17 +17,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.text import slices
+from shelfwise.llm.text import slices, word_hashes, word_spans
 
-#: Words kept with their ids in each Python worker; others are encoded again when they recur.
-CACHE_WORDS = 400_000
+#: Words of one generation of the cache of a Python worker; the generation before is kept as well.
+CACHE_WORDS = 250_000
+#: Pre-tokens of lower-case ASCII words without apostrophes, where the tokenizer agrees (see WordEncoder).
+PIECES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
 
 
 class WordEncoder:
     """Token ids of whole texts through a cache of words.
 
-    The tokenizer's pre-tokens never cross white space, so the ids of a text are the ids of its
-    words in order.  New words of a batch are encoded together.
+    The tokenizer's pre-tokens never cross white space, so the ids of a text are the ids of its words in order.
+    New words of a batch are encoded together.  A word that was used since the last change of generations stays in the
+    cache, others are forgotten with their generation.  If, on words of all ASCII characters, the tokenizer lower-cases,
+    cuts at PIECES and leaves each piece to its model, then such words go straight to the model, which spares them the
+    normaliser and its patterns; others and those of other tokenizers take the tokenizer's own way.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
@@ -34,29 +40,83 @@ class WordEncoder:
 
         self.tok = Tokenizer.from_file(path)
         self.cache: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
         self.most = cache_words
-
-    def learn(self, words: set[bytes]) -> dict[bytes, bytes]:
-        new = list(words)
-        if not new:
-            return {}
-        texts = [w.decode("utf-8") for w in new]
+        self.direct = self._agrees()
+
+    def _agrees(self) -> bool:
+        marks = [chr(c) for c in range(33, 127) if chr(c) != "'"]
+        probes = [f"{a}{b}{m}{a}{m}{m}{b}7{m}12{m}" for m in marks for a, b in (("a", "Zq"), ("The", "s"), ("T", "re"))] + marks + ["the", "THE", "o0o", "1234"]
+        probes += [x + y for x in marks for y in marks]
+        try:
+            return all(self._direct(w.encode()) == p for w, p in zip(probes, self._plain(probes)))
+        except Exception:  # no such model, or a piece that the model alone can't take
+            return False
+        finally:
+            self.pieces.clear()
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
         encode = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
-        return {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, encode(texts, add_special_tokens=False))}
+        return [np.array(e.ids, "<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
+
+    def _direct(self, word: bytes) -> bytes:
+        out = []
+        for piece in PIECES.findall(word.lower()):
+            if (ids := self.pieces.get(piece)) is None:
+                ids = self.pieces[piece] = b"".join([t.id.to_bytes(4, "little") for t in self.tok.model.tokenize(piece.decode())])
+            out.append(ids)
+        return b"".join(out)
+
+    def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
+        direct = {w for w in words if w.isascii() and b"'" not in w and w.isalnum() | (min(w) > 32 and max(w) < 127)} if self.direct else set()
+        plain = [w for w in words if w not in direct]
+        out = dict(zip(plain, self._plain([w.decode("utf-8") for w in plain]))) if plain else {}
+        out.update((w, self._direct(w)) for w in direct)
+        if len(self.pieces) > self.most:
+            self.pieces.clear()
+        return out
+
+    def lookup(self, words: list[bytes]) -> list[bytes]:
+        """Little-endian unsigned 32-bit ids of distinct words."""
+        if len(self.cache) > self.most:
+            self.cache, self.old = {}, self.cache
+        cache, old = self.cache, self.old
+        missing = [w for w in words if w not in cache]
+        again = {w: ids for w in missing if (ids := old.get(w)) is not None}
+        cache.update(again)
+        cache.update(self.learn([w for w in missing if w not in again]))
+        return [cache[w] for w in words]
+
+    def ids(self, data: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a run of rows, each followed by ``end_id``, and the rows' offsets among them.
+
+        Only the distinct words of the run, told apart by 64-bit fingerprints, are looked up.
+        """
+        rows = len(offs) - 1
+        starts, ends, first = word_spans(data, offs)
+        _, at, which = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+        raw = data.tobytes()
+        found = self.lookup([raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        table = np.frombuffer(b"".join(found), "<u4")
+        n = size[which]
+        upto = np.append(0, np.cumsum(n))
+        offsets = upto[first] + np.arange(rows + 1)
+        source = np.repeat((np.cumsum(size) - size)[which] - upto[:-1], n) + np.arange(upto[-1])
+        out = np.empty(int(offsets[-1]), "<u4")
+        out[np.arange(upto[-1]) + np.repeat(np.arange(rows), np.diff(upto[first]))] = table[source]
+        out[offsets[1:] - 1] = end_id
+        return out, offsets
 
     def __call__(self, texts: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        split = [t.split() for t in texts]
-        cache = self.cache
-        new = self.learn(set().union(*split).difference(cache)) if split else {}
-        if len(cache) + len(new) <= self.most:
-            cache.update(new)
-            return [b"".join([cache[w] for w in ws]) for ws in split]
-        both = {**cache, **new} if len(new) > 50_000 else None
-        if both is None:
-            get, more = cache.get, new
-            return [b"".join([get(w) or more.get(w, b"") for w in ws]) for ws in split]
-        return [b"".join([both[w] for w in ws]) for ws in split]
+        offs = np.append(0, np.cumsum([len(t) for t in texts])).astype(np.int64)
+        out, edge = self.ids(np.frombuffer(b"".join(texts), np.uint8), offs, 0)
+        return [out[a: b - 1].tobytes() for a, b in zip(edge[:-1], edge[1:])]
+
+    def forget(self) -> None:
+        self.cache, self.old, self.pieces = {}, {}, {}
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -84,20 +144,19 @@ def power_of_two_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = 204
     """
     if seq_len < 1 or seq_len & (seq_len - 1):
         raise ValueError("seq_len must be a power of two")
-    end = np.array([end_id], "<u4").tobytes()
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_path)
         for batch in batches:
             keys = batch.column(0)
             for i, j, data, offs in slices(batch.column(1), 4 << 20):
-                raw = data.tobytes()
                 row, start, length, crc, total, ids = [], [], [], [], [], []
-                for r, mine in enumerate(enc([raw[a:b] for a, b in zip(offs[:-1].tolist(), offs[1:].tolist())])):
-                    mine += end
-                    n, at = len(mine) // 4, 0
+                every, edge = enc.ids(data, offs, end_id)
+                every, edge = every.tobytes(), edge.tolist()
+                for r in range(j - i):
+                    n, at = edge[r + 1] - edge[r], 0
                     for size in cut(n, seq_len):
-                        piece = mine[4 * at: 4 * (at + size)]
+                        piece = every[4 * (edge[r] + at): 4 * (edge[r] + at + size)]
                         row.append(i + r)
                         start.append(at)
                         length.append(size)
@@ -114,7 +173,7 @@ def power_of_two_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = 204
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(cols, names=names)
         if not keep_words:
-            enc.cache.clear()
+            enc.forget()
 
     key = docs.select(docs[f"`{id_col}`"].alias("doc_id"), docs[f"`{text_col}`"].cast("string").alias("txt"))
     kind = key.schema["doc_id"].dataType.simpleString()
