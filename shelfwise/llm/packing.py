@@ -19,74 +19,93 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.text import slices, word_hashes, word_spans
 
-#: Words of one generation of the cache of a Python worker; the generation before is kept as well.
-CACHE_WORDS = 250_000
-#: Pre-tokens of lower-case ASCII words without apostrophes, where the tokenizer agrees (see WordEncoder).
-PIECES = re.compile(rb"[a-z]+|[0-9]|[^a-z0-9]+")
+#: Words, and parts of words, of one generation of the caches of a Python worker; the generation before is kept as well.
+CACHE_WORDS, CACHE_PIECES = 200_000, 500_000
+#: Words of printable ASCII without apostrophes and of the letters of Latin-1, and, in lower case, their pre-tokens.
+SIMPLE = re.compile(rb"(?:[!-&(-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
+PIECES = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+|[0-9]|[^a-z0-9\x80-\xff]+")
+
+
+class Generations:
+    """A cache that forgets what was not asked for since the last change of generations."""
+
+    def __init__(self, most: int):
+        self.most, self.now, self.before = most, {}, {}
+
+    def missing(self, keys) -> list[bytes]:
+        """The keys that have to be worked out; what the last generation knows is taken over."""
+        if len(self.now) > self.most:
+            self.now, self.before = {}, self.now
+        now, before = self.now, self.before
+        new = [k for k in keys if k not in now]
+        again = {k: v for k in new if (v := before.get(k)) is not None}
+        now.update(again)
+        return [k for k in new if k not in again]
+
+    def clear(self) -> None:
+        self.now, self.before = {}, {}
 
 
 class WordEncoder:
     """Token ids of whole texts through a cache of words.
 
     The tokenizer's pre-tokens never cross white space, so the ids of a text are the ids of its words in order.
-    New words of a batch are encoded together.  A word that was used since the last change of generations stays in the
-    cache, others are forgotten with their generation.  If, on words of all ASCII characters, the tokenizer lower-cases,
-    cuts at PIECES and leaves each piece to its model, then such words go straight to the model, which spares them the
-    normaliser and its patterns; others and those of other tokenizers take the tokenizer's own way.
+    SIMPLE words are cut into PIECES, which recur more often than words; pieces of ASCII go straight to the tokenizer's
+    model, which spares them its normaliser and patterns.  That holds for a tokenizer that gives the same ids for a
+    list of probes; other words, words with added tokens, and all words of other tokenizers take the tokenizer's own way.
     """
 
-    def __init__(self, path: str, cache_words: int = CACHE_WORDS):
+    def __init__(self, path: str, cache_words: int = CACHE_WORDS, cache_pieces: int = CACHE_PIECES):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
-        self.cache: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
-        self.pieces: dict[bytes, bytes] = {}
-        self.most = cache_words
-        self.direct = self._agrees()
+        self.words, self.pieces = Generations(cache_words), Generations(cache_pieces)
+        added = [t.content.encode() for t in self.tok.get_added_tokens_decoder().values()]
+        self.added = re.compile(b"|".join(map(re.escape, added)), re.IGNORECASE) if added else re.compile(rb"(?!)")
+        self.simple = True
+        self.simple = self._agrees()
+        self.forget()
 
     def _agrees(self) -> bool:
         marks = [chr(c) for c in range(33, 127) if chr(c) != "'"]
-        probes = [f"{a}{b}{m}{a}{m}{m}{b}7{m}12{m}" for m in marks for a, b in (("a", "Zq"), ("The", "s"), ("T", "re"))] + marks + ["the", "THE", "o0o", "1234"]
-        probes += [x + y for x in marks for y in marks]
+        letters = [chr(c) for c in range(0xC0, 0x100) if c not in (0xD7, 0xF7)]
+        probes = [f"{a}{b}{m}{a}{m}{m}{b}7{m}12{m}" for m in marks for a, b in (("a", "Zq"), ("The", "s"), ("T", "re"), ("\xe9", "\xc9t"))]
+        probes += [x + y for x in marks for y in marks] + marks + [a + c + b for c in letters for a, b in (("", ""), ("e", "n"), ("1", "!"))] + ["the", "THE", "o0o", "1234"]
         try:
-            return all(self._direct(w.encode()) == p for w, p in zip(probes, self._plain(probes)))
+            got = self.learn([w.encode() for w in probes])
         except Exception:  # no such model, or a piece that the model alone can't take
             return False
-        finally:
-            self.pieces.clear()
+        return all(got[w.encode()] == p for w, p in zip(probes, self._plain(probes)))
 
     def _plain(self, texts: list[str]) -> list[bytes]:
         encode = getattr(self.tok, "encode_batch_fast", self.tok.encode_batch)
         return [np.array(e.ids, "<u4").tobytes() for e in encode(texts, add_special_tokens=False)]
 
-    def _direct(self, word: bytes) -> bytes:
-        out = []
-        for piece in PIECES.findall(word.lower()):
-            if (ids := self.pieces.get(piece)) is None:
-                ids = self.pieces[piece] = b"".join([t.id.to_bytes(4, "little") for t in self.tok.model.tokenize(piece.decode())])
-            out.append(ids)
-        return b"".join(out)
-
     def learn(self, words: list[bytes]) -> dict[bytes, bytes]:
-        direct = {w for w in words if w.isascii() and b"'" not in w and w.isalnum() | (min(w) > 32 and max(w) < 127)} if self.direct else set()
-        plain = [w for w in words if w not in direct]
-        out = dict(zip(plain, self._plain([w.decode("utf-8") for w in plain]))) if plain else {}
-        out.update((w, self._direct(w)) for w in direct)
-        if len(self.pieces) > self.most:
-            self.pieces.clear()
+        fits, holds_added, cut = SIMPLE.fullmatch, self.added.search, PIECES.findall
+        simple = [w for w in words if fits(w) and not holds_added(w)] if self.simple else []
+        parts: set[bytes] = set()
+        for w in simple:
+            parts.update(cut(w.lower()))
+        new = self.pieces.missing(parts)
+        known, model = self.pieces.now, self.tok.model.tokenize
+        for p in new:
+            if p.isascii():
+                known[p] = b"".join([t.id.to_bytes(4, "little") for t in model(p.decode())])
+        wide = [p for p in new if not p.isascii()]
+        known.update(zip(wide, self._plain([p.decode() for p in wide])))
+        of = known.__getitem__
+        out = {w: b"".join(map(of, cut(w.lower()))) for w in simple}
+        rest = [w for w in words if w not in out]
+        out.update(zip(rest, self._plain([w.decode("utf-8") for w in rest])))
         return out
 
     def lookup(self, words: list[bytes]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of distinct words."""
-        if len(self.cache) > self.most:
-            self.cache, self.old = {}, self.cache
-        cache, old = self.cache, self.old
-        missing = [w for w in words if w not in cache]
-        again = {w: ids for w in missing if (ids := old.get(w)) is not None}
-        cache.update(again)
-        cache.update(self.learn([w for w in missing if w not in again]))
-        return [cache[w] for w in words]
+        new = self.words.missing(words)
+        known = self.words.now
+        known.update(self.learn(new))
+        return [known[w] for w in words]
 
     def ids(self, data: np.ndarray, offs: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
         """The ids of a run of rows, each followed by ``end_id``, and the rows' offsets among them.
@@ -116,7 +135,8 @@ class WordEncoder:
         return [out[a: b - 1].tobytes() for a, b in zip(edge[:-1], edge[1:])]
 
     def forget(self) -> None:
-        self.cache, self.old, self.pieces = {}, {}, {}
+        self.words.clear()
+        self.pieces.clear()
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -149,7 +169,7 @@ def power_of_two_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = 204
         enc = encoder(tokenizer_path)
         for batch in batches:
             keys = batch.column(0)
-            for i, j, data, offs in slices(batch.column(1), 4 << 20):
+            for i, j, data, offs in slices(batch.column(1), 8 << 20):
                 row, start, length, crc, total, ids = [], [], [], [], [], []
                 every, edge = enc.ids(data, offs, end_id)
                 every, edge = every.tobytes(), edge.tolist()
