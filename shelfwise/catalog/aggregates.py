@@ -190,7 +190,9 @@ SELECT region_name, COUNT(DISTINCT order_id) AS completed_orders, {money('SUM(gr
 FROM v GROUP BY region_name
 """)
 def _ag16(t, m):
-    out = A.rollup_report(sales_lines(m, ("store",)), ["region_name"], "order_id", {"_r": "gross_revenue"})
+    """The region grain out of the state of the store grain: distinct orders are merged, never summed."""
+    state = A.distinct_state(sales_lines(m, ("store",)), ["store_id", "region_name"], "order_id", ["gross_revenue"])
+    out = A.from_state(state, ["region_name"], "order_id", {"_r": "gross_revenue"})
     return out.select("region_name", F.col("distinct_order_ids").alias("completed_orders"),
                       round_money("_r").alias("gross_revenue"))
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -66,14 +64,12 @@ GROUP BY o.o_orderkey
 """)
 def _pf05(t, m):
     """Orders and lines bucketed by order key: the join and the aggregate need no exchange."""
-    tag = uuid.uuid4().hex[:8]
     n = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    o = P.write_bucketed(m.orders.select("order_id", "status"), f"shelfwise_orders_b_{tag}",
-                         scratch_dir(t.spark, "orders_bucketed"), n, "order_id")
-    i = P.write_bucketed(m.items.select("order_id", "gross_revenue"), f"shelfwise_items_b_{tag}",
-                         scratch_dir(t.spark, "items_bucketed"), n, "order_id")
-    j = i.join(o.filter(F.col("status") == "F"), "order_id")
-    return j.groupBy("order_id").agg(round_money(F.sum("gross_revenue")).alias("revenue"))
+    with P.bucketed_scope(t.spark) as write:
+        o = write(m.orders.select("order_id", "status"), "shelfwise_orders", n, "order_id")
+        i = write(m.items.select("order_id", "gross_revenue"), "shelfwise_items", n, "order_id")
+        j = i.join(o.filter(F.col("status") == "F"), "order_id")
+        return j.groupBy("order_id").agg(round_money(F.sum("gross_revenue")).alias("revenue")).checkpoint()
 
 
 @register("pf_same_result", "PF-06", oracle=f"""

@@ -129,7 +129,7 @@ SELECT day, CAST(revenue AS DOUBLE) AS revenue, CAST(LAG(revenue) OVER (ORDER BY
 FROM daily
 """)
 def _wn10(t, m):
-    d = W.lagged(daily_purchases(t), "revenue", ["day"], out="prior_revenue")
+    d = W.lagged(daily_purchases(t), "revenue", ["day"], out="prior_revenue", bounded=True)
     return d.select("day", _dbl("revenue").alias("revenue"), _dbl("prior_revenue").alias("prior_revenue"))
 
 
@@ -138,7 +138,7 @@ WITH {DAILY_SQL}
 SELECT day, purchases, LEAD(purchases) OVER (ORDER BY day) AS next_purchases FROM daily
 """)
 def _wn11(t, m):
-    d = W.lagged(daily_purchases(t), "purchases", ["day"], lead=True, out="next_purchases")
+    d = W.lagged(daily_purchases(t), "purchases", ["day"], lead=True, out="next_purchases", bounded=True)
     return d.select("day", "purchases", "next_purchases")
 
 
@@ -149,7 +149,7 @@ SELECT store_id, sales_month, {money('revenue')} AS revenue,
 FROM sm
 """)
 def _wn12(t, m):
-    d = W.change(store_month(m), "revenue", ["sales_month"], by=["store_id"])
+    d = W.change(store_month(m), "revenue", ["sales_month"], by=["store_id"], bounded=True)
     return d.select("store_id", "sales_month", round_money("revenue").alias("revenue"), round_money("change").alias("change"))
 
 
@@ -161,7 +161,7 @@ SELECT day, CAST(revenue AS DOUBLE) AS revenue, CAST(prior AS DOUBLE) AS prior_r
 FROM c
 """)
 def _wn13(t, m):
-    d = W.pct_change(daily_purchases(t), "revenue", ["day"], prior="prior_revenue")
+    d = W.pct_change(daily_purchases(t), "revenue", ["day"], prior="prior_revenue", bounded=True)
     return d.select("day", _dbl("revenue").alias("revenue"), _dbl("prior_revenue").alias("prior_revenue"),
                     _dbl("pct_change").alias("pct_change"))
 
@@ -174,10 +174,47 @@ c AS (SELECT day, revenue,
 SELECT day, CAST(revenue AS DOUBLE) AS revenue, {div_round('s', 'n', 3, 2)} AS moving_avg_3d FROM c
 """)
 def _wn14(t, m):
-    d = W.moving_avg(daily_purchases(t), "revenue", ["day"], 3, out="moving_avg_3d")
+    d = W.moving_avg(daily_purchases(t), "revenue", ["day"], 3, out="moving_avg_3d", bounded=True)
     return d.select("day", _dbl("revenue").alias("revenue"), F.round("moving_avg_3d", 3).cast("double").alias("moving_avg_3d"))
 
 
+# Series as long as the data: one of all orders, and one per product of which any may hold a third of the lines.
+
+
+@register("win_neighbours_of_orders", "WN-10", oracle="""
+SELECT o_orderkey AS order_id, o_totalprice AS order_total,
+       LAG(o_totalprice) OVER (ORDER BY o_orderdate, o_orderkey) AS prior_order_total,
+       LEAD(o_totalprice, 2) OVER (ORDER BY o_orderdate, o_orderkey) AS second_next_total
+FROM orders
+""")
+def _wn10_orders(t, m):
+    o = m.orders.select("order_id", "order_date", "order_total")
+    o = W.lagged(o, "order_total", ["order_date", "order_id"], out="prior_order_total")
+    o = W.lagged(o, "order_total", ["order_date", "order_id"], offset=2, lead=True, out="second_next_total")
+    return o.select("order_id", "order_total", "prior_order_total", "second_next_total")
+
+
+@register("win_change_of_items", "WN-12", oracle="""
+SELECT l_partkey AS product_id, l_orderkey AS order_id, l_linenumber AS line_number,
+       l_quantity - LAG(l_quantity) OVER (PARTITION BY l_partkey ORDER BY l_shipdate, l_orderkey, l_linenumber) AS change
+FROM lineitem
+""")
+def _wn12_items(t, m):
+    i = t.lineitem.select(F.col("l_partkey").alias("product_id"), F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"), "l_shipdate", "l_quantity")
+    return W.change(i, "l_quantity", ["l_shipdate", "order_id", "line_number"], by=["product_id"]).select("product_id", "order_id", "line_number", "change")
+
+
+@register("win_moving_avg_of_items", "WN-14", oracle="""
+SELECT l_suppkey AS store_id, l_orderkey AS order_id, l_linenumber AS line_number,
+       CAST(SUM(CAST(l_quantity AS BIGINT)) OVER w AS DOUBLE) / COUNT(*) OVER w AS moving_avg_5
+FROM lineitem WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)
+""")
+def _wn14_items(t, m):
+    i = t.lineitem.select(F.col("l_suppkey").alias("store_id"), F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"), "l_shipdate",
+                          F.col("l_quantity").cast("bigint").alias("quantity"))
+    return W.moving_avg(i, "quantity", ["l_shipdate", "order_id", "line_number"], 5, by=["store_id"], out="moving_avg_5").select("store_id", "order_id", "line_number", "moving_avg_5")
+
+
 @register("win_peer_avg", "WN-15", oracle=f"""
 WITH {CUSTOMER_SPEND_SQL},
 j AS (SELECT cs.customer_id, c.c_mktsegment AS segment, cs.total_spend FROM cs JOIN customer c ON c.c_custkey = cs.customer_id),

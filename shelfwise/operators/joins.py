@@ -96,22 +96,44 @@ def not_in_vs_anti(df: DataFrame, key: str, other: DataFrame, other_key: str) ->
     return n_in.crossJoin(n_ex)
 
 
+#: Period lengths are told apart by powers of two of days, up to this one (about 180,000 years).
+RANGE_LEVELS = 26
+
+
+def period_bins(periods: DataFrame, start: str, end: str) -> DataFrame:
+    """Each period once or twice with ``_level`` and ``_bin``: bins of 2^level days, the least level as long as the period.
+
+    A period that ends before it starts, or with a NULL end, has no bin.
+    """
+    lo, hi = F.unix_date(F.to_date(start)), F.unix_date(F.to_date(end))
+    days = (hi - lo + 1).cast("bigint")
+    level = sum((F.when(days > (1 << k), F.lit(1)).otherwise(F.lit(0)) for k in range(RANGE_LEVELS)), F.lit(0))
+    p = periods.filter(F.col(start) <= F.col(end)).withColumn("_level", level)
+    ends = [F.expr(f"shiftright(unix_date(to_date(`{c}`)), _level)") for c in (start, end)]
+    return p.withColumn("_bin", F.explode(F.array_distinct(F.array(*ends))))
+
+
 def range_attribute(df: DataFrame, date_col: str, periods: DataFrame, start: str = "start_date",
                     end: str = "end_date") -> DataFrame:
-    """JN-14: attach the period whose inclusive [start, end] contains the date (LEFT join).
-
-    One plan for every size: each period is expanded to the months it covers,
-    both sides are equi-joined on the month, and the range condition filters
-    inside the bucket.  The work grows with the rows, not with their product;
-    the planner broadcasts the periods by itself where they are small.  A
-    period with a NULL end or with its end before its start matches nothing.
+    """JN-14: attach every period whose inclusive [start, end] contains the date (LEFT join).
+
+    One plan for every size, by adaptive bins: a period lies in at most two
+    bins of its own length class, so a period of twenty years is two rows,
+    and a date meets only periods of which it lies within a few lengths.
+    The distinct dates are matched first (one bin per length class), then
+    the rows take up their date's periods by an equi-join, which AQE splits
+    on a hot date.  So the work grows with the rows, the periods and the
+    matches; no month or bin holds all periods.  The planner broadcasts a
+    side by itself where it is small.  A period with a NULL end or with its
+    end before its start matches nothing.
     """
-    p = periods.filter(F.col(start) <= F.col(end))
-    months = F.when(F.col(start) <= F.col(end), F.sequence(F.trunc(start, "MM"), F.trunc(end, "MM"), F.expr("INTERVAL 1 MONTH")))
-    p = p.withColumn("_period_month", F.explode(months))
-    d = df.withColumn("_month", F.trunc(F.col(date_col), "MM"))
-    cond = (F.col("_month") == F.col("_period_month")) & (F.col(date_col) >= F.col(start)) & (F.col(date_col) <= F.col(end))
-    return d.join(p, cond, "left").drop("_month", "_period_month")
+    bins = period_bins(periods, start, end)
+    dates = df.select(F.col(date_col).alias("_date")).filter(F.col("_date").isNotNull()).distinct()
+    levels = F.explode(F.sequence(F.lit(0), F.lit(RANGE_LEVELS))).alias("_on_level")
+    dates = dates.select("_date", levels).withColumn("_on_bin", F.expr("shiftright(unix_date(to_date(_date)), _on_level)"))
+    inside = (F.col("_level") == F.col("_on_level")) & (F.col("_bin") == F.col("_on_bin")) & (F.col("_date") >= F.col(start)) & (F.col("_date") <= F.col(end))
+    matches = dates.join(bins, inside).drop("_level", "_bin", "_on_level", "_on_bin")
+    return df.join(matches, F.col(date_col) == F.col("_date"), "left").drop("_date")
 
 
 def latest(df: DataFrame, date_col: str) -> DataFrame:

@@ -7,14 +7,14 @@ except the one-row verdict of a write-audit-publish gate.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise.functions.exprs import changed
 from shelfwise.operators import windows as W
+from shelfwise.sources import versions
 from shelfwise.sources.raw import guard
 
 
@@ -26,20 +26,23 @@ def _c(x) -> Column:
 
 
 def profile(df: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """DQ-01: per column - rows, present, missing, distinct.
+    """DQ-01: per column - rows, present, missing, distinct - from one scan.
 
-    Each column is first reduced to its values with their counts (a partial
-    aggregate over that column's scan), then counted; one aggregate over all
-    columns would expand every row once per distinct count.
+    A row becomes one (column, value) row per column, counted per task before
+    the shuffle; only distinct values with their counts move, and a hot value
+    is one row per task.  Values are compared as binary (their text is one to
+    one within a column's type).
     """
-    out = None
-    for c in cols:
-        values = df.groupBy(F.col(c).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
-        rows, present = F.coalesce(F.sum("_n"), F.lit(0)), F.coalesce(F.sum(F.when(F.col("_value").isNotNull(), F.col("_n"))), F.lit(0))
-        one = values.agg(rows.alias("row_count"), present.alias("present"), F.count("_value").alias("distinct_values"))
-        one = one.select(F.lit(c).alias("column_name"), "row_count", "present", (F.col("row_count") - F.col("present")).alias("missing"), "distinct_values")
-        out = one if out is None else out.unionByName(one)
-    return out
+    zero = {f.name for f in df.schema.fields if f.dataType.typeName() in ("float", "double")}  # adding it makes -0.0 and 0.0 one value
+    text = [(F.col(c) + F.lit(0.0) if c in zero else F.col(c)).cast("string") for c in cols]
+    pairs = F.array(*[F.struct(F.lit(i).alias("_col"), v.alias("_value")) for i, v in enumerate(text)])
+    values = df.select(F.explode(pairs).alias("_p")).select("_p.*").groupBy("_col", "_value").agg(F.count(F.lit(1)).alias("_n"))
+    per = values.groupBy("_col").agg(F.sum("_n").alias("row_count"), F.coalesce(F.sum(F.when(F.col("_value").isNotNull(), F.col("_n"))), F.lit(0)).alias("present"),
+                                     F.count("_value").alias("distinct_values"))
+    names = df.sparkSession.sql("SELECT * FROM VALUES " + ", ".join(f"({i}, '{c}')" for i, c in enumerate(c.replace("'", "''") for c in cols)) + " AS t(_col, column_name)")
+    n = lambda c: F.coalesce(F.col(c), F.lit(0))  # noqa: E731  an empty table has no values
+    return F.broadcast(names).join(per, "_col", "left").select("column_name", n("row_count").alias("row_count"), n("present").alias("present"),
+                                                              (n("row_count") - n("present")).alias("missing"), n("distinct_values").alias("distinct_values"))
 
 
 def profile_counts(df: DataFrame, rules: Mapping[str, Column], rows_name: str = "row_count") -> DataFrame:
@@ -130,18 +133,20 @@ def write_audit_publish(spark: SparkSession, df: DataFrame, rules: Mapping[str,
     """DQ-17: stage -> correct -> validate -> publish only if checks pass.
 
     The corrected rows are written to ``staging_path`` (a new folder; the
-    source is never overwritten while it is read), validated with one
-    aggregate over the written rows, and only then switched onto
-    ``target_path``: the old table is renamed aside, the new one renamed in,
-    and the old one deleted last; if the switch fails, the old table is put
-    back and the error raised.  A failed check raises and leaves the target
-    as it was (the reference's ROLLBACK).  ``max_failures`` states how many
-    failures of a check are allowed (None: any number).  Both paths must lie
-    outside the raw layer.  The only value reaching the driver is the one-row
-    check result.
+    source is never overwritten while it is read) and validated with one
+    aggregate over the written rows.  Only then the folder is moved among the
+    data folders of the versioned table ``target_path``, where no reader sees
+    it, and one commit makes exactly those rows the table
+    (:mod:`shelfwise.sources.versions`).  A failed check raises and leaves
+    the version as it was (the reference's ROLLBACK), and so does a job that
+    dies at any step, or another writer that published meanwhile.
+    ``max_failures`` states how many failures of a check are allowed (None:
+    any number).  Both paths must lie outside the raw layer, on one file
+    system.  The only value reaching the driver is the one-row check result.
     """
     guard(staging_path)
     guard(target_path)
+    before = versions.current(spark, target_path)
     corrected = correct(df, rules)
     corrected.write.mode("overwrite").parquet(staging_path)
     staged = spark.read.schema(corrected.schema).parquet(staging_path)
@@ -150,30 +155,10 @@ def write_audit_publish(spark: SparkSession, df: DataFrame, rules: Mapping[str,
     bad = {k: v for k, v in verdict.items() if k in checks and limits.get(k, 0) is not None and v > limits.get(k, 0)}
     if bad:
         raise ValueError(f"write-audit-publish blocked, failing checks: {bad}")
-    _switch(spark, staging_path, target_path)
-    return spark.read.schema(corrected.schema).parquet(target_path)
-
-
-def _switch(spark: SparkSession, src: str, dst: str) -> None:
-    """Publish the validated folder under the target's name; the old table goes last, and comes back on failure."""
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    new, target, old = path(src), path(dst), path(f"{dst.rstrip('/')}.old-{uuid.uuid4().hex}")
-    fs = new.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if target.getParent() is not None:
-        fs.mkdirs(target.getParent())
-    had = fs.exists(target)
-    if had and not fs.rename(target, old):
-        raise OSError(f"cannot move the published table aside: {dst}")
-    try:
-        if not fs.rename(new, target):
-            raise OSError(f"cannot rename {src} to {dst}")
-    except Exception:
-        if had:
-            fs.rename(old, target)
-        raise
-    if had:
-        fs.delete(old, True)
+    name = versions.adopt(spark, target_path, staging_path)
+    versions.commit(spark, target_path, [name], [], before)
+    versions.vacuum(spark, target_path)
+    return versions.read(spark, target_path, corrected.schema)
 
 
 # ------------------------------------------------------------------ tests
@@ -244,13 +229,21 @@ def dedup_candidates(df: DataFrame, key: Column, order: Sequence, key_name: str
 def dedup(df: DataFrame, key: Column, order_col: str, key_name: str = "normalized_key") -> DataFrame:
     """DQ-25: one survivor per normalised key: the row with the smallest ``order_col``.
 
-    A grouped ``min_by`` (partial aggregation per task), not a window, so
-    no group is ever gathered into one task.
+    The smallest order value per key is a hash aggregate over two narrow
+    columns; only the rows that hold it are joined back, and AQE splits a
+    hot key in that join.  ``order_col`` is expected to be unique within a
+    key; of rows that tie on it the one with the smallest other columns
+    survives (compared in their order), so the result never depends on the
+    plan.  A NULL order value comes after all others.
     """
     k = df.withColumn(key_name, key)
     others = [c for c in k.columns if c != key_name]
-    surv = k.groupBy(key_name).agg(F.min_by(F.struct(*others), F.col(order_col)).alias("_s"))
-    return surv.select(key_name, "_s.*")
+    first = k.groupBy(key_name).agg(F.min(order_col).alias("_first"))
+    first = first.select(F.col(key_name).alias("_key"), "_first")
+    held = k.join(first, k[key_name].eqNullSafe(F.col("_key")) & k[order_col].eqNullSafe(F.col("_first"))).drop("_key", "_first")
+    # ties: few rows are left per key, compared by all their columns
+    ranked = held.withColumn("_rank", F.row_number().over(Window.partitionBy(key_name).orderBy(*others)))
+    return ranked.filter(F.col("_rank") == 1).select(key_name, *others)
 
 
 # ------------------------------------------------------------------ log, freshness, distribution

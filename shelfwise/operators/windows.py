@@ -16,8 +16,11 @@ So:
 * top-N per group filters a rank (Spark inserts a partial
   ``WindowGroupLimit`` before the shuffle, so a hot group sends only N rows
   per task);
-* LAG/LEAD/moving averages run on aggregated series (a row per period),
-  whose size is bounded by the calendar, not by the data.
+* LAG/LEAD/changes/moving averages use :func:`with_halo`: range partitions
+  that borrow the few rows before and after them, so a series as long as the
+  data, or a key with a third of the rows, is still worked on by every task.
+  ``bounded=True`` marks series whose length the calendar bounds (a row per
+  day or month), for which a plain window is cheaper.
 """
 
 from __future__ import annotations
@@ -155,33 +158,88 @@ def top_n(df: DataFrame, by: Sequence[str], order: Sequence, n: int, ties: bool
 # ------------------------------------------------------------------ series
 
 
+def with_halo(df: DataFrame, order: Sequence, by: Sequence[str] = (), before: int = 0, after: int = 0) -> DataFrame:
+    """``df`` in range partitions of (by, order), each with the rows it borrows from its neighbours.
+
+    Adds ``_part`` and ``_halo``: a window over ``_part, by`` that looks
+    ``before`` rows back and ``after`` rows ahead gives every row that is not
+    borrowed (``_halo`` false) what the window over ``by`` alone would give.
+    A slice is the rows of one key in one partition.  Only keys with several
+    slices lend rows, so at most 2 x partitions slices do, and what they lend
+    is ``before + after`` rows each; rows from further away are lent where the
+    neighbour holds too few.  Partitions are fixed by a checkpoint, because
+    range bounds are sampled.  Rows that tie on the order stay together.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = [f"_k{i}" for i in range(len(by))]
+    parts = df.withColumns({k: F.col(c) for k, c in zip(keys, by)})
+    order = [_c(o) for o in order]
+    parts = parts.repartitionByRange(n, *[F.col(k) for k in keys], *order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    slices = parts.groupBy(*keys, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    of_key = (Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))).orderBy("_part")
+    slices = slices.withColumn("_at", F.row_number().over(of_key)).withColumn("_upto", F.sum("_n").over(of_key))
+    slices = slices.withColumn("_last", F.lead("_at").over(of_key).isNull()).filter((F.col("_at") > 1) | ~F.col("_last")).checkpoint()
+
+    # the first and last rows of the slices that lend, with their place in the whole key
+    lend = slices.select(*[F.col(k).alias(f"_l{k}") for k in keys], F.col("_part").alias("_from"), "_at", "_n", "_upto")
+    cond = F.col("_part") == F.col("_from")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_l{k}"))
+    edge = parts.join(F.broadcast(lend), cond)  # at most 2 x partitions rows
+    edge = edge.withColumn("_place", F.row_number().over(Window.partitionBy("_part", *keys).orderBy(*order)))
+    edge = edge.filter((F.col("_place") > F.col("_n") - before) | (F.col("_place") <= after))
+    edge = edge.withColumn("_place", F.col("_upto") - F.col("_n") + F.col("_place")).drop(*[f"_l{k}" for k in keys], "_from", "_n", "_upto", "_part")
+    steps = [j for j in range(-after, before + 1) if j]
+    edge = edge.withColumn("_to", F.explode(F.array(*[F.col("_at") + F.lit(j) for j in steps])) if steps else F.lit(None).cast("int")).drop("_at")
+    take = slices.select(*[F.col(k).alias(f"_t{k}") for k in keys], F.col("_at").alias("_slot"), F.col("_part"),
+                         (F.col("_upto") - F.col("_n")).alias("_lo"), F.col("_upto").alias("_hi"))
+    cond = F.col("_to") == F.col("_slot")
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_t{k}"))
+    near = ((F.col("_place") > F.col("_lo") - before) & (F.col("_place") <= F.col("_lo"))) | ((F.col("_place") > F.col("_hi")) & (F.col("_place") <= F.col("_hi") + after))
+    halo = edge.join(F.broadcast(take), cond & near).select(*parts.columns, F.lit(True).alias("_halo"))
+    return parts.withColumn("_halo", F.lit(False)).unionByName(halo)
+
+
+def _over_series(df: DataFrame, order: Sequence, by: Sequence[str], before: int, after: int, bounded: bool, value, out: str) -> DataFrame:
+    """``value(window)`` as the column ``out``; the window is ordered and partitioned, without a frame."""
+    if bounded:
+        w = (Window.partitionBy(*by) if by else Window).orderBy(*[_c(o) for o in order])
+        return df.withColumn(out, value(w))
+    near = with_halo(df, order, by, before, after)
+    keys = [c for c in near.columns if c.startswith("_k") and c[2:].isdigit()]
+    w = Window.partitionBy("_part", *keys).orderBy(*[_c(o) for o in order])
+    return near.withColumn(out, value(w)).filter(~F.col("_halo")).drop("_halo", "_part", *keys)
+
+
 def lagged(df: DataFrame, measure: str, order: Sequence, by: Sequence[str] = (), offset: int = 1,
-           lead: bool = False, out: str | None = None) -> DataFrame:
+           lead: bool = False, out: str | None = None, bounded: bool = False) -> DataFrame:
     """WN-10/11: previous (or next) *row*'s value; the first is NULL (T13)."""
-    w = (Window.partitionBy(*by) if by else Window).orderBy(*[_c(o) for o in order])
     fn = F.lead if lead else F.lag
-    return df.withColumn(out or (f"next_{measure}" if lead else f"prior_{measure}"), fn(measure, offset).over(w))
+    return _over_series(df, order, by, 0 if lead else offset, offset if lead else 0, bounded,
+                        lambda w: fn(measure, offset).over(w), out or (f"next_{measure}" if lead else f"prior_{measure}"))
 
 
-def change(df: DataFrame, measure: str, order: Sequence, by: Sequence[str] = (), out: str = "change") -> DataFrame:
+def change(df: DataFrame, measure: str, order: Sequence, by: Sequence[str] = (), out: str = "change", bounded: bool = False) -> DataFrame:
     """WN-12: value - LAG(value)."""
-    d = lagged(df, measure, order, by, out="_prev")
+    d = lagged(df, measure, order, by, out="_prev", bounded=bounded)
     return d.withColumn(out, F.col(measure) - F.col("_prev")).drop("_prev")
 
 
 def pct_change(df: DataFrame, measure: str, order: Sequence, by: Sequence[str] = (), prior: str = "prior",
-               out: str = "pct_change", digits: int = 1) -> DataFrame:
+               out: str = "pct_change", digits: int = 1, bounded: bool = False) -> DataFrame:
     """WN-13: ``ROUND(100 * (x - prev) / NULLIF(prev, 0), 1)``; first row NULL."""
-    d = lagged(df, measure, order, by, out=prior)
+    d = lagged(df, measure, order, by, out=prior, bounded=bounded)
     return d.withColumn(out, ratio_half_up(F.col(measure) - F.col(prior), prior, digits, scale=100))
 
 
 def moving_avg(df: DataFrame, measure: str, order: Sequence, k: int = 3, by: Sequence[str] = (),
-               out: str = "moving_avg") -> DataFrame:
+               out: str = "moving_avg", bounded: bool = False) -> DataFrame:
     """WN-14: AVG over ROWS (k-1) PRECEDING .. CURRENT ROW."""
-    w = ((Window.partitionBy(*by) if by else Window).orderBy(*[_c(o) for o in order])
-         .rowsBetween(-(k - 1), Window.currentRow))
-    return df.withColumn(out, F.avg(measure).over(w))
+    return _over_series(df, order, by, k - 1, 0, bounded,
+                        lambda w: F.avg(measure).over(w.rowsBetween(-(k - 1), Window.currentRow)), out)
 
 
 def vs_peers(df: DataFrame, measure: str, by: Sequence[str], avg_out: str = "peer_average",

@@ -10,12 +10,15 @@ before execution; only node names are matched, never ids (AQE renumbers).
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+import uuid
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.session import scratch_dir
 from shelfwise.sources.raw import guard
 
 FACT_KEYS = ("PushedFilters", "PartitionFilters", "ReadSchema", "Join type", "Join condition", "Location")
@@ -139,3 +142,24 @@ def drop_bucketed(spark: SparkSession, table: str) -> None:
     spark.sql(f"DROP TABLE {table}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
+@contextmanager
+def bucketed_scope(spark: SparkSession) -> Iterator[Callable[[DataFrame, str, int, str], DataFrame]]:
+    """PF-05: ``write(df, name, buckets, key)`` for tables that live as long as the block; table and files go at its end.
+
+    Results that must outlive the block are checkpointed or written inside it.
+    """
+    made: list[str] = []
+
+    def write(df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
+        table = f"{name}_{uuid.uuid4().hex[:12]}"
+        made.append(table)
+        return write_bucketed(df, table, scratch_dir(spark, table), buckets, key)
+
+    try:
+        yield write
+    finally:
+        for table in made:
+            if spark.catalog.tableExists(table):
+                drop_bucketed(spark, table)

@@ -2,7 +2,9 @@
 
 Raw inputs are never written: every writer refuses a target inside a raw
 folder (:mod:`shelfwise.sources.raw`).  Targets live in the shared folder named by
-``spark.checkpoint.dir`` (see :func:`shelfwise.session.scratch_dir`).
+``spark.checkpoint.dir`` (see :func:`shelfwise.session.scratch_dir`).  Tables are
+versioned (:mod:`shelfwise.sources.versions`): a rebuild or an append shows whole or
+not at all, whenever a job dies.
 """
 
 from __future__ import annotations
@@ -13,14 +15,14 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfwise.sources import versions
 from shelfwise.sources.driver import sql_type_name
 from shelfwise.sources.raw import guard
 
+
 def stage(df: DataFrame, path: str) -> DataFrame:
     """SRC-05: CREATE TABLE ... AS SELECT * (a full copy), read back."""
-    guard(path)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return versions.replace(df, path)
 
 
 def build_clean(df: DataFrame, rules: Mapping[str, Column], path: str) -> DataFrame:
@@ -28,15 +30,19 @@ def build_clean(df: DataFrame, rules: Mapping[str, Column], path: str) -> DataFr
     return stage(df.withColumns(dict(rules)), path)
 
 
-def append(df: DataFrame, path: str) -> None:
-    """SRC-07: INSERT ... SELECT (append rows to an existing table)."""
-    guard(path)
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, path: str, run_id: str | None = None) -> bool:
+    """SRC-07: INSERT ... SELECT.  A run that is repeated under its id adds nothing (returns False), an aborted one stays invisible."""
+    return versions.append(df, path, run_id)
 
 
 def publish(df: DataFrame, path: str) -> DataFrame:
-    """SRC-08: DROP IF EXISTS + CREATE - an idempotent rebuild (overwrite)."""
-    return stage(df, path)
+    """SRC-08: DROP IF EXISTS + CREATE - an idempotent rebuild; readers see the old rows or the new ones, never none."""
+    return versions.replace(df, path)
+
+
+def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The current version of a table that these writers made."""
+    return versions.read(spark, path, schema)
 
 
 def describe(df: DataFrame) -> DataFrame:

@@ -170,16 +170,6 @@ def test_layers_refuse_raw_targets(spark):
     raw.guard("/root/testdata/sf0.0011/x")  # another folder whose name begins alike
 
 
-def test_publish_keeps_the_old_table_when_the_switch_fails(spark, tmp_path, monkeypatch):
-    rules, checks, target = {}, {"never": F.lit(False)}, str(tmp_path / "t")
-    Q.write_audit_publish(spark, spark.range(3), rules, checks, str(tmp_path / "s1"), target)
-    got = Q.write_audit_publish(spark, spark.range(5), rules, checks, str(tmp_path / "s2"), target)
-    assert got.count() == 5 and [p.name for p in tmp_path.iterdir()] == ["t"]
-    with pytest.raises(Exception):
-        Q._switch(spark, str(tmp_path / "missing"), target)
-    assert spark.read.parquet(target).count() == 5
-
-
 def test_range_total_splits_peers(spark):
     from shelfwise.operators import windows as W
     df = spark.range(3000).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id % 11 END AS o", "1 AS v")
