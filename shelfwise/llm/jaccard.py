@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import possible, row_struct
 from shelfwise.llm.components import components
-from shelfwise.llm.text import LOWER, Rolling, found, mix, signed, slices, word_hashes, word_spans
+from shelfwise.llm.text import LOWER, Rolling, found, give_back, mix, signed, slices, word_hashes, word_spans
 from shelfwise.session import ensure_checkpoint_dir
 
 #: Classes of a cluster that one task compares among themselves; two such chunks meet in a task.
@@ -185,6 +185,8 @@ def divide_skip(queries: list[int], index: list[int], sets: list[np.ndarray], nu
 #: together; a false meeting costs a comparison and changes no result.
 SENT = 5
 SENT_MASK = (1 << 8 * SENT) - 1
+#: Fingerprints that a task holds before it sends them on, and shingles that it counts together.
+HELD, COUNTED = 400_000, 1_500_000
 #: Frequent shingles that every task knows.
 FREQUENT = 1 << 17
 #: Shingles whose part fingerprints one bucket takes.
@@ -214,17 +216,28 @@ def _least_of(sig: np.ndarray, cls: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def frequent_shingles(docs: DataFrame, txt: Column, k: int) -> np.ndarray:
-    """Shingles of many documents: at most FREQUENT, by the batches' counts of those in a thousandth of a batch's rows.
+    """Shingles of many documents: at most FREQUENT, by the counts of those in a thousandth of the rows counted together.
 
     They only steer which classes meet; no result depends on which ones are found.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(hs: list[np.ndarray], rows: int) -> pa.RecordBatch:
+            h, n = np.unique(np.concatenate(hs), return_counts=True)
+            many = n >= max(4, rows // 1000)
+            return pa.RecordBatch.from_arrays([signed(h[many]), pa.array(n[many].astype(np.int64))], names=["h", "n"])
+
+        hs, rows, held = [], 0, 0
         for batch in batches:
-            hs = [shingle_sets(data, offs, k)[0] for _, _, data, offs in slices(batch.column(0))]
-            h, n = np.unique(np.concatenate(hs), return_counts=True) if hs else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
-            many = n >= max(4, batch.num_rows // 1000)
-            yield pa.RecordBatch.from_arrays([signed(h[many]), pa.array(n[many].astype(np.int64))], names=["h", "n"])
+            for i, j, data, offs in slices(batch.column(0)):
+                hs.append(shingle_sets(data, offs, k)[0])
+                rows, held = rows + j - i, held + len(hs[-1])
+                if held >= COUNTED:
+                    yield out(hs, rows)
+                    hs, rows, held = [], 0, 0
+        if hs:
+            yield out(hs, rows)
+        give_back()
 
     counts = docs.select(txt.alias("txt")).mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).checkpoint()
     bins = sorted(counts.groupBy(F.floor(F.log2("n") * 8).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect(), reverse=True)
@@ -241,32 +254,40 @@ def frequent_shingles(docs: DataFrame, txt: Column, k: int) -> np.ndarray:
 
 
 def _postings(k: int, num: int, den: int, buckets: int, frequent: np.ndarray):
-    """Part fingerprints with a class of each, dealt into buckets; classes that meet inside a batch come as pairs.
+    """Part fingerprints with a class of each, dealt into buckets; classes that meet in a task come as pairs.
 
-    A fingerprint leaves the batch once, with its smallest class, so a large group of near copies makes no large bucket.
+    Of HELD fingerprints each leaves once, with its smallest class, so a large group of near copies makes no large bucket.
     """
 
+    def sent(sig: list[np.ndarray], cls: list[np.ndarray]) -> pa.RecordBatch | None:
+        s, c, pair = _least_of(np.concatenate(sig), np.concatenate(cls))
+        to = ((s >> np.uint64(8 * SENT)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        s, c, to = s[order], c[order], to[order]
+        there, at = np.unique(to, return_index=True)
+        ends = np.append(at[1:], len(to))
+        rows = [(int(b), _pack(s[x:y]), _pack(c[x:y]), False) for b, x, y in zip(there, at, ends)]
+        if len(pair):
+            rows.append((int(pair[0, 0] % np.uint64(buckets)), _pack(pair[:, 0]), _pack(pair[:, 1]), True))
+        return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.bool_()))],
+                                          names=["bucket", "a", "b", "pairs"]) if rows else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts = Parts(num, den)
+        sig, cls, held = [], [], 0
         for batch in batches:
-            sig, cls = [np.zeros(0, np.uint64)], [np.zeros(0, np.uint64)]
             for _, _, data, offs in slices(batch.column(0)):
                 h, o = shingle_sets(data, offs, k)
                 s, row = parts.signatures(h, o, frequent)
                 sig.append(s)
                 cls.append(set_keys(h, o)[row] & np.uint64(SENT_MASK))
-            s, c, pair = _least_of(np.concatenate(sig), np.concatenate(cls))
-            to = ((s >> np.uint64(8 * SENT)) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(to, kind="stable")
-            s, c, to = s[order], c[order], to[order]
-            there, at = np.unique(to, return_index=True)
-            ends = np.append(at[1:], len(to))
-            rows = [(int(b), _pack(s[x:y]), _pack(c[x:y]), False) for b, x, y in zip(there, at, ends)]
-            if len(pair):
-                rows.append((int(pair[0, 0] % np.uint64(buckets)), _pack(pair[:, 0]), _pack(pair[:, 1]), True))
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in zip(zip(*rows), (pa.int32(), pa.binary(), pa.binary(), pa.bool_()))],
-                                                 names=["bucket", "a", "b", "pairs"])
+                held += len(s)
+                if held >= HELD and (out := sent(sig, cls)) is not None:
+                    yield out
+                    sig, cls, held = [], [], 0
+        if sig and (out := sent(sig, cls)) is not None:
+            yield out
+        give_back()
     return run
 
 

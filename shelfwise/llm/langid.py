@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import row_struct
 from shelfwise.llm.sampling import SAMPLE_TEXT_BYTES, at_most, per_label
-from shelfwise.llm.text import lower_points, slices
+from shelfwise.llm.text import give_back, lower_points, slices
 
 BITS = 15
 FEATURES = 1 << BITS
@@ -82,6 +82,7 @@ def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
                     df += seen.sum(0)
                 rows += n
         df[FEATURES] = rows
+        give_back()
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(df[some])], names=["f", "n"])
 
@@ -214,6 +215,7 @@ def predict(docs: DataFrame, model: Model | None, text_col: str = "text", carry:
                 kept = [batch.column(0).slice(i, j - i)] if with_text else []
                 yield pa.RecordBatch.from_arrays([batch.column(1).slice(i, j - i), pa.array(pred, pa.string()), pa.array(score), *kept],
                                                  names=["row", "pred", "score", *["txt"] * with_text])
+        give_back()
 
     base = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), row_struct(docs, text_col, keep, (pred_name, score_name)).alias("row"))
     out = base.mapInArrow(run, f"row {base.schema['row'].dataType.simpleString()}, pred string, score double" + ", txt string" * with_text)

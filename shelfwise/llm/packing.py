@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.text import slices, word_hashes, word_spans
+from shelfwise.llm.text import give_back, slices, word_hashes, word_spans
 
 #: Words, and parts of words, of one generation of the caches of a Python worker; the generation before is kept as well.
 CACHE_WORDS, CACHE_PIECES = 200_000, 500_000
@@ -194,6 +194,7 @@ def power_of_two_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = 204
                 yield pa.RecordBatch.from_arrays(cols, names=names)
         if not keep_words:
             enc.forget()
+            give_back()
 
     key = docs.select(docs[f"`{id_col}`"].alias("doc_id"), docs[f"`{text_col}`"].cast("string").alias("txt"))
     kind = key.schema["doc_id"].dataType.simpleString()

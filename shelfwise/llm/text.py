@@ -8,6 +8,9 @@ sequences among n collide with probability below n^2 / 2^65.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +43,14 @@ def lower_points() -> np.ndarray:
     return _LOWER_POINTS[0]
 
 
+def give_back() -> None:
+    """Hand freed memory back to the system, since a Python worker lives on for tasks of other stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only glibc has it
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def powers(base: int, n: int) -> np.ndarray:
     """base**0 .. base**(n-1) modulo 2**64."""
     out = np.full(max(n, 1), base, np.uint64)
