@@ -11,6 +11,7 @@ back only what can still be among the k best.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +24,8 @@ SHARD_ROWS = 4096
 SEED_ROWS = 2048
 QUERY_BLOCK = 8192
 LEAF = 64
-#: Scaled components beyond this size could overflow the integer score; such vectors take no part.
-LARGEST = 1 << 26
+#: The bound of a query that has none yet.
+NO_BOUND = np.iinfo(np.int64).min
 
 
 class Tree:
@@ -89,17 +90,20 @@ class Tree:
 
 
 def _matrix(col: pa.ChunkedArray | pa.Array) -> np.ndarray:
-    """Rows of integers as floats where every sum is exact, else as 64-bit integers."""
+    """Rows of integers, as doubles."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    n = len(col)
-    x = col.flatten().to_numpy(zero_copy_only=False).reshape(n, -1)
-    return x
+    return col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)
 
 
 def _exact(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Both as doubles where every sum is exact in them, else as 64-bit or, beyond, as Python integers."""
     most = (float(np.abs(x).max(initial=0)) + 1) * (float(np.abs(y).max(initial=0)) + 1) * max(1, x.shape[1])
-    return (x.astype(float), y.astype(float)) if most < 2**53 else (x, y)
+    if most < 2**53:
+        return x, y
+    if most < 2**62:
+        return x.astype(np.int64), y.astype(np.int64)
+    return tuple(np.array([int(v) for v in z.ravel().tolist()], object).reshape(z.shape) for z in (x, y))
 
 
 def _distinct(ids: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -114,11 +118,16 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
 
     A component x becomes floor(scale * x); the score is the integer inner product over all other ids, ties going
     to the smaller id; fewer than k rows come only where there are fewer candidates.  Null ids, and vectors that are
-    null, empty, or hold a null, a non-finite or an oversized component take no part; vectors meet only vectors of
-    the same length.  An id that repeats counts once, with its smallest vector.  An empty table gives no rows.
+    null, empty, or hold a null or non-finite component take no part; vectors meet only vectors of the same length.
+    Components of any size count exactly; a score among the best that no long can hold raises.  An id that repeats
+    counts once, with its smallest vector.  An empty table gives no rows.
     """
-    scaled = F.transform(vectors[f"`{vector_col}`"], lambda c: F.floor(F.lit(scale) * c.cast("double")))
-    sound = F.forall(vectors[f"`{vector_col}`"], lambda c: c.isNotNull() & (F.abs(c.cast("double") * scale) < float(LARGEST)))
+    def whole(c: Column) -> Column:  # a double of 2^53 or more is an integer already
+        y = F.lit(scale) * c.cast("double")
+        return F.when(F.abs(y) < 2.0**53, F.floor(y).cast("double")).otherwise(y)
+
+    scaled = F.transform(vectors[f"`{vector_col}`"], whole)
+    sound = F.forall(vectors[f"`{vector_col}`"], lambda c: c.isNotNull() & (F.abs(c.cast("double")) < float("inf")))
     points = vectors.where(vectors[f"`{id_col}`"].isNotNull() & sound & (F.size(vectors[f"`{vector_col}`"]) > 0)).select(
         vectors[f"`{id_col}`"].cast("long").alias("id"), scaled.alias("x"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     points = points.withColumn("dim", F.size("x"))
@@ -130,13 +139,13 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
     seeds: dict[int, tuple[np.ndarray, np.ndarray]] = {}
     for d in {len(r["x"]) for r in seed}:
         mine = [r for r in seed if len(r["x"]) == d]
-        ids, x = np.array([r["id"] for r in mine]), np.array([r["x"] for r in mine], np.int64)
+        ids, x = np.array([r["id"] for r in mine]), np.array([r["x"] for r in mine])
         one = _distinct(ids, x)
         seeds[d] = ids[one], x[one]
 
     def first_bound(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = np.full(batch.num_rows, np.iinfo(np.int64).min)
+            out = np.full(batch.num_rows, NO_BOUND)
             dims, ids = batch.column("dim").to_numpy(), batch.column("id").to_numpy()
             for d in np.unique(dims).tolist():
                 rows = np.flatnonzero(dims == d)
@@ -147,10 +156,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
                     q, s = _exact(_matrix(batch.column("x").take(pa.array(some))), seeds[d][1])
                     score = q @ s.T
                     score[ids[some][:, None] == seeds[d][0][None, :]] = score.min()  # the own id: a lower bound stays one
-                    out[some] = np.partition(score, -k, axis=1)[:, -k].astype(np.int64)
+                    kth = np.partition(score, -k, axis=1)[:, -k]
+                    out[some] = [min(int(v), 2**63 - 1) if v > NO_BOUND else NO_BOUND for v in kth.tolist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out)], names=[*batch.schema.names, "least"])
 
-    queries = points.where("asks").select("id", "x", "dim").mapInArrow(first_bound, "id long, x array<long>, dim int, least long")
+    queries = points.where("asks").select("id", "x", "dim").mapInArrow(first_bound, "id long, x array<double>, dim int, least long")
     queries = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")).withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
     stored = points.select("id", "x", "dim", F.pmod(F.xxhash64("id", F.lit(9)), F.lit(shards)).cast("int").alias("shard")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
@@ -167,7 +177,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: float = 256.0
             for at in range(0, len(asked), 256):
                 some = asked[at: at + 256]
                 for i, bound in zip(some.tolist(), tree.bounds(q[some])):
-                    got += [(int(qid[i]), -v, int(s)) for s, v in tree.search(q[i], int(qid[i]), bound, k, least[i])]
+                    got += [(int(qid[i]), -v, int(s)) for s, v in tree.search(q[i], int(qid[i]), bound, k, least[i] if least[i] > NO_BOUND else -math.inf)]
         cols = zip(*got) if got else ([], [], [])
         return pa.table(dict(zip(("query_id", "vec_id", "score"), (pa.array(c, pa.int64()) for c in cols))))
 

@@ -119,10 +119,10 @@ QUERIES = {f.__name__: f for f in (op1_kd_search, op2_gru_scoring, op3_jaccard_j
 ORACLES: dict[str, str] = {
     "op1_kd_search": """
         WITH v AS (
-            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS e
+            SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::HUGEINT) AS e
             FROM embeddings
             WHERE vec_id IS NOT NULL AND len(embedding) > 0
-              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x) OR abs(x) * 256 >= 67108864)) = 0
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
         ), s AS (
             SELECT q.vec_id AS query_id, c.vec_id,
                    list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * c.e[i]))::BIGINT AS score
