@@ -69,6 +69,10 @@ def qgrams(chars: np.ndarray, q: int) -> np.ndarray:
     return out
 
 
+#: Keys of (row, item, band) stay below this; more rows are searched in halves.
+MOST_KEYS = 1 << 62
+
+
 class Index:
     """The q-grams of benchmark texts with their places, the edit budget and the least shared q-grams of each text."""
 
@@ -107,6 +111,11 @@ class Index:
     def candidates(self, chars: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, item, first diagonal of a band) where a band holds enough shared q-grams; diagonals count from the row's start."""
         none = np.zeros(0, np.int64)
+        rows, wide = len(offs) - 1, int(chars.size + 2 * self.longest + 4)
+        if rows > 1 and rows * len(self.items) * wide >= MOST_KEYS:  # (row, item, band) would not fit one integer
+            half = rows // 2
+            parts = [self.candidates(chars[offs[a]: offs[b]], offs[a: b + 1] - offs[a]) for a, b in ((0, half), (half, rows))]
+            return tuple(np.concatenate([parts[0][k], parts[1][k] + (half if k == 0 else 0)]) for k in range(3))
         key = qgrams(chars, self.q)
         slot = key >> np.uint64(64 - FILTER_BITS)
         hit = np.flatnonzero(self.seen[slot])
@@ -129,7 +138,6 @@ class Index:
         # counted from the row's start and never negative; a band starts at every half width
         diagonal = np.repeat(hit - offs[row] + self.longest, count) - self.at[post]
         band = ((diagonal + 0.5) * self.step[item]).astype(np.int64)
-        wide = int(chars.size + 2 * self.longest + 4)
         # rows x items x bands in one integer; a diagonal lies in the band that starts at its half step and in the one before
         one = np.repeat(row * len(self.items), count)
         one += item
@@ -143,8 +151,10 @@ class Index:
         here, also = total[small] >= least, total[before] >= least
         at = self.at[post]
         # a place of the benchmark text counts once, however often its q-gram stands in the band
-        pair = np.unique(np.concatenate([one[here], one[also] - 1]) * (self.longest + 1) + np.concatenate([at[here], at[also]]))
+        band_of, dense = np.unique(np.concatenate([one[here], one[also] - 1]), return_inverse=True)
+        pair = np.unique(dense * (self.longest + 1) + np.concatenate([at[here], at[also]]))  # a band's number, not its key, so it can't wrap
         value, n = np.unique(pair // (self.longest + 1), return_counts=True)
+        value = band_of[value]
         rest, band = np.divmod(value, wide)
         band -= 1
         row, item = np.divmod(rest, len(self.items))
