@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import row_struct
-from shelfwise.llm.text import lower_points, slices
+from shelfwise.llm.text import give_back, lower_points, slices
 
 #: Benchmark characters that one index may hold; a larger benchmark is searched in several indexes.
 INDEX_CHARS = 8_000_000
@@ -239,6 +239,7 @@ def find_passages(docs: DataFrame, benchmark: DataFrame, q: int = 8, per_edit: i
 
 def _searcher(names: list, texts: list[str], q: int, per_edit: int, id_kind: str):
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         index = Index(texts, q, per_edit)
         for batch in batches:
             waiting: dict[int, list[tuple[int, np.ndarray, np.ndarray]]] = {}  # item -> (row, piece, its places in the text)

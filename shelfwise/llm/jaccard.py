@@ -370,6 +370,7 @@ def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int,
                 same = pa.array(set_keys(h, o).view(np.int64) == np.asarray(mine.column(1)))
                 cut = pa.array([h[a:b].tobytes() for a, b in zip(o[:-1], o[1:])], pa.binary())
                 yield pa.RecordBatch.from_arrays([*mine.columns[1:], cut], names=[*mine.schema.names[1:], "elements"]).filter(same)
+        give_back()
 
     right = cand.select(F.col("least_id").alias("id"), F.col("cls").alias("c_cls"), "root", "step", "chunks", "below", "above", "copies")
     left = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), docs[f"`{id_col}`"].alias("key"))

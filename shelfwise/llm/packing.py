@@ -21,6 +21,7 @@ from shelfwise.llm.text import give_back, slices, word_hashes, word_spans
 
 #: Words, and parts of words, of one generation of the caches of a Python worker; the generation before is kept as well.
 CACHE_WORDS, CACHE_PIECES = 200_000, 500_000
+SMALL_CACHES = (60_000, 150_000)
 #: Words of printable ASCII without apostrophes and of the letters of Latin-1, and, in lower case, their pre-tokens.
 SIMPLE = re.compile(rb"(?:[!-&(-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 PIECES = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+|[0-9]|[^a-z0-9\x80-\xff]+")
@@ -139,13 +140,13 @@ class WordEncoder:
         self.pieces.clear()
 
 
-_ENCODERS: dict[str, WordEncoder] = {}
+_ENCODERS: dict[tuple, WordEncoder] = {}
 
 
-def encoder(path: str) -> WordEncoder:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordEncoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, *sizes: int) -> WordEncoder:
+    if (path, *sizes) not in _ENCODERS:
+        _ENCODERS[path, *sizes] = WordEncoder(path, *sizes)
+    return _ENCODERS[path, *sizes]
 
 
 def cut(n: int, seq_len: int) -> list[int]:
@@ -160,16 +161,19 @@ def power_of_two_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = 204
 
     A null or empty text is the end id alone.  Rows that repeat are packed once each; null ids stay null.
     An empty table gives no rows.  Other columns of ``docs`` are not read.  One map over the scan: nothing is shuffled.
-    ``keep_words`` leaves the word cache in the Python worker for its next task; without, a task gives the memory back.
+    ``keep_words`` leaves the word cache in the Python worker for its next task; without, a task works with small caches
+    and gives its memory back, for a worker that other stages have filled.
     """
     if seq_len < 1 or seq_len & (seq_len - 1):
         raise ValueError("seq_len must be a power of two")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        if not keep_words:
+            give_back()
+        enc = encoder(tokenizer_path, *(() if keep_words else SMALL_CACHES))
         for batch in batches:
             keys = batch.column(0)
-            for i, j, data, offs in slices(batch.column(1), 8 << 20):
+            for i, j, data, offs in slices(batch.column(1), 8 << 20 if keep_words else 2 << 20):
                 row, start, length, crc, total, ids = [], [], [], [], [], []
                 every, edge = enc.ids(data, offs, end_id)
                 every, edge = every.tobytes(), edge.tolist()
