@@ -136,6 +136,11 @@ def write_bucketed(df: DataFrame, table: str, path: str, buckets: int, key: str)
     return df.sparkSession.table(table)
 
 
+def forget_bucketed(spark: SparkSession, table: str) -> None:
+    """Take a bucketed table out of the catalog and leave its files; results that were planned on it can still be read."""
+    spark.sql(f"DROP TABLE {table}")
+
+
 def drop_bucketed(spark: SparkSession, table: str) -> None:
     """Forget a bucketed table and delete its folder."""
     at = spark.sql(f"DESCRIBE FORMATTED {table}").filter("col_name = 'Location'").first()["data_type"]
