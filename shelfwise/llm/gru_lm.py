@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import blocked, row_struct
-from shelfwise.llm.text import loose, slices
+from shelfwise.llm.text import LOWER, loose, mix, slices, word_hashes, word_spans
 from shelfwise.session import ensure_checkpoint_dir
 
 #: The end of a document; no word holds a space.
@@ -148,13 +148,6 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return np.reciprocal(x, out=x)
 
 
-def _softmax_parts(z: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Exponentials of logits kept within +-60, where float32 neither overflows nor vanishes, and their row sums."""
-    np.clip(z, -60, 60, out=z)
-    e = np.exp(z)
-    return e, e.sum(axis=1)
-
-
 class Network:
     """Gated recurrent units with a class-factored output; all parameters are float32 arrays."""
 
@@ -170,54 +163,75 @@ class Network:
         }
         self.p = {k: x.astype(np.float32) for k, x in self.p.items()}
 
-    def step(self, ids: np.ndarray, h: np.ndarray):
-        s = STATE
-        x, hu = self.p["gates"][ids], h @ self.p["u"]
-        zr = _sigmoid(x[:, : 2 * s] + hu[:, : 2 * s])
-        n = zr[:, s:] * hu[:, 2 * s:]
-        n += x[:, 2 * s:]
+    def gates(self) -> tuple[np.ndarray, np.ndarray]:
+        """The weights of update, reset and candidate one after the other, each contiguous."""
+        return tuple(np.ascontiguousarray(self.p[k].reshape(-1, 3, STATE).swapaxes(0, 1)) for k in ("gates", "u"))
+
+    def heads(self) -> tuple[np.ndarray, np.ndarray, bool]:
+        """Class and word weights with the bias as last state, and whether a logit can leave +-60, where float32 overflows or vanishes."""
+        top, low = np.vstack([self.p["cls"], self.p["cls_b"]]), np.hstack([self.p["out"], self.p["out_b"][:, None]])
+        return top, low, max(np.abs(top).sum(0).max(), np.abs(low).sum(1).max()) > 60  # a state lies within +-1
+
+    def step(self, ids: np.ndarray, h: np.ndarray, gates: tuple | None = None):
+        inputs, u = gates or self.gates()
+        x, hu = inputs.take(ids, axis=1), np.matmul(h, u)
+        zr = x[:2]
+        zr += hu[:2]
+        _sigmoid(zr)
+        n = zr[1] * hu[2]
+        n += x[2]
         np.tanh(n, out=n)
         new = h - n
-        new *= zr[:, :s]
+        new *= zr[0]
         new += n
-        return new, zr, n, hu
+        return new, zr, n, hu[2]
 
-    def log_probs(self, h: np.ndarray, ids: np.ndarray, cls: np.ndarray, grads: dict | None = None):
+    def log_probs(self, h: np.ndarray, ids: np.ndarray, cls: np.ndarray, grads: dict | None = None, heads: tuple | None = None):
         """Natural log-probability of classes and shortlist words in given states; with ``grads``, also what flows back."""
-        z = h @ self.p["cls"]
-        z += self.p["cls_b"]
-        e, total = _softmax_parts(z)
-        rows = np.arange(len(h))
-        out = z[rows, cls] - np.log(total)
-        back = None
+        top, low, clip = heads or self.heads()
+        s = STATE
+        hb = np.ones((len(h), s + 1), h.dtype)
+        hb[:, :s] = h
+        ones = np.ones(max(top.shape[1], max(np.diff(self.v.first), default=0)), h.dtype)
+
+        def head(x, w, k):
+            """The log-probability of column k of each row under weights w, the gradient of the weights and what flows back."""
+            z = x @ w
+            if clip:
+                np.clip(z, -60, 60, out=z)
+            rows = np.arange(len(x))
+            lp = z[rows, k]
+            e = np.exp(z, out=z)
+            total = e @ ones[: e.shape[1]]
+            lp -= np.log(total)
+            if grads is None:
+                return lp, None, None
+            e[rows, k] -= total
+            inv = 1 / total[:, None]
+            back = e @ w[:s].T
+            back *= inv
+            return lp, (x * inv).T @ e, back
+
+        out, weights, back = head(hb, top, cls)
         if grads is not None:
-            e /= total[:, None]
-            e[rows, cls] -= 1
-            back = e @ self.p["cls"].T
-            grads["cls"] += h.T @ e
-            grads["cls_b"] += e.sum(0)
-        order = np.argsort(cls, kind="stable")
+            grads["cls"] += weights[:s]
+            grads["cls_b"] += weights[s]
+        order = np.argsort(cls.astype(np.uint16), kind="stable")
         edges = np.searchsorted(cls[order], np.arange(self.v.n_short + 1))
         order = order[: edges[-1]]
-        hs, words_ = h[order], ids[order]
-        for c in range(self.v.n_short):
-            lo, hi = edges[c], edges[c + 1]
-            a, b = self.v.first[c], self.v.first[c + 1]
+        hs, words_ = hb[order], ids[order]
+        inside, inside_back = np.zeros(len(order), out.dtype), np.zeros((len(order), s), h.dtype) if grads is not None else None
+        for lo, hi, a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), self.v.first[:-1].tolist(), self.v.first[1:].tolist()):
             if lo == hi or b - a == 1:
                 continue
-            at, hc = order[lo:hi], hs[lo:hi]
-            w = self.p["out"][a:b]
-            z = hc @ w.T
-            z += self.p["out_b"][a:b]
-            e, total = _softmax_parts(z)
-            k, i = words_[lo:hi] - a, np.arange(hi - lo)
-            out[at] += z[i, k] - np.log(total)
+            inside[lo:hi], weights, flows = head(hs[lo:hi], low[a:b].T, words_[lo:hi] - a)
             if grads is not None:
-                e /= total[:, None]
-                e[i, k] -= 1
-                back[at] += e @ w
-                grads["out"][a:b] += e.T @ hc
-                grads["out_b"][a:b] += e.sum(0)
+                inside_back[lo:hi] = flows
+                grads["out"][a:b] += weights[:s].T
+                grads["out_b"][a:b] += weights[s]
+        out[order] += inside
+        if grads is not None:
+            back[order] += inside_back
         return out, back
 
     def train(self, docs: Iterable[np.ndarray], cls_of: np.ndarray, streams: int = STREAMS, steps: int = STEPS, updates: int | None = None, rate: float = 0.01) -> int:
@@ -227,7 +241,10 @@ class Network:
         When no more texts come, the streams left have longer windows, and a small window makes a small step.
         """
         s, docs, more = STATE, iter(docs), True
-        m, q, g = ({k: np.zeros_like(x) for k, x in self.p.items()} for _ in range(3))
+        weights = self.flat()
+        self.p = self._views(weights)
+        adam = np.zeros((4, len(weights)), weights.dtype)
+        g = self._views(adam[0])
         rest: list[np.ndarray] = [np.zeros(0, np.int32)] * streams
         h = np.zeros((streams, s), np.float32)
         learned = k = 0
@@ -254,83 +271,97 @@ class Network:
             real = np.flatnonzero((np.arange(wide)[:, None] < size[live]).ravel())
             k += 1
             learned += len(real)
-            h = self._update(h[live], ids, fresh, real, cls_of, m, q, g, k, rate * min(1.0, len(real) / (streams * steps)))
+            h = self._update(h[live], ids, fresh, real, cls_of, weights, adam, g, k, rate * min(1.0, len(real) / (streams * steps)))
             rest = [rest[i] for i in live]
             if not more:
                 left = [i for i, r in enumerate(rest) if len(r)]
                 rest, h = [rest[i] for i in left], h[left]
         return learned
 
-    def _update(self, h, ids, fresh, real, cls_of, m, q, g, k: int, rate: float) -> np.ndarray:
-        """One step of Adam on a window (places by streams, of which ``real`` hold tokens); the states behind it."""
+    def _update(self, h, ids, fresh, real, cls_of, weights, adam, g, k: int, rate: float) -> np.ndarray:
+        """One step of Adam on a window (places by streams, of which ``real`` hold tokens); the states behind it.
+
+        ``weights`` holds all parameters one after the other, ``adam`` the gradient (whose views are ``g``), both moments and room.
+        """
         wide, n = ids.shape
         s = STATE
-        for x in g.values():
-            x[:] = 0
-        hs = np.empty((wide + 1, n, s), h.dtype if self.p["u"].dtype == np.float32 else np.float64)
-        zrs, ns, hus = np.empty((wide, n, 2 * s), hs.dtype), np.empty((wide, n, s), hs.dtype), np.empty((wide, n, s), hs.dtype)
+        adam[0] = 0
+        gates = self.gates()
+        hs = np.empty((wide + 1, n, s), weights.dtype)
         hs[0] = h
         new = fresh.any(1)
+        kept = []
         for t in range(wide):
             if new[t]:
                 hs[t][fresh[t]] = 0
-            hs[t + 1], zrs[t], ns[t], hu = self.step(ids[t], hs[t])
-            hus[t] = hu[:, 2 * s:]
+            hs[t + 1], *held = self.step(ids[t], hs[t], gates)
+            kept.append(held)
         flat, old = ids.ravel(), hs[:-1]
         tok = flat[real]
         back = np.zeros((wide * n, s), hs.dtype)
         _, back[real] = self.log_probs(old.reshape(-1, s)[real], tok, cls_of[tok], g)
         back = back.reshape(wide, n, s)
-        z, r = zrs[:, :, :s], zrs[:, :, s:]
-        to_n = (1 - z) * (1 - ns * ns)
-        to_z = (old - ns) * z * (1 - z)
-        to_r = hus * r * (1 - r)
-        du = np.empty((wide, n, 3 * s), hs.dtype)
-        dn = np.empty((wide, n, s), hs.dtype)
-        carry, ut = np.zeros((n, s), hs.dtype), np.ascontiguousarray(self.p["u"].T)
+        du, dn = np.empty((3, wide, n, s), hs.dtype), np.empty((wide, n, s), hs.dtype)
+        carry, ut = np.zeros((n, s), hs.dtype), np.ascontiguousarray(gates[1].swapaxes(1, 2))
         for t in reversed(range(wide)):
-            d = np.multiply(carry, to_n[t], out=dn[t])
-            np.multiply(carry, to_z[t], out=du[t, :, :s])
-            np.multiply(d, to_r[t], out=du[t, :, s: 2 * s])
-            np.multiply(d, r[t], out=du[t, :, 2 * s:])
-            carry *= z[t]
-            carry += du[t] @ ut
+            (z, r), c, hu = kept.pop()
+            keep = 1 - z
+            dz, dr, dc, d = du[0, t], du[1, t], du[2, t], dn[t]
+            np.subtract(old[t], c, out=dz)
+            dz *= z
+            dz *= keep
+            dz *= carry
+            np.multiply(c, c, out=d)
+            np.subtract(1, d, out=d)
+            d *= keep
+            d *= carry
+            np.multiply(d, r, out=dc)
+            np.subtract(1, r, out=dr)
+            dr *= dc
+            dr *= hu
+            carry *= z
+            flows = np.matmul(du[:, t], ut)
+            carry += flows[0]
+            carry += flows[1]
+            carry += flows[2]
             carry += back[t]
             if new[t]:
                 carry[fresh[t]] = 0
-        du, dn = du.reshape(-1, 3 * s), dn.reshape(-1, s)
-        g["u"] += old.reshape(-1, s).T @ du
-        dx = np.concatenate([du[:, : 2 * s], dn], 1)
-        order = np.argsort(flat, kind="stable")
+        before = old.reshape(-1, s).T
+        order = np.argsort(flat.astype(np.uint16), kind="stable")
         head = np.flatnonzero(np.append(True, np.diff(flat[order]) > 0))
-        g["gates"][flat[order[head]]] += np.add.reduceat(dx[order], head, axis=0)
-        norm = math.sqrt(sum(float(np.vdot(x, x)) for x in g.values())) / len(real)
+        dx = np.empty((len(order), 3 * s), hs.dtype)
+        for i, x in enumerate((du[0], du[1], dn)):
+            g["u"][:, i * s: (i + 1) * s] = before @ du[i].reshape(-1, s)
+            dx[:, i * s: (i + 1) * s] = x.reshape(-1, s).take(order, axis=0)
+        g["gates"][flat[order[head]]] = np.add.reduceat(dx, head, axis=0)
+        d, m, q, room = adam
+        norm = math.sqrt(float(np.vdot(d, d))) / len(real)
         scale = min(1.0, 1.0 / max(norm, 1e-9)) / len(real)
-        for key, x in self.p.items():
-            d = g[key]
-            d *= scale
-            m[key] *= 0.9
-            m[key] += 0.1 * d
-            d *= d
-            d *= 0.01
-            q[key] *= 0.99
-            q[key] += d
-            np.multiply(q[key], 1 / (1 - 0.99**k), out=d)
-            np.sqrt(d, out=d)
-            d += 1e-7
-            np.divide(m[key], d, out=d)
-            d *= rate / (1 - 0.9**k)
-            x -= d
+        m *= 0.9
+        m += np.multiply(d, 0.1 * scale, out=room)
+        d *= scale
+        d *= d
+        d *= 0.01
+        q *= 0.99
+        q += d
+        np.sqrt(q, out=d)
+        size = math.sqrt(1 - 0.99**k)
+        d += 1e-7 * size
+        np.divide(m, d, out=d)
+        d *= rate * size / (1 - 0.9**k)
+        weights -= d
         return hs[-1]
 
+    def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        ends = np.cumsum([x.size for x in self.p.values()]).tolist()
+        return {k: flat[b - x.size: b].reshape(x.shape) for b, (k, x) in zip(ends, self.p.items())}
+
     def flat(self) -> np.ndarray:
         return np.concatenate([x.ravel() for x in self.p.values()])
 
     def put(self, flat: np.ndarray) -> None:
-        at = 0
-        for k, x in self.p.items():
-            self.p[k] = flat[at: at + x.size].reshape(x.shape).astype(np.float32)
-            at += x.size
+        self.p = self._views(flat.astype(np.float32))
 
     def score(self, tokens: np.ndarray, first: np.ndarray, ids: np.ndarray, cls: np.ndarray, inside: np.ndarray, window: int = WINDOW) -> np.ndarray:
         """log10-probability of each document: ``tokens`` from ``first[i]`` to ``first[i + 1]``, through tables by token."""
@@ -339,6 +370,7 @@ class Network:
         size, start = size[order], first[:-1][order]
         total = np.zeros(len(size))
         h = np.zeros((len(size), STATE), np.float32)
+        gates, heads = self.gates(), self.heads()
         for at in range(0, int(size.max(initial=0)), window):
             live = int(np.searchsorted(-size, -at, "left"))  # documents that reach this window
             last = min(window, int(size[0]) - at)
@@ -349,10 +381,10 @@ class Network:
                 states.append(h[:n].copy())
                 toks.append(tok)
                 docs.append(np.arange(n))
-                h[:n] = self.step(ids[tok], h[:n])[0]
+                h[:n] = self.step(ids[tok], h[:n], gates)[0]
                 if sum(map(len, toks)) > 40_000 or t == last - 1:
                     tok, doc = np.concatenate(toks), np.concatenate(docs)
-                    lp = self.log_probs(np.concatenate(states), ids[tok], cls[tok])[0] + inside[tok]
+                    lp = self.log_probs(np.concatenate(states), ids[tok], cls[tok], heads=heads)[0] + inside[tok]
                     total += np.bincount(doc, lp, len(size))
                     states, toks, docs = [], [], []
         out = np.zeros(len(size))
@@ -360,22 +392,96 @@ class Network:
         return out
 
 
-class _Inputs(dict):
-    """Word -> what the network reads: the place of a shortlist word, else its suffix."""
+def _joined(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words one after the other: bytes, starts and ends."""
+    ends = np.cumsum([len(w) for w in some], dtype=np.int64)
+    return np.frombuffer(b"".join(some), np.uint8), ends - [len(w) for w in some], ends
+
+
+def _suffix_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A fingerprint of the last two characters (or fewer) of each word; a word has a byte at least."""
+    at = ends
+    for _ in range(2):
+        at = np.maximum(at - 1, starts)
+        while (inner := (data[at] & 0xC0 == 0x80) & (at > starts)).any():  # inside a character
+            at = at - inner
+    size = ends - at
+    key = np.zeros(len(at), np.uint64)
+    for i in range(min(8, int(size.max(initial=0)))):
+        byte = data[np.minimum(at + i, len(data) - 1)]
+        key |= np.where(i < size, byte, 0).astype(np.uint64) << np.uint64(8 * i)
+    return mix(key + mix(size.astype(np.uint64)))
+
+
+class _Words:
+    """The place of each word in a list, looked up by its fingerprint for many words at once.
+
+    Most places stand in a table of slots, in which the first word of a slot wins; the others are searched for.
+    """
+
+    def __init__(self, some: list[bytes]):
+        self.h = word_hashes(*_joined(some))
+        n = len(self.h)
+        bits = max(n, 1).bit_length() + 3
+        self.shift = np.uint64(64 - bits)
+        slot, place = self.h >> self.shift, np.arange(n, dtype=np.int32)
+        self.slots = np.full(1 << bits, -1, np.int32)
+        self.slots[slot[::-1]] = place[::-1]
+        lost = np.flatnonzero(self.slots[slot] != place)
+        self.rest = lost[np.argsort(self.h[lost])].astype(np.int32)
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The places, -1 for words that the list does not have."""
+        if not len(self.h):
+            return np.full(len(h), -1, np.int32)
+        out = self.slots[h >> self.shift]
+        miss = np.flatnonzero(self.h[out] != h)
+        out[miss] = -1
+        if len(self.rest):
+            k = np.minimum(np.searchsorted(self.h[self.rest], h[miss]), len(self.rest) - 1)
+            out[miss] = np.where(self.h[self.rest][k] == h[miss], self.rest[k], -1)
+        return out
+
+
+def _with_ends(places: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """The places of a run's words with the end's place behind each text, and where the texts start (rows + 1 entries)."""
+    rows = np.arange(len(first))
+    out = np.full(len(places) + len(first) - 1, end, places.dtype)
+    out[np.arange(len(places)) + np.repeat(rows[:-1], np.diff(first))] = places
+    return out, first + rows
+
+
+class _Inputs:
+    """Texts -> what the network reads: the place of a shortlist word, else its suffix."""
 
     def __init__(self, v: Vocabulary):
-        super().__init__()
-        self.short = {w.encode(): i for i, w in enumerate(v.words[: v.short])}
-        self.rare, self.other = {s: v.short + i for i, s in enumerate(v.suffixes)}, v.short + len(v.suffixes)
-        self.update(self.short)
-
-    def __missing__(self, w: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-            self.update(self.short)
-        out = self[w] = self.short.get(w, self.rare.get(suffix(w.decode("utf-8", "replace")), self.other))
+        self.short = _Words([w.encode() for w in v.words[: v.short]])
+        keys = _suffix_keys(*_joined([s.encode() for s in v.suffixes]))
+        order = np.argsort(keys)
+        self.keys, self.rare, self.other = keys[order], (v.short + order).astype(np.int32), v.short + len(v.suffixes)
+        self.end = self.places(*_joined([END.encode()]))[0]
+
+    def places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        out = self.short.find(word_hashes(data, starts, ends))
+        miss = np.flatnonzero(out < 0)
+        if len(miss) and len(self.keys):
+            key = _suffix_keys(data, starts[miss], ends[miss])
+            k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            out[miss] = np.where(self.keys[k] == key, self.rare[k], self.other)
+        else:
+            out[miss] = self.other
         return out
 
+    def texts(self, column: pa.Array) -> list[np.ndarray]:
+        """The inputs of every text, the longest first, so that a long one does not remain when the others are read."""
+        out: list[np.ndarray] = []
+        for _, _, data, offs in slices(column):
+            data = LOWER[data]
+            starts, ends, first = word_spans(data, offs)
+            ids, at = _with_ends(self.places(data, starts, ends), first, self.end)
+            out += np.split(ids, at[1:-1])
+        return sorted(out, key=len, reverse=True)
+
 
 def _means(table: pa.Table) -> pa.Table:
     """The weighted mean of one piece over the tasks of one group."""
@@ -415,12 +521,7 @@ def train_network(rows: DataFrame, v: Vocabulary, updates: int) -> tuple[Network
 
             def texts():
                 for batch in batches:
-                    for _, _, data, offs in slices(batch.column(0)):
-                        raw = data.tobytes()
-                        for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
-                            ws = words(raw[a:b])
-                            ws.append(END.encode())
-                            yield np.fromiter(map(inputs.__getitem__, ws), np.int32, len(ws))
+                    yield from inputs.texts(batch.column(0))
 
             if passes == 1:
                 n = mine.train(texts(), cls_of, rate=rate)
@@ -469,48 +570,56 @@ def score_documents(docs: DataFrame, train: Column, text_col: str = "text", carr
         net, _ = train_network(learned, v, updates)
     base = blocked(docs, text_col, carry, results, BLOCK_BYTES)
     model = spark.sparkContext.broadcast((v, top_tables, net))  # bounded by TOP_WORDS and the network's sizes
-    places: dict[bytes, int] = {}
+    places: list[_Words] = []
 
-    def known() -> dict[bytes, int]:
+    def known() -> _Words:
         if not places:
-            places.update((w.encode(), i) for i, w in enumerate(model.value[0].words))
-        return places
+            places.append(_Words([w.encode() for w in model.value[0].words]))
+        return places[0]
 
-    def ask(table: pa.Table) -> pa.Table:
-        top, asked = known(), set()
+    def hashed(table: pa.Table):
+        """Of each run of texts: bytes, starts and ends of the words, the first word of each text, fingerprints and places."""
         for _, _, data, offs in slices(table.column("txt").combine_chunks()):
-            raw = data.tobytes()
-            for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
-                asked.update(words(raw[a:b]))
-        new = sorted(asked.difference(top))
-        return pa.table({"w": pa.array([w.decode("utf-8", "replace") for w in new], pa.string()),
-                         "blk": pa.array(np.full(len(new), table.column("blk")[0].as_py(), np.int32))})
+            data = LOWER[data]
+            starts, ends, first = word_spans(data, offs)
+            h = word_hashes(data, starts, ends)
+            yield data, starts, ends, first, h, known().find(h)
+
+    def ask(table: pa.Table) -> pa.Table:
+        asked: dict[int, bytes] = {}
+        for data, starts, ends, _, h, place in hashed(table):
+            miss = np.flatnonzero(place < 0)
+            new, at = np.unique(h[miss], return_index=True)
+            raw, at = data.tobytes(), miss[at]
+            asked.update(zip(new.tolist(), [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]))
+        return pa.table({"w": pa.array([w.decode("utf-8", "replace") for w in asked.values()], pa.string()),
+                         "blk": pa.array(np.full(len(asked), table.column("blk")[0].as_py(), np.int32))})
 
     def score(table: pa.Table, reply: pa.Table) -> pa.Table:
         v, tables, net = model.value
-        top = known()
         more = reply.column("w").to_pylist()
-        c = reply.column("c").to_numpy()
+        local = _Words([w.encode() for w in more])
+        nowhere = len(v.words) + len(more)  # bytes that are no text, so that their word came back as another
+        more, c = [*more, "\ufffd"], np.append(reply.column("c").to_numpy(), 0.0)
         ids, cls, inside, base10 = (np.concatenate(x) for x in zip(tables, v.tables(more, c, len(v.words))))
         seen = np.concatenate([np.ones(len(v.words), bool), c > 0])
-        local = {w.encode(): len(v.words) + i for i, w in enumerate(more)}
-        end = top.get(END.encode(), -1)
+        end = int(known().find(word_hashes(*_joined([END.encode()])))[0])
         toks, size = [], []
-        for _, _, data, offs in slices(table.column("txt").combine_chunks()):
-            raw = data.tobytes()
-            for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
-                ws = words(raw[a:b])
-                toks.append(np.array([top[w] if w in top else local[w] for w in ws] + [end], np.int64))
-                size.append(len(ws) + 1)
+        for _, _, _, first, h, place in hashed(table):
+            miss = np.flatnonzero(place < 0)
+            found = local.find(h[miss])
+            place[miss] = np.where(found < 0, nowhere, found + len(v.words))
+            toks.append(_with_ends(place, first, end)[0])
+            size += (np.diff(first) + 1).tolist()
         first = np.append(0, np.cumsum(size)).astype(np.int64)
-        tokens = np.concatenate(toks) if toks else np.zeros(0, np.int64)
+        tokens = np.concatenate(toks) if toks else np.zeros(0, np.int32)
         unknown_end = end < 0  # nothing was learned
         if unknown_end:
             base10, seen = np.append(base10, v.base(np.zeros(1))), np.append(seen, False)
         total = np.add.reduceat(base10[tokens], first[:-1]) if toks else np.zeros(0)
         kept = np.add.reduceat(seen[tokens].astype(np.int64), first[:-1]) if toks else np.zeros(0, np.int64)
         lp = net.score(tokens, first, ids, cls, inside) if net is not None else total
-        n = len(toks)
+        n = len(size)
         return pa.table({"row": loose(table.column("row")), "n_tokens": pa.array(np.array(size, np.int64)), "n_known": pa.array(kept),
                          "train_tokens": pa.array(np.full(n, v.tokens, np.int64)), "base_score": pa.array(total), "score": pa.array(lp)})
 
