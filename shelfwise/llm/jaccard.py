@@ -328,10 +328,11 @@ def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, t
                 yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(np.concatenate(n).astype(np.int64)), signed(np.concatenate(key))],
                                                  names=[*batch.schema.names[1:], "n", "cls"])
 
-    base = docs.select(txt.alias("txt"), docs[f"`{id_col}`"].alias("id"), row_struct(docs, text_col, carry, ("n_shingles", "component_id", "n_links", "group_key")).alias("row"))
+    base = docs.select(txt.alias("txt"), docs[f"`{id_col}`"].alias("id"), F.xxhash64(txt).alias("mark"), row_struct(docs, text_col, carry, ("n_shingles", "component_id", "n_links", "group_key")).alias("row"))
     kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base.schema.fields[1:])
     meta = base.mapInArrow(describe, f"{kinds}, n long, cls long").withColumn("cls", F.when(F.col("n") > 0, F.col("cls"))).checkpoint()
-    classes = meta.where("cls is not null").groupBy("cls").agg(F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"))
+    classes = meta.where("cls is not null").groupBy("cls").agg(F.min("id").alias("least_id"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
+                                                                 F.coalesce(F.min_by("mark", "id"), F.min("mark")).alias("mark"))  # the text of a row with the least id
 
     shingles = classes.agg(F.sum(F.col("n"))).first()[0] or 0
     buckets = max(1, -(-int(shingles) // BUCKET_SHINGLES))
@@ -340,7 +341,7 @@ def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, t
     # sets that link differ by less than one step of this scale, so only neighbouring steps of a cluster are compared
     step = F.floor(F.log(F.col("n").cast("double")) / (math.log(den / num) * 1.001)).cast("int")
     member = near.join(classes.withColumn("node", F.col("cls").bitwiseAND(F.lit(SENT_MASK))), "node").withColumn("step", step)
-    member = member.select("cls", "root", "step", "least_id", "copies").checkpoint()
+    member = member.select("cls", "root", "step", "least_id", "mark", "copies").checkpoint()
     sizes = member.groupBy("root", "step").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
     cand = member
     for name, shift in (("chunks", 0), ("below", -1), ("above", 1)):
@@ -372,10 +373,11 @@ def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int,
                 yield pa.RecordBatch.from_arrays([*mine.columns[1:], cut], names=[*mine.schema.names[1:], "elements"]).filter(same)
         give_back()
 
-    right = cand.select(F.col("least_id").alias("id"), F.col("cls").alias("c_cls"), "root", "step", "chunks", "below", "above", "copies")
-    left = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), docs[f"`{id_col}`"].alias("key"))
-    left = possible(left, F.xxhash64("key"), right, F.xxhash64("id")).where("possible").drop("possible")
-    texts = left.join(right, left["key"].eqNullSafe(right["id"])).select("txt", "c_cls", "root", "step", "chunks", "below", "above", "copies")
+    # an id alone would bring every row without one, or with a shared one, to all classes of that id
+    right = cand.select(F.col("least_id").alias("id"), F.col("mark").alias("c_mark"), F.col("cls").alias("c_cls"), "root", "step", "chunks", "below", "above", "copies")
+    left = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), docs[f"`{id_col}`"].alias("key")).withColumn("mark", F.xxhash64("txt"))
+    left = possible(left, F.xxhash64("key", "mark"), right, F.xxhash64("id", "c_mark")).where("possible").drop("possible")
+    texts = left.join(right, left["key"].eqNullSafe(right["id"]) & (left["mark"] == right["c_mark"])).select("txt", "c_cls", "root", "step", "chunks", "below", "above", "copies")
     sets = texts.mapInArrow(to_sets, "c_cls long, root long, step int, chunks int, below int, above int, copies long, elements binary")
     mine = F.pmod(F.xxhash64("c_cls", F.lit(3)), F.col("chunks")).cast("int")
 

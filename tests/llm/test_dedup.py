@@ -235,3 +235,16 @@ def test_empty_tables(spark):
 def test_equal_rows_keep_one(spark):
     rows = [(1, "one two three four five six")] * 3 + [(1, "quite another text of some words")]
     assert keep_one(spark.createDataFrame(rows, "doc_id long, text string")).where(F.col("doc_id") == 1).count() == 2
+
+
+def test_links_without_ids(spark):
+    """Rows without an id, or with a shared one, link as rows with ids of their own do, and only with what their texts say."""
+    rng = np.random.default_rng(3)
+    common = " ".join(f"w{x}" for x in rng.integers(0, 10_000, 200))
+    texts = [f"{common} tail{i}" for i in range(60)] + [" ".join(f"v{x}" for x in rng.integers(0, 10_000, 50)) for _ in range(20)] + [common, common, "", None]
+    sets = [{tuple(ws[i:i + 4]) for i in range(len(ws) - 3)} for ws in (WORD.findall(t or "") for t in texts)]
+    links = [sum(i != j and bool(x) and 100 * len(x & y) >= 85 * len(x | y) for j, y in enumerate(sets)) for i, x in enumerate(sets)]
+    ids = [(None, 7, i)[i % 3] for i in range(len(texts))]
+    got = link_documents(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string")).collect()
+    assert sorted((r["n_shingles"], r["n_links"]) for r in got) == sorted((len(s), n) for s, n in zip(sets, links)) and max(links) == 61
+    assert {r["component_id"] for r in got if r["n_links"]} == {min(x for x, n in zip(ids, links) if n and x is not None)}
