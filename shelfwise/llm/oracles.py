@@ -85,3 +85,51 @@ def source_audit(least_docs: int = 3, top_terms: int = 200) -> str:
             FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
         )
         SELECT lang, source, part, item, value, rank FROM ranked WHERE part = 'pair' OR rank <= {top_terms}"""
+
+
+def jaccard_join(k: int = 4, num: int = 85, den: int = 100) -> str:
+    """Every pair of documents that share a shingle; components by walking the links."""
+    return f"""
+        WITH RECURSIVE d AS (
+            SELECT row_number() OVER () AS id, doc_id,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), places AS (
+            SELECT id, w, unnest(range(1, greatest(len(w) - {k} + 1, 1) + 1)) AS p FROM d WHERE len(w) > 0
+        ), s AS (
+            SELECT DISTINCT id, array_to_string(w[p:p + {k} - 1], ' ') AS g FROM places
+        ), n AS (
+            SELECT id, count(*) AS n FROM s GROUP BY id
+        ), link AS (
+            SELECT x.id AS a, y.id AS b
+            FROM (SELECT x.id AS x, y.id AS y, count(*) AS c FROM s x JOIN s y ON x.g = y.g AND x.id <> y.id GROUP BY ALL) m
+            JOIN n x ON x.id = m.x JOIN n y ON y.id = m.y WHERE {den} * c >= {num} * (x.n + y.n - c)
+        ), reach AS (
+            SELECT id AS a, id AS b FROM d
+            UNION
+            SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b
+        ), least AS (
+            SELECT r.a, min(d.doc_id) AS component_id FROM reach r JOIN d ON d.id = r.b GROUP BY r.a
+        )
+        SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, least.component_id, coalesce(l.c, 0)::BIGINT AS n_links
+        FROM d JOIN least ON least.a = d.id LEFT JOIN n ON n.id = d.id LEFT JOIN (SELECT a, count(*) AS c FROM link GROUP BY a) l ON l.a = d.id"""
+
+
+def repeated_windows(window: int = 35) -> str:
+    """Every window as a string."""
+    return f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ), win AS (
+            SELECT id, p, sha256(array_to_string(w[p:p + {window} - 1], ' ')) AS s
+            FROM (SELECT id, w, unnest(range(1, len(w) - {window} + 2)) AS p FROM d WHERE len(w) >= {window})
+        ), again AS (
+            SELECT s FROM win GROUP BY s HAVING count(*) > 1
+        ), gone AS (
+            SELECT DISTINCT id, p + k AS p FROM win JOIN again USING (s) CROSS JOIN range({window}) t(k)
+        ), kept AS (
+            SELECT o.id, count(*) AS n, string_agg(o.w, ' ' ORDER BY o.p) AS words
+            FROM (SELECT id, unnest(w) AS w, unnest(range(1, len(w) + 1)) AS p FROM d) o ANTI JOIN gone g ON g.id = o.id AND g.p = o.p GROUP BY o.id
+        )
+        SELECT d.doc_id, len(d.w)::BIGINT AS n_words, (len(d.w) - coalesce(kept.n, 0))::BIGINT AS n_removed, sha256(coalesce(kept.words, '')) AS kept_sha256
+        FROM d LEFT JOIN kept ON kept.id = d.id"""

@@ -131,6 +131,8 @@ ORACLES: dict[str, str] = {
             SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM s
         )
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op3_jaccard_join": oracles.jaccard_join(),
+    "op6_substring_dedup": oracles.repeated_windows(),
     "op11_source_audit": oracles.source_audit(),
     "op12_vector_codes": oracles.vector_codes(),
 }
