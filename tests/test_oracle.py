@@ -28,7 +28,7 @@ def con():
 
 
 def test_every_survey_key_is_registered():
-    assert len(QUERIES) == 186
+    assert len(QUERIES) == 190
     assert set(ORACLES) <= set(QUERIES)
     assert set(QUERIES) == set(ORACLES)
 
