@@ -47,7 +47,8 @@ TASK_TOKENS = 2_000_000
 PIECE, FAN = 16_384, 32
 #: Large blocks keep many documents in step, so a few long ones cost little.
 BLOCK_BYTES = 6 << 20
-WINDOW = 64
+#: A window of scoring has at most so many places, and tokens unless one place has more.
+WINDOW, WINDOW_TOKENS = 1024, 40_000
 
 
 def words(text: bytes) -> list[bytes]:
@@ -172,19 +173,26 @@ class Network:
         top, low = np.vstack([self.p["cls"], self.p["cls_b"]]), np.hstack([self.p["out"], self.p["out_b"][:, None]])
         return top, low, max(np.abs(top).sum(0).max(), np.abs(low).sum(1).max()) > 60  # a state lies within +-1
 
-    def step(self, ids: np.ndarray, h: np.ndarray, gates: tuple | None = None):
-        inputs, u = gates or self.gates()
-        x, hu = inputs.take(ids, axis=1), np.matmul(h, u)
+    def step(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states of streams that read ``ids``, and the values of update, reset and candidate."""
+        inputs, u = self.gates()
+        x = inputs.take(ids, axis=1)
+        return self._advance(x, h, u), x
+
+    @staticmethod
+    def _advance(x: np.ndarray, h: np.ndarray, u: np.ndarray, hu: np.ndarray | None = None) -> np.ndarray:
+        """The next states; ``x`` (inputs of update, reset and candidate) becomes the gates' values, ``hu`` what the states add."""
+        hu = np.matmul(h, u, out=hu)
         zr = x[:2]
         zr += hu[:2]
         _sigmoid(zr)
-        n = zr[1] * hu[2]
-        n += x[2]
+        n = x[2]
+        n += zr[1] * hu[2]
         np.tanh(n, out=n)
         new = h - n
         new *= zr[0]
         new += n
-        return new, zr, n, hu[2]
+        return new
 
     def log_probs(self, h: np.ndarray, ids: np.ndarray, cls: np.ndarray, grads: dict | None = None, heads: tuple | None = None):
         """Natural log-probability of classes and shortlist words in given states; with ``grads``, also what flows back."""
@@ -286,44 +294,41 @@ class Network:
         wide, n = ids.shape
         s = STATE
         adam[0] = 0
-        gates = self.gates()
+        inputs, u = self.gates()
         hs = np.empty((wide + 1, n, s), weights.dtype)
         hs[0] = h
-        new = fresh.any(1)
-        kept = []
+        new = fresh.any(1).tolist()
+        x, hu = np.empty((2, wide, 3, n, s), weights.dtype)
         for t in range(wide):
             if new[t]:
                 hs[t][fresh[t]] = 0
-            hs[t + 1], *held = self.step(ids[t], hs[t], gates)
-            kept.append(held)
+            inputs.take(ids[t], axis=1, out=x[t], mode="clip")
+            hs[t + 1] = self._advance(x[t], hs[t], u, hu[t])
         flat, old = ids.ravel(), hs[:-1]
         tok = flat[real]
         back = np.zeros((wide * n, s), hs.dtype)
         _, back[real] = self.log_probs(old.reshape(-1, s)[real], tok, cls_of[tok], g)
         back = back.reshape(wide, n, s)
+        # what a unit of gradient on the next state gives to each gate, for the whole window at once
+        z, r, c = x.swapaxes(0, 1)
+        keep = 1 - z
+        to_z = old - c
+        to_z *= z
+        to_z *= keep
+        to_n = 1 - c * c
+        to_n *= keep
+        to_r = np.subtract(1, r, out=keep)
+        to_r *= r
+        to_r *= hu[:, 2]
         du, dn = np.empty((3, wide, n, s), hs.dtype), np.empty((wide, n, s), hs.dtype)
-        carry, ut = np.zeros((n, s), hs.dtype), np.ascontiguousarray(gates[1].swapaxes(1, 2))
+        carry, ut = np.zeros((n, s), hs.dtype), np.ascontiguousarray(u.swapaxes(1, 2))
         for t in reversed(range(wide)):
-            (z, r), c, hu = kept.pop()
-            keep = 1 - z
-            dz, dr, dc, d = du[0, t], du[1, t], du[2, t], dn[t]
-            np.subtract(old[t], c, out=dz)
-            dz *= z
-            dz *= keep
-            dz *= carry
-            np.multiply(c, c, out=d)
-            np.subtract(1, d, out=d)
-            d *= keep
-            d *= carry
-            np.multiply(d, r, out=dc)
-            np.subtract(1, r, out=dr)
-            dr *= dc
-            dr *= hu
-            carry *= z
-            flows = np.matmul(du[:, t], ut)
-            carry += flows[0]
-            carry += flows[1]
-            carry += flows[2]
+            d = np.multiply(to_n[t], carry, out=dn[t])
+            np.multiply(to_z[t], carry, out=du[0, t])
+            np.multiply(to_r[t], d, out=du[1, t])
+            np.multiply(r[t], d, out=du[2, t])
+            carry *= z[t]
+            carry += np.matmul(du[:, t], ut).sum(0)
             carry += back[t]
             if new[t]:
                 carry[fresh[t]] = 0
@@ -370,23 +375,24 @@ class Network:
         size, start = size[order], first[:-1][order]
         total = np.zeros(len(size))
         h = np.zeros((len(size), STATE), np.float32)
-        gates, heads = self.gates(), self.heads()
-        for at in range(0, int(size.max(initial=0)), window):
-            live = int(np.searchsorted(-size, -at, "left"))  # documents that reach this window
-            last = min(window, int(size[0]) - at)
-            states, toks, docs = [], [], []
-            for t in range(last):
-                n = int(np.searchsorted(-size[:live], -(at + t), "left"))
-                tok = tokens[start[:n] + at + t]
-                states.append(h[:n].copy())
-                toks.append(tok)
-                docs.append(np.arange(n))
-                h[:n] = self.step(ids[tok], h[:n], gates)[0]
-                if sum(map(len, toks)) > 40_000 or t == last - 1:
-                    tok, doc = np.concatenate(toks), np.concatenate(docs)
-                    lp = self.log_probs(np.concatenate(states), ids[tok], cls[tok], heads=heads)[0] + inside[tok]
-                    total += np.bincount(doc, lp, len(size))
-                    states, toks, docs = [], [], []
+        (inputs, u), heads = self.gates(), self.heads()
+        longest = int(size.max(initial=0))
+        alive = np.searchsorted(-size, -np.arange(longest), "left")  # documents that have a token at each place
+        edges = np.append(0, np.cumsum(alive))
+        at = 0
+        while at < longest:  # a window of all documents that reach it
+            end = max(at + 1, min(at + window, int(np.searchsorted(edges, edges[at] + WINDOW_TOKENS, "right")) - 1))
+            ends = edges[at: end + 1] - edges[at]
+            doc = np.arange(ends[-1]) - np.repeat(ends[:-1], alive[at:end])
+            tok = tokens[start[doc] + np.repeat(np.arange(at, end), alive[at:end])]
+            x, states = inputs.take(ids[tok], axis=1), np.empty((len(tok), STATE), np.float32)
+            bounds = ends.tolist()
+            for a, b in zip(bounds[:-1], bounds[1:]):
+                now = states[a:b] = h[: b - a]
+                h[: b - a] = self._advance(x[:, a:b], now, u)
+            lp = self.log_probs(states, ids[tok], cls[tok], heads=heads)[0] + inside[tok]
+            total += np.bincount(doc, lp, len(size))
+            at = end
         out = np.zeros(len(size))
         out[order] = total / math.log(10)
         return out

@@ -23,6 +23,9 @@ SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+#: Bytes of a run of texts that are worked on at once.
+RUN_BYTES = 2 << 20
+
 _rng = np.random.default_rng(20240229)
 BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -45,6 +48,7 @@ def lower_points() -> np.ndarray:
 
 def give_back() -> None:
     """Hand freed memory back to the system, since a Python worker lives on for tasks of other stages."""
+    _RUN_POWERS.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only glibc has it
@@ -77,7 +81,7 @@ def unsigned(col) -> np.ndarray:
     return np.ascontiguousarray(np.asarray(col, np.int64)).view(np.uint64)
 
 
-def slices(col: pa.Array | pa.ChunkedArray, limit: int = 2 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def slices(col: pa.Array | pa.ChunkedArray, limit: int = RUN_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row + 1, bytes, row offsets) of runs of rows of about ``limit`` bytes.
 
     A single longer text makes a run of its own.
@@ -125,12 +129,22 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
     """One fingerprint per word."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    size = ends - starts
-    before = np.cumsum(size) - size
-    place = np.arange(int(size.sum()), dtype=np.int64) - np.repeat(before, size)
-    pw = powers(BASE, int(size.max()))
-    vals = BYTE[data[place + np.repeat(starts, size)]] * pw[place]
-    return mix(np.add.reduceat(vals, before) + size.astype(np.uint64))
+    up, down = _both_powers(len(data))
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(np.multiply(vals := BYTE[data], up[: len(data)], out=vals), out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+
+
+#: The powers of BASE and of its inverse for a run of texts; those of a longer text are made anew.
+_RUN_POWERS: list[np.ndarray] = []
+
+
+def _both_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    if n > RUN_BYTES:
+        return powers(BASE, n), powers(inverse(BASE), n)
+    if not _RUN_POWERS:
+        _RUN_POWERS.extend((powers(BASE, RUN_BYTES), powers(inverse(BASE), RUN_BYTES)))
+    return _RUN_POWERS[0], _RUN_POWERS[1]
 
 
 class Rolling:
