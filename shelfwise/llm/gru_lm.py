@@ -33,7 +33,7 @@ from shelfwise.session import ensure_checkpoint_dir
 #: The end of a document; no word holds a space.
 END = " "
 #: Words whose counts every task holds; the counts of others come by a join.
-TOP_WORDS = 262_144
+TOP_WORDS = 131_072
 SHORTLIST = 2000
 SHORT_CLASSES = 32
 SUFFIX_CLASSES = 40
@@ -46,11 +46,9 @@ TASK_TOKENS = 2_000_000
 #: Weights travel in pieces of so many numbers, and so many tasks' pieces meet in one mean.
 PIECE, FAN = 16_384, 32
 #: Large blocks keep many documents in step, so a few long ones cost little.
-BLOCK_BYTES = 10 << 20
+BLOCK_BYTES = 6 << 20
 #: A window of scoring has at most so many places, and tokens unless one place has more.
-WINDOW, WINDOW_TOKENS = 1024, 16_000
-#: Rows of the output over classes, and weights of an update, that fit a core's cache.
-HEAD_ROWS, ADAM_PART = 1024, 16_384
+WINDOW, WINDOW_TOKENS = 1024, 40_000
 
 
 def words(text: bytes) -> list[bytes]:
@@ -171,9 +169,9 @@ class Network:
         return tuple(np.ascontiguousarray(self.p[k].reshape(-1, 3, STATE).swapaxes(0, 1)) for k in ("gates", "u"))
 
     def heads(self) -> tuple[np.ndarray, np.ndarray, bool]:
-        """Class and word weights, a row each with the bias as last state, and whether a logit can leave +-60, where float32 overflows or vanishes."""
-        top, low = np.vstack([self.p["cls"], self.p["cls_b"]]).T.copy(), np.hstack([self.p["out"], self.p["out_b"][:, None]])
-        return top, low, max(np.abs(top).sum(1).max(), np.abs(low).sum(1).max()) > 60  # a state lies within +-1
+        """Class and word weights with the bias as last state, and whether a logit can leave +-60, where float32 overflows or vanishes."""
+        top, low = np.vstack([self.p["cls"], self.p["cls_b"]]), np.hstack([self.p["out"], self.p["out_b"][:, None]])
+        return top, low, max(np.abs(top).sum(0).max(), np.abs(low).sum(1).max()) > 60  # a state lies within +-1
 
     def step(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The next states of streams that read ``ids``, and the values of update, reset and candidate."""
@@ -202,50 +200,46 @@ class Network:
         s = STATE
         hb = np.ones((len(h), s + 1), h.dtype)
         hb[:, :s] = h
-        kind = np.result_type(h, top)
-        widest = max(len(top), max(np.diff(self.v.first), default=0))
-        ones, count = np.ones(widest, kind), np.arange(len(h))
+        ones = np.ones(max(top.shape[1], max(np.diff(self.v.first), default=0)), h.dtype)
 
-        def head(x, w, k, lp, total, back=None, weights=None):
-            """Logits of column k and sums over all columns of each row under weights w; what flows back and the gradient of the weights."""
-            z = x @ w.T
+        def head(x, w, k):
+            """The log-probability of column k of each row under weights w, the gradient of the weights and what flows back."""
+            z = x @ w
             if clip:
                 np.clip(z, -60, 60, out=z)
-            at = count[: len(x)], k
-            lp[:] = z[at]
-            np.exp(z, out=z)
-            np.matmul(z, ones[: len(w)], out=total)
-            if back is not None:
-                z[at] -= total
-                z /= total[:, None]
-                np.matmul(z, w[:, :s], out=back)
-                np.matmul(z.T, x, out=weights)
-
-        out, total = np.empty((2, len(h)), kind)
-        back, weights = (np.empty((len(h), s), kind), np.empty_like(top)) if grads is not None else (None, None)
-        for lo in range(0, len(h), HEAD_ROWS):
-            part = slice(lo, lo + HEAD_ROWS)
-            head(hb[part], top, cls[part], out[part], total[part], None if back is None else back[part], weights)
-            if grads is not None:
-                grads["cls"] += weights[:, :s].T
-                grads["cls_b"] += weights[:, s]
-        out -= np.log(total)
+            rows = np.arange(len(x))
+            lp = z[rows, k]
+            e = np.exp(z, out=z)
+            total = e @ ones[: e.shape[1]]
+            lp -= np.log(total)
+            if grads is None:
+                return lp, None, None
+            e[rows, k] -= total
+            inv = 1 / total[:, None]
+            back = e @ w[:s].T
+            back *= inv
+            return lp, (x * inv).T @ e, back
+
+        out, weights, back = head(hb, top, cls)
+        if grads is not None:
+            grads["cls"] += weights[:s]
+            grads["cls_b"] += weights[s]
         order = np.argsort(cls.astype(np.uint16), kind="stable")
         edges = np.searchsorted(cls[order], np.arange(self.v.n_short + 1))
         order = order[: edges[-1]]
-        hs, at = hb[order], ids[order] - self.v.first[cls[order]]
-        inside, total = np.zeros(len(order), kind), np.ones(len(order), kind)
-        flows, weights = (np.zeros((len(order), s), kind), np.zeros_like(low)) if grads is not None else (None, None)
+        hs, words_ = hb[order], ids[order]
+        inside, inside_back = np.zeros(len(order), out.dtype), np.zeros((len(order), s), h.dtype) if grads is not None else None
         for lo, hi, a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), self.v.first[:-1].tolist(), self.v.first[1:].tolist()):
             if lo == hi or b - a == 1:
                 continue
-            more = (flows[lo:hi], weights[a:b]) if grads is not None else ()
-            head(hs[lo:hi], low[a:b], at[lo:hi], inside[lo:hi], total[lo:hi], *more)
-        out[order] += inside - np.log(total)
+            inside[lo:hi], weights, flows = head(hs[lo:hi], low[a:b].T, words_[lo:hi] - a)
+            if grads is not None:
+                inside_back[lo:hi] = flows
+                grads["out"][a:b] += weights[:s].T
+                grads["out_b"][a:b] += weights[s]
+        out[order] += inside
         if grads is not None:
-            back[order] += flows
-            grads["out"] += weights[:, :s]
-            grads["out_b"] += weights[:, s]
+            back[order] += inside_back
         return out, back
 
     def train(self, docs: Iterable[np.ndarray], cls_of: np.ndarray, streams: int = STREAMS, steps: int = STEPS, updates: int | None = None, rate: float = 0.01) -> int:
@@ -346,23 +340,22 @@ class Network:
             g["u"][:, i * s: (i + 1) * s] = before @ du[i].reshape(-1, s)
             dx[:, i * s: (i + 1) * s] = x.reshape(-1, s).take(order, axis=0)
         g["gates"][flat[order[head]]] = np.add.reduceat(dx, head, axis=0)
-        d = adam[0]
+        d, m, q, room = adam
         norm = math.sqrt(float(np.vdot(d, d))) / len(real)
         scale = min(1.0, 1.0 / max(norm, 1e-9)) / len(real)
+        m *= 0.9
+        m += np.multiply(d, 0.1 * scale, out=room)
+        d *= scale
+        d *= d
+        d *= 0.01
+        q *= 0.99
+        q += d
+        np.sqrt(q, out=d)
         size = math.sqrt(1 - 0.99**k)
-        for lo in range(0, len(weights), ADAM_PART):
-            d, m, q, room = adam[:, lo: lo + ADAM_PART]
-            m *= 0.9
-            m += np.multiply(d, 0.1 * scale, out=room)
-            d *= 0.1 * scale
-            d *= d
-            q *= 0.99
-            q += d
-            np.sqrt(q, out=d)
-            d += 1e-7 * size
-            np.divide(m, d, out=d)
-            d *= rate * size / (1 - 0.9**k)
-            weights[lo: lo + ADAM_PART] -= d
+        d += 1e-7 * size
+        np.divide(m, d, out=d)
+        d *= rate * size / (1 - 0.9**k)
+        weights -= d
         return hs[-1]
 
     def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
