@@ -11,7 +11,7 @@ from shelfwise.functions.exprs import band
 from shelfwise.functions.metrics import money as money_col
 from shelfwise.functions.metrics import above_mean, mean_half_up, month_label, ratio_half_up, round_money
 from shelfwise.operators import aggs as A
-from shelfwise.operators.sales import sales_lines, valid_sales_view
+from shelfwise.operators.sales import dealt, sales_lines, valid_sales_view
 
 _LINES = """lines AS (
   SELECT o.o_orderkey AS order_id, o.o_orderpriority AS channel, o.o_custkey AS customer_id, l.l_quantity AS quantity,
@@ -191,7 +191,8 @@ FROM v GROUP BY region_name
 """)
 def _ag16(t, m):
     """The region grain out of the state of the store grain: distinct orders are merged, never summed."""
-    state = A.distinct_state(sales_lines(m, ("store",)), ["store_id", "region_name"], "order_id", ["gross_revenue"])
+    lines, = dealt("order_id", sales_lines(m, ("store",), by_order=True))
+    state = A.distinct_state(lines, ["store_id", "region_name"], "order_id", ["gross_revenue"])
     out = A.from_state(state, ["region_name"], "order_id", {"_r": "gross_revenue"})
     return out.select("region_name", F.col("distinct_order_ids").alias("completed_orders"),
                       round_money("_r").alias("gross_revenue"))

@@ -74,21 +74,18 @@ def avg_of_sums(df: DataFrame, group: Sequence[str], measure: str, outer: Sequen
 def distinct_state(detail: DataFrame, fine: Sequence[str], distinct_col: str, sums: Sequence[str]) -> DataFrame:
     """AG-16: what a fine grain must keep so that any coarser one needs no second scan of the detail.
 
-    Per fine group and bucket of 32,768 consecutive values of ``distinct_col``
-    (an integer): an exact bitmap of the values met (4 KB) and the partial
-    sums.  Made for keys that are dense, as order numbers are; a fine group
-    that holds few values of each bucket is better regrouped from detail
-    (:func:`rollup_report`).
+    One row per fine group and value of ``distinct_col``, with the partial
+    sums: never more rows than the detail, whatever the number of groups and
+    the spread of the values.  Where ``detail`` is dealt by ``distinct_col``,
+    neither this aggregate nor the merge in :func:`from_state` shuffles these rows.
     """
-    value = F.col(distinct_col)
-    return detail.groupBy(*fine, F.bitmap_bucket_number(value).alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(value)).alias("_bits"), *[F.sum(c).alias(c) for c in sums])
+    return detail.groupBy(*fine, F.col(distinct_col).alias("_value")).agg(*[F.sum(c).alias(c) for c in sums])
 
 
 def from_state(state: DataFrame, cols: Sequence[str], distinct_col: str, sums: Mapping[str, str]) -> DataFrame:
     """AG-16: the distinct count and sums at the grain ``cols``, merged upwards from :func:`distinct_state`."""
-    merged = state.groupBy(*cols, "_bucket").agg(F.bitmap_or_agg("_bits").alias("_bits"), *[F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())])
-    return merged.groupBy(*cols).agg(F.sum(F.bitmap_count("_bits")).alias(f"distinct_{distinct_col}s"), *[F.sum(f"_s{i}").alias(n) for i, n in enumerate(sums)])
+    merged = state.groupBy(*cols, "_value").agg(*[F.sum(c).alias(f"_s{i}") for i, c in enumerate(sums.values())])
+    return merged.groupBy(*cols).agg(F.count("_value").alias(f"distinct_{distinct_col}s"), *[F.sum(f"_s{i}").alias(n) for i, n in enumerate(sums)])
 
 
 def rollup_report(detail: DataFrame, cols: Sequence[str], distinct_col: str, sums: Mapping[str, str]) -> DataFrame:

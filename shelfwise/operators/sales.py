@@ -35,14 +35,36 @@ def valid_items(m: Model) -> DataFrame:
     return m.items.filter(valid_item("quantity", "unit_price"))
 
 
-def sales_lines(m: Model, dims: tuple[str, ...] = ()) -> DataFrame:
+#: Stored bytes behind one partition of :func:`dealt`; sources that cannot tell their size claim more than MOST_BYTES.
+PART_BYTES, MOST_BYTES = 4 << 20, 1 << 50
+
+
+def dealt(key: str, *dfs: DataFrame) -> list[DataFrame]:
+    """Each frame dealt by ``key``, all into one partition for every PART_BYTES of their sources.
+
+    Adaptive execution merges shuffle partitions up to a size of its own (64 MB
+    compressed unless set), and a task's sorts and hash tables with them.  Here
+    their size stays as the tables grow, and frames dealt together join without
+    another shuffle.  Without a known size the session's number of partitions holds.
+    """
+    leaves = [df._jdf.queryExecution().optimizedPlan().collectLeaves() for df in dfs]
+    size = sum(int(str(some.apply(i).stats().sizeInBytes())) for some in leaves for i in range(some.size()))
+    parts = [] if size > MOST_BYTES else [max(1, -(-size // PART_BYTES))]
+    return [df.repartition(*parts, key) for df in dfs]
+
+
+def sales_lines(m: Model, dims: tuple[str, ...] = (), by_order: bool = False) -> DataFrame:
     """Valid lines of completed orders, with the requested dimensions.
 
     ``dims`` may hold ``store``, ``product``, ``customer``.  Stores and
     products join inner (the reference view drops lines without them);
-    customers join left (anonymous sales stay).
+    customers join left (anonymous sales stay).  ``by_order`` deals the lines
+    by order in small partitions.
     """
-    lines = valid_items(m).join(completed_orders(m), "order_id")
+    items, orders = valid_items(m), completed_orders(m)
+    if by_order:
+        items, orders = dealt("order_id", items, orders)
+    lines = items.join(orders, "order_id")
     if "store" in dims:
         lines = lines.join(m.stores, "store_id")
     if "product" in dims:

@@ -160,6 +160,28 @@ def test_a_coarser_grain_needs_no_second_scan(spark):
         assert rows(A.from_state(kept, cols, "l_orderkey", {"q": "l_quantity"})) == rows(A.rollup_report(t.lineitem, cols, "l_orderkey", {"q": "l_quantity"}))
 
 
+def test_the_state_of_scattered_values_is_no_larger_than_the_detail(spark):
+    """Many fine groups that each hold a few values, far apart: nothing of fixed size per group and stretch of values."""
+    df = spark.range(6000).select((F.col("id") % 300).alias("store"), (F.col("id") % 3).alias("region"), (F.col("id") * 40_009).alias("oid"), F.lit(2).alias("v"))
+    state = A.distinct_state(df, ["store", "region"], "oid", ["v"])
+    held = state.agg(F.sum(sum((F.octet_length(F.col(c).cast("binary") if t == "string" else F.col(c)) if t in ("string", "binary") else F.lit(16) for c, t in state.dtypes), F.lit(0)))).first()[0]
+    assert state.count() <= 6000 and held < 6000 * 100
+    assert rows(A.from_state(state, ["region"], "oid", {"t": "v"})) == rows(A.rollup_report(df, ["region"], "oid", {"t": "v"}))
+
+
+def test_dealt_partitions_keep_their_size(spark, tmp_path, monkeypatch):
+    spark.range(200_000).select((F.col("id") * 7919 % 200_003).alias("k")).repartition(1).write.parquet(str(tmp_path / "one"))
+    one = spark.read.parquet(str(tmp_path / "one"))
+    four = spark.read.parquet(*[str(tmp_path / "one")] * 4)
+    monkeypatch.setattr(S, "PART_BYTES", 100_000)
+    (a,), (b,), both = S.dealt("k", one), S.dealt("k", four), S.dealt("k", one, four)
+    n, m = a.rdd.getNumPartitions(), b.rdd.getNumPartitions()
+    assert n > 1 and 4 * n - 4 <= m <= 4 * n and len({x.rdd.getNumPartitions() for x in both}) == 1
+    assert b.count() == 800_000 and rows(a.agg(F.sum("k"))) == rows(one.agg(F.sum("k")))
+    unknown = spark.createDataFrame([(1,), (None,)], "k long").checkpoint()
+    assert rows(S.dealt("k", unknown)[0]) == rows(unknown)
+
+
 # ------------------------------------------------------------------ narrowed comparison
 
 
