@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from shelfwise.catalog.sqlkit import REV
-from shelfwise.operators.sales import sales_lines
+from shelfwise.operators.sales import order_totals, sales_lines
 
 CENTS = DecimalType(18, 2)
 
@@ -39,9 +39,7 @@ PRODUCT_SALES_SQL = f"""ps AS (
 
 def store_month(m) -> DataFrame:
     """Completed valid revenue per store and month."""
-    return (sales_lines(m).groupBy("store_id", "sales_month")
-            .agg(F.count_distinct("order_id").alias("completed_orders"),
-                 F.sum("quantity").cast("bigint").alias("units"), F.sum("gross_revenue").alias("revenue")))
+    return order_totals(m, ["store_id", "sales_month"])
 
 
 STORE_MONTH_SQL = f"""sm AS (

@@ -21,7 +21,7 @@ from shelfwise.functions.metrics import (above_mean, diff_from_mean_half_up, mea
                                         ratio_half_up, round_money, safe_ratio, weekday_name)
 from shelfwise.operators import joins as J
 from shelfwise.operators import windows as W
-from shelfwise.operators.sales import completed_orders, sales_lines, valid_items
+from shelfwise.operators.sales import completed_orders, order_totals, sales_lines, valid_items
 from shelfwise.sources.model import Model
 
 
@@ -65,9 +65,7 @@ def product_totals(m: Model, lines: DataFrame | None = None) -> DataFrame:
 
 def store_month_totals(m: Model) -> DataFrame:
     """Per store and month: distinct orders, units, exact revenue (store decides region)."""
-    return (sales_lines(m).groupBy("store_id", "sales_month")
-            .agg(F.count_distinct("order_id").alias("completed_orders"),
-                 F.sum("quantity").cast("bigint").alias("units"), F.sum("gross_revenue").alias("revenue")))
+    return order_totals(m, ["store_id", "sales_month"])
 
 
 # ---------------------------------------------------------------- RP-03..RP-08
@@ -82,20 +80,17 @@ def store_month(m: Model) -> DataFrame:
 
 def region_store_channel(m: Model) -> DataFrame:
     """RP-04: month x region x store x channel (grouped at store_id, store decides region)."""
-    g = (sales_lines(m).groupBy("sales_month", "store_id", "channel")
-         .agg(F.count_distinct("order_id").alias("completed_orders"),
-              F.sum("quantity").cast("bigint").alias("units_sold"), F.sum("gross_revenue").alias("_r")))
+    g = order_totals(m, ["sales_month", "store_id", "channel"])
     g = g.join(m.stores.select("store_id", "store_name", "region_name"), "store_id")
-    return g.select("sales_month", "region_name", "store_name", "channel", "completed_orders", "units_sold",
-                    round_money("_r").alias("gross_revenue"))
+    return g.select("sales_month", "region_name", "store_name", "channel", "completed_orders", F.col("units").alias("units_sold"),
+                    round_money("revenue").alias("gross_revenue"))
 
 
 def region_store(m: Model) -> DataFrame:
     """RP-05: region x store, distinct orders recomputed from detail (AG-16)."""
-    g = (sales_lines(m).groupBy("store_id").agg(F.count_distinct("order_id").alias("completed_orders"),
-                                                F.sum("gross_revenue").alias("_r")))
+    g = order_totals(m, ["store_id"])
     g = g.join(m.stores.select("store_id", "store_name", "region_name"), "store_id")
-    return g.select("region_name", "store_name", "completed_orders", round_money("_r").alias("gross_revenue"))
+    return g.select("region_name", "store_name", "completed_orders", round_money("revenue").alias("gross_revenue"))
 
 
 def department_category(m: Model) -> DataFrame:

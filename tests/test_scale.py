@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from shelfwise.catalog.base import REGISTRY
 from shelfwise.operators import aggs as A
 from shelfwise.operators import joins as J
 from shelfwise.operators import quality as Q
@@ -182,6 +183,27 @@ def test_dealt_partitions_keep_their_size(spark, tmp_path, monkeypatch):
     assert rows(S.dealt("k", unknown)[0]) == rows(unknown)
 
 
+def test_orders_of_a_group_are_counted_where_the_lines_lie(spark, monkeypatch):
+    """Orders that come twice (with another month or not), null keys and groups: as a distinct count of the joined lines."""
+    rnd = random.Random(4)
+    day = dt.datetime(2001, 1, 20)
+    orders = [(rnd.choice([None, *range(60)]), 1, rnd.choice("FFO"), day + dt.timedelta(days=rnd.choice([0, 0, 30])), rnd.choice([None, "a", "b"])) for _ in range(150)]
+    lines = [(rnd.choice([None, *range(60)]), 1, rnd.choice([None, *range(5)]), 1, float(rnd.randint(0, 9)), rnd.choice([None, 10.25, 7.5]), 0.05) for _ in range(900)]
+    t = load(spark, SMALL)
+    t._cache["orders"] = spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string").withColumn("o_totalprice", F.lit(1.0))
+    t._cache["lineitem"] = (spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double")
+                            .withColumns({"l_tax": F.lit(0.0), "l_returnflag": F.lit("N"), "l_linestatus": F.lit("O"), "l_shipdate": F.lit(day)}))
+    m = from_driver(t)
+    for by in (["sales_month", "store_id", "channel"], ["store_id", "sales_month"], ["store_id"]):
+        exp = S.sales_lines(m).groupBy(*by).agg(F.count_distinct("order_id").alias("completed_orders"), F.sum("quantity").cast("bigint").alias("units"), F.sum("gross_revenue").alias("revenue"))
+        assert rows(S.order_totals(m, by)) == rows(exp) != []
+    monkeypatch.setattr(S, "PART_BYTES", 4_000)
+    for key in ("rp_region_store_channel", "rp_region_store", "rp_store_month", "agg_regroup_coarser"):
+        shuffles = {x for x in re.findall(r"hashpartitioning\(([^)]*)\)", plan(REGISTRY[key].build(spark, SMALL))) if "order" in x}
+        # lines and orders meet by order alone, in partitions that the session did not set; no second shuffle by group and order
+        assert shuffles and all(re.fullmatch(r"\w*order\w*#\d+L, (?!8$)\d+", x) for x in shuffles), shuffles
+
+
 # ------------------------------------------------------------------ narrowed comparison
 
 
