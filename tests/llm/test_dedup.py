@@ -2,16 +2,18 @@
 
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from shelfwise.llm.components import components
 from shelfwise.llm.jaccard import Parts, divide_skip, keep_one, link_documents
 from shelfwise.llm.substring import COVERS, cover_for, remove_repeated_windows
-from shelfwise.llm.suffix import remove_repeated_bytes, suffix_array
+from shelfwise.llm.suffix import RESOLVED, anchored, remove_repeated_bytes, repeated_starts, suffix_array
 
 LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -127,6 +129,25 @@ def test_suffix_array():
         assert suffix_array(t) == sorted(range(len(t)), key=lambda i: t[i:])
 
 
+def peak_mb(f):
+    tracemalloc.start()
+    try:
+        f()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_suffix_task_memory():
+    """A block of 2 MB is worked on in short runs, and strings are resolved some at a time: a task stays below 50 MB."""
+    rng = np.random.default_rng(8)
+    texts = pa.array(["".join(map(chr, rng.integers(97, 123, 2000))) for _ in range(1000)])
+    assert peak_mb(lambda: [a.cores() for _, _, a in anchored(texts, 200, 60, 16)]) < 50
+    core = np.sort(rng.integers(0, RESOLVED // 4, RESOLVED).astype(np.uint64))
+    side = [bytes(rng.integers(97, 123, 30, dtype=np.uint8)) for _ in range(RESOLVED)]
+    assert peak_mb(lambda: repeated_starts(core, side, side[::-1], np.ones(RESOLVED, np.int32), 60)) < 50
+
+
 @pytest.mark.parametrize("size,seed", [(1, 5), (3, 6), (20, 7), (60, 8), (150, 9)])
 def test_repeated_bytes(spark, size, seed):
     texts = noisy_texts(seed)
