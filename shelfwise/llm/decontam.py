@@ -24,6 +24,8 @@ INDEX_CHARS = 8_000_000
 FILTER_BITS = 21
 #: Bands are first counted in so many hashed bins.
 COUNT_BITS = 18
+#: Bytes of texts that are searched at once.
+RUN_BYTES = 256 << 10
 
 
 _PLAIN: list[np.ndarray] = []
@@ -252,7 +254,7 @@ def _searcher(names: list, texts: list[str], q: int, per_edit: int, id_kind: str
                         mine = (got[0], int(place[got[1]]), int(place[got[2] - 1]) + 1)
                         best[r, it] = min(best.get((r, it), mine), mine)
 
-            for i, j, data, offs in slices(batch.column(0), 1 << 20):
+            for i, j, data, offs in slices(batch.column(0), RUN_BYTES):
                 chars, offs, place = normalised(data, offs)
                 for r, it, low in zip(*(x.tolist() for x in index.candidates(chars, offs))):
                     k, a, b = int(index.budget[it]), int(offs[r]), int(offs[r + 1])

@@ -187,6 +187,8 @@ SENT = 5
 SENT_MASK = (1 << 8 * SENT) - 1
 #: Fingerprints that a task holds before it sends them on, and shingles that it counts together.
 HELD, COUNTED = 400_000, 1_500_000
+#: Bytes of texts whose shingles are made at once.
+RUN_BYTES = 512 << 10
 #: Frequent shingles that every task knows.
 FREQUENT = 1 << 17
 #: Shingles whose part fingerprints one bucket takes.
@@ -229,7 +231,7 @@ def frequent_shingles(docs: DataFrame, txt: Column, k: int) -> np.ndarray:
 
         hs, rows, held = [], 0, 0
         for batch in batches:
-            for i, j, data, offs in slices(batch.column(0)):
+            for i, j, data, offs in slices(batch.column(0), RUN_BYTES):
                 hs.append(shingle_sets(data, offs, k)[0])
                 rows, held = rows + j - i, held + len(hs[-1])
                 if held >= COUNTED:
@@ -276,7 +278,7 @@ def _postings(k: int, num: int, den: int, buckets: int, frequent: np.ndarray):
         parts = Parts(num, den)
         sig, cls, held = [], [], 0
         for batch in batches:
-            for _, _, data, offs in slices(batch.column(0)):
+            for _, _, data, offs in slices(batch.column(0), RUN_BYTES):
                 h, o = shingle_sets(data, offs, k)
                 s, row = parts.signatures(h, o, frequent)
                 sig.append(s)
@@ -320,7 +322,7 @@ def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, t
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n, key = [], []
-            for _, _, data, offs in slices(batch.column(0)):
+            for _, _, data, offs in slices(batch.column(0), RUN_BYTES):
                 h, o = shingle_sets(data, offs, k)
                 n.append(np.diff(o))
                 key.append(set_keys(h, o))
@@ -365,7 +367,7 @@ def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int,
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, data, offs in slices(batch.column(0)):
+            for i, j, data, offs in slices(batch.column(0), RUN_BYTES):
                 h, o = shingle_sets(data, offs, k)
                 mine = batch.slice(i, j - i)
                 same = pa.array(set_keys(h, o).view(np.int64) == np.asarray(mine.column(1)))

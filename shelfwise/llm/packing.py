@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +22,8 @@ from shelfwise.llm.text import give_back, slices, word_hashes, word_spans
 #: Words, and parts of words, of one generation of the caches of a Python worker; the generation before is kept as well.
 CACHE_WORDS, CACHE_PIECES = 200_000, 500_000
 SMALL_CACHES = (60_000, 150_000)
+#: Bytes of texts whose ids are made at once, with all caches and with the small ones.
+RUN_BYTES, SMALL_RUN_BYTES = 8 << 20, 256 << 10
 #: Words of printable ASCII without apostrophes and of the letters of Latin-1, and, in lower case, their pre-tokens.
 SIMPLE = re.compile(rb"(?:[!-&(-~]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+")
 PIECES = re.compile(rb"(?:[a-z]|\xc3[\x80-\xbf])+|[0-9]|[^a-z0-9\x80-\xff]+")
@@ -155,17 +157,8 @@ def cut(n: int, seq_len: int) -> list[int]:
     return [seq_len] * (n >> top) + [1 << b for b in range(top - 1, -1, -1) if n >> b & 1]
 
 
-def power_of_two_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int = 1, id_col: str = "doc_id",
-                        text_col: str = "text", with_ids: bool = False, keep_words: bool = True) -> DataFrame:
-    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket`` (and ``ids``).
-
-    A null or empty text is the end id alone.  Rows that repeat are packed once each; null ids stay null.
-    An empty table gives no rows.  Other columns of ``docs`` are not read.  One map over the scan: nothing is shuffled.
-    ``keep_words`` leaves the word cache in the Python worker for its next task; without, a task works with small caches
-    and gives its memory back, for a worker that other stages have filled.
-    """
-    if seq_len < 1 or seq_len & (seq_len - 1):
-        raise ValueError("seq_len must be a power of two")
+def packer(tokenizer_path: str, seq_len: int, end_id: int, with_ids: bool, keep_words: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The work of a task of ``power_of_two_pieces`` on batches of key and text."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not keep_words:
@@ -173,7 +166,7 @@ def power_of_two_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = 204
         enc = encoder(tokenizer_path, *(() if keep_words else SMALL_CACHES))
         for batch in batches:
             keys = batch.column(0)
-            for i, j, data, offs in slices(batch.column(1), 8 << 20 if keep_words else 2 << 20):
+            for i, j, data, offs in slices(batch.column(1), RUN_BYTES if keep_words else SMALL_RUN_BYTES):
                 row, start, length, crc, total, ids = [], [], [], [], [], []
                 every, edge = enc.ids(data, offs, end_id)
                 every, edge = every.tobytes(), edge.tolist()
@@ -200,6 +193,22 @@ def power_of_two_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = 204
             enc.forget()
             give_back()
 
+    return pack
+
+
+def power_of_two_pieces(docs: DataFrame, tokenizer_path: str, seq_len: int = 2048, end_id: int = 1, id_col: str = "doc_id",
+                        text_col: str = "text", with_ids: bool = False, keep_words: bool = True) -> DataFrame:
+    """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, bucket`` (and ``ids``).
+
+    A null or empty text is the end id alone.  Rows that repeat are packed once each; null ids stay null.
+    An empty table gives no rows.  Other columns of ``docs`` are not read.  One map over the scan: nothing is shuffled.
+    ``keep_words`` leaves the word cache in the Python worker for its next task; without, a task works with small caches
+    and gives its memory back, for a worker that other stages have filled.
+    """
+    if seq_len < 1 or seq_len & (seq_len - 1):
+        raise ValueError("seq_len must be a power of two")
+
+    pack = packer(tokenizer_path, seq_len, end_id, with_ids, keep_words)
     key = docs.select(docs[f"`{id_col}`"].alias("doc_id"), docs[f"`{text_col}`"].cast("string").alias("txt"))
     kind = key.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * with_ids

@@ -6,10 +6,12 @@ import tracemalloc
 from collections import Counter
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from shelfwise.llm import decontam, jaccard, packing
 from shelfwise.llm.components import components
 from shelfwise.llm.jaccard import Parts, divide_skip, keep_one, link_documents
 from shelfwise.llm.substring import COVERS, cover_for, remove_repeated_windows
@@ -148,6 +150,21 @@ def test_suffix_task_memory():
     assert peak_mb(lambda: repeated_starts(core, side, side[::-1], np.ones(RESOLVED, np.int32), 60)) < 50
 
 
+def test_run_memory():
+    """Packing with small caches, the search for benchmark texts and the shingles' parts work on short runs of a batch's texts."""
+    rng = np.random.default_rng(9)
+    some = np.array(["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(2, 9, 3000)])
+    texts = [" ".join(some[rng.integers(0, len(some), 350)]) for _ in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "txt"])
+    flipped = batch.select(["txt", "doc_id"])
+    pack = packing.packer(public_tokenizers.path("word_bpe_49k.json"), 2048, 1, False, False)
+    assert peak_mb(lambda: list(pack(iter([batch])))) < 40
+    search = decontam._searcher([1], [" ".join(texts[7].split()[20:40])], 8, 10, "int")
+    assert peak_mb(lambda: list(search(iter([flipped])))) < 55
+    parts = jaccard._postings(5, 4, 5, 8, np.zeros(0, np.uint64))
+    assert peak_mb(lambda: list(parts(iter([flipped])))) < 60
+
+
 @pytest.mark.parametrize("size,seed", [(1, 5), (3, 6), (20, 7), (60, 8), (150, 9)])
 def test_repeated_bytes(spark, size, seed):
     texts = noisy_texts(seed)
