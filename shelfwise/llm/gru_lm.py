@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import blocked, row_struct
-from shelfwise.llm.text import LOWER, loose, mix, slices, word_hashes, word_spans
+from shelfwise.llm.text import LOWER, give_back, loose, mix, slices, word_hashes, word_spans
 from shelfwise.session import ensure_checkpoint_dir
 
 #: The end of a document; no word holds a space.
@@ -38,13 +38,21 @@ SHORTLIST = 2000
 SHORT_CLASSES = 32
 SUFFIX_CLASSES = 40
 STATE = 20
+#: States, a one for the bias and zeros: products of such rows take whole vector registers.
+PADDED = -(-(STATE + 1) // 8) * 8
 #: Training: texts side by side and tokens of a window; the learning rates of the rounds, each with its share of the rows.
 STREAMS, STEPS = 256, 20
 RATES = (0.02, 0.015, 0.008, 0.003)
 #: A task learns from at least about so many tokens, so that the means are taken over tasks that have learned something.
 TASK_TOKENS = 2_000_000
+#: Rows and numbers of the logits made at once, and parameters of a step of Adam, so that they stay in a core's cache.
+HEAD_ROWS, HEAD_CELLS, ADAM_CELLS = 2048, 131_072, 16_384
+#: The rows of an input that stands more often in a window are summed as one run, the others place by place.
+LONG = 32
 #: Weights travel in pieces of so many numbers, and so many tasks' pieces meet in one mean.
 PIECE, FAN = 16_384, 32
+#: Bytes of a run of texts whose words are fingerprinted at once.
+RUN_BYTES = 256 << 10
 #: Large blocks keep many documents in step, so a few long ones cost little.
 BLOCK_BYTES = 6 << 20
 #: A window of scoring has at most so many places, and tokens unless one place has more.
@@ -65,7 +73,7 @@ def word_counts(texts: DataFrame, flush: int = 300_000) -> DataFrame:
 
         seen: Counter[bytes] = Counter()
         for batch in batches:
-            for i, j, data, offs in slices(batch.column(0)):
+            for i, j, data, offs in slices(batch.column(0), RUN_BYTES):
                 raw = data.tobytes()
                 for a, b in zip(offs[:-1].tolist(), offs[1:].tolist()):
                     seen.update(words(raw[a:b]))
@@ -75,6 +83,8 @@ def word_counts(texts: DataFrame, flush: int = 300_000) -> DataFrame:
                     seen = Counter()
         if seen:
             yield out()
+        seen = Counter()
+        give_back()
 
     return texts.mapInArrow(count, "w string, c long").groupBy("w").agg(F.sum("c").alias("c"))
 
@@ -142,13 +152,98 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """In place."""
-    np.negative(x, out=x)
+    """Of the values whose negatives are given, in place."""
     np.exp(x, out=x)
     x += 1
     return np.reciprocal(x, out=x)
 
 
+class _Streams:
+    """What streams read of the texts that are dealt to them, whole and one after the other; a text's first token is its complement.
+
+    What a stream has not yet read lies in one place of a pool, which is packed anew when it is full.
+    """
+
+    def __init__(self, docs: Iterable[np.ndarray], streams: int):
+        self.docs, self.more = iter(docs), True
+        self.pool, self.used = np.zeros(1, np.int32), 0
+        self.at, self.left = np.zeros((2, streams), np.int64)
+
+    def keep(self, some: np.ndarray) -> None:
+        self.at, self.left = self.at[some], self.left[some]
+
+    def window(self, wide: int) -> tuple[np.ndarray, np.ndarray]:
+        """The next tokens, places by streams, and how many of them each stream has."""
+        for i in np.flatnonzero(self.left < wide).tolist():
+            if not self.more:
+                break
+            n = int(self.left[i])
+            parts = [self.pool[self.at[i]: self.at[i] + n]]
+            while n < wide:
+                if (doc := next(self.docs, None)) is None:
+                    self.more = False
+                    break
+                if len(doc):
+                    parts += [~doc[:1], doc[1:]]
+                    n += len(doc)
+            self._put(i, parts, n)
+        size = np.minimum(self.left, wide)
+        places = np.arange(wide)[:, None]
+        ids = self.pool.take(self.at + places, mode="clip").astype(np.int64)
+        if size.min(initial=wide) < wide:
+            ids[places >= size] = 0
+        self.at, self.left = self.at + size, self.left - size
+        return ids, size
+
+    def _put(self, i: int, parts: list[np.ndarray], n: int) -> None:
+        self.left[i] = 0
+        if self.used + n > len(self.pool):
+            live = int(self.left.sum()) + n
+            pool, self.used = np.empty(live + max(live // 4, 1 << 16), np.int32), 0
+            for j in np.flatnonzero(self.left).tolist():
+                a, m = int(self.at[j]), int(self.left[j])
+                pool[self.used: self.used + m] = self.pool[a: a + m]
+                self.at[j] = self.used
+                self.used += m
+            self.pool = pool
+        self.at[i], self.left[i] = self.used, n
+        np.concatenate(parts, out=self.pool[self.used: self.used + n], casting="same_kind")
+        self.used += n
+
+
+def _by_place(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """An order of rows by id for ``_sums``, the lengths of its runs and of its levels, and the id of each sum.
+
+    Ids that stand more than LONG times make a run each; of the others come all first rows, then all second ones, and so on.
+    """
+    order = np.argsort(ids.astype(np.uint16), kind="stable")
+    ranked = ids[order]
+    head = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    size = np.diff(np.append(head, len(ids)))
+    by = np.argsort(-size, kind="stable")
+    head, size = head[by], size[by]
+    few = int(np.searchsorted(-size, -LONG, "left"))
+    runs, short = size[:few], size[few:]
+    levels = np.searchsorted(-short, -np.arange(int(short.max(initial=0))), "left")  # ids that have a row at each level
+    level = np.repeat(np.arange(len(levels)), levels)
+    lone = np.arange(len(level)) - np.repeat(np.cumsum(levels) - levels, levels)
+    at = np.concatenate([np.repeat(head[:few] - (np.cumsum(runs) - runs), runs) + np.arange(runs.sum()), head[few:][lone] + level])
+    return order[at], runs, levels, ranked[head]
+
+
+def _sums(rows: np.ndarray, runs: np.ndarray, levels: np.ndarray, n: int) -> np.ndarray:
+    """The n sums over ids of rows in the order of ``_by_place``."""
+    out, at = np.zeros((n, rows.shape[1]), rows.dtype), 0
+    for i, m in enumerate(runs.tolist()):
+        np.add.reduce(rows[at: at + m], axis=0, out=out[i])
+        at += m
+    rest = out[len(runs):]
+    for m in levels.tolist():
+        rest[:m] += rows[at: at + m]
+        at += m
+    return out
+
+
 class Network:
     """Gated recurrent units with a class-factored output; all parameters are float32 arrays."""
 
@@ -165,13 +260,19 @@ class Network:
         self.p = {k: x.astype(np.float32) for k, x in self.p.items()}
 
     def gates(self) -> tuple[np.ndarray, np.ndarray]:
-        """The weights of update, reset and candidate one after the other, each contiguous."""
-        return tuple(np.ascontiguousarray(self.p[k].reshape(-1, 3, STATE).swapaxes(0, 1)) for k in ("gates", "u"))
+        """The weights of update, reset and candidate one after the other, each contiguous; the first two negated for the sigmoid."""
+        both = tuple(np.ascontiguousarray(self.p[k].reshape(-1, 3, STATE).swapaxes(0, 1)) for k in ("gates", "u"))
+        for w in both:
+            np.negative(w[:2], out=w[:2])
+        return both
 
     def heads(self) -> tuple[np.ndarray, np.ndarray, bool]:
-        """Class and word weights with the bias as last state, and whether a logit can leave +-60, where float32 overflows or vanishes."""
-        top, low = np.vstack([self.p["cls"], self.p["cls_b"]]), np.hstack([self.p["out"], self.p["out_b"][:, None]])
-        return top, low, max(np.abs(top).sum(0).max(), np.abs(low).sum(1).max()) > 60  # a state lies within +-1
+        """Class and word weights with the bias as a state more and zeros behind, and whether a logit can leave +-60, where float32 overflows or vanishes."""
+        s, p = STATE, self.p
+        top, low = np.zeros((PADDED, p["cls"].shape[1]), p["cls"].dtype), np.zeros((len(p["out"]), PADDED), p["out"].dtype)
+        top[:s], top[s], low[:, :s], low[:, s] = p["cls"], p["cls_b"], p["out"], p["out_b"]
+        most = np.ones(PADDED, top.dtype)  # a state lies within +-1
+        return top, low, max((most @ np.abs(top)).max(), (np.abs(low) @ most).max()) > 60
 
     def step(self, ids: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The next states of streams that read ``ids``, and the values of update, reset and candidate."""
@@ -181,7 +282,7 @@ class Network:
 
     @staticmethod
     def _advance(x: np.ndarray, h: np.ndarray, u: np.ndarray, hu: np.ndarray | None = None) -> np.ndarray:
-        """The next states; ``x`` (inputs of update, reset and candidate) becomes the gates' values, ``hu`` what the states add."""
+        """The next states; ``x`` (inputs of update, reset and candidate, see ``gates``) becomes the gates' values, ``hu`` what the states add."""
         hu = np.matmul(h, u, out=hu)
         zr = x[:2]
         zr += hu[:2]
@@ -195,51 +296,86 @@ class Network:
         return new
 
     def log_probs(self, h: np.ndarray, ids: np.ndarray, cls: np.ndarray, grads: dict | None = None, heads: tuple | None = None):
-        """Natural log-probability of classes and shortlist words in given states; with ``grads``, also what flows back."""
-        top, low, clip = heads or self.heads()
-        s = STATE
-        hb = np.ones((len(h), s + 1), h.dtype)
-        hb[:, :s] = h
-        ones = np.ones(max(top.shape[1], max(np.diff(self.v.first), default=0)), h.dtype)
+        """Natural log-probability of classes and shortlist words in given states; with ``grads``, what flows back instead.
 
-        def head(x, w, k):
-            """The log-probability of column k of each row under weights w, the gradient of the weights and what flows back."""
-            z = x @ w
+        The words of a class are as wide as the class has words, so the logits of several classes lie one after the other.
+        """
+        top, low, clip = heads or self.heads()
+        s, n = STATE, len(h)
+        hb = np.zeros((n, PADDED), h.dtype)
+        hb[:, :s], hb[:, s] = h, 1
+        out = np.zeros(n, h.dtype) if grads is None else None
+        back = None if grads is None else np.empty((n, s), h.dtype)
+
+        def exponents(z, k):
+            """Powers of all logits, in place, and the logits at k, where they are asked for."""
             if clip:
                 np.clip(z, -60, 60, out=z)
-            rows = np.arange(len(x))
-            lp = z[rows, k]
-            e = np.exp(z, out=z)
-            total = e @ ones[: e.shape[1]]
-            lp -= np.log(total)
+            at = z.take(k) if grads is None else None
+            return np.exp(z, out=z), at
+
+        wide, ones = top.shape[1], np.ones(top.shape[1], h.dtype)
+        z = np.empty((min(n, HEAD_ROWS), wide), h.dtype)
+        steps = np.arange(len(z)) * wide
+        for lo in range(0, n, HEAD_ROWS):
+            x = hb[lo: lo + HEAD_ROWS]
+            m = len(x)
+            k = steps[:m] + cls[lo: lo + m]
+            e = np.matmul(x, top, out=z[:m])
+            flat, at = exponents(e.reshape(-1), k)
+            total = e @ ones
             if grads is None:
-                return lp, None, None
-            e[rows, k] -= total
+                out[lo: lo + m] = at - np.log(total)
+                continue
+            flat[k] -= total
             inv = 1 / total[:, None]
-            back = e @ w[:s].T
-            back *= inv
-            return lp, (x * inv).T @ e, back
-
-        out, weights, back = head(hb, top, cls)
-        if grads is not None:
+            np.multiply(np.matmul(e, top[:s].T), inv, out=back[lo: lo + m])
+            weights = (x * inv).T @ e
             grads["cls"] += weights[:s]
             grads["cls_b"] += weights[s]
         order = np.argsort(cls.astype(np.uint16), kind="stable")
         edges = np.searchsorted(cls[order], np.arange(self.v.n_short + 1))
         order = order[: edges[-1]]
-        hs, words_ = hb[order], ids[order]
-        inside, inside_back = np.zeros(len(order), out.dtype), np.zeros((len(order), s), h.dtype) if grads is not None else None
-        for lo, hi, a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), self.v.first[:-1].tolist(), self.v.first[1:].tolist()):
-            if lo == hi or b - a == 1:
-                continue
-            inside[lo:hi], weights, flows = head(hs[lo:hi], low[a:b].T, words_[lo:hi] - a)
-            if grads is not None:
-                inside_back[lo:hi] = flows
-                grads["out"][a:b] += weights[:s].T
-                grads["out_b"][a:b] += weights[s]
-        out[order] += inside
-        if grads is not None:
-            back[order] += inside_back
+        hs, places = hb.take(order, axis=0), ids[order]
+        width, rows = np.diff(self.v.first), np.diff(edges)
+        cells = np.append(0, np.cumsum(rows * width))
+        inside = np.empty(len(order), h.dtype) if grads is None else np.empty((len(order), s), h.dtype)
+        c = 0
+        while c < len(rows):  # some classes, or one large one
+            d = max(c + 1, int(np.searchsorted(cells, cells[c] + HEAD_CELLS, "right")) - 1)
+            lo, hi, from_, to = int(edges[c]), int(edges[d]), int(self.v.first[c]), int(self.v.first[d])
+            z = np.empty(int(cells[d] - cells[c]), h.dtype)
+            blocks = []
+            for k in range(c, d):
+                a, b, i, j = int(self.v.first[k]), int(self.v.first[k + 1]), int(edges[k]), int(edges[k + 1])
+                if i < j:
+                    e = z[cells[k] - cells[c]: cells[k + 1] - cells[c]].reshape(-1, b - a)
+                    np.matmul(hs[i:j], low[a:b].T, out=e)
+                    blocks.append((a, b, i, j, e))
+            if blocks:
+                of = np.repeat(width[c:d], rows[c:d])
+                start = np.cumsum(of) - of
+                k = start + places[lo:hi] - np.repeat(self.v.first[c:d], rows[c:d])
+                z, at = exponents(z, k)
+                total = np.add.reduceat(z, start)
+                if grads is None:
+                    inside[lo:hi] = at - np.log(total)
+                else:
+                    z[k] -= total
+                    inv = 1 / total[:, None]
+                    scaled = hs[lo:hi] * inv
+                    weights = np.zeros((to - from_, PADDED), h.dtype)
+                    for a, b, i, j, e in blocks:
+                        np.matmul(e, low[a:b, :s], out=inside[i:j])
+                        np.matmul(e.T, scaled[i - lo: j - lo], out=weights[a - from_: b - from_])
+                    grads["out"][from_:to] += weights[:, :s]
+                    grads["out_b"][from_:to] += weights[:, s]
+                    inside[lo:hi] *= inv
+            c = d
+        if grads is None:
+            out[order] += inside
+        else:
+            back[order] += inside
         return out, back
 
     def train(self, docs: Iterable[np.ndarray], cls_of: np.ndarray, streams: int = STREAMS, steps: int = STEPS, updates: int | None = None, rate: float = 0.01) -> int:
@@ -248,48 +384,37 @@ class Network:
         Each stream reads whole texts one after the other; gradients stop at a window's start, the state does not.
         When no more texts come, the streams left have longer windows, and a small window makes a small step.
         """
-        s, docs, more = STATE, iter(docs), True
         weights = self.flat()
         self.p = self._views(weights)
-        adam = np.zeros((4, len(weights)), weights.dtype)
+        adam = np.zeros((3, len(weights)), weights.dtype)
         g = self._views(adam[0])
-        rest: list[np.ndarray] = [np.zeros(0, np.int32)] * streams
-        h = np.zeros((streams, s), np.float32)
+        reader = _Streams(docs, streams)
+        h = np.zeros((streams, STATE), np.float32)
         learned = k = 0
-        while rest and (updates is None or k < updates):
-            wide = steps if more else min(max(steps, streams * steps // len(rest)), 32 * steps, max(map(len, rest)))
-            ids, fresh, size = np.zeros((len(rest), wide), np.int64), np.zeros((len(rest), wide), bool), np.zeros(len(rest), np.int64)
-            for i, r in enumerate(rest):
-                t = 0
-                while t < wide:
-                    if not len(r):
-                        if not more or (r := next(docs, None)) is None:
-                            more, r = False, rest[i][:0]
-                            break
-                        fresh[i, t] = True
-                    n = min(wide - t, len(r))
-                    ids[i, t: t + n] = r[:n]
-                    r, t = r[n:], t + n
-                rest[i], size[i] = r, t
-            live = np.flatnonzero(size)
+        while len(h) and (updates is None or k < updates):
+            left = reader.left
+            ids, size = reader.window(steps if reader.more else min(max(steps, streams * steps // len(left)), 32 * steps, int(left.max())))
+            if len(live := np.flatnonzero(size)) < len(size):
+                ids, size, h = ids[:, live], size[live], h[live]
+                reader.keep(live)
             if not len(live):
                 break
-            wide = int(size.max())
-            ids, fresh = ids[live, :wide].T.copy(), fresh[live, :wide].T.copy()
-            real = np.flatnonzero((np.arange(wide)[:, None] < size[live]).ravel())
+            ids = ids[: size.max()]
+            fresh = ids < 0
+            real = np.flatnonzero((np.arange(len(ids))[:, None] < size).ravel())
             k += 1
             learned += len(real)
-            h = self._update(h[live], ids, fresh, real, cls_of, weights, adam, g, k, rate * min(1.0, len(real) / (streams * steps)))
-            rest = [rest[i] for i in live]
-            if not more:
-                left = [i for i, r in enumerate(rest) if len(r)]
-                rest, h = [rest[i] for i in left], h[left]
+            h = self._update(h, np.where(fresh, ~ids, ids), fresh, real, cls_of, weights, adam, g, k, rate * min(1.0, len(real) / (streams * steps)))
+            if not reader.more:
+                left = np.flatnonzero(reader.left)
+                reader.keep(left)
+                h = h[left]
         return learned
 
     def _update(self, h, ids, fresh, real, cls_of, weights, adam, g, k: int, rate: float) -> np.ndarray:
         """One step of Adam on a window (places by streams, of which ``real`` hold tokens); the states behind it.
 
-        ``weights`` holds all parameters one after the other, ``adam`` the gradient (whose views are ``g``), both moments and room.
+        ``weights`` holds all parameters one after the other, ``adam`` the gradient (whose views are ``g``) and both moments, of which the first is 10 and the second 100 times the mean.
         """
         wide, n = ids.shape
         s = STATE
@@ -305,9 +430,12 @@ class Network:
             inputs.take(ids[t], axis=1, out=x[t], mode="clip")
             hs[t + 1] = self._advance(x[t], hs[t], u, hu[t])
         flat, old = ids.ravel(), hs[:-1]
-        tok = flat[real]
-        back = np.zeros((wide * n, s), hs.dtype)
-        _, back[real] = self.log_probs(old.reshape(-1, s)[real], tok, cls_of[tok], g)
+        if len(real) == len(flat):
+            back = self.log_probs(old.reshape(-1, s), flat, cls_of[flat], g)[1]
+        else:
+            tok = flat[real]
+            back = np.zeros((wide * n, s), hs.dtype)
+            back[real] = self.log_probs(old.reshape(-1, s)[real], tok, cls_of[tok], g)[1]
         back = back.reshape(wide, n, s)
         # what a unit of gradient on the next state gives to each gate, for the whole window at once
         z, r, c = x.swapaxes(0, 1)
@@ -322,40 +450,42 @@ class Network:
         to_r *= hu[:, 2]
         du, dn = np.empty((3, wide, n, s), hs.dtype), np.empty((wide, n, s), hs.dtype)
         carry, ut = np.zeros((n, s), hs.dtype), np.ascontiguousarray(u.swapaxes(1, 2))
+        np.negative(ut[:2], out=ut[:2])
+        sent = np.empty((3, n, s), hs.dtype)
         for t in reversed(range(wide)):
             d = np.multiply(to_n[t], carry, out=dn[t])
             np.multiply(to_z[t], carry, out=du[0, t])
             np.multiply(to_r[t], d, out=du[1, t])
             np.multiply(r[t], d, out=du[2, t])
             carry *= z[t]
-            carry += np.matmul(du[:, t], ut).sum(0)
+            np.matmul(du[:, t], ut, out=sent)
+            for x in sent:
+                carry += x
             carry += back[t]
             if new[t]:
                 carry[fresh[t]] = 0
         before = old.reshape(-1, s).T
-        order = np.argsort(flat.astype(np.uint16), kind="stable")
-        head = np.flatnonzero(np.append(True, np.diff(flat[order]) > 0))
-        dx = np.empty((len(order), 3 * s), hs.dtype)
-        for i, x in enumerate((du[0], du[1], dn)):
-            g["u"][:, i * s: (i + 1) * s] = before @ du[i].reshape(-1, s)
-            dx[:, i * s: (i + 1) * s] = x.reshape(-1, s).take(order, axis=0)
-        g["gates"][flat[order[head]]] = np.add.reduceat(dx, head, axis=0)
-        d, m, q, room = adam
-        norm = math.sqrt(float(np.vdot(d, d))) / len(real)
+        order, runs, lengths, read = _by_place(flat)
+        dx = du.transpose(1, 2, 0, 3).reshape(-1, 3 * s)
+        np.matmul(before, dx, out=g["u"])
+        dx[:, 2 * s:] = dn.reshape(-1, s)
+        g["gates"][read] = _sums(dx.take(order, axis=0), runs, lengths, len(read))
+        norm = math.sqrt(float(np.vdot(adam[0], adam[0]))) / len(real)
         scale = min(1.0, 1.0 / max(norm, 1e-9)) / len(real)
-        m *= 0.9
-        m += np.multiply(d, 0.1 * scale, out=room)
-        d *= scale
-        d *= d
-        d *= 0.01
-        q *= 0.99
-        q += d
-        np.sqrt(q, out=d)
         size = math.sqrt(1 - 0.99**k)
-        d += 1e-7 * size
-        np.divide(m, d, out=d)
-        d *= rate * size / (1 - 0.9**k)
-        weights -= d
+        for a in range(0, len(weights), ADAM_CELLS):
+            d, m, q = adam[:, a: a + ADAM_CELLS]
+            d *= scale
+            m *= 0.9
+            m += d
+            d *= d
+            q *= 0.99
+            q += d
+            np.sqrt(q, out=d)
+            d += 1e-6 * size
+            np.divide(m, d, out=d)
+            d *= rate * size / (1 - 0.9**k)
+            weights[a: a + ADAM_CELLS] -= d
         return hs[-1]
 
     def _views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
@@ -374,7 +504,7 @@ class Network:
         order = np.argsort(-size, kind="stable")
         size, start = size[order], first[:-1][order]
         total = np.zeros(len(size))
-        h = np.zeros((len(size), STATE), np.float32)
+        h, hu = np.zeros((len(size), STATE), np.float32), np.empty((3, len(size), STATE), np.float32)
         (inputs, u), heads = self.gates(), self.heads()
         longest = int(size.max(initial=0))
         alive = np.searchsorted(-size, -np.arange(longest), "left")  # documents that have a token at each place
@@ -389,7 +519,7 @@ class Network:
             bounds = ends.tolist()
             for a, b in zip(bounds[:-1], bounds[1:]):
                 now = states[a:b] = h[: b - a]
-                h[: b - a] = self._advance(x[:, a:b], now, u)
+                h[: b - a] = self._advance(x[:, a:b], now, u, hu[:, : b - a])
             lp = self.log_probs(states, ids[tok], cls[tok], heads=heads)[0] + inside[tok]
             total += np.bincount(doc, lp, len(size))
             at = end
@@ -409,13 +539,16 @@ def _suffix_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     at = ends
     for _ in range(2):
         at = np.maximum(at - 1, starts)
-        while (inner := (data[at] & 0xC0 == 0x80) & (at > starts)).any():  # inside a character
-            at = at - inner
+        inner = np.flatnonzero((data[at] & 0xC0 == 0x80) & (at > starts))
+        while len(inner):  # inside a character
+            at[inner] -= 1
+            inner = inner[(data[at[inner]] & 0xC0 == 0x80) & (at[inner] > starts[inner])]
     size = ends - at
     key = np.zeros(len(at), np.uint64)
+    some = slice(None)
     for i in range(min(8, int(size.max(initial=0)))):
-        byte = data[np.minimum(at + i, len(data) - 1)]
-        key |= np.where(i < size, byte, 0).astype(np.uint64) << np.uint64(8 * i)
+        key[some] |= data[at[some] + i].astype(np.uint64) << np.uint64(8 * i)
+        some = np.flatnonzero(size > i + 1)
     return mix(key + mix(size.astype(np.uint64)))
 
 
@@ -481,7 +614,7 @@ class _Inputs:
     def texts(self, column: pa.Array) -> list[np.ndarray]:
         """The inputs of every text, the longest first, so that a long one does not remain when the others are read."""
         out: list[np.ndarray] = []
-        for _, _, data, offs in slices(column):
+        for _, _, data, offs in slices(column, RUN_BYTES):
             data = LOWER[data]
             starts, ends, first = word_spans(data, offs)
             ids, at = _with_ends(self.places(data, starts, ends), first, self.end)
@@ -540,6 +673,8 @@ def train_network(rows: DataFrame, v: Vocabulary, updates: int) -> tuple[Network
                 c, part = len(pieces), TaskContext.get().partitionId()
                 yield pa.RecordBatch.from_arrays([pa.array(np.arange(c, dtype=np.int32)), pa.array(np.full(c, part, np.int32)),
                                                   pa.array(np.full(c, float(n))), pa.array(pieces, pa.binary())], names=["piece", "part", "weight", "vals"])
+            del mine, inputs
+            give_back()
 
         out = rows.where(F.pmod("mark", F.lit(len(RATES))) == k).select("txt").mapInArrow(learn, schema)
         left = parts
@@ -585,7 +720,7 @@ def score_documents(docs: DataFrame, train: Column, text_col: str = "text", carr
 
     def hashed(table: pa.Table):
         """Of each run of texts: bytes, starts and ends of the words, the first word of each text, fingerprints and places."""
-        for _, _, data, offs in slices(table.column("txt").combine_chunks()):
+        for _, _, data, offs in slices(table.column("txt").combine_chunks(), RUN_BYTES):
             data = LOWER[data]
             starts, ends, first = word_spans(data, offs)
             h = word_hashes(data, starts, ends)

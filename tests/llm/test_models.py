@@ -208,6 +208,73 @@ def test_streams_read_whole_texts():
     assert gru_lm.Network(v).train([], cls_of) == 0
 
 
+def test_streams_read_texts_in_the_order_dealt():
+    """Windows of a pool that is packed anew equal streams that hold their texts one by one; a text's first token is marked."""
+    rng = np.random.default_rng(6)
+    docs = [rng.integers(0, 2000, n) for n in [*rng.integers(1, 90, 3000).tolist(), 0, 200_000, 40_000]]
+    reader, queue = gru_lm._Streams(docs, 16), iter(docs)
+    held = [np.zeros(0, np.int64) for _ in range(16)]
+    while True:
+        ids, size = reader.window(20)
+        for i in range(16):
+            while len(held[i]) < 20 and (doc := next(queue, None)) is not None:
+                held[i] = np.concatenate([held[i], ~doc[:1], doc[1:]])
+            n = min(20, len(held[i]))
+            assert size[i] == n and ids[:n, i].tolist() == held[i][:n].tolist() and not ids[n:, i].any()
+            held[i] = held[i][n:]
+        if not size.any():
+            break
+    assert not reader.more and len(reader.pool) < 200_000 + 300_000
+
+
+def test_sums_by_id():
+    rng = np.random.default_rng(7)
+    for ids in (rng.zipf(1.3, 5000) % 700, np.zeros(200, np.int64), np.arange(40), np.array([3])):
+        rows = rng.normal(0, 1, (len(ids), 6))
+        order, runs, levels, read = gru_lm._by_place(ids)
+        got, want = np.zeros((2, 700, 6))
+        got[read] = gru_lm._sums(rows[order], runs, levels, len(read))
+        np.add.at(want, ids, rows)
+        assert sorted(order.tolist()) == list(range(len(ids))) and np.allclose(got, want, atol=1e-12)
+
+
+def test_logits_made_in_parts_are_the_same(monkeypatch):
+    """Log-probabilities and gradients of many states, whole and in parts, against plain numpy."""
+    v = _vocabulary()
+    net = gru_lm.Network(v)
+    net.p = {k: x.astype(np.float64) for k, x in net.p.items()}
+    cls_of = np.append(v.short_class, v.n_short + np.arange(3))
+    rng = np.random.default_rng(8)
+    ids = rng.integers(0, 15, 400)
+    cls, h = cls_of[ids], rng.uniform(-1, 1, (400, gru_lm.STATE))
+    want, flow = np.zeros(400), {k: np.zeros_like(x) for k, x in net.p.items()}
+    for j, (i, c) in enumerate(zip(ids, cls)):
+        heads = [(net.p["cls"].T, net.p["cls_b"], int(c), "cls", slice(None))]
+        if i < v.short:
+            a, b = int(v.first[c]), int(v.first[c + 1])
+            heads.append((net.p["out"][a:b], net.p["out_b"][a:b], int(i) - a, "out", slice(a, b)))
+        for w, bias, k, name, at in heads:
+            z = w @ h[j] + bias
+            p = np.exp(z) / np.exp(z).sum()
+            want[j] += math.log(p[k])
+            p[k] -= 1
+            flow[name][at if name == "out" else (slice(None), at)] += np.outer(p, h[j]) if name == "out" else np.outer(h[j], p)
+            flow[name + "_b"][at] += p
+    for rows, cells in ((gru_lm.HEAD_ROWS, gru_lm.HEAD_CELLS), (7, 10)):
+        monkeypatch.setattr(gru_lm, "HEAD_ROWS", rows)
+        monkeypatch.setattr(gru_lm, "HEAD_CELLS", cells)
+        assert np.allclose(net.log_probs(h, ids, cls)[0], want, atol=1e-10)
+        grads = {k: np.zeros_like(x) for k, x in net.p.items()}
+        net.log_probs(h, ids, cls, grads)
+        assert all(np.allclose(grads[k], flow[k], atol=1e-9) for k in ("cls", "cls_b", "out", "out_b"))
+
+
+def test_suffix_keys_are_of_the_last_two_characters():
+    words = ["a", "ab", "xab", "é", "aé", "xaé", "日本", "語日本", "🙂🙂", "x🙂🙂", "🙂a", "b"]
+    keys = gru_lm._suffix_keys(*gru_lm._joined([w.encode() for w in words])).tolist()
+    assert all((a[-2:] == b[-2:]) == (j == k) for a, j in zip(words, keys) for b, k in zip(words, keys))
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 2047, 2048, 2049, 10_000])
 def test_cut_is_the_binary_form(n):
     sizes = packing.cut(n, 2048)
