@@ -63,13 +63,20 @@ def words(text: bytes) -> list[bytes]:
     return text.lower().split()  # both of ASCII letters and white space only
 
 
+def _strings(some: list[bytes]) -> pa.Array:
+    out = pa.array(some, pa.binary())
+    try:
+        return out.cast(pa.string())
+    except pa.ArrowInvalid:  # bytes that are no text
+        return pa.array([w.decode("utf-8", "replace") for w in some], pa.string())
+
+
 def word_counts(texts: DataFrame, flush: int = 300_000) -> DataFrame:
     """``w string, c long`` of one text column's words and ends (one per row)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out():
-            keys = list(seen)
-            return pa.RecordBatch.from_arrays([pa.array([k.decode("utf-8", "replace") for k in keys], pa.string()), pa.array([seen[k] for k in keys], pa.int64())], names=["w", "c"])
+            return pa.RecordBatch.from_arrays([_strings(list(seen)), pa.array(list(seen.values()), pa.int64())], names=["w", "c"])
 
         seen: Counter[bytes] = Counter()
         for batch in batches:
@@ -120,8 +127,11 @@ class Vocabulary:
 
     def tables(self, ws: list[str], c: np.ndarray, start: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """For words that take the places from ``start`` on: input, class, log-probability in the class (0 for the shortlist), base."""
-        place = np.arange(start, start + len(ws))
-        cls = np.array([self.by_suffix.get(suffix(w), self.n_class - 1) for w in ws], np.int64).reshape(-1)
+        return self.tables_of(np.array([self.by_suffix.get(suffix(w), self.n_class - 1) for w in ws], np.int64), c, start)
+
+    def tables_of(self, cls: np.ndarray, c: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The same for words whose suffix classes are known; they may change."""
+        place = np.arange(start, start + len(cls))
         short = place < self.short
         cls[short] = self.short_class[place[short]]
         r = np.maximum(cls - self.n_short, 0)
@@ -530,8 +540,13 @@ class Network:
 
 def _joined(some: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words one after the other: bytes, starts and ends."""
-    ends = np.cumsum([len(w) for w in some], dtype=np.int64)
-    return np.frombuffer(b"".join(some), np.uint8), ends - [len(w) for w in some], ends
+    size = np.array([len(w) for w in some], np.int64)
+    ends = np.cumsum(size)
+    return np.frombuffer(b"".join(some), np.uint8), ends - size, ends
+
+
+def _hashes(some: list[str]) -> np.ndarray:
+    return word_hashes(*_joined([w.encode() for w in some]))
 
 
 def _suffix_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
@@ -552,14 +567,25 @@ def _suffix_keys(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix(key + mix(size.astype(np.uint64)))
 
 
+def _text_bytes(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all strings of a column and of a replacement character behind them, and where each ends."""
+    parts, ends, at = [], [], 0
+    for _, _, data, offs in slices(column):
+        parts.append(data)
+        ends.append(offs[1:] + at)
+        at += len(data)
+    last = np.frombuffer("\ufffd".encode(), np.uint8)
+    return np.concatenate([*parts, last]), np.concatenate([*ends, [at + len(last)]])
+
+
 class _Words:
-    """The place of each word in a list, looked up by its fingerprint for many words at once.
+    """The place of each word in a list of fingerprints, looked up for many words at once.
 
     Most places stand in a table of slots, in which the first word of a slot wins; the others are searched for.
     """
 
-    def __init__(self, some: list[bytes]):
-        self.h = word_hashes(*_joined(some))
+    def __init__(self, h: np.ndarray):
+        self.h = h
         n = len(self.h)
         bits = max(n, 1).bit_length() + 3
         self.shift = np.uint64(64 - bits)
@@ -590,25 +616,34 @@ def _with_ends(places: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndar
     return out, first + rows
 
 
+class _Suffixes:
+    """The place of a word's last two characters in a list, the length of the list for others."""
+
+    def __init__(self, some: list[str]):
+        keys = _suffix_keys(*_joined([s.encode() for s in some]))
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+
+    def find(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        if not len(starts) or not len(self.keys):
+            return np.full(len(starts), len(self.keys), np.int64)
+        key = _suffix_keys(data, starts, ends)
+        k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[k] == key, self.order[k], len(self.keys))
+
+
 class _Inputs:
     """Texts -> what the network reads: the place of a shortlist word, else its suffix."""
 
     def __init__(self, v: Vocabulary):
-        self.short = _Words([w.encode() for w in v.words[: v.short]])
-        keys = _suffix_keys(*_joined([s.encode() for s in v.suffixes]))
-        order = np.argsort(keys)
-        self.keys, self.rare, self.other = keys[order], (v.short + order).astype(np.int32), v.short + len(v.suffixes)
+        self.short = _Words(_hashes(v.words[: v.short]))
+        self.rare, self.suffixes = v.short, _Suffixes(v.suffixes)
         self.end = self.places(*_joined([END.encode()]))[0]
 
     def places(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         out = self.short.find(word_hashes(data, starts, ends))
         miss = np.flatnonzero(out < 0)
-        if len(miss) and len(self.keys):
-            key = _suffix_keys(data, starts[miss], ends[miss])
-            k = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            out[miss] = np.where(self.keys[k] == key, self.rare[k], self.other)
-        else:
-            out[miss] = self.other
+        out[miss] = self.rare + self.suffixes.find(data, starts[miss], ends[miss])
         return out
 
     def texts(self, column: pa.Array) -> list[np.ndarray]:
@@ -712,10 +747,12 @@ def score_documents(docs: DataFrame, train: Column, text_col: str = "text", carr
     base = blocked(docs, text_col, carry, results, BLOCK_BYTES)
     model = spark.sparkContext.broadcast((v, top_tables, net))  # bounded by TOP_WORDS and the network's sizes
     places: list[_Words] = []
+    endings: list[_Suffixes] = []
 
     def known() -> _Words:
         if not places:
-            places.append(_Words([w.encode() for w in model.value[0].words]))
+            places.append(_Words(_hashes(model.value[0].words)))
+            endings.append(_Suffixes(model.value[0].suffixes))
         return places[0]
 
     def hashed(table: pa.Table):
@@ -733,18 +770,17 @@ def score_documents(docs: DataFrame, train: Column, text_col: str = "text", carr
             new, at = np.unique(h[miss], return_index=True)
             raw, at = data.tobytes(), miss[at]
             asked.update(zip(new.tolist(), [raw[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist())]))
-        return pa.table({"w": pa.array([w.decode("utf-8", "replace") for w in asked.values()], pa.string()),
+        return pa.table({"w": _strings(list(asked.values())),
                          "blk": pa.array(np.full(len(asked), table.column("blk")[0].as_py(), np.int32))})
 
     def score(table: pa.Table, reply: pa.Table) -> pa.Table:
         v, tables, net = model.value
-        more = reply.column("w").to_pylist()
-        local = _Words([w.encode() for w in more])
-        nowhere = len(v.words) + len(more)  # bytes that are no text, so that their word came back as another
-        more, c = [*more, "\ufffd"], np.append(reply.column("c").to_numpy(), 0.0)
-        ids, cls, inside, base10 = (np.concatenate(x) for x in zip(tables, v.tables(more, c, len(v.words))))
+        end = int(known().find(_hashes([END]))[0])
+        data, ends = _text_bytes(reply.column("w"))  # and, at last, bytes that are no text, so that their word came back as another
+        spans = data, np.append(0, ends[:-1]), ends
+        local, nowhere, c = _Words(word_hashes(*spans)[:-1]), len(v.words) + reply.num_rows, np.append(reply.column("c").to_numpy(), 0.0)
+        ids, cls, inside, base10 = (np.concatenate(x) for x in zip(tables, v.tables_of(v.n_short + endings[0].find(*spans), c, len(v.words))))
         seen = np.concatenate([np.ones(len(v.words), bool), c > 0])
-        end = int(known().find(word_hashes(*_joined([END.encode()])))[0])
         toks, size = [], []
         for _, _, _, first, h, place in hashed(table):
             miss = np.flatnonzero(place < 0)

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -271,8 +272,21 @@ def test_logits_made_in_parts_are_the_same(monkeypatch):
 
 def test_suffix_keys_are_of_the_last_two_characters():
     words = ["a", "ab", "xab", "é", "aé", "xaé", "日本", "語日本", "🙂🙂", "x🙂🙂", "🙂a", "b"]
-    keys = gru_lm._suffix_keys(*gru_lm._joined([w.encode() for w in words])).tolist()
+    spans = gru_lm._joined([w.encode() for w in words])
+    keys = gru_lm._suffix_keys(*spans).tolist()
     assert all((a[-2:] == b[-2:]) == (j == k) for a, j in zip(words, keys) for b, k in zip(words, keys))
+    some = ["ab", "日本", "b", "🙂🙂"]
+    assert gru_lm._Suffixes(some).find(*spans).tolist() == [some.index(w[-2:]) if w[-2:] in some else 4 for w in words]
+    assert gru_lm._Suffixes([]).find(*spans).tolist() == [0] * len(words)
+
+
+def test_words_of_a_reply_are_read_from_its_bytes():
+    """Also from several chunks; the replacement character comes last, whether words came or not."""
+    for chunks in ([["ab", "é"], [], ["日本語"]], [[]]):
+        data, ends = gru_lm._text_bytes(pa.chunked_array([pa.array(c, pa.string()) for c in chunks]))
+        words = [*sum(chunks, []), "\ufffd"]
+        assert [data[a:b].tobytes().decode() for a, b in zip([0, *ends.tolist()], ends.tolist())] == words
+    assert gru_lm._strings([b"a", "é".encode()]).to_pylist() == ["a", "é"] and gru_lm._strings([b"a", b"\xff"]).to_pylist() == ["a", "\ufffd"]
 
 
 @pytest.mark.parametrize("n", [1, 2, 3, 2047, 2048, 2049, 10_000])
