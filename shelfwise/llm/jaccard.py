@@ -5,10 +5,15 @@
    sizes.  Their shingles are hashed into more than H parts, so some part is
    equal in both; part fingerprints that meet put classes into one cluster.
    This loses no link, and a shared passage does not bring documents together.
-3. In a cluster, T-occurrence search: the inverted lists of a set are split into
+3. Sets that meet by chance chain a cluster up as the input grows, so the classes
+   of a large one are clustered anew: by the rarest shingles of each, of which
+   two sets that link share one.  A class whose shingles mostly stand in no
+   other set links with nothing and goes.  This loses no link either.
+4. In a cluster, T-occurrence search: the inverted lists of a set are split into
    long and short ones (DivideSkip), the short ones are merged with a heap, and
-   each candidate is completed by binary probes for the long ones.  A large
-   cluster is cut into chunks, and each pair of chunks is searched by itself.
+   each candidate is completed by binary probes for the long ones.  A cluster
+   that is still large is cut into chunks, each pair of chunks is searched by
+   itself, and the sets of a chunk travel as one table of shingles and places in it.
 """
 
 from __future__ import annotations
@@ -20,16 +25,18 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import possible, row_struct
 from shelfwise.llm.components import components
-from shelfwise.llm.text import LOWER, Rolling, found, give_back, mix, signed, slices, word_hashes, word_spans
+from shelfwise.llm.text import LOWER, Rolling, found, give_back, mix, signed, slices, unsigned, word_hashes, word_spans
 from shelfwise.session import ensure_checkpoint_dir
 
-#: Classes of a cluster that one task compares among themselves; two such chunks meet in a task.
+#: Classes of a cluster that one task compares among themselves; of a larger cluster two such chunks meet in a task.
 CHUNK = 128
+#: Pairs of chunks that one task searches, about.
+PAIRS = 8
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -340,16 +347,9 @@ def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, t
     buckets = max(1, -(-int(shingles) // BUCKET_SHINGLES))
     posted = docs.select(txt.alias("txt")).mapInArrow(_postings(k, num, den, buckets, frequent_shingles(docs, txt, k)), "bucket int, a binary, b binary, pairs boolean")
     near = components(posted.groupBy("bucket").applyInArrow(_meetings, "a long, b long"))
-    # sets that link differ by less than one step of this scale, so only neighbouring steps of a cluster are compared
-    step = F.floor(F.log(F.col("n").cast("double")) / (math.log(den / num) * 1.001)).cast("int")
-    member = near.join(classes.withColumn("node", F.col("cls").bitwiseAND(F.lit(SENT_MASK))), "node").withColumn("step", step)
-    member = member.select("cls", "root", "step", "least_id", "mark", "copies").checkpoint()
-    sizes = member.groupBy("root", "step").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks"))
-    cand = member
-    for name, shift in (("chunks", 0), ("below", -1), ("above", 1)):
-        side = sizes.select("root", (F.col("step") - shift).alias("step"), F.col("chunks").alias(name))
-        cand = cand.join(side, ["root", "step"], "left")
-    links_of = cluster_links(docs, cand, k, num, den, text_col, id_col).checkpoint()
+    member = near.join(classes.withColumn("node", F.col("cls").bitwiseAND(F.lit(SENT_MASK))), "node")
+    member = member.select("cls", "root", "least_id", "mark", "copies").checkpoint()
+    links_of = cluster_links(docs, member, k, num, den, text_col, id_col).checkpoint()
     comp = components(links_of.where("b is not null").select("a", "b"))
     links = links_of.where("b is null").groupBy("a").agg(F.sum("w").alias("w"))
     named = comp.join(classes.select(F.col("cls").alias("node"), "least_id"), "node")
@@ -362,8 +362,8 @@ def link_documents(docs: DataFrame, k: int = 4, num: int = 85, den: int = 100, t
                       F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "group_key")
 
 
-def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int, text_col: str, id_col: str) -> DataFrame:
-    """Links within the clusters: ``a, b`` for a spanning forest, and ``a, w`` (b null) for the rows a class links with."""
+def element_sets(docs: DataFrame, cand: DataFrame, k: int, text_col: str, id_col: str) -> DataFrame:
+    """``c_cls, root, copies, n, elements``: the shingle sets of the classes of ``cand``; repeated rows of one id bring a class twice."""
 
     def to_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -372,16 +372,224 @@ def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int,
                 mine = batch.slice(i, j - i)
                 same = pa.array(set_keys(h, o).view(np.int64) == np.asarray(mine.column(1)))
                 cut = pa.array([h[a:b].tobytes() for a, b in zip(o[:-1], o[1:])], pa.binary())
-                yield pa.RecordBatch.from_arrays([*mine.columns[1:], cut], names=[*mine.schema.names[1:], "elements"]).filter(same)
+                yield pa.RecordBatch.from_arrays([*mine.columns[1:], pa.array(np.diff(o).astype(np.int64)), cut],
+                                                 names=[*mine.schema.names[1:], "n", "elements"]).filter(same)
         give_back()
 
     # an id alone would bring every row without one, or with a shared one, to all classes of that id
-    right = cand.select(F.col("least_id").alias("id"), F.col("mark").alias("c_mark"), F.col("cls").alias("c_cls"), "root", "step", "chunks", "below", "above", "copies")
+    right = cand.select(F.col("least_id").alias("id"), F.col("mark").alias("c_mark"), F.col("cls").alias("c_cls"), "root", "copies")
     left = docs.select(docs[f"`{text_col}`"].cast("string").alias("txt"), docs[f"`{id_col}`"].alias("key")).withColumn("mark", F.xxhash64("txt"))
     left = possible(left, F.xxhash64("key", "mark"), right, F.xxhash64("id", "c_mark")).where("possible").drop("possible")
-    texts = left.join(right, left["key"].eqNullSafe(right["id"]) & (left["mark"] == right["c_mark"])).select("txt", "c_cls", "root", "step", "chunks", "below", "above", "copies")
-    sets = texts.mapInArrow(to_sets, "c_cls long, root long, step int, chunks int, below int, above int, copies long, elements binary")
-    mine = F.pmod(F.xxhash64("c_cls", F.lit(3)), F.col("chunks")).cast("int")
+    texts = left.join(right, left["key"].eqNullSafe(right["id"]) & (left["mark"] == right["c_mark"])).select("txt", "c_cls", "root", "copies")
+    return texts.mapInArrow(to_sets, "c_cls long, root long, copies long, n long, elements binary")
+
+
+def _dealt(buckets: int):
+    """Shingles of sets with the class of each, dealt into buckets."""
+
+    def sent(h: list[np.ndarray], cls: list[np.ndarray]) -> pa.RecordBatch:
+        h, cls = np.concatenate(h), np.concatenate(cls)
+        to = (mix(h) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(to, kind="stable")
+        h, cls, to = h[order], cls[order], to[order]
+        there, at = np.unique(to, return_index=True)
+        ends = np.append(at[1:], len(to))
+        packed = [pa.array([_pack(v[x:y]) for x, y in zip(at, ends)], pa.binary()) for v in (h, cls)]
+        return pa.RecordBatch.from_arrays([pa.array(there, pa.int32()), *packed], names=["bucket", "h", "cls"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hs, cls, held = [], [], 0
+        for batch in batches:
+            for c, e in zip(unsigned(batch.column(0)), batch.column(1)):
+                hs.append(np.frombuffer(e.as_py(), np.uint64))
+                cls.append(np.full(len(hs[-1]), c))
+                held += len(hs[-1])
+                if held >= HELD:
+                    yield sent(hs, cls)
+                    hs, cls, held = [], [], 0
+        if held:
+            yield sent(hs, cls)
+        give_back()
+    return run
+
+
+def _shared(owners: int):
+    """The shingles of one bucket that several sets hold, with each class that has them, dealt by class.
+
+    A shingle's key orders the rare before the frequent, and is the same for all classes.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        h, cls = (_unpack(table.column(c).to_pylist()) for c in ("h", "cls"))
+        order = np.argsort(h, kind="stable")
+        h, cls = h[order], cls[order]
+        first = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+        held = np.repeat(np.diff(np.append(first, len(h))), np.diff(np.append(first, len(h))))
+        some = held > 1
+        bucket = np.uint64(table.column("bucket")[0].as_py() & 0xFF)
+        key = (np.minimum(held[some], 0xFFFF).astype(np.uint64) << np.uint64(48)) | (bucket << np.uint64(40)) | h[some]
+        cls = cls[some]
+        to = (cls % np.uint64(owners)).astype(np.int32)
+        order = np.argsort(to, kind="stable")
+        cls, key, to = cls[order], key[order], to[order]
+        there, at = np.unique(to, return_index=True)
+        ends = np.append(at[1:], len(to))
+        return pa.table({"owner": pa.array(there, pa.int32()), "cls": pa.array([_pack(cls[x:y]) for x, y in zip(at, ends)], pa.binary()),
+                         "key": pa.array([key[x:y].tobytes() for x, y in zip(at, ends)], pa.binary())})
+    return run
+
+
+def _rarest(num: int, den: int):
+    """The classes of one owner with their rarest shingles, of which two sets that link have one in common.
+
+    Sets of n link only if they share ``num / den`` of n, so in any order of the shingles one is among the first
+    ``n - share + 1`` of both; one more is kept for shingles that fell together.  Those that no other set holds come
+    first, and a set that has so many of them goes.
+    """
+
+    def run(shared: pa.Table, sizes: pa.Table) -> pa.Table:
+        cls, at = np.unique(unsigned(sizes.column("c_cls")), return_index=True)
+        n = np.asarray(sizes.column("n"))[at]
+        node, at, several = np.unique(cls & np.uint64(SENT_MASK), return_index=True, return_counts=True)
+        n = n[at]
+        mine = _unpack(shared.column("cls").to_pylist())
+        key = np.frombuffer(b"".join(shared.column("key").to_pylist()), np.uint64)
+        order = np.lexsort((key, mine))
+        mine, key = mine[order], key[order]
+        new = np.ones(len(mine), bool)
+        new[1:] = (mine[1:] != mine[:-1]) | (key[1:] != key[:-1])
+        mine, key = mine[new], key[new]
+        begin, end = np.searchsorted(mine, node), np.searchsorted(mine, node, "right")
+        take = n + num * n // -den + 2 - (n - (end - begin))
+        take = np.where(several > 1, end - begin, np.clip(take, 0, end - begin))  # classes that are one in the bytes sent keep all
+        whose = np.searchsorted(node, mine)
+        kept = np.arange(len(mine)) - begin[whose] < take[whose]
+        return pa.table({"node": signed(mine[kept]), "key": signed(key[kept])})
+    return run
+
+
+def clustered_anew(sets: DataFrame, num: int, den: int) -> DataFrame:
+    """``node, root``: clusters of the classes of ``sets`` whose rarest shingles meet; a class without a partner is left out."""
+    total = int(sets.agg(F.sum("n")).first()[0] or 0)
+    buckets = max(1, -(-total // BUCKET_SHINGLES))
+    node = F.col("c_cls").bitwiseAND(F.lit(SENT_MASK))
+    shared = sets.select("c_cls", "elements").mapInArrow(_dealt(buckets), "bucket int, h binary, cls binary")
+    shared = shared.groupBy("bucket").applyInArrow(_shared(buckets), "owner int, cls binary, key binary")
+    sizes = sets.select((node % F.lit(buckets)).cast("int").alias("owner"), "c_cls", "n")
+    rare = shared.groupBy("owner").cogroup(sizes.groupBy("owner")).applyInArrow(_rarest(num, den), "node long, key long")
+    rare = rare.withColumn("least", F.min("node").over(Window.partitionBy("key")))
+    return components(rare.where("least < node").select(F.col("node").alias("a"), F.col("least").alias("b")))
+
+
+def linked(keys: np.ndarray, copies: list[int], sets: list[np.ndarray], left: list[int], right: list[int], num: int, den: int) -> pa.Table:
+    """``a, b`` for a spanning forest of the links between ``left`` and ``right``, and ``a, w`` (b null) for the rows a class links with."""
+    top, degree = list(range(len(sets))), [0] * len(sets)
+
+    def root(x: int) -> int:
+        while top[x] != x:
+            top[x] = top[top[x]]
+            x = top[x]
+        return x
+
+    for x, y in divide_skip(left, right, sets, num, den):
+        degree[x] += copies[y]
+        degree[y] += copies[x]
+        x, y = sorted((root(x), root(y)))
+        top[y] = x
+    a, b, w = [], [], []
+    for x in range(len(sets)):
+        if degree[x]:
+            a += [keys[x]]
+            b += [None]
+            w += [degree[x]]
+            if root(x) != x:
+                a += [keys[x]]
+                b += [keys[root(x)]]
+                w += [None]
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "w": pa.array(w, pa.int64())})
+
+
+def pack_sets(keys: np.ndarray, copies: np.ndarray, sets: list[np.ndarray]) -> bytes:
+    """Sets as one table of their shingles, the common ones first, and each set's steps in it, compressed."""
+    h, place, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(-count, kind="stable")
+    rank = np.empty(len(h), np.int64)
+    rank[order] = np.arange(len(h))
+    sizes = np.array([len(x) for x in sets], np.int64)
+    row = np.repeat(np.arange(len(sets)), sizes)
+    place = rank[place]
+    by = np.lexsort((place, row))
+    steps = np.diff(place[by], prepend=0)
+    steps[(np.cumsum(sizes) - sizes)[sizes > 0]] = place[by][(np.cumsum(sizes) - sizes)[sizes > 0]]
+    head = np.array([len(keys), len(h)], np.int64)
+    raw = b"".join(np.ascontiguousarray(x).tobytes() for x in (head, keys, copies, sizes, h[order], steps.astype(np.uint32)))
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unpack_sets(blob: bytes) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    raw = pa.decompress(blob[8:], int.from_bytes(blob[:8], "little"), codec="zstd", asbytes=True)
+    n, shingles = np.frombuffer(raw, np.int64, 2)
+    keys, copies, sizes = np.frombuffer(raw, np.int64, 3 * n, 16).reshape(3, n)
+    h = np.frombuffer(raw, np.uint64, shingles, 16 + 24 * n)
+    steps = np.frombuffer(raw, np.uint32, offset=16 + 24 * n + 8 * shingles).astype(np.int64)
+    ends = np.cumsum(sizes)
+    return keys, copies, [np.sort(h[np.cumsum(steps[e - m: e])]) for m, e in zip(sizes, ends)]
+
+
+def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int, text_col: str, id_col: str) -> DataFrame:
+    """Links within the clusters: ``a, b`` for a spanning forest, and ``a, w`` (b null) for the rows a class links with."""
+    sizes = cand.groupBy("root").agg(F.count(F.lit(1)).alias("classes"))
+    cand = cand.join(sizes, "root")
+    whole = element_sets(docs, cand.where(F.col("classes") <= CHUNK), k, text_col, id_col)
+    large = None
+    if sizes.where(F.col("classes") > CHUNK).limit(1).count():
+        sets = element_sets(docs, cand.where(F.col("classes") > CHUNK), k, text_col, id_col).checkpoint()
+        anew = sets.select("c_cls", "n").distinct().withColumn("node", F.col("c_cls").bitwiseAND(F.lit(SENT_MASK)))
+        anew = anew.join(clustered_anew(sets, num, den), "node").select("c_cls", "n", "root")
+        anew = anew.join(anew.groupBy("root").agg(F.count(F.lit(1)).alias("classes")), "root").checkpoint()
+        whole = whole.unionByName(sets_of(sets, anew.where(F.col("classes") <= CHUNK).select("c_cls", "root", "n")))
+        if anew.where(F.col("classes") > CHUNK).limit(1).count():
+            large = chunk_links(sets, anew.where(F.col("classes") > CHUNK), num, den)
+
+    def search(table: pa.Table) -> pa.Table:
+        keys, copies, sets = table_sets(table)
+        every = list(range(len(sets)))
+        return linked(keys, copies.tolist(), sets, every, every, num, den)
+
+    out = whole.groupBy("root").applyInArrow(search, "a long, b long, w long")
+    return out if large is None else out.unionByName(large)
+
+
+def sets_of(sets: DataFrame, some: DataFrame) -> DataFrame:
+    """The sets of the classes of ``some``, with its columns."""
+    some = some.withColumnRenamed("c_cls", "_cls")
+    left = possible(sets.select("c_cls", "copies", "elements"), F.xxhash64("c_cls"), some, F.xxhash64("_cls")).where("possible").drop("possible")
+    return left.join(some, left["c_cls"] == some["_cls"]).drop("_cls")
+
+
+def table_sets(table: pa.Table) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
+    """Classes, copies and sets of a table; a class that comes twice is taken once."""
+    keys, first = np.unique(np.asarray(table.column("c_cls")), return_index=True)
+    table = table.take(pa.array(first))
+    return keys, np.asarray(table.column("copies")), [np.frombuffer(b, np.uint64) for b in table.column("elements").to_pylist()]
+
+
+def chunk_links(sets: DataFrame, some: DataFrame, num: int, den: int) -> DataFrame:
+    """As ``cluster_links``, by pairs of chunks of a cluster; ``some`` names the classes, their clusters and sizes."""
+    # sets that link differ by less than one step of this scale, so only neighbouring steps of a cluster are compared
+    step = F.floor(F.log(F.col("n").cast("double")) / (math.log(den / num) * 1.001)).cast("int")
+    some = some.select("c_cls", "root", step.alias("step"))
+    sizes = some.groupBy("root", "step").agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")).checkpoint()
+    some = some.join(sizes, ["root", "step"]).select("c_cls", "root", "step", F.pmod(F.xxhash64("c_cls", F.lit(3)), F.col("chunks")).cast("int").alias("mine"))
+
+    def pack(table: pa.Table) -> pa.Table:
+        return pa.table({**{c: table.column(c).slice(0, 1) for c in ("root", "step", "mine")}, "packed": pa.array([pack_sets(*table_sets(table))], pa.binary())})
+
+    packed = sets_of(sets, some).groupBy("root", "step", "mine").applyInArrow(pack, "root long, step int, mine int, packed binary")
+    for name, shift in (("below", -1), ("above", 1)):
+        sizes = sizes.join(sizes.select("root", (F.col("step") - shift).alias("step"), F.col("chunks").alias(name)), ["root", "step"], "left")
+    packed = packed.join(sizes, ["root", "step"])
+    pairs = int(sizes.agg(F.sum(F.expr("chunks * (chunks + 1L) / 2 + chunks * coalesce(above, 0L)"))).first()[0] or 0)
 
     def each(n: Column) -> Column:
         return F.when(F.coalesce(n, F.lit(0)) > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.expr("cast(array() as array<int>)"))
@@ -390,47 +598,25 @@ def cluster_links(docs: DataFrame, cand: DataFrame, k: int, num: int, den: int,
         return F.struct(step.alias("step"), across.alias("across"), i.cast("int").alias("i"), j.cast("int").alias("j"), first.alias("first"))
 
     # two chunks of one step, or a chunk of a step (first) and one of the next
-    yes, no, at = F.lit(True), F.lit(False), F.col("step")
+    yes, no, at, mine = F.lit(True), F.lit(False), F.col("step"), F.col("mine")
     own = F.transform(each(F.col("chunks")), lambda c: block(at, no, F.least(mine, c), F.greatest(mine, c), mine <= c))
     up = F.transform(each(F.col("above")), lambda c: block(at, yes, mine, c, yes))
     down = F.transform(each(F.col("below")), lambda c: block(at - 1, yes, c, mine, no))
-    blocks = sets.select("root", "c_cls", "copies", "elements", F.explode(F.concat(own, up, down)).alias("b")).select("root", "b.*", "c_cls", "copies", "elements")
+    blocks = packed.select("root", "packed", F.explode(F.concat(own, up, down)).alias("b")).select("root", "b.*", "packed")
+    key = ["root", "step", "across", "i", "j"]  # dealt by number, since small rows mean much work here
 
     def search(table: pa.Table) -> pa.Table:
-        keys, first = np.unique(np.asarray(table.column("c_cls")), return_index=True)  # repeated rows of one id bring a class twice
-        table = table.take(pa.array(first))
-        sets = [np.frombuffer(b, np.uint64) for b in table.column("elements").to_pylist()]
-        copies = table.column("copies").to_pylist()
+        keys, copies, sets, sides = [], [], [], ([], [])
+        for packed, first in zip(table.column("packed").to_pylist(), table.column("first").to_pylist()):
+            more = unpack_sets(packed)
+            sides[not first].extend(range(len(sets), len(sets) + len(more[2])))
+            keys.append(more[0])
+            copies += more[1].tolist()
+            sets += more[2]
         alone = not table.column("across")[0].as_py() and table.column("i")[0].as_py() == table.column("j")[0].as_py()
-        first = table.column("first").to_pylist()
-        left = [x for x in range(len(sets)) if first[x] or alone]
-        right = left if alone else [x for x in range(len(sets)) if not first[x]]
-        top, degree = list(range(len(sets))), [0] * len(sets)
-
-        def root(x: int) -> int:
-            while top[x] != x:
-                top[x] = top[top[x]]
-                x = top[x]
-            return x
-
-        for x, y in divide_skip(left, right, sets, num, den):
-            degree[x] += copies[y]
-            degree[y] += copies[x]
-            x, y = sorted((root(x), root(y)))
-            top[y] = x
-        a, b, w = [], [], []
-        for x in range(len(sets)):
-            if degree[x]:
-                a += [keys[x]]
-                b += [None]
-                w += [degree[x]]
-                if root(x) != x:
-                    a += [keys[x]]
-                    b += [keys[root(x)]]
-                    w += [None]
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "w": pa.array(w, pa.int64())})
-
-    return blocks.groupBy("root", "step", "across", "i", "j").applyInArrow(search, "a long, b long, w long")
+        return linked(np.concatenate(keys), copies, sets, sides[0], sides[0] if alone else sides[1], num, den)
+
+    return blocks.repartition(max(1, -(-pairs // PAIRS)), *key).groupBy(*key).applyInArrow(search, "a long, b long, w long")
 
 
 def keep_one(docs: DataFrame, k: int = 5, num: int = 4, den: int = 5, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -204,6 +204,90 @@ def test_links_of_one_large_cluster(spark):
     assert got == {i: (g, degree[i]) for i, g in enumerate(groups(len(texts), pairs))}
 
 
+def sent_bytes(plan):
+    """Bytes of the rows that the exchanges of an executed plan have dealt out."""
+    own = plan.metrics().get("dataSize").get().value() if plan.nodeName() == "Exchange" else 0
+    return own + sum(sent_bytes(plan.children().apply(i)) for i in range(plan.children().size()))
+
+
+def test_links_of_chained_texts(spark, monkeypatch):
+    """Texts that only share a passage with the next one, near copies of some, and a large group of near copies.
+
+    What is sent to the search grows with the sets, not with the square of a cluster.
+    """
+    rng = random.Random(12)
+    words = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    def near(ws):
+        ws = list(ws)
+        ws[rng.randrange(len(ws))] = f"x{rng.randrange(10**6)}"
+        return ws
+
+    shared = [words(12) for _ in range(301)]
+    chain = [shared[i] + words(60) + shared[i + 1] for i in range(300)]
+    chain += [near(chain[i]) for i in range(0, 300, 10) for _ in range(2)]
+    base = words(120)
+    texts = [" ".join(ws) for ws in chain + [near(near(base)) for _ in range(250)]]
+    texts += texts[::40]
+    sets, pairs = links_brute(texts, 5, 4, 5)
+    degree = Counter(x for p in pairs for x in p)
+    plans, inner = [], jaccard.cluster_links
+
+    def watched(*args):
+        plans.append(inner(*args))
+        return plans[-1]
+
+    monkeypatch.setattr(jaccard, "cluster_links", watched)
+    monkeypatch.setattr(jaccard, "CHUNK", 16)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        got = {r["doc_id"]: (r["component_id"], r["n_links"]) for r in link_documents(frame(spark, texts), 5, 4, 5).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert got == {i: (g, degree[i]) for i, g in enumerate(groups(len(texts), pairs))}
+    assert sum(sent_bytes(x._jdf.queryExecution().executedPlan()) for x in plans) < 7 * 8 * sum(map(len, sets))
+
+
+def test_links_of_repeated_rows_in_a_large_cluster(spark, monkeypatch):
+    rng = random.Random(13)
+    base = [f"w{i}" for i in range(90)]
+    texts = [" ".join(base[:i] + [f"x{rng.randrange(10**6)}"] + base[i + 1:]) for i in rng.choices(range(90), k=40)]
+    texts += texts[:15]
+    ids = [*range(40), *range(15)]  # rows 40 .. 54 repeat the first ones
+    sets, pairs = links_brute(texts, 5, 4, 5)
+    degree = Counter(x for p in pairs for x in p)
+    monkeypatch.setattr(jaccard, "CHUNK", 8)
+    got = link_documents(spark.createDataFrame(list(zip(ids, texts)), "doc_id long, text string"), 5, 4, 5).collect()
+    assert sorted((r["doc_id"], r["n_links"]) for r in got) == sorted((i, degree[x]) for x, i in enumerate(ids))
+
+
+def test_clustered_anew_loses_no_link(spark):
+    """Sets at the threshold and below, with shingles that many share, stay together if they link."""
+    rng = np.random.default_rng(14)
+    common = np.unique(rng.integers(0, 2**63, 40).astype(np.uint64))
+    sets = []
+    for i in range(120):
+        n = int(rng.integers(1, 60))
+        x = np.concatenate([rng.integers(0, 2**63, n).astype(np.uint64), rng.choice(common, rng.integers(0, 30), replace=False)])
+        sets += [np.unique(x), np.unique(x[: -(-4 * len(x) // 5)]), np.unique(np.append(x[1:], rng.integers(0, 2**63, 1).astype(np.uint64)))]
+    rows = [(int(i) + 1, len(x), bytearray(x.tobytes())) for i, x in enumerate(sets)]
+    got = {r["node"]: r["root"] for r in jaccard.clustered_anew(spark.createDataFrame(rows, "c_cls long, n long, elements binary"), 4, 5).collect()}
+    links = [(i, j) for i in range(len(sets)) for j in range(i) if 5 * len(np.intersect1d(sets[i], sets[j])) >= 4 * len(np.union1d(sets[i], sets[j]))]
+    assert len(links) > 200 and all(got[i + 1] == got[j + 1] for i, j in links)
+
+
+def test_packed_sets():
+    rng = np.random.default_rng(15)
+    base = np.unique(rng.integers(0, 2**63, 300).astype(np.uint64))
+    sets = [np.sort(np.append(rng.choice(base, 280, replace=False), rng.integers(0, 2**63, 9).astype(np.uint64))) for _ in range(100)] + [base[:1], base]
+    keys, copies = np.arange(102) - 50, np.arange(102) + 1
+    packed = jaccard.pack_sets(keys, copies, sets)
+    assert len(packed) < sum(x.nbytes for x in sets) / 5
+    for want, got in zip((keys, copies), jaccard.unpack_sets(packed)):
+        assert want.tolist() == got.tolist()
+    assert all(np.array_equal(x, y) for x, y in zip(sets, jaccard.unpack_sets(packed)[2], strict=True))
+
+
 def test_parts_meet_for_every_linking_pair():
     """Two sets at the threshold share a signature, whichever elements differ."""
     rng = np.random.default_rng(1)
