@@ -30,13 +30,15 @@ from pyspark.sql import functions as F
 
 from shelfwise.llm.blocks import possible, row_struct
 from shelfwise.llm.components import components
-from shelfwise.llm.text import LOWER, Rolling, found, give_back, mix, signed, slices, unsigned, word_hashes, word_spans
+from shelfwise.llm.text import LOWER, Rolling, found, give_back, mix, signed, slices, trim, unsigned, word_hashes, word_spans
 from shelfwise.session import ensure_checkpoint_dir
 
 #: Classes of a cluster that one task compares among themselves; of a larger cluster two such chunks meet in a task.
 CHUNK = 128
 #: Pairs of chunks that one task searches, about.
 PAIRS = 8
+#: Sets of a search after which freed memory goes back.
+TRIMMED = 32
 
 
 def shingle_sets(data: np.ndarray, offs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -309,6 +311,7 @@ def _meetings(table: pa.Table) -> pa.Table:
     near = [i for i in range(len(pairs)) if pairs[i]]
     x = np.concatenate([met[:, 0], _unpack([a[i] for i in near])])
     y = np.concatenate([met[:, 1], _unpack([b[i] for i in near])])
+    trim()
     return pa.table({"a": signed(x), "b": signed(y)})
 
 
@@ -434,6 +437,7 @@ def _shared(owners: int):
         cls, key, to = cls[order], key[order], to[order]
         there, at = np.unique(to, return_index=True)
         ends = np.append(at[1:], len(to))
+        trim()
         return pa.table({"owner": pa.array(there, pa.int32()), "cls": pa.array([_pack(cls[x:y]) for x, y in zip(at, ends)], pa.binary()),
                          "key": pa.array([key[x:y].tobytes() for x, y in zip(at, ends)], pa.binary())})
     return run
@@ -464,6 +468,7 @@ def _rarest(num: int, den: int):
         take = np.where(several > 1, end - begin, np.clip(take, 0, end - begin))  # classes that are one in the bytes sent keep all
         whose = np.searchsorted(node, mine)
         kept = np.arange(len(mine)) - begin[whose] < take[whose]
+        trim()
         return pa.table({"node": signed(mine[kept]), "key": signed(key[kept])})
     return run
 
@@ -506,6 +511,8 @@ def linked(keys: np.ndarray, copies: list[int], sets: list[np.ndarray], left: li
                 a += [keys[x]]
                 b += [keys[root(x)]]
                 w += [None]
+    if len(sets) > TRIMMED:
+        trim()
     return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "w": pa.array(w, pa.int64())})
 
 
